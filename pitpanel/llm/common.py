@@ -108,7 +108,7 @@ def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Calla
                 made = each(part.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(v if isinstance(v, pa.Array) else pa.array(v) for v in made.values())], names=[*keep, *made])
 
-    return df.select(*keep, text).mapInArrow(run, ddl)
+    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, ddl)
 
 
 def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
