@@ -6,10 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import facts, quality, ranking, rules, streams, time
+from .base import COVERS, QUERIES, SQL
+
+MODULES = (ranking, time, facts, rules, quality, streams)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+def covers() -> dict[str, str]:
+    """Which operators each query exercises."""
+    return dict(COVERS)
