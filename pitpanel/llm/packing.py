@@ -24,7 +24,7 @@ from .common import numbered, slices, written
 from .tokens import encoder
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, remembered: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids with ``end_id`` behind, cut if longer than ``capacity``.
 
     Only the first piece of a cut document may be shorter than the capacity. A null text is empty.
@@ -37,7 +37,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
             for lo, hi in slices(batch.column("text"), 4 << 20):
                 part = batch.slice(lo, hi - lo)
                 out: list[list] = [[], [], [], [], []]
-                for key, ids in zip(part.column("key").to_pylist(), encoder(vocabulary).encode(part.column("text").to_pylist()), strict=True):
+                for key, ids in zip(part.column("key").to_pylist(), encoder(vocabulary, remembered).encode(part.column("text").to_pylist()), strict=True):
                     ids += tail
                     n = len(ids) // 4
                     at = 0

@@ -10,18 +10,21 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
 
 import numpy as np
 
-ODD = re.compile(r" (?:\s|$)|<\|endoftext\|>")
+ODD = re.compile(r" (?:\s|$)|<\|endoftext\|>|\0")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
-    """``encode(texts)``: for each text its ids as bytes; a null text is empty. Keeps at most ``remembered`` stretches."""
+    """``encode(texts)``: for each text its ids as bytes; a null text is empty.
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    Remembers between ``remembered`` and twice as many stretches and pieces: when the newer half is
+    full it becomes the older one, from which only what is asked for again moves on.
+    """
+
+    def __init__(self, path: str, remembered: int = 500_000):
         import regex
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -29,66 +32,96 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.find = regex.compile(PATTERN).findall
-        self.remembered, self.stretches, self.pieces = remembered, {}, {}
+        self.remembered, self.known, self.older = remembered, {}, {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, new: list[str]) -> None:
-        """Encodes unseen pieces; words that begin with a space are encoded in one string, which the pattern parts again."""
-        plain, rest = [], []
-        for p in new:
-            (plain if p[0] == " " and p[1:].isalpha() else rest).append(p)
-        for k in range(0, len(plain), 20_000):
-            part = plain[k : k + 20_000]
+    def recall(self, wanted: set[str]) -> list[str]:
+        """Moves what the older half knows to the newer one; the rest is returned."""
+        rest = []
+        for s in wanted:
+            v = self.older.get(s)
+            if v is None:
+                rest.append(s)
+            else:
+                self.known[s] = v
+        return rest
+
+    def learn(self, words: list[str], others: list[str]) -> None:
+        """Encodes unseen pieces; ``words`` (a space, then letters) in one string, which the pattern parts again."""
+        others = list(others)
+        for k in range(0, len(words), 20_000):
+            part = words[k : k + 20_000]
             e = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ids, word = np.array(e.ids, "<u4"), np.array(e.word_ids)
-            ends = np.flatnonzero(np.diff(word, append=-1)) + 1
+            ends = np.flatnonzero(np.diff(np.array(e.word_ids), append=-1)) + 1
             if len(ends) != len(part):
-                rest += part
+                others += part
                 continue
-            data, at = ids.tobytes(), 0
+            data, at = np.array(e.ids, "<u4").tobytes(), 0
             for p, end in zip(part, (4 * ends).tolist(), strict=True):
-                self.pieces[p] = data[at:end]
+                self.known[p] = data[at:end]
                 at = end
-        self.pieces.update(zip(rest, self.whole(rest), strict=True))
+        self.known.update(zip(others, self.whole(others), strict=True))
+
+    def add(self, stretches: set[str]) -> None:
+        """Makes unseen stretches known, by way of their pieces."""
+        new = self.recall(stretches)
+        words, split = [], {}
+        for s in new:
+            if s[0] == " " and s[1:].isalpha():
+                words.append(s)
+            elif s[0] == " " and s[-1] in ".,!" and s[1:-1].isalpha():
+                split[s] = (s[:-1], s[-1])
+            else:
+                split[s] = self.find(s)
+        known = self.known
+        pieces = self.recall({p for f in split.values() for p in f if p not in known}.difference(words))
+        alpha, others = [], []
+        for p in pieces:
+            (alpha if p[0] == " " and p[1:].isalpha() else others).append(p)
+        self.learn(words + alpha, others)
+        get = known.__getitem__
+        for s, f in split.items():
+            known[s] = b"".join(map(get, f))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        odd = [i for i, t in enumerate(texts) if t and ODD.search(t)]
+        odd, even = [], []
+        for i, t in enumerate(texts):
+            if t:
+                (odd if ODD.search(t) else even).append(i)
         for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
             out[i] = ids
-        skip = set(odd)
-        even = [i for i, t in enumerate(texts) if t and i not in skip]
-        parted = [texts[i].replace(" ", "\0 ").split("\0") if "\0" not in texts[i] else None for i in even]
-        for i, p in zip(even, parted, strict=True):
-            if p is None:
-                out[i] = self.whole([texts[i]])[0]
-        if len(self.stretches) > self.remembered:
-            self.stretches.clear()
-        if len(self.pieces) > self.remembered:
-            self.pieces.clear()
-        new = list(set(chain.from_iterable(p for p in parted if p)).difference(self.stretches))
-        found = [self.find(s) for s in new]
-        self.learn(list(set(chain.from_iterable(found)).difference(self.pieces)))
-        get = self.pieces.__getitem__
-        for s, f in zip(new, found, strict=True):
-            self.stretches[s] = get(f[0]) if len(f) == 1 else b"".join(map(get, f))
-        get = self.stretches.__getitem__
-        for i, p in zip(even, parted, strict=True):
-            if p:
-                out[i] = b"".join(map(get, p))
+        if len(self.known) > self.remembered:
+            self.known, self.older = {}, self.known
+        get, rest, unseen = self.known.get, [], set()
+        for i in even:
+            parts = texts[i].replace(" ", "\0 ").split("\0")
+            ids = list(map(get, parts))
+            if None in ids:
+                unseen.update(s for s, v in zip(parts, ids, strict=True) if v is None)
+                rest.append((i, parts))
+            else:
+                out[i] = b"".join(ids)
+        if unseen:
+            unseen.discard("")
+            self.known[""] = b""
+            self.add(unseen)
+            get = self.known.__getitem__
+            for i, parts in rest:
+                out[i] = b"".join(map(get, parts))
         return out
 
 
-_encoders: dict[tuple, Encoder] = {}
+_encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for this vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def encoder(path: str, remembered: int = 500_000) -> Encoder:
+    """The worker's encoder for this vocabulary file; about 100 MB at most for 500,000 remembered."""
+    if (path, remembered) not in _encoders:
+        _encoders[path, remembered] = Encoder(path, remembered)
+    return _encoders[path, remembered]
 
 
 def default_path() -> str:
