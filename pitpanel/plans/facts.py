@@ -127,3 +127,46 @@ def disclosure_gate(spark, sf_dir):
     coverage = F.col("disclosed") / F.col("universe")
     why = audit.reasons(completeness=F.col("completeness") >= 0.95, outside=F.col("outside") == 0, coverage=coverage >= 0.95)
     return both.select("n", "outside", "disclosed", "universe", F.round(coverage, 6).alias("coverage"), F.round("completeness", 6).alias("completeness"), F.when(F.size(why) == 0, "passed").otherwise("failed").alias("status"))
+
+
+@query("P4 P5 P11 F16", """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS present, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END, CAST(o_custkey AS DOUBLE)) AS finite, CASE o_orderkey % 3 WHEN 0 THEN 'SH' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') WHEN 1 THEN 'SZ' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS id, CASE WHEN left(o_orderpriority, 1) = '1' THEN 'a,b' ELSE 'b' END AS hashes FROM orders""")
+def resolved_aliases(spark, sf_dir):
+    """First alias that is a column, first alias with a finite value, an id from several spellings, sorted unique arrays."""
+    k, code = F.col("o_orderkey"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")
+    o = table(spark, sf_dir, "orders")
+    rows = o.select("o_orderkey", "o_orderpriority", F.when(k % 3 != 0, F.col("o_totalprice")).alias("amount"), F.when(k % 2 == 0, F.col("o_totalprice")).otherwise(F.lit(float("nan"))).alias("x"), F.col("o_custkey").alias("y"), F.when(k % 3 == 0, F.concat(F.lit("sh"), code)).alias("id1"), F.when(k % 3 == 1, F.concat(F.lit(" SZ"), code)).alias("id2"))
+    tags = F.when(F.substring("o_orderpriority", 1, 1) == "1", F.array(F.lit("b"), F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("b"), F.lit("b")))
+    return rows.select("o_orderkey", exprs.first_present(rows.columns, "total", "amount").alias("present"), exprs.first_finite("x", "y").alias("finite"), F.coalesce(exprs.security_id("id1"), exprs.security_id("id2")).alias("id"), F.array_join(F.array_sort(F.array_distinct(tags)), ",").alias("hashes"))
+
+
+@query("P27 F18 F19", """SELECT doc_id, nullif(concat_ws(',', CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de', 'fr') THEN 'lang' END, CASE WHEN n_chars IS NULL OR n_chars < 300 THEN 'short' END, CASE WHEN source IS NULL OR NOT regexp_full_match(source, 'src[0-9]') THEN 'source' END), '') AS broken FROM documents""")
+def context_violations(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    broken = exprs.violations(lang=F.col("lang").isin("en", "de", "fr"), short=F.col("n_chars") >= 300, source=F.col("source").rlike("^src[0-9]$"))
+    return d.select("doc_id", F.when(F.size(broken) > 0, F.array_join(broken, ",")).alias("broken"))
+
+
+@query("A23 J17 P36", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, coalesce(list_aggregate(list_sort(list(DISTINCT feature) FILTER (WHERE status = 'missing' AND feature <> 'nopat')), 'string_agg', ','), '') AS blockers, count(*) FILTER (WHERE status = 'missing' AND feature <> 'nopat') = 0 AS ready FROM f GROUP BY 1, 2")
+def readiness_gate(spark, sf_dir):
+    """Sorted blockers of each supplier-year; one feature is neutral and never blocks."""
+    missing = F.when((F.col("status") == "missing") & (F.col("feature") != "nopat"), F.col("feature"))
+    out = _features(spark, sf_dir).groupBy("s", "y").agg(F.array_sort(F.collect_set(missing)).alias("b"))
+    return out.select("s", "y", F.array_join("b", ",").alias("blockers"), (F.size("b") == 0).alias("ready"))
+
+
+@query("R13 K3", f"WITH {TALL}, m(metric, need) AS (VALUES ('revenue', 'CNY'), ('discounts', 'CNY'), ('tax', 'CNY'), ('margin', 'CNY')), k AS (SELECT DISTINCT s, y FROM tall) SELECT k.s, k.y, m.metric, CASE WHEN t.unit = need THEN round(t.value, 4) END AS value, CASE WHEN t.metric IS NULL THEN 'absent' WHEN t.unit <> need THEN 'unit' END AS reason FROM k CROSS JOIN m LEFT JOIN tall t ON t.s = k.s AND t.y = k.y AND t.metric = m.metric")
+def metric_rows(spark, sf_dir):
+    """Every registered metric for every supplier-year, with its value or the first reason why not."""
+    need = spark.createDataFrame([("revenue", "CNY"), ("discounts", "CNY"), ("tax", "CNY"), ("margin", "CNY")], "metric string, need string")
+    facts = tall(spark, sf_dir)
+    slots = facts.select("s", "y").distinct().crossJoin(F.broadcast(need))
+    ok = F.col("unit") == F.col("need")
+    return slots.join(facts, ["s", "y", "metric"], "left").select("s", "y", "metric", F.when(ok, F.round("value", 4)).alias("value"), F.when(F.col("unit").isNull(), "absent").when(~ok, "unit").alias("reason"))
+
+
+@query("S8 S9 S12 F13", "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(max(value), 6) AS high, CAST(CAST(ts AS DATE) - INTERVAL 6 DAY AS DATE) AS from_day, CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 7 HOUR AS close_at FROM events GROUP BY 1, 2, 5, 6")
+def daily_bars(spark, sf_dir):
+    """Daily rows of each kind, with the seven-day interval that ends there and the session's close (15:00 in Shanghai)."""
+    day = F.to_date("ts")
+    bars = table(spark, sf_dir, "events").groupBy("event_type", day.alias("day")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("value"), 6).alias("high"))
+    return bars.withColumn("from_day", F.date_sub("day", 6)).withColumn("close_at", F.to_utc_timestamp(F.to_timestamp("day") + F.expr("INTERVAL 15 HOURS"), "Asia/Shanghai"))

@@ -28,7 +28,7 @@ def _pct(m):
 METRICS = (("c_acctbal", 0.45), ("spend", 0.35), ("orders", 0.2))
 SCORED = f"""WITH {PANEL}, {_ranked([m for m, _ in METRICS])},
 pct AS (SELECT c_custkey, c_nationkey, {', '.join(f'{_pct(m)} AS p_{m}, CASE WHEN {m} IS NULL THEN NULL WHEN n_g_{m} >= 20 THEN $$group$$ ELSE $$table$$ END AS s_{m}' for m, _ in METRICS)} FROM r2),
-scored AS (SELECT *, {' + '.join(f'CASE WHEN p_{m} IS NULL THEN 0.0 ELSE {w} END' for m, w in METRICS)} AS coverage, ({' + '.join(f'coalesce(p_{m}, 0.0) * {w}' for m, w in METRICS)}) / nullif({' + '.join(f'CASE WHEN p_{m} IS NULL THEN 0.0 ELSE {w} END' for m, w in METRICS)}, 0) AS score, count(*) OVER (PARTITION BY c_nationkey) AS members FROM pct)""".replace("$$group$$", "'group'").replace("$$table$$", "'table'")
+scored AS (SELECT *, {' + '.join(f'CASE WHEN p_{m} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST({w} AS DOUBLE) END' for m, w in METRICS)} AS coverage, ({' + '.join(f'coalesce(p_{m}, 0.0) * CAST({w} AS DOUBLE)' for m, w in METRICS)}) / nullif({' + '.join(f'CASE WHEN p_{m} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST({w} AS DOUBLE) END' for m, w in METRICS)}, 0) AS score, count(*) OVER (PARTITION BY c_nationkey) AS members FROM pct)""".replace("$$group$$", "'group'").replace("$$table$$", "'table'")
 
 
 def scored(spark, sf_dir):
@@ -129,11 +129,11 @@ def top_sources(spark, sf_dir):
 
 @query("X7", """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS close, max(o_totalprice) AS high, min(o_totalprice) AS low, o_orderpriority AS p FROM orders GROUP BY 1, 5),
 l AS (SELECT *, lag(close) OVER w AS before, lag(close, 20) OVER w AS m1, lag(close, 120) OVER w AS m6 FROM d WINDOW w AS (PARTITION BY p ORDER BY day))
-SELECT p, day, round(avg(close) OVER (PARTITION BY p ORDER BY day ROWS 19 PRECEDING), 4) AS ma20, round(avg(close) OVER (PARTITION BY p ORDER BY day ROWS 59 PRECEDING), 4) AS ma60, round(avg(greatest(high - low, abs(high - before), abs(low - before))) OVER (PARTITION BY p ORDER BY day ROWS 19 PRECEDING), 4) AS atr20, round(m1 / m6 - 1, 6) AS momentum FROM l""")
+SELECT p, day, round(avg(close) OVER (PARTITION BY p ORDER BY day ROWS 19 PRECEDING) + 1e-7, 4) AS ma20, round(avg(close) OVER (PARTITION BY p ORDER BY day ROWS 59 PRECEDING) + 1e-7, 4) AS ma60, round(avg(greatest(high - low, abs(high - before), abs(low - before))) OVER (PARTITION BY p ORDER BY day ROWS 19 PRECEDING) + 1e-7, 4) AS atr20, round(m1 / m6 - 1, 6) AS momentum FROM l""")
 def technical_levels(spark, sf_dir):
     d = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("day")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("close"), F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low"))
     w = Window.partitionBy("p").orderBy("day")
     rows = d.withColumn("before", F.lag("close").over(w)).withColumn("m1", F.lag("close", 20).over(w)).withColumn("m6", F.lag("close", 120).over(w))
     reach = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("before")), F.abs(F.col("low") - F.col("before")))
-    mean = lambda e, n: F.round(F.avg(e).over(w.rowsBetween(1 - n, 0)), 4)
+    mean = lambda e, n: F.round(F.avg(e).over(w.rowsBetween(1 - n, 0)) + 1e-7, 4)  # off the halves, where engines differ
     return rows.select("p", "day", mean(F.col("close"), 20).alias("ma20"), mean(F.col("close"), 60).alias("ma60"), mean(reach, 20).alias("atr20"), F.round(F.try_divide("m1", "m6") - 1, 6).alias("momentum"))
