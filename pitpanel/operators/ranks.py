@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitpanel.functions.shared import cut
+
 
 def average_rank(value: str, group: list[str]) -> tuple[Column, Column]:
     """(average rank from 1, how many non-null values) of a column within groups; null for null."""
@@ -28,35 +30,42 @@ def midpoint_percentile(rank: Column, n: Column, higher_is_better: Column) -> Co
     return F.when(higher_is_better, up).otherwise(100 - up)
 
 
-def table_ranks(df: DataFrame, value: str, buckets: int = 64) -> DataFrame:
-    """(value, table_rank, table_n): average ranks over the whole table without a window over the whole table.
+def table_ranks(df: DataFrame, values: list[str], buckets: int = 64) -> dict[str, DataFrame]:
+    """For each column (value, table_rank, table_n): average ranks over the whole table, without a window over it.
 
     Different values are counted first; approximate quantiles deal them into ordered buckets, which
-    are numbered side by side and shifted by the sizes of those before (``buckets`` sums on the
-    driver). Any bounds give the same exact ranks.
+    are numbered side by side and shifted by the sizes of those before (``buckets`` sums a column
+    on the driver). Any bounds give the same exact ranks. All columns share the passes.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    bounds = sorted(set(counts.approxQuantile(value, [k / buckets for k in range(1, buckets)], 0.01)))
-    bucket = reduce(lambda e, b: e + (F.col(value) > b).cast("int"), bounds, F.lit(0))
-    dealt = counts.withColumn("_b", bucket)
-    sums = {r["_b"]: r["n"] for r in dealt.groupBy("_b").agg(F.sum("_n").alias("n")).collect()}
-    before, base = 0, F.lit(0)
-    for b in sorted(sums):
-        base = F.when(F.col("_b") == b, F.lit(before)).otherwise(base)
-        before += sums[b]
-    running = F.coalesce(F.sum("_n").over(Window.partitionBy("_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return dealt.select(value, (base + running + 1 + (F.col("_n") - 1) / 2).alias("table_rank"), F.lit(before).cast("long").alias("table_n"))
-
-
-def with_fallback(df: DataFrame, value: str, group: str, least: int = 20) -> DataFrame:
-    """Adds <value>_pct and <value>_scope: the rank in the group if it has ``least`` values of this very metric, else in the table."""
-    rank, n = average_rank(value, [group])
-    whole = table_ranks(df, value)
-    own = df.withColumn("_rank", rank).withColumn("_n", n)
-    both = own.join(whole, value, "left")
-    grouped = F.col("_n") >= least
-    known = F.col(value).isNotNull()
-    return both.withColumn(f"{value}_pct", F.when(known, F.when(grouped, percent_rank(F.col("_rank"), F.col("_n"))).otherwise(percent_rank(F.col("table_rank"), F.col("table_n"))))).withColumn(f"{value}_scope", F.when(known, F.when(grouped, "group").otherwise("table"))).drop("_rank", "_n", "table_rank", "table_n")
+    probabilities = [k / buckets for k in range(1, buckets)]
+    bounds = {m: sorted(set(q)) for m, q in zip(values, df.approxQuantile(values, probabilities, 0.01), strict=True)}
+    pairs = F.array(*(F.struct(F.lit(m).alias("_m"), F.col(m).cast("double").alias("_v")) for m in values))
+    counts = df.select(F.explode(pairs).alias("p")).select("p.*").where("_v is not null").groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    above = lambda m: F.aggregate(F.array(*map(F.lit, bounds[m])), F.lit(0), lambda n, b: n + (F.col("_v") > b).cast("int")) if bounds[m] else F.lit(0)
+    dealt = counts.withColumn("_b", reduce(lambda e, m: F.when(F.col("_m") == m, above(m)).otherwise(e), values, F.lit(0)))
+    sums = sorted((r["_m"], r["_b"], r["n"]) for r in dealt.groupBy("_m", "_b").agg(F.sum("_n").alias("n")).collect())
+    before, offsets = dict.fromkeys(values, 0), []
+    for m, b, n in sums:
+        offsets.append((m, b, before[m]))
+        before[m] += n
+    base = F.broadcast(df.sparkSession.createDataFrame(offsets, "_m string, _b int, _base long"))  # values x buckets rows
+    running = F.coalesce(F.sum("_n").over(Window.partitionBy("_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = dealt.join(base, ["_m", "_b"]).select("_m", "_v", (F.col("_base") + running + 1 + (F.col("_n") - 1) / 2).alias("table_rank"))
+    kinds = dict(df.dtypes)
+    return {m: ranked.where(F.col("_m") == m).select(F.col("_v").cast(kinds[m]).alias(m), "table_rank", F.lit(before[m]).cast("long").alias("table_n")) for m in values}
+
+
+def with_fallback(df: DataFrame, values: list[str], group: str, least: int = 20) -> DataFrame:
+    """Adds <value>_pct and <value>_scope for each column: the rank in the group if it has ``least`` values of this very metric, else in the table."""
+    out = cut(df)
+    whole = table_ranks(out, values)
+    for value in values:
+        rank, n = average_rank(value, [group])
+        both = out.withColumn("_rank", rank).withColumn("_n", n).join(whole[value], value, "left")
+        grouped, known = F.col("_n") >= least, F.col(value).isNotNull()
+        pct = F.when(grouped, percent_rank(F.col("_rank"), F.col("_n"))).otherwise(percent_rank(F.col("table_rank"), F.col("table_n")))
+        out = both.withColumn(f"{value}_pct", F.when(known, pct)).withColumn(f"{value}_scope", F.when(known, F.when(grouped, "group").otherwise("table"))).drop("_rank", "_n", "table_rank", "table_n")
+    return out
 
 
 def peer_percentiles(df: DataFrame, value: str, eligible: str, fine: list[str], coarse: list[str], higher: str, least: int = 20) -> DataFrame:
@@ -91,6 +100,7 @@ def representatives(df: DataFrame, group: str, score: str, coverage: str, key: s
     for each group, never a window over the table.
     """
     order = [F.round(score, 6).desc(), F.col(coverage).desc(), F.col(key).asc()]
+    df = cut(df)  # read three times below
     members = F.count(F.lit(1)).over(Window.partitionBy(group))
     sound = F.coalesce((F.col(coverage) >= least_coverage) & F.col(score).isNotNull(), F.lit(False))
     rows = df.withColumn("_members", members).where(sound)

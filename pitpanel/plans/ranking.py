@@ -32,9 +32,7 @@ scored AS (SELECT *, {' + '.join(f'CASE WHEN p_{m} IS NULL THEN CAST(0 AS DOUBLE
 
 
 def scored(spark, sf_dir):
-    rows = panel(spark, sf_dir)
-    for m, _ in METRICS:
-        rows = ranks.with_fallback(rows, m, "c_nationkey")
+    rows = ranks.with_fallback(panel(spark, sf_dir), [m for m, _ in METRICS], "c_nationkey")
     score, there = ranks.weighted_available([(F.col(f"{m}_pct"), w) for m, w in METRICS])
     return rows.withColumn("score", score).withColumn("coverage", there)
 

@@ -92,7 +92,7 @@ DIMS = ("G", "V", "M", "EQ", "FS", "CA", "T")
 
 def _slots(spark, sf_dir):
     """Two slots for each customer and dimension, of percentiles of balance and spend; a seventh of the T slots lacks a value."""
-    rows = ranks.with_fallback(ranks.with_fallback(panel(spark, sf_dir), "c_acctbal", "c_nationkey"), "spend", "c_nationkey")
+    rows = ranks.with_fallback(panel(spark, sf_dir), ["c_acctbal", "spend"], "c_nationkey")
     made = []
     for k, d in enumerate(DIMS):
         x, y = F.col("c_acctbal_pct"), F.coalesce(F.col("spend_pct"), F.lit(50.0))

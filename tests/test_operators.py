@@ -17,11 +17,11 @@ def one(spark, **columns):
 
 def test_percent_ranks_average_ties_and_a_single_value_is_50(spark):
     df = spark.createDataFrame([("a", -10.0), ("b", -10.0), ("c", 20.0), ("d", None)], "k string, v double")
-    whole = {r.v: (r.table_rank, r.table_n) for r in ranks.table_ranks(df, "v").collect()}
+    whole = {r.v: (r.table_rank, r.table_n) for r in ranks.table_ranks(df, ["v"])["v"].collect()}
     assert whole == {-10.0: (1.5, 3), 20.0: (3.0, 3)}
-    got = {r.k: (r.v_pct, r.v_scope) for r in ranks.with_fallback(df.withColumn("g", F.lit(1)), "v", "g", 20).collect()}
+    got = {r.k: (r.v_pct, r.v_scope) for r in ranks.with_fallback(df.withColumn("g", F.lit(1)), ["v"], "g", 20).collect()}
     assert got == {"a": (25.0, "table"), "b": (25.0, "table"), "c": (100.0, "table"), "d": (None, None)}
-    single = ranks.with_fallback(df.where("k = 'c'").withColumn("g", F.lit(1)), "v", "g", 1).first()
+    single = ranks.with_fallback(df.where("k = 'c'").withColumn("g", F.lit(1)), ["v"], "g", 1).first()
     assert (single.v_pct, single.v_scope) == (50.0, "group")
 
 
