@@ -8,6 +8,7 @@ spells a special token, is encoded whole, as pieces could hang together there.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 
@@ -17,6 +18,14 @@ ODD = re.compile(r" (?:\s|$)|<\|endoftext\|>|\0")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+ENDS = (".", ",", "!")
+
+
+def key(piece: str) -> str:
+    """How a piece is remembered: without the space before it, or marked where it has none."""
+    return piece[1:] if piece[:1] == " " else "\0" + piece
+
+
 class Encoder:
     """``encode(texts)``: for each text its ids as bytes; a null text is empty.
 
@@ -49,43 +58,55 @@ class Encoder:
         return rest
 
     def learn(self, words: list[str], others: list[str]) -> None:
-        """Encodes unseen pieces; ``words`` (a space, then letters) in one string, which the pattern parts again."""
+        """Encodes unseen pieces; ``words`` (letters, each after a space) in one string, which the pattern parts again."""
         others = list(others)
         for k in range(0, len(words), 20_000):
             part = words[k : k + 20_000]
-            e = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            e = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
             ends = np.flatnonzero(np.diff(np.array(e.word_ids), append=-1)) + 1
             if len(ends) != len(part):
-                others += part
+                others += [" " + p for p in part]
                 continue
             data, at = np.array(e.ids, "<u4").tobytes(), 0
             for p, end in zip(part, (4 * ends).tolist(), strict=True):
                 self.known[p] = data[at:end]
                 at = end
-        self.known.update(zip(others, self.whole(others), strict=True))
+        for p, ids in zip(others, self.whole(others), strict=True):
+            self.known[key(p)] = ids
 
     def add(self, stretches: set[str]) -> None:
         """Makes unseen stretches known, by way of their pieces."""
-        new = self.recall(stretches)
-        words, split = [], {}
-        for s in new:
-            if s[0] == " " and s[1:].isalpha():
+        words, split, known = [], {}, self.known
+        for s in self.recall(stretches):
+            if s.isalpha():
                 words.append(s)
-            elif s[0] == " " and s[-1] in ".,!" and s[1:-1].isalpha():
-                split[s] = (s[:-1], s[-1])
+            elif s[-1:] in ENDS and s[:-1].isalpha():
+                split[s] = (s[:-1], "\0" + s[-1])
             else:
-                split[s] = self.find(s)
-        known = self.known
+                split[s] = [key(p) for p in self.find(s[1:] if s[:1] == "\0" else " " + s)]
         pieces = self.recall({p for f in split.values() for p in f if p not in known}.difference(words))
-        alpha, others = [], []
+        others = []
         for p in pieces:
-            (alpha if p[0] == " " and p[1:].isalpha() else others).append(p)
-        self.learn(words + alpha, others)
+            if p.isalpha():
+                words.append(p)
+            else:
+                others.append(p[1:] if p[:1] == "\0" else " " + p)
+        self.learn(words, others)
         get = known.__getitem__
         for s, f in split.items():
             known[s] = b"".join(map(get, f))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The collector pauses meanwhile: the many short-lived lists here hold no cycles."""
+        paused = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if paused:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         odd, even = [], []
         for i, t in enumerate(texts):
@@ -97,20 +118,23 @@ class Encoder:
             self.known, self.older = {}, self.known
         get, rest, unseen = self.known.get, [], set()
         for i in even:
-            parts = texts[i].replace(" ", "\0 ").split("\0")
+            # Keys leave out the space before a stretch; a text's first one has none and is marked.
+            parts = texts[i].split(" ")
+            parts[0] = "\0" + parts[0]
             ids = list(map(get, parts))
             if None in ids:
-                unseen.update(s for s, v in zip(parts, ids, strict=True) if v is None)
-                rest.append((i, parts))
+                gaps = [k for k, v in enumerate(ids) if v is None]
+                unseen.update([parts[k] for k in gaps])
+                rest.append((i, parts, ids, gaps))
             else:
                 out[i] = b"".join(ids)
         if unseen:
-            unseen.discard("")
-            self.known[""] = b""
             self.add(unseen)
-            get = self.known.__getitem__
-            for i, parts in rest:
-                out[i] = b"".join(map(get, parts))
+            known = self.known
+            for i, parts, ids, gaps in rest:
+                for k in gaps:
+                    ids[k] = known[parts[k]]
+                out[i] = b"".join(ids)
         return out
 
 
