@@ -17,16 +17,15 @@ def cover_errors(universe: DataFrame, decisions: DataFrame, key: list[str]) -> D
     return both.select(*key, F.when(F.col("_n").isNull(), "absent").when(F.col("_due").isNull(), "foreign").when(F.col("_n") > 1, "repeated").alias("error")).where("error is not null")
 
 
-def fingerprint(df: DataFrame, columns: list[str], buckets: int = 256) -> DataFrame:
-    """One row: a hash that doesn't depend on the rows' order.
+def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: a hash of the rows as a multiset, whatever their order and partitioning.
 
-    Row hashes are gathered and sorted within buckets of a hash of their own, then the buckets'
-    hashes are combined; every list is a bucket's share of the table.
+    Each row's SHA-256 is read as four numbers of 60 bits; their sums and the count are hashed. Sums
+    combine before the shuffle, so no list of rows is ever gathered.
     """
-    whole = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns)), 256)
-    rows = df.select(whole.alias("h")).withColumn("b", F.substring("h", 1, 2 if buckets <= 256 else 4))
-    parts = rows.groupBy("b", "h").agg(F.count(F.lit(1)).alias("n")).groupBy("b").agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.concat_ws(":", "h", F.col("n").cast("string"))))), 256).alias("p"))
-    return parts.agg(F.sha2(F.concat_ws("", F.array_sort(F.collect_list("p"))), 256).alias("fingerprint"))
+    rows = df.select(F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns)), 256).alias("h"))
+    sums = [F.coalesce(F.sum(F.conv(F.substring("h", 1 + 15 * k, 15), 16, 10).cast("decimal(20,0)")), F.lit(0)).cast("string") for k in range(4)]
+    return rows.agg(F.sha2(F.concat_ws(":", F.count(F.lit(1)).cast("string"), *sums), 256).alias("fingerprint"))
 
 
 def evidence_errors(children: DataFrame, parents: DataFrame, key: list[str], same: dict[str, str]) -> DataFrame:
