@@ -93,6 +93,19 @@ def numbered(df: DataFrame, order: list[Column | str], name: str, weight: str |
     return ranged.mapInArrow(add, f"{fields}, `{name}` long")
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with the session's Arrow batches held to ``rows`` rows.
+
+    Spark cuts Arrow batches by rows alone, and its 10,000 whole texts may be far more than a worker
+    has room for. A smaller setting of the user's stays.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(setting))
+    if now <= 0 or now > rows:
+        df.sparkSession.conf.set(setting, str(rows))
+    return df
+
+
 def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Callable[[list], dict]) -> DataFrame:
     """``keep`` and the columns of ``each(texts)``, whole texts in slices of about 4 MB.
 
@@ -108,7 +121,7 @@ def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Calla
                 made = each(part.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(v if isinstance(v, pa.Array) else pa.array(v) for v in made.values())], names=[*keep, *made])
 
-    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, ddl)
+    return small_batches(df).select(*dict.fromkeys([*keep, text])).mapInArrow(run, ddl)
 
 
 def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import files
-from .common import new_path, partitions, slices, written
+from .common import new_path, partitions, slices, small_batches, written
 from .tokens import encoder
 
 
@@ -95,7 +95,7 @@ class Shard:
             return np.frombuffer(f.read(int(self.starts[n + 1] - self.starts[n]) * self.width), "<u2" if self.width == 2 else "<u4")
 
 
-def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_mb: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_mb: int = 64, remembered: int = 800_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes whole texts and writes the shards; returns the manifest, a table in the shared folder.
 
     Rows are range partitioned and sorted by key (then text, for repeated keys), so shards follow one
@@ -104,8 +104,9 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_m
     index. The manifest row (part, seq, path, first, n, tokens) is what a reader trusts.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(partitions(spark), "key", "text").sortWithinPartitions("key", "text").withColumn("part", F.spark_partition_id())
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    # Range bounds come from keys alone: the sampling pass reads no text and sends none to the driver.
+    rows = rows.repartitionByRange(partitions(spark), "key").sortWithinPartitions("key", "text").withColumn("part", F.spark_partition_id())
 
     def save(path: str, keys: list, ends: list, data: list, width: int) -> None:
         named = np.array([k is not None for k in keys])
@@ -122,7 +123,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_m
         files.put(path + ".index", [out.getvalue()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(vocabulary)
+        e = encoder(vocabulary, remembered)
         kind = "<u2" if max(e.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         tail = np.array([end_id], "<u4").tobytes()
         keys, ends, data, size, seq, part, made = [], [], [], 0, 0, 0, []
@@ -162,7 +163,7 @@ def read(manifest: DataFrame) -> DataFrame:
     """
     spark = manifest.sparkSession
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    shards = manifest.withColumn("before", F.coalesce(F.sum("tokens").over(order), F.lit(0))).repartition(partitions(spark), "path")
+    shards = manifest.withColumn("before", F.coalesce(F.sum("tokens").over(order), F.lit(0))).repartition(max(partitions(spark), min(manifest.count(), 20_000)), "path")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,7 +178,8 @@ def read(manifest: DataFrame) -> DataFrame:
                 single = np.bincount(found, minlength=len(at)) if len(found) else np.zeros(len(at), np.int64)
                 at[shard.named] = np.where(single[found] == 1, found, at[shard.named]) if len(found) else at[shard.named]
                 lo, hi = shard.starts[at], shard.starts[at + 1]
-                crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(lo, hi, strict=True)]
+                wide = memoryview(ids.astype("<u4").tobytes())
+                crc = [zlib.crc32(wide[a:b]) for a, b in zip((4 * lo).tolist(), (4 * hi).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(shard.keys, mask=~shard.named), pa.array(row["before"] + lo), pa.array(hi - lo), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return shards.select("path", "before").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
