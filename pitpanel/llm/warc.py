@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import files
-from .common import new_path, numbered, partitions, slices, written
+from .common import new_path, numbered, partitions, slices, small_batches, written
 
 LEVEL = 3
 
@@ -73,7 +73,7 @@ def write(pages: DataFrame, folder: str, roll_mb: float = 16, least: int = 1000,
     revisit it; of one key's repeated rows with that payload one is the response, and the others
     revisit it too. A null html is an empty payload. Null keys stand first and revisit like others.
     """
-    rows = pages.select(F.col(id_col).cast("long").alias("key"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("key"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     small = written(measured(rows), "measured")
     groups = small.where((F.col("bytes") >= least) & F.col("key").isNotNull()).groupBy("digest").agg(F.max("key").alias("chief"), F.count(F.lit(1)).alias("n"))
     notes = small.where(F.col("bytes") >= least).join(groups, "digest").where("key is null or key <> chief").select("key", "url", "digest", F.col("chief").alias("refers_to"))
@@ -95,7 +95,7 @@ def write(pages: DataFrame, folder: str, roll_mb: float = 16, least: int = 1000,
     bodies = rows.select("key", "url", "html", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("refers_to"), F.lit(1).alias("kind"))
     marks = notes.select("key", "url", F.lit(None).cast("string").alias("html"), "digest", "refers_to", F.lit(0).alias("kind"))
     dealt = bodies.unionByName(marks).mapInArrow(file_of, "file long, key long, url string, html string, digest string, refers_to long, kind int")
-    dealt = dealt.repartition(partitions(pages.sparkSession), "file").sortWithinPartitions("file", "key", "kind", "html", "url")
+    dealt = dealt.repartition(max(partitions(pages.sparkSession), min(len(bounds), 20_000)), "file").sortWithinPartitions("file", "key", "kind", "html", "url")
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state: dict = {"file": None}
@@ -175,7 +175,8 @@ def read(manifest: DataFrame) -> DataFrame:
                             column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.string()), pa.array(out[4], pa.int64())], names=names)
 
-    return manifest.select("path").repartition(partitions(manifest.sparkSession), "path").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    tasks = max(partitions(manifest.sparkSession), min(manifest.count(), 20_000))
+    return manifest.select("path").repartition(tasks, "path").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def new_folder(pages: DataFrame) -> str:
