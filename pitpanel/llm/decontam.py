@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import slices, small_batches, written
 
 WORD = re.compile(r"\w+")
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -108,7 +108,7 @@ def near_hits(docs: DataFrame, items: Items, id_col: str, text_col: str) -> Data
                         column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], names=["doc_id", "ids", "places"])
 
-    return docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary, places binary")
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary, places binary")
 
 
 def counted(near: DataFrame, items: Items) -> np.ndarray:

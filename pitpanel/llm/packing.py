@@ -20,14 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, slices, written
-from .tokens import encoder
+from .common import numbered, slices, small_batches, written
+from .tokens import encoder, forget
 
 
-def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, remembered: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, remembered: int = 500_000, keep: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids with ``end_id`` behind, cut if longer than ``capacity``.
 
     Only the first piece of a cut document may be shorter than the capacity. A null text is empty.
+    ``keep`` leaves what the encoder remembers to the worker's next task.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
@@ -47,8 +48,10 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
                             column.append(v)
                         at += size
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), *(pa.array(c, pa.int64()) for c in out[2:])], names=names)
+        if not keep:
+            forget()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 

@@ -148,6 +148,11 @@ def encoder(path: str, remembered: int = 500_000) -> Encoder:
     return _encoders[path, remembered]
 
 
+def forget() -> None:
+    """Drops the worker's encoders and all that they remember."""
+    _encoders.clear()
+
+
 def default_path() -> str:
     import public_tokenizers
 
