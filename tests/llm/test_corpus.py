@@ -109,6 +109,24 @@ def test_wide_simhash_finds_edited_copies(spark):
     assert simhash_wide.near_duplicates(empty(spark)).count() == 0
 
 
+def test_wide_simhash_against_all_pairs(spark):
+    """No link below the similarity, and next to none above it is missed."""
+    rows, r = [], random.Random(13)
+    for k in range(80):
+        words = prose(k, 260).split()
+        for c in range(3):
+            copy = list(words)
+            for i in r.sample(range(260), r.randint(1, 12) if c else 0):
+                copy[i] = f"w{r.random()}"
+            rows.append((10 * k + c, " ".join(copy)))
+    sets = {k: set(simhash.shingles(simhash.words(t), 5)) for k, t in rows}
+    near = [(a, b) for a in sets for b in sets if a < b and a // 10 == b // 10 and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    want = components(sets, near)
+    got = {x.doc_id: x.component_id for x in simhash_wide.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(want[x] == want[got[x]] for x in got)
+    assert sum(got[a] == got[b] for a, b in near) >= 0.97 * len(near) > 60
+
+
 def test_wide_simhash_cuts_up_large_cells(spark, monkeypatch):
     rows = [(k, prose(1, 300) + f" tail{k}") for k in range(60)]
     monkeypatch.setattr(simhash_wide, "BLOCK", 8)
