@@ -51,6 +51,13 @@ def codes(unit: np.ndarray, seed: int, probes: int) -> np.ndarray:
     return near * 2 + (np.take_along_axis(x, near, 1) < 0)
 
 
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    """Rows at unit length, in double precision and without overflow."""
+    scaled = x.astype(np.float64)
+    scaled /= np.abs(scaled).max(1, keepdims=True)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
 def settings(largest_label: int, dims: int, bucket: int = 256) -> tuple[int, int]:
     """(codes of a bucket, tables) for so many vectors of one label."""
     k = 1
@@ -90,10 +97,12 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
     """
     spark = vectors.sparkSession
     values = F.col(vector_col).cast("array<double>")
+    narrow = dict(vectors.dtypes)[vector_col] == "array<float>"  # then 32 bits lose nothing on the way
+    kind = "<f4" if narrow else "<f8"
     sound = F.col(label_col).isNotNull() & F.col(vector_col).isNotNull() & (F.size(values) > 0)
     finite = F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     zero = F.forall(values, lambda v: v == 0)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.when(sound & finite & ~zero, values).alias("v"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.when(sound & finite & ~zero, F.col(vector_col) if narrow else values).alias("v"))
     rows = rows.withColumn("h", F.xxhash64("label", "v")).withColumn("g", F.xxhash64("v", "label", F.lit(1)))
     light = written(rows.select("vec_id", F.when(F.col("v").isNotNull(), F.col("h")).alias("h"), "g"), "rows")
     classes = light.where("h is not null").groupBy("h", "g").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
@@ -113,9 +122,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
             starts = np.concatenate([[0], np.cumsum(sizes)])
             for dims in np.unique(sizes):
                 own = np.flatnonzero(sizes == dims)
-                x = flat[starts[own][:, None] + np.arange(dims)]
-                unit = x / np.abs(x).max(1, keepdims=True)
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+                x = flat[starts[own][:, None] + np.arange(dims)].astype(kind)
+                unit = unit_rows(x)
                 every = np.stack([np.stack([codes(unit, 1000 * t + c, probes) for c in range(k)], 1) for t in range(tables)], 1)
                 wide = 2 * (1 << max(0, int(dims - 1).bit_length()))
                 picks = list(product(range(every.shape[3]), repeat=k))
@@ -126,16 +134,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
                     for p in range(len(picks)):
                         yield pa.RecordBatch.from_arrays(
                             [taken.column("rep"), taken.column("copies"), taken.column("label"), pa.array(np.full(len(own), t, np.int32)), pa.array(buckets[:, t, p].astype(np.int64)), pa.array(np.full(len(own), p == 0)), pa.array(np.full(len(own), dims, np.int32)),
-                             pa.array([r.tobytes() for r in unit], pa.binary()), pa.array([r.tobytes() for r in buckets.astype(np.int64)], pa.binary())],
-                            names=["rep", "copies", "label", "t", "bucket", "own", "dims", "unit", "buckets"])
+                             pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in buckets.astype(np.int32 if k == 1 else np.int64)], pa.binary())],
+                            names=["rep", "copies", "label", "t", "bucket", "own", "dims", "x", "buckets"])
 
-    dealt = reps.repartition(2 * max(8, spark.sparkContext.defaultParallelism), "rep").mapInArrow(deal, "rep long, copies long, label string, t int, bucket long, own boolean, dims int, unit binary, buckets binary")
+    dealt = reps.repartition(2 * max(8, spark.sparkContext.defaultParallelism), "rep").mapInArrow(deal, "rep long, copies long, label string, t int, bucket long, own boolean, dims int, x binary, buckets binary")
     spot = ["label", "dims", "t", "bucket"]
     # Sizes are counted without the vectors; a bucket that nobody owns or that holds one row has no pair.
     sizes = dealt.groupBy(*spot).agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("owned")).where("n > 1 and owned")
     parts = dealt.join(sizes, spot).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     facing = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("a"), F.greatest(o, F.col("block")).alias("b")))
-    parts = parts.withColumn("pair", F.explode(facing)).select(*spot, F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "block", "rep", "copies", "own", "unit", "buckets")
+    parts = parts.withColumn("pair", F.explode(facing)).select(*spot, F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "block", "rep", "copies", "own", "x", "buckets")
 
     def compare(table: pa.Table) -> pa.Table:
         if table.num_rows < 2:
@@ -143,8 +151,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
         t, a, b = table.column("t")[0].as_py(), table.column("a")[0].as_py(), table.column("b")[0].as_py()
         rep, copies, own = (table.column(c).to_numpy() for c in ("rep", "copies", "own"))
         block = table.column("block").to_numpy()
-        unit = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(rep), -1)
-        seen = np.frombuffer(b"".join(table.column("buckets").to_pylist()), np.int64).reshape(len(rep), tables, -1)
+        unit = unit_rows(np.frombuffer(b"".join(table.column("x").to_pylist()), kind).reshape(len(rep), -1))
+        seen = np.frombuffer(b"".join(table.column("buckets").to_pylist()), np.int32 if k == 1 else np.int64).reshape(len(rep), tables, -1)
         left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
         counts, edges = np.zeros(len(rep), np.int64), []
         for i, j in near_pairs(unit[left], unit[right], least):
