@@ -1,18 +1,15 @@
-"""SimHash near-duplicates of a given Jaccard similarity, by wide fingerprints and sampled pivot coordinates.
-
-Links of two bits (``simhash``) find copies with hardly an edit. Texts that share 0.8 of their
-five-word shingles differ in about an eighth of their bits, so here a fingerprint has 256 bits. Its
-pivot table holds the distances to a base code and to the base with ever more leading bits turned
-over; neighbouring coordinates differ by 1 or -1, and every table of cells takes a sample of these
-differences as key. The sample grows with the logarithm of the rows, so cells stay small. A bound on
-coordinate differences can't discard a pair at such a radius (a coordinate of two unrelated codes
-differs by about 11), so unlike with two bits none is applied: the whole Hamming distance discards,
-with room for its error, and survivors are verified by the exact similarity of their shingle sets.
-
-From d differing bits of 256 follow the cosine c = cos(pi d / 256) and the similarity c / (2 - c). A
-cell of more than ``few`` rows, as large groups of near copies make, links by this estimate alone and
-hands out a star of edges for each group it finds, so its pairs are never listed; one of very many
-rows is cut into blocks that are compared two by two in tasks of their own.
+"""Near-duplicates of a given Jaccard similarity, exact, by prefix-filter joins on rare shingles.
+
+All texts' shingle sets are put in one order, rare shingles first. Two sets of similarity t share at
+least t / (1 + t) of their sizes' sum, so the first shingle both hold lies among the first
+n - ceil(t n) + 1 of each set of n. Texts therefore meet in cells, one for each shingle of these
+prefixes, and no pair at the threshold is missed at any size of the input. Any order gives the same
+result; which shingles are frequent is estimated on a sample, and only the sizes of the cells depend
+on it. In a cell a pair is discarded where what follows the shared shingle in either set is too short
+for the similarity; all others are verified by their sets. Sets are of hashes, the only approximation.
+
+A cell of more than ``few`` rows is cut into blocks that are compared two by two in tasks of their own.
+(The module keeps its name from the wide fingerprints that dealt out pairs before.)
 """
 
 from __future__ import annotations
@@ -26,35 +23,43 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text, partitions, written
+from .common import map_text, partitions, slices, written
 from .graph import connected_components
 from .simhash import shingles, words
-from .tokenstore import mix
-
-BITS, WORDS_64, BLOCK = 256, 4, 1024
-#: Bits beyond the expected distance at which a pair is still verified: two standard deviations.
-ROOM = 12
-#: Cells of more than BLOCK rows that may be broadcast (16 bytes each); beyond this they are joined by a shuffle.
-BROADCAST_CELLS = 100_000
-#: Ids of texts with candidates that may be broadcast (8 bytes each); beyond this they too are joined by a shuffle.
+
+BLOCK = 1024
+#: Rows that a task compares at once, and pairs that it hands out at once.
+ROWS, PAIRS = 200_000, 500_000
+#: Ids of texts with candidates that may be broadcast (8 bytes each); beyond this they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 
-def fingerprint(grams: list[str]) -> np.ndarray:
-    """Four 64-bit words; a bit is set if it is set in over half of the different grams' hashes."""
-    total, n = np.zeros(BITS, np.int64), 0
-    different = list(dict.fromkeys(grams))
-    for k in range(0, len(different), 16384):
-        h = np.array([xxhash.xxh64_intdigest(g, 42) for g in different[k : k + 16384]], np.uint64).view(np.int64)
-        wide = np.stack([h.view(np.uint64), *(mix(h, s) for s in range(1, WORDS_64))], 1)
-        total += np.unpackbits(wide.view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little").sum(0, dtype=np.int32)
-        n += len(h)
-    return np.packbits(2 * total > n, bitorder="little").view("<u8")
+def hashed(grams: list[str]) -> np.ndarray:
+    """The different grams' hashes, 64 bits each, sorted."""
+    return np.unique(np.array([xxhash.xxh64_intdigest(g, 42) for g in dict.fromkeys(grams)], "<u8"))
+
+
+def prefix(h: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of the hashes in order of (sampled frequency, hash): one is shared with every set of this similarity."""
+    if not len(h):
+        return h
+    often = np.zeros(len(h), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+        often = np.where(common[at] == h, counts[at], 0)
+    return h[np.lexsort((h, often))[: len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]]
 
 
-def gram_set(grams: list[str]) -> np.ndarray:
-    """The different grams' hashes, 32 bits each, sorted."""
-    return np.unique(np.array([xxhash.xxh32_intdigest(g, 42) for g in dict.fromkeys(grams)], "<u4"))
+def common_grams(docs: DataFrame, shingle: int, id_col: str, text_col: str, texts: int = 10_000, most: int = 65_536) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, sorted, and counts) of shingles that stand in at least three of about ``texts`` texts."""
+    part = max(1, docs.count() // texts)
+    some = docs.where(F.pmod(F.xxhash64(id_col), F.lit(part)) == 0)
+    held = map_text(some, text_col, [], "h array<long>", lambda batch: {"h": pa.array([hashed(shingles(words(t), shingle)).view("<i8") for t in batch], pa.list_(pa.int64()))})
+    counted = held.select(F.explode("h").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    found = counted.orderBy(F.desc("n"), "h").limit(most).collect()
+    h, n = np.array([r.h for r in found], np.int64).view(np.uint64), np.array([r.n for r in found], np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -74,110 +79,138 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def radius(similarity: float) -> int:
-    """The largest number of differing bits at which the estimated similarity is still reached."""
-    return math.floor(BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
-def linked(ordered: Iterator[pa.RecordBatch], sure: int, maybe: int, few: int) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b, certain) from rows (cell, rep, wide) that come sorted by cell.
+def whole_cells(ordered: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """Columns of about ROWS rows that come sorted by cell; no cell is cut."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
 
-    In small cells every pair of at most ``maybe`` bits, to be verified; in others pairs of at
-    most ``sure`` bits, as edges to each group's smallest name.
-    """
+    def columns() -> dict[str, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        return {c: table.column(c).to_numpy() for c in table.column_names}
 
-    def group(cell: np.ndarray, rep: np.ndarray, wide: np.ndarray) -> pa.RecordBatch:
-        _, of, size = np.unique(cell, return_inverse=True, return_counts=True)
-        small = size[of] <= few
-        pairs, found, lag = [], [], 1
-        while lag < len(cell):
-            i = np.flatnonzero(cell[lag:] == cell[:-lag])
-            if not len(i):
-                break
-            apart = np.bitwise_count(wide[i] ^ wide[i + lag]).sum(1)
-            pick = i[(apart <= maybe) & small[i]]
-            found.append((np.minimum(rep[pick], rep[pick + lag]), np.maximum(rep[pick], rep[pick + lag])))
-            pick = i[(apart <= sure) & ~small[i]]
-            if len(pick):
-                pairs.append((pick, pick + lag))
-            lag += 1
-        low = rep.copy()
-        while pairs:
-            was = low.copy()
-            for i, j in pairs:
-                np.minimum.at(low, i, was[j])
-                np.minimum.at(low, j, low[i])
-            if (low == was).all():
-                break
-        keep = low != rep
-        a = np.concatenate([low[keep], *(x for x, _ in found)])
-        b = np.concatenate([rep[keep], *(y for _, y in found)])
-        certain = np.arange(len(a)) < int(keep.sum())
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(certain)], names=["a", "b", "certain"])
-
-    rest = None
+    least = ROWS
     for batch in ordered:
-        cell, rep = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "rep"))
-        wide = np.frombuffer(b"".join(batch.column("wide").to_pylist()), "<u8").reshape(len(cell), WORDS_64)
-        if rest is not None:
-            cell, rep, wide = np.concatenate([rest[0], cell]), np.concatenate([rest[1], rep]), np.concatenate([rest[2], wide])
-        if not len(cell):
+        held.append(batch)
+        rows += batch.num_rows
+        if rows < least:
             continue
-        end = int(np.argmax(cell == cell[-1]))  # the last cell may go on in the next batch
+        found = columns()
+        end = int(np.searchsorted(found["cell"], found["cell"][-1]))  # the last cell may go on in the next batch
         if end:
-            yield group(cell[:end], rep[:end], wide[:end])
-        rest = (cell[end:], rep[end:], wide[end:])
-    if rest is not None and len(rest[0]):
-        yield group(*rest)
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, tables: int = 32, few: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            yield {c: v[:end] for c, v in found.items()}
+        held = [pa.RecordBatch.from_arrays([pa.array(v[end:]) for v in found.values()], names=list(found))]
+        rows -= end
+        least = max(ROWS, 2 * rows)
+    if rows:
+        yield columns()
+
+
+def fits(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets may be as similar, by their sizes and how much of each is left from the shared shingle on."""
+    shared = similarity / (1 + similarity) * ((x >> 32) + (y >> 32)) - 1e-6
+    return np.minimum(x & 0xFFFFFFFF, y & 0xFFFFFFFF) >= shared
+
+
+def pairs_within(rows: dict[str, np.ndarray], similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Different pairs (smaller, larger) of each cell that may be similar; ``side`` 0 meets 1 only, 2 meets all."""
+    cell, rep, at, side = rows["cell"], rows["rep"], rows["at"], rows.get("side")
+    found, n, lag, i = [], 0, 1, np.arange(len(cell))
+    while len(i):
+        i = i[i + lag < len(cell)]
+        i = i[cell[i] == cell[i + lag]]
+        keep = fits(at[i], at[i + lag], similarity) & (rep[i] != rep[i + lag])
+        if side is not None:
+            keep &= (side[i] == 2) | (side[i] != side[i + lag])
+        pick = i[keep]
+        found.append(np.stack([np.minimum(rep[pick], rep[pick + lag]), np.maximum(rep[pick], rep[pick + lag])], 1))
+        n += len(pick)
+        if n > PAIRS:
+            yield different(found)
+            found, n = [], 0
+        lag += 1
+    if n:
+        yield different(found)
+
+
+def different(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    both = np.concatenate(found)
+    both = both[np.lexsort((both[:, 1], both[:, 0]))]
+    first = np.concatenate([[True], (both[1:] != both[:-1]).any(1)])
+    return both[first, 0], both[first, 1]
+
+
+def met(ordered: Iterator[pa.RecordBatch], similarity: float, few: int) -> Iterator[pa.RecordBatch]:
+    """From rows (cell, rep, at) sorted by cell: (null, a, b, null) for pairs of small cells, (cell, rep, null, at) for rows of others."""
+    names = ["cell", "a", "b", "at"]
+    for rows in whole_cells(ordered):
+        _, of, size = np.unique(rows["cell"], return_inverse=True, return_counts=True)
+        size = size[of]
+        some = (size > 1) & (size <= few)
+        for a, b in pairs_within({c: v[some] for c, v in rows.items()}, similarity):
+            none = pa.nulls(len(a), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(a), pa.array(b), none], names=names)
+        many = size > few
+        if many.any():
+            cell, rep, at = (pa.array(rows[c][many]) for c in ("cell", "rep", "at"))
+            yield pa.RecordBatch.from_arrays([cell, rep, pa.nulls(len(rep), pa.int64()), at], names=names)
+
+
+def faced(ordered: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) of two blocks, from rows (cell, rep, at, side) sorted by cell."""
+    for rows in whole_cells(ordered):
+        for a, b in pairs_within(rows, similarity):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, few: int = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, component_id) for each row; component_id is the smallest id reachable over links of at least ``similarity``.
 
-    Equal fingerprints are one class from the start. All texts without words are one class. Repeated
+    Equal sets are one class from the start. All texts without words are one class. Repeated
     rows come back as often; a null id is carried through.
     """
     spark = docs.sparkSession
+    common, counts = common_grams(docs, shingle, id_col, text_col)
 
     def each(texts: list) -> dict:
-        grams = [shingles(words(t), shingle) for t in texts]
-        return {"wide": pa.array([fingerprint(g).tobytes() for g in grams], pa.binary()), "grams": pa.array([gram_set(g).tobytes() for g in grams], pa.binary())}
+        found = [hashed(shingles(words(t), shingle)) for t in texts]
+        made = {"key": [xxhash.xxh3_128_digest(h.tobytes()) for h in found], "grams": [np.unique(h.astype("<u4")).tobytes() for h in found], "prefix": [prefix(h, common, counts, similarity).tobytes() for h in found]}
+        return {c: pa.array(v, pa.binary()) for c, v in made.items()} | {"size": pa.array([len(h) for h in found], pa.int32())}
 
-    fps = written(map_text(docs, text_col, [id_col], "wide binary, grams binary", each), "fingerprints")
-    classes = written(fps.groupBy("wide").agg(F.min(id_col).alias("rep")), "classes")
-    n = classes.count()
-    sample = min(56, max(8, math.ceil(math.log2(max(2, n))) - 1))
+    fps = written(map_text(docs, text_col, [id_col], "key binary, grams binary, prefix binary, size int", each), "shingles")
+    classes = written(fps.groupBy("key").agg(F.min(id_col).alias("rep"), F.any_value("prefix").alias("prefix"), F.any_value("size").alias("size")), "classes")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        picks = np.stack([np.random.default_rng(t).choice(BITS, sample, replace=False) for t in range(tables)])
         for batch in batches:
-            wide = batch.column("wide").to_pylist()
-            bits = np.unpackbits(np.frombuffer(b"".join(wide), np.uint8).reshape(len(wide), -1), axis=1, bitorder="little").astype(np.int64)
-            distances = np.cumsum(np.concatenate([bits.sum(1, keepdims=True), 1 - 2 * bits], 1), 1)  # to zero with 0, 1, ... leading bits turned
-            step = (1 - np.diff(distances, axis=1)) // 2
-            for t in range(tables):
-                cell = (step[:, picks[t]] << np.arange(sample)).sum(1) * 64 + t
-                yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column("rep"), batch.column("wide")], names=["cell", "rep", "wide"])
-
-    kinds = "cell long, rep long, wide binary"
-    dealt = classes.where("rep is not null").select("rep", "wide").mapInArrow(deal, kinds)
-    large = written(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK), "large")
-    crowded = large.count()
-    if crowded:
-        near = F.broadcast(large) if crowded <= BROADCAST_CELLS else large
+            for lo, hi in slices(batch.column("prefix"), 1 << 20):
+                part = batch.slice(lo, hi - lo)
+                held = part.column("prefix").to_pylist()
+                n = np.array([len(p) // 8 for p in held], np.int64)
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                size = np.repeat(part.column("size").to_numpy().astype(np.int64), n)
+                rep = np.repeat(part.column("rep").to_numpy(zero_copy_only=False), n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(held), "<i8")), pa.array(rep), pa.array(size << 32 | size - place)], names=["cell", "rep", "at"])
+
+    dealt = classes.where("rep is not null").select("rep", "size", "prefix").mapInArrow(deal, "cell long, rep long, at long")
+    shards = dealt.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
+    found = written(shards.mapInArrow(lambda batches: met(batches, similarity, few), "cell long, a long, b long, at long"), "met")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs.distinct(), "pairs")
+        nodes = written(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct(), "nodes")
+        nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes  # else every text's shingles would be shuffled
+        sets = fps.select(F.col(id_col).alias("rep"), "grams").join(nodes, "rep", "left_semi").dropDuplicates(["rep"])
+        return written(verified(pairs, written(sets, "sets"), similarity), "edges")
+
+    edges = linked(found.where("cell is null").select("a", "b"))
+    crowded = found.where("cell is not null").select("cell", F.col("a").alias("rep"), "at")
+    sizes = written(crowded.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    if not sizes.isEmpty():
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-        facing = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(o, own).alias("a"), F.greatest(o, own).alias("b")))
-        cut_up = dealt.join(near, "cell").withColumn("pair", F.explode(facing)).select(F.xxhash64("cell", "pair.a", "pair.b").alias("cell"), "rep", "wide")
-        dealt = dealt.join(near, "cell", "left_anti").unionByName(cut_up)
-    sure, maybe = radius(similarity), radius(similarity) + ROOM
-    shards = dealt.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
-    met = written(shards.mapInArrow(lambda batches: linked(batches, sure, maybe, few), "a long, b long, certain boolean").distinct(), "met")
-    pairs = met.where(~F.col("certain")).select("a", "b")
-    nodes = written(pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct(), "nodes")
-    nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes  # else every text's shingles would be shuffled
-    sets = fps.select(F.col(id_col).alias("rep"), "grams").join(nodes, "rep", "left_semi").dropDuplicates(["rep"])
-    edges = met.where("certain").select("a", "b").unionByName(verified(pairs, written(sets, "sets"), similarity))
-    found = connected_components(edges)
-    named = classes.join(found, classes.rep == found.node, "left").select("wide", F.coalesce("component", "rep").alias("component_id"))
-    return fps.select(id_col, "wide").join(named, "wide").select(F.col(id_col).alias("doc_id"), "component_id")
+        facing = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(o, own).alias("a"), F.greatest(o, own).alias("b"), F.when(o == own, 2).otherwise((o < own).cast("int")).alias("side")))
+        cut_up = crowded.join(sizes, "cell").withColumn("pair", F.explode(facing)).select(F.xxhash64("cell", "pair.a", "pair.b").alias("cell"), "rep", "at", F.col("pair.side").cast("long").alias("side"))
+        shards = cut_up.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
+        edges = edges.unionByName(linked(shards.mapInArrow(lambda batches: faced(batches, similarity), "a long, b long")))
+    reached = connected_components(edges)
+    named = classes.select("key", "rep").join(reached, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component_id"))
+    return fps.select(id_col, "key").join(named, "key").select(F.col(id_col).alias("doc_id"), "component_id")

@@ -134,6 +134,30 @@ def test_wide_simhash_cuts_up_large_cells(spark, monkeypatch):
     assert {x.component_id for x in got} == {0}
 
 
+def shared_passages(groups, copies, seed, n=260):
+    """(rows, near pairs): ``copies`` edited copies of each of ``groups`` texts, at similarities on both sides of 0.8."""
+    rows, r = [], random.Random(seed)
+    for k in range(groups):
+        text = prose(1000 + k, n).split()
+        for c in range(copies):
+            copy = list(text)
+            for i in r.sample(range(n), r.randint(4, 9) if c else 0):
+                copy[i] = f"w{r.random()}"
+            rows.append((copies * k + c, " ".join(copy)))
+    sets = {k: set(simhash.shingles(simhash.words(t), 5)) for k, t in rows}
+    near = [(a, b) for a in sets for b in range(a + 1, (a // copies + 1) * copies) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return rows, near
+
+
+def test_wide_simhash_misses_no_pair(spark):
+    """Exact at every size: components are those of all pairs at 0.8, though most lie near it."""
+    rows, near = shared_passages(100, 3, 17)
+    want = components([k for k, _ in rows], near)
+    got = {x.doc_id: x.component_id for x in simhash_wide.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == want
+    assert 50 < len(near) < 290
+
+
 def test_warc_round_trip(spark):
     same, other = "<p>" + "x" * 2000, "short"
     rows = [(1, "http://a/", same), (2, "http://b/ \r\n", same), (3, None, None), (4, "u", other), (5, "u", other), (5, "u", same), (5, "u", same), (None, "u", same), (6, "u", "é" * 600), (7, "u", "ab\r\n\r\nWARC/1.1\r\n" * 80)]
