@@ -8,7 +8,11 @@ result; which shingles are frequent is estimated on a sample, and only the sizes
 on it. In a cell a pair is discarded where what follows the shared shingle in either set is too short
 for the similarity; all others are verified by their sets. Sets are of hashes, the only approximation.
 
-A cell of more than ``few`` rows is cut into blocks that are compared two by two in tasks of their own.
+Rows of a cell of more than ``few``, as large groups of near copies make, are first compared with a
+few leaders of the cell, which are mostly the same in all cells of a group. Only components are asked
+for, so a pair that these verified links have joined is decided. The cell's other pairs are then
+listed and verified too, so nothing is linked or left apart by an estimate; a cell of very many rows is
+cut into blocks that are compared two by two in tasks of their own.
 (The module keeps its name from the wide fingerprints that dealt out pairs before.)
 """
 
@@ -26,8 +30,11 @@ from pyspark.sql import functions as F
 from .common import map_text, partitions, slices, written
 from .graph import connected_components
 from .simhash import shingles, words
+from .tokenstore import mix
 
 BLOCK = 1024
+#: Rows of a crowded cell with which all its rows are compared first.
+LEADERS = 2
 #: Rows that a task compares at once, and pairs that it hands out at once.
 ROWS, PAIRS = 200_000, 500_000
 #: Ids of texts with candidates that may be broadcast (8 bytes each); beyond this they are joined by a shuffle.
@@ -112,51 +119,83 @@ def fits(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
 
 
 def pairs_within(rows: dict[str, np.ndarray], similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Different pairs (smaller, larger) of each cell that may be similar; ``side`` 0 meets 1 only, 2 meets all."""
-    cell, rep, at, side = rows["cell"], rows["rep"], rows["at"], rows.get("side")
-    found, n, lag, i = [], 0, 1, np.arange(len(cell))
+    """Different pairs (smaller, larger) of each cell that may be similar.
+
+    Where rows have a ``group``, by which they are sorted within the cell, only those of different
+    groups; where they have a ``side``, 0 meets 1 only and 2 meets all.
+    """
+    cell, rep, at, group, side = (rows.get(c) for c in ("cell", "rep", "at", "group", "side"))
+    i = np.arange(len(cell))
+    j = i + 1
+    if group is not None and len(cell):
+        last = np.append((cell[1:] != cell[:-1]) | (group[1:] != group[:-1]), True)
+        ends = np.flatnonzero(last) + 1
+        j = ends[np.searchsorted(ends, i, side="right")]
+    found, n = [], 0
     while len(i):
-        i = i[i + lag < len(cell)]
-        i = i[cell[i] == cell[i + lag]]
-        keep = fits(at[i], at[i + lag], similarity) & (rep[i] != rep[i + lag])
+        more = j < len(cell)
+        i, j = i[more], j[more]
+        more = cell[i] == cell[j]
+        i, j = i[more], j[more]
+        keep = fits(at[i], at[j], similarity) & (rep[i] != rep[j])
         if side is not None:
-            keep &= (side[i] == 2) | (side[i] != side[i + lag])
-        pick = i[keep]
-        found.append(np.stack([np.minimum(rep[pick], rep[pick + lag]), np.maximum(rep[pick], rep[pick + lag])], 1))
-        n += len(pick)
+            keep &= (side[i] == 2) | (side[i] != side[j])
+        found.append((rep[i[keep]], rep[j[keep]]))
+        n += int(keep.sum())
         if n > PAIRS:
             yield different(found)
             found, n = [], 0
-        lag += 1
+        j = j + 1
     if n:
         yield different(found)
 
 
-def different(found: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    both = np.concatenate(found)
+def leaders(rows: dict[str, np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Different pairs of each cell's rows and the LEADERS of them whose names have the smallest hashes."""
+    order = np.lexsort((mix(rows["rep"], 1), rows["cell"]))
+    cell, rep, at = (rows[c][order] for c in ("cell", "rep", "at"))
+    first = np.searchsorted(cell, cell)
+    found = []
+    for k in range(LEADERS):
+        own = first + k
+        keep = fits(at[own], at, similarity) & (rep[own] != rep)
+        found.append((rep[own[keep]], rep[keep]))
+    return different(found)
+
+
+def different(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The different ones of the pairs, smaller name first."""
+    x, y = (np.concatenate(c) for c in zip(*found, strict=True))
+    both = np.stack([np.minimum(x, y), np.maximum(x, y)], 1)
     both = both[np.lexsort((both[:, 1], both[:, 0]))]
-    first = np.concatenate([[True], (both[1:] != both[:-1]).any(1)])
+    first = np.append(True, (both[1:] != both[:-1]).any(1))[: len(both)]
     return both[first, 0], both[first, 1]
 
 
 def met(ordered: Iterator[pa.RecordBatch], similarity: float, few: int) -> Iterator[pa.RecordBatch]:
-    """From rows (cell, rep, at) sorted by cell: (null, a, b, null) for pairs of small cells, (cell, rep, null, at) for rows of others."""
+    """From rows (cell, rep, at) sorted by cell: (null, a, b, null) for pairs of small cells and with leaders, (cell, rep, null, at) for rows of crowded cells."""
     names = ["cell", "a", "b", "at"]
+
+    def paired(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        none = pa.nulls(len(a), pa.int64())
+        return pa.RecordBatch.from_arrays([none, pa.array(a), pa.array(b), none], names=names)
+
     for rows in whole_cells(ordered):
         _, of, size = np.unique(rows["cell"], return_inverse=True, return_counts=True)
         size = size[of]
         some = (size > 1) & (size <= few)
         for a, b in pairs_within({c: v[some] for c, v in rows.items()}, similarity):
-            none = pa.nulls(len(a), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, pa.array(a), pa.array(b), none], names=names)
+            yield paired(a, b)
         many = size > few
         if many.any():
-            cell, rep, at = (pa.array(rows[c][many]) for c in ("cell", "rep", "at"))
+            rows = {c: v[many] for c, v in rows.items()}
+            yield paired(*leaders(rows, similarity))
+            cell, rep, at = (pa.array(rows[c]) for c in ("cell", "rep", "at"))
             yield pa.RecordBatch.from_arrays([cell, rep, pa.nulls(len(rep), pa.int64()), at], names=names)
 
 
 def faced(ordered: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b) of two blocks, from rows (cell, rep, at, side) sorted by cell."""
+    """The pairs (a, b) of two blocks, from rows (cell, rep, at, group, side) sorted by cell and group."""
     for rows in whole_cells(ordered):
         for a, b in pairs_within(rows, similarity):
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -202,15 +241,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
         return written(verified(pairs, written(sets, "sets"), similarity), "edges")
 
     edges = linked(found.where("cell is null").select("a", "b"))
+    reached = connected_components(edges)
     crowded = found.where("cell is not null").select("cell", F.col("a").alias("rep"), "at")
-    sizes = written(crowded.groupBy("cell").agg(F.count(F.lit(1)).alias("n")), "sizes")
-    if not sizes.isEmpty():
+    crowded = crowded.join(reached, F.col("rep") == F.col("node"), "left").select("cell", "rep", "at", F.coalesce("component", "rep").alias("group"))
+    crowded = written(crowded, "crowded")
+    sizes = crowded.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("group").alias("low"), F.max("group").alias("high"))
+    undecided = written(sizes.where("low <> high").select("cell", "n"), "undecided")
+    if not undecided.isEmpty():
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
         facing = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(o, own).alias("a"), F.greatest(o, own).alias("b"), F.when(o == own, 2).otherwise((o < own).cast("int")).alias("side")))
-        cut_up = crowded.join(sizes, "cell").withColumn("pair", F.explode(facing)).select(F.xxhash64("cell", "pair.a", "pair.b").alias("cell"), "rep", "at", F.col("pair.side").cast("long").alias("side"))
-        shards = cut_up.repartition(partitions(spark), "cell").sortWithinPartitions("cell")
+        cut_up = crowded.join(undecided, "cell").withColumn("pair", F.explode(facing)).select(F.xxhash64("cell", "pair.a", "pair.b").alias("cell"), "rep", "at", "group", F.col("pair.side").cast("long").alias("side"))
+        shards = cut_up.repartition(partitions(spark), "cell").sortWithinPartitions("cell", "group")
         edges = edges.unionByName(linked(shards.mapInArrow(lambda batches: faced(batches, similarity), "a long, b long")))
-    reached = connected_components(edges)
+        reached = connected_components(edges)
     named = classes.select("key", "rep").join(reached, F.col("rep") == F.col("node"), "left").select("key", F.coalesce("component", "rep").alias("component_id"))
     return fps.select(id_col, "key").join(named, "key").select(F.col(id_col).alias("doc_id"), "component_id")

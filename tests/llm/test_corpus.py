@@ -158,6 +158,27 @@ def test_wide_simhash_misses_no_pair(spark):
     assert 50 < len(near) < 290
 
 
+@pytest.mark.parametrize("block", [1024, 16])
+def test_wide_simhash_decides_crowded_cells_exactly(spark, block, monkeypatch):
+    """Groups of more rows than ``few``: every pair counts by its sets, none by an estimate, in blocks too."""
+    rows, near = shared_passages(4, 60, 23)
+    want = components([k for k, _ in rows], near)
+    monkeypatch.setattr(simhash_wide, "BLOCK", block)
+    got = {x.doc_id: x.component_id for x in simhash_wide.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == want
+    assert len(set(want.values())) > 4  # some copies are linked to nothing
+
+
+def test_wide_simhash_lists_only_open_pairs():
+    """Rows that verified links have joined are not paired again; of two blocks only rows of different ones are."""
+    n = 6
+    rows = {"cell": np.zeros(n, np.int64), "rep": np.arange(n), "at": np.full(n, 100 << 32 | 100), "group": np.array([0, 0, 0, 3, 3, 5])}
+    pairs = lambda r: [p for a, b in simhash_wide.pairs_within(r, 0.8) for p in zip(a.tolist(), b.tolist(), strict=True)]
+    assert sorted(pairs(rows)) == [(a, b) for a in range(n) for b in range(a + 1, n) if rows["group"][a] != rows["group"][b]]
+    side = np.array([0, 1, 1, 0, 1, 1])
+    assert sorted(pairs({**rows, "side": side})) == [(a, b) for a in range(n) for b in range(a + 1, n) if rows["group"][a] != rows["group"][b] and side[a] != side[b]]
+
+
 def test_warc_round_trip(spark):
     same, other = "<p>" + "x" * 2000, "short"
     rows = [(1, "http://a/", same), (2, "http://b/ \r\n", same), (3, None, None), (4, "u", other), (5, "u", other), (5, "u", same), (5, "u", same), (None, "u", same), (6, "u", "é" * 600), (7, "u", "ab\r\n\r\nWARC/1.1\r\n" * 80)]
