@@ -9,7 +9,8 @@ the number of tables with it, so that a pair at the threshold is missed with pro
 Equal vectors of one label are one class. Pairs that meet are verified by their cosine in double
 precision. A bucket of many vectors is cut into blocks, compared two by two in tasks of their own;
 a task returns sums and a star of edges for each of its groups, never the pairs. A pair that
-meets more than once counts in the first table, in the bucket of its smaller id if that is shared.
+meets more than once counts in the first table, in the bucket of its smaller id if that is shared. The
+few pairs that meet only where a third vector owns the bucket are listed, and counted once each.
 """
 
 from __future__ import annotations
@@ -147,14 +148,14 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
 
     def compare(table: pa.Table) -> pa.Table:
         if table.num_rows < 2:
-            return pa.table({"rep": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "low": pa.array([], pa.int64())})
+            return pa.table({"rep": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "low": pa.array([], pa.int64()), "other": pa.array([], pa.int64())})
         t, a, b = table.column("t")[0].as_py(), table.column("a")[0].as_py(), table.column("b")[0].as_py()
         rep, copies, own = (table.column(c).to_numpy() for c in ("rep", "copies", "own"))
         block = table.column("block").to_numpy()
         unit = unit_rows(np.frombuffer(b"".join(table.column("x").to_pylist()), kind).reshape(len(rep), -1))
         seen = np.frombuffer(b"".join(table.column("buckets").to_pylist()), np.int32 if k == 1 else np.int64).reshape(len(rep), tables, -1)
         left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
-        counts, edges = np.zeros(len(rep), np.int64), []
+        counts, edges, lone = np.zeros(len(rep), np.int64), [], []
         for i, j in near_pairs(unit[left], unit[right], least):
             i, j = left[i], right[j]
             keep = (rep[i] < rep[j]) if a == b else (rep[i] != rep[j])
@@ -167,12 +168,20 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
                 first &= ~((seen[j, u] == seen[i, u, :1]).any(1) | (seen[i, u] == seen[j, u, :1]).any(1))
             np.add.at(counts, i[first], copies[j[first]])
             np.add.at(counts, j[first], copies[i[first]])
+            third = ~own[i] & ~own[j]  # counted elsewhere if either owns what the other probes in any table
+            x, y = i[third], j[third]
+            if len(x):
+                apart = ~((seen[y] == seen[x, :, :1]).any((1, 2)) | (seen[x] == seen[y, :, :1]).any((1, 2)))
+                lone += [(x[apart], y[apart]), (y[apart], x[apart])]
         who, low = stars(len(rep), edges, rep)
         some = counts > 0
-        return pa.table({"rep": np.concatenate([rep[some], who]), "n": np.concatenate([counts[some], np.zeros(len(who), np.int64)]), "low": pa.array(np.concatenate([rep[some], low]), pa.int64())})
+        x, y = (np.concatenate([p[k] for p in lone]) if lone else np.zeros(0, np.int64) for k in (0, 1))
+        other = pa.concat_arrays([pa.nulls(int(some.sum()) + len(who), pa.int64()), pa.array(rep[y])])
+        return pa.table({"rep": np.concatenate([rep[some], who, rep[x]]), "n": np.concatenate([counts[some], np.zeros(len(who), np.int64), copies[y]]), "low": pa.array(np.concatenate([rep[some], low, rep[x]]), pa.int64()), "other": other})
 
-    found = written(parts.groupBy(*spot, "a", "b").applyInArrow(compare, "rep long, n long, low long"), "links")
-    linked = found.groupBy("rep").agg(F.sum("n").alias("n"))
+    found = written(parts.groupBy(*spot, "a", "b").applyInArrow(compare, "rep long, n long, low long, other long"), "links")
+    lonely = found.where("other is not null").select("rep", "n", "other").distinct()
+    linked = found.where("other is null").select("rep", "n").unionByName(lonely.select("rep", "n")).groupBy("rep").agg(F.sum("n").alias("n"))
     joined = connected_components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")))
     named = classes.join(linked, "rep", "left").join(joined, F.col("rep") == F.col("node"), "left").select("h", "g", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
     out = light.join(named, ["h", "g"], "left")

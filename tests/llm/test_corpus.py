@@ -234,6 +234,21 @@ def test_embedding_links_against_all_pairs(spark, block, monkeypatch):
     assert crosspolytope.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_links_count_pairs_that_only_probe(spark, monkeypatch):
+    """Whoever is joined to others has links, also by buckets that a third vector owns."""
+    monkeypatch.setattr(crosspolytope, "settings", lambda n, dims: (1, 1))
+    r = np.random.default_rng(3)
+    base = np.repeat(r.normal(size=(150, 64)), 4, 0)
+    near = base + r.normal(size=base.shape) * 0.25
+    rows = [(k, x.tolist(), "a") for k, x in enumerate(near)]
+    out = crosspolytope.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    unit = near / np.linalg.norm(near, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.93).sum(1) - 1
+    assert sum(x.component_id != x.vec_id for x in out) > 50
+    assert all(x.n_links > 0 for x in out if x.component_id != x.vec_id)
+    assert all(x.n_links <= true[x.vec_id] for x in out)
+
+
 def test_kd_shards(spark):
     docs = awkward(spark)
     more = docs.unionByName(spark.createDataFrame([(2000 + k, prose(3000 + k, 20 + k % 60), "de", f"s{k % 7}", 1, "", 0.0, 0) for k in range(3000)] + [(9000 + k, prose(1), "en", "s", 1, "", 0.0, 0) for k in range(900)], DOCS)).where("doc_id is null or doc_id <> 104")
