@@ -342,6 +342,24 @@ def test_packing_rows(spark):
     assert packing.pack(packing.pieces(empty(spark), tokens.default_path())).count() == 0
 
 
+def test_packing_rows_under_every_capacity(spark):
+    """Document and attention capacities bind pack() as tokens do."""
+    r = random.Random(5)
+    made = spark.createDataFrame([(k, 0, 0, r.randint(1, 40), k) for k in range(300)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    sizes = []
+    for capacity in ({}, {"documents": 3}, {"attention": 2000}, {"documents": 3, "attention": 2000}):
+        bins = {}
+        for x in packing.pack(made, 100, **capacity).collect():
+            bins.setdefault(x.sequence_id, []).append((x.offset, x.length))
+        sizes.append(len(bins))
+        assert sum(map(len, bins.values())) == 300
+        for held in bins.values():
+            held.sort()
+            assert all(a + n == b for (a, n), (b, _) in zip(held, held[1:], strict=False)) and sum(n for _, n in held) <= 100
+            assert len(held) <= capacity.get("documents", 100) and sum(n * n for _, n in held) <= capacity.get("attention", 100**2)
+    assert sizes[0] < min(sizes[1:])
+
+
 def test_token_store_round_trip(spark):
     docs = awkward(spark)
     rows = sorted(docs.collect(), key=lambda x: (x.doc_id is not None, x.doc_id or 0, x.text or ""))
