@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset (tests)."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset and all runs on one machine (tests)."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="pitpanel-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
@@ -20,9 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, what: str) -> str:
+    """A path in the shared folder that nobody has used."""
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
+    """``df`` checkpointed to the shared folder, for small tables inside loops."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
