@@ -2,53 +2,34 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitpanel.functions.shared import cut, new_path, shared_dir  # noqa: F401  used by the operators
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, by Spark's own reader (any file system)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
-
-    Only where the session names none (tests in local mode) a temporary folder is set.
-    """
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="pitpanel-")
-        sc.setCheckpointDir(folder)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def new_path(spark: SparkSession, what: str) -> str:
-    """A path in the shared folder that nobody has used."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, what: str = "table") -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: computed once, lineage cut, columns prunable."""
+def written(df: DataFrame, what: str = "table", folder: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder (or in ``folder`` there): computed once, lineage cut, columns prunable."""
     spark = df.sparkSession
-    path = new_path(spark, what)
+    path = f"{folder}/{what}" if folder else new_path(spark, what)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` checkpointed to the shared folder, for small tables inside loops."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of intermediate tables that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -93,23 +74,65 @@ def numbered(df: DataFrame, order: list[Column | str], name: str, weight: str |
     return ranged.mapInArrow(add, f"{fields}, `{name}` long")
 
 
-def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
-    """``df``, with the session's Arrow batches held to ``rows`` rows.
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' UTF-8 bytes, one text behind the other, and where each ends; a null text is empty."""
+    import pyarrow.compute as pc
+
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    whole = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    return whole, ends[1:] - ends[0]
+
+
+def word_hashes(data: np.ndarray, ends: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of each word (run of ``inner`` bytes within a text), and each text's number of words; only different words are hashed."""
+    import xxhash
+
+    begins = inner & np.append(True, ~inner[:-1])[: len(inner)]
+    first = np.append(0, ends[:-1])[: len(ends)]
+    first = first[first < ends]
+    begins[first] = inner[first]
+    starts = np.flatnonzero(begins)
+    letters = data[inner]
+    bounds = np.append(np.cumsum(inner)[starts] - 1, len(letters)).astype(np.int64)
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]).dictionary_encode()
+    names = np.array([xxhash.xxh64_intdigest(w, 42) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()], np.uint64)
+    return names[coded.indices.to_numpy()] if len(names) else names, np.diff(np.searchsorted(starts, ends), prepend=0)
 
-    Spark cuts Arrow batches by rows alone, and its 10,000 whole texts may be far more than a worker
-    has room for. A smaller setting of the user's stays.
-    """
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(df.sparkSession.conf.get(setting))
-    if now <= 0 or now > rows:
-        df.sparkSession.conf.set(setting, str(rows))
-    return df
 
+def joined(run: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The hash of a run of words that goes on with another word."""
+    x = (run ^ word) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
 
-def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Callable[[list], dict]) -> DataFrame:
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is run inside; the session's own setting comes back after.
+
+    Spark's bound of 64 MB a batch is too much beside the memory of an encoder. A smaller setting of the user's stays.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Callable[[list], dict], lists: bool = True) -> DataFrame:
     """``keep`` and the columns of ``each(texts)``, whole texts in slices of about 4 MB.
 
-    ``each`` gets a list of str or None and returns equally long columns by name; ``fields`` is their DDL.
+    ``each`` gets a list of str or None (without ``lists`` an Arrow array) and returns equally long columns by
+    name; ``fields`` is their DDL. Spark bounds a batch by its bytes as well as by its rows.
     """
     kinds = {f.name: f.dataType for f in df.schema.fields}
     ddl = ", ".join([*(f"`{c}` {kinds[c].simpleString()}" for c in keep), fields])
@@ -118,10 +141,10 @@ def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Calla
         for batch in batches:
             for lo, hi in slices(batch.column(text), 4 << 20):
                 part = batch.slice(lo, hi - lo)
-                made = each(part.column(text).to_pylist())
+                made = each(part.column(text).to_pylist() if lists else part.column(text))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(v if isinstance(v, pa.Array) else pa.array(v) for v in made.values())], names=[*keep, *made])
 
-    return small_batches(df).select(*dict.fromkeys([*keep, text])).mapInArrow(run, ddl)
+    return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, ddl)
 
 
 def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:

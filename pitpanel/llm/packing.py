@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import numbered, slices, small_batches, written
-from .tokens import encoder, forget
+from .tokens import encoder, forget, with_end
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, remembered: int = 500_000, keep: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -33,25 +33,23 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for lo, hi in slices(batch.column("text"), 4 << 20):
+            for lo, hi in slices(batch.column("text"), 2 << 20):
                 part = batch.slice(lo, hi - lo)
-                out: list[list] = [[], [], [], [], []]
-                for key, ids in zip(part.column("key").to_pylist(), encoder(vocabulary, remembered).encode(part.column("text").to_pylist()), strict=True):
-                    ids += tail
-                    n = len(ids) // 4
-                    at = 0
-                    for k in range(-(-n // capacity)):
-                        size = n % capacity or capacity if k == 0 else capacity
-                        for column, v in zip(out, (key, k, at, size, zlib.crc32(ids[4 * at : 4 * (at + size)])), strict=True):
-                            column.append(v)
-                        at += size
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), *(pa.array(c, pa.int64()) for c in out[2:])], names=names)
+                ids, n = with_end(*encoder(vocabulary, remembered).encode(part.column("text")), end_id)
+                number = -(-n // capacity)
+                of = np.repeat(np.arange(len(n)), number)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
+                head = n - (number - 1) * capacity  # the length of a document's first piece
+                length = np.where(piece == 0, head[of], capacity)
+                start = np.where(piece == 0, 0, head[of] + (piece - 1) * capacity)
+                data, at = memoryview(ids.tobytes()), 4 * ((np.cumsum(n) - n)[of] + start)
+                crc = [zlib.crc32(data[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(of)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], names=names)
         if not keep:
             forget()
 
-    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
@@ -112,7 +110,8 @@ def pack(made: DataFrame, capacity: int = 1024, documents: int | None = None, at
     ``documents`` and ``attention`` bound what else a sequence may hold; by default only tokens bind.
     The order of equal lengths is doc_id, piece, start: repeated rows keep places of their own.
     """
-    made = written(made, "pieces")
+    with small_batches(made.sparkSession):
+        made = written(made, "pieces")
     counts = {r.length: r.n for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = plan(counts, (capacity, documents or capacity, attention or capacity**2), weights, score)
     lengths = sorted(counts)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import files
 from .common import new_path, partitions, slices, small_batches, written
-from .tokens import encoder
+from .tokens import encoder, with_end
 
 
 def mix(keys: np.ndarray, seed: int) -> np.ndarray:
@@ -95,7 +95,7 @@ class Shard:
             return np.frombuffer(f.read(int(self.starts[n + 1] - self.starts[n]) * self.width), "<u2" if self.width == 2 else "<u4")
 
 
-def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_mb: int = 64, remembered: int = 800_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_mb: int = 64, remembered: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes whole texts and writes the shards; returns the manifest, a table in the shared folder.
 
     Rows are range partitioned and sorted by key (then text, for repeated keys), so shards follow one
@@ -104,7 +104,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_m
     index. The manifest row (part, seq, path, first, n, tokens) is what a reader trusts.
     """
     spark = docs.sparkSession
-    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     # Range bounds come from keys alone: the sampling pass reads no text and sends none to the driver.
     rows = rows.repartitionByRange(partitions(spark), "key").sortWithinPartitions("key", "text").withColumn("part", F.spark_partition_id())
 
@@ -125,7 +125,6 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_m
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(vocabulary, remembered)
         kind = "<u2" if max(e.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
-        tail = np.array([end_id], "<u4").tobytes()
         keys, ends, data, size, seq, part, made = [], [], [], 0, 0, 0, []
 
         def roll() -> None:
@@ -136,13 +135,13 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_m
             keys, ends, data, size, seq = [], [], [], 0, seq + 1
 
         for batch in batches:
-            for lo, hi in slices(batch.column("text"), 4 << 20):
+            for lo, hi in slices(batch.column("text"), 2 << 20):
                 cutting = batch.slice(lo, hi - lo)
-                coded = [c + tail for c in e.encode(cutting.column("text").to_pylist())]
+                ids, n = with_end(*e.encode(cutting.column("text")), end_id)
                 part = cutting.column("part")[0].as_py()
                 keys += cutting.column("key").to_pylist()
-                ends += [len(c) // 4 for c in coded]
-                data.append(np.frombuffer(b"".join(coded), "<u4").astype(kind).tobytes())
+                ends += n.tolist()
+                data.append(ids.astype(kind).tobytes())
                 size += len(data[-1])
                 if size >= roll_mb << 20:
                     roll()
@@ -151,7 +150,8 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_m
         if made:
             yield pa.RecordBatch.from_pylist(made, pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("path", pa.string()), ("first", pa.int64()), ("n", pa.int64()), ("tokens", pa.int64())]))
 
-    return written(rows.mapInArrow(run, "part int, seq int, path string, first long, n long, tokens long"), "manifest")
+    with small_batches(spark):
+        return written(rows.mapInArrow(run, "part int, seq int, path string, first long, n long, tokens long"), "manifest")
 
 
 def read(manifest: DataFrame) -> DataFrame:

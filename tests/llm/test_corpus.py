@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,11 +294,15 @@ def expected_ids(texts):
 
 def test_encoder_equals_the_library():
     r = random.Random(5)
-    parts = [" ", "  ", "\n", "\t", " \n", "a", "'s", "é", "x1", "12", "!!", "ñandú", "<|endoftext|>", "\0", "½", "ª", "|", "\u3000", "\x1c", "don't", " the"]
+    parts = [" ", "  ", "\n", "\t", " \n", "a", "'s", "é", "x1", "12", "!!", "ñandú", "<|endoftext|>", "\0", "½", "ª", "|", "\u3000", "\x1c", "don't", " the", "'", "'re", "'l", "l", "\u00a0", "漢", "\U0001f600", "ǆ"]
     texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 30))) for _ in range(4000)] + [prose(1), "", None]
     e = tokens.Encoder(tokens.default_path(), remembered=500)
     for k in range(0, len(texts), 300):
-        assert e.encode(texts[k : k + 300]) == e.whole([t or "" for t in texts[k : k + 300]])
+        part = texts[k : k + 300]
+        ids, counts = e.encode(pa.array([*part, "cut off"]).slice(0, len(part)))
+        want = e.whole([t or "" for t in part])
+        assert ids.tobytes() == b"".join(want) and counts.tolist() == [len(w) // 4 for w in want]
+    assert [len(x) for x in e.encode(pa.array([], pa.string()))] == [0, 0]
 
 
 @pytest.mark.parametrize("kind", ["norm", "dot"])
