@@ -10,15 +10,6 @@ from pyspark.sql import functions as F
 from pitpanel.functions.shared import cut
 
 
-def average_rank(value: str, group: list[str]) -> tuple[Column, Column]:
-    """(average rank from 1, how many non-null values) of a column within groups; null for null."""
-    own = F.col(value).isNotNull()
-    ordered = Window.partitionBy(*group, own).orderBy(value)
-    ties = Window.partitionBy(*group, own, value)
-    n = F.count(value).over(Window.partitionBy(*group))
-    return F.when(own, F.rank().over(ordered) + (F.count(F.lit(1)).over(ties) - 1) / 2), n
-
-
 def percent_rank(rank: Column, n: Column) -> Column:
     """0 to 100 over n values; a single value is 50."""
     return F.when(n == 1, F.lit(50.0)).otherwise((rank - 1) / (n - 1) * 100)
@@ -30,54 +21,61 @@ def midpoint_percentile(rank: Column, n: Column, higher_is_better: Column) -> Co
     return F.when(higher_is_better, up).otherwise(100 - up)
 
 
-def table_ranks(df: DataFrame, values: list[str], buckets: int = 64) -> dict[str, DataFrame]:
-    """For each column (value, table_rank, table_n): average ranks over the whole table, without a window over it.
+def bucketed_ranks(df: DataFrame, values: list[str], group: list[str], buckets: int = 64) -> dict[str, DataFrame]:
+    """For each column (group columns, value, rank, n): average ranks from 1 among the group's values, and their number.
 
-    Different values are counted first; approximate quantiles deal them into ordered buckets, which
-    are numbered side by side and shifted by the sizes of those before (``buckets`` sums a column
-    on the driver). Any bounds give the same exact ranks. All columns share the passes.
+    Different values of each group are counted first. Approximate quantiles of the whole table deal them into ordered
+    buckets, so that the largest group, or the table itself (no ``group``), is numbered in many tasks; each bucket is then
+    shifted by those before it in its group. Any bounds give the same exact ranks. All columns share the passes.
     """
     probabilities = [k / buckets for k in range(1, buckets)]
     bounds = {m: sorted(set(q)) for m, q in zip(values, df.approxQuantile(values, probabilities, 0.01), strict=True)}
     pairs = F.array(*(F.struct(F.lit(m).alias("_m"), F.col(m).cast("double").alias("_v")) for m in values))
-    counts = df.select(F.explode(pairs).alias("p")).select("p.*").where("_v is not null").groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.select(*group, F.explode(pairs).alias("p")).select(*group, "p.*").where("_v is not null").groupBy(*group, "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
     above = lambda m: F.aggregate(F.array(*map(F.lit, bounds[m])), F.lit(0), lambda n, b: n + (F.col("_v") > b).cast("int")) if bounds[m] else F.lit(0)
-    dealt = counts.withColumn("_b", reduce(lambda e, m: F.when(F.col("_m") == m, above(m)).otherwise(e), values, F.lit(0)))
-    sums = sorted((r["_m"], r["_b"], r["n"]) for r in dealt.groupBy("_m", "_b").agg(F.sum("_n").alias("n")).collect())
-    before, offsets = dict.fromkeys(values, 0), []
-    for m, b, n in sums:
-        offsets.append((m, b, before[m]))
-        before[m] += n
-    base = F.broadcast(df.sparkSession.createDataFrame(offsets, "_m string, _b int, _base long"))  # values x buckets rows
-    running = F.coalesce(F.sum("_n").over(Window.partitionBy("_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = dealt.join(base, ["_m", "_b"]).select("_m", "_v", (F.col("_base") + running + 1 + (F.col("_n") - 1) / 2).alias("table_rank"))
+    dealt = cut(counts.withColumn("_b", reduce(lambda e, m: F.when(F.col("_m") == m, above(m)).otherwise(e), values, F.lit(0))))
+    own = Window.partitionBy(*group, "_m")  # a row a bucket
+    sums = dealt.groupBy(*group, "_m", "_b").agg(F.sum("_n").alias("_s"))
+    sums = sums.select(*group, "_m", "_b", F.coalesce(F.sum("_s").over(own.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.sum("_s").over(own).alias("n"))
+    running = F.coalesce(F.sum("_n").over(Window.partitionBy(*group, "_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = null_safe_join(dealt.withColumn("_before", running), sums, [*group, "_m", "_b"], "inner").select(*group, "_m", "_v", (F.col("_base") + F.col("_before") + 1 + (F.col("_n") - 1) / 2).alias("rank"), "n")
+    ranked = cut(ranked)
     kinds = dict(df.dtypes)
-    return {m: ranked.where(F.col("_m") == m).select(F.col("_v").cast(kinds[m]).alias(m), "table_rank", F.lit(before[m]).cast("long").alias("table_n")) for m in values}
+    return {m: ranked.where(F.col("_m") == m).select(*group, F.col("_v").cast(kinds[m]).alias(m), "rank", "n") for m in values}
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
+    """A join in which null keys equal each other; the right side's keys are dropped."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in key})
+    return left.join(other, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in key)), how).drop(*(f"_r_{k}" for k in key))
+
+
+def table_ranks(df: DataFrame, values: list[str], buckets: int = 64) -> dict[str, DataFrame]:
+    """For each column (value, table_rank, table_n) over the whole table."""
+    return {m: r.withColumnsRenamed({"rank": "table_rank", "n": "table_n"}) for m, r in bucketed_ranks(df, values, [], buckets).items()}
 
 
 def with_fallback(df: DataFrame, values: list[str], group: str, least: int = 20) -> DataFrame:
     """Adds <value>_pct and <value>_scope for each column: the rank in the group if it has ``least`` values of this very metric, else in the table."""
     out = cut(df)
-    whole = table_ranks(out, values)
+    whole, inner = table_ranks(out, values), bucketed_ranks(out, values, [group])
     for value in values:
-        rank, n = average_rank(value, [group])
-        both = out.withColumn("_rank", rank).withColumn("_n", n).join(whole[value], value, "left")
-        grouped, known = F.col("_n") >= least, F.col(value).isNotNull()
-        pct = F.when(grouped, percent_rank(F.col("_rank"), F.col("_n"))).otherwise(percent_rank(F.col("table_rank"), F.col("table_n")))
-        out = both.withColumn(f"{value}_pct", F.when(known, pct)).withColumn(f"{value}_scope", F.when(known, F.when(grouped, "group").otherwise("table"))).drop("_rank", "_n", "table_rank", "table_n")
+        both = null_safe_join(out.join(whole[value], value, "left"), inner[value], [group, value], "left")
+        grouped, known = F.coalesce(F.col("n") >= least, F.lit(False)), F.col(value).isNotNull()
+        pct = F.when(grouped, percent_rank(F.col("rank"), F.col("n"))).otherwise(percent_rank(F.col("table_rank"), F.col("table_n")))
+        out = both.withColumn(f"{value}_pct", F.when(known, pct)).withColumn(f"{value}_scope", F.when(known, F.when(grouped, "group").otherwise("table"))).drop("rank", "n", "table_rank", "table_n")
     return out
 
 
 def peer_percentiles(df: DataFrame, value: str, eligible: str, fine: list[str], coarse: list[str], higher: str, least: int = 20) -> DataFrame:
     """Adds percentile, scope, peers and reason: the fine cohort if it has ``least`` eligible rows, then the coarse one, else none.
 
-    Rows that aren't eligible are nobody's peers and get no percentile. The coarse keys come first in
-    both windows, so one exchange serves both.
+    Rows that aren't eligible are nobody's peers and get no percentile.
     """
-    rows = df.withColumn("_v", F.when(F.col(eligible) & F.col(value).isNotNull(), F.col(value)))
-    r1, n1 = average_rank("_v", [*coarse, *fine])
-    r2, n2 = average_rank("_v", coarse)
-    rows = rows.repartition(*coarse).select("*", r1.alias("_r1"), n1.alias("_n1"), r2.alias("_r2"), n2.alias("_n2"))
+    rows = cut(df.withColumn("_v", F.when(F.col(eligible) & F.col(value).isNotNull(), F.col(value))))
+    narrow = bucketed_ranks(rows, ["_v"], [*coarse, *fine])["_v"].withColumnsRenamed({"rank": "_r1", "n": "_n1"})
+    wide = bucketed_ranks(rows, ["_v"], coarse)["_v"].withColumnsRenamed({"rank": "_r2", "n": "_n2"})
+    rows = null_safe_join(null_safe_join(rows, narrow, [*coarse, *fine, "_v"], "left"), wide, [*coarse, "_v"], "left")
     known = F.col("_v").isNotNull()
     scope = F.when(known & (F.col("_n1") >= least), "fine").when(known & (F.col("_n2") >= least), "coarse")
     out = rows.withColumn("scope", scope)
@@ -101,11 +99,12 @@ def representatives(df: DataFrame, group: str, score: str, coverage: str, key: s
     """
     order = [F.round(score, 6).desc(), F.col(coverage).desc(), F.col(key).asc()]
     df = cut(df)  # read three times below
-    members = F.count(F.lit(1)).over(Window.partitionBy(group))
     sound = F.coalesce((F.col(coverage) >= least_coverage) & F.col(score).isNotNull(), F.lit(False))
-    rows = df.withColumn("_members", members).where(sound)
-    ranked = rows.withColumn("_place", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
-    chosen = ranked.where((F.col("_members") >= least_members) & (F.col("_place") <= each)).orderBy(group, "_place").limit(most)
+    rows = df.where(sound)
+    # Spark keeps the best ``each`` of a group in every task before the shuffle.
+    ranked = rows.withColumn("_place", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_place") <= each)
+    members = df.groupBy(group).agg(F.count(F.lit(1)).alias("_members"))
+    chosen = null_safe_join(ranked, members, [group], "inner").where(F.col("_members") >= least_members).orderBy(group, "_place").limit(most)
     first = chosen.select(key, F.lit("representative").alias("pick"))
     fill = rows.join(first.select(key), key, "left_anti").orderBy(*order).limit(most).select(key, F.lit("fill").alias("pick"))
     place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("pick"), *order))  # at most 2 * most rows
@@ -119,6 +118,7 @@ def pools(df: DataFrame, pool: str, group: str, order: list[Column], group_cap:
     A group's rows beyond its cap never count against the capacity, so numbering the survivors is the same.
     """
     ranked = df.withColumn("_g", F.row_number().over(Window.partitionBy(pool, group).orderBy(*order)))
-    rest = ranked.withColumn("_within", F.col("_g") <= group_cap)
-    placed = rest.withColumn("_p", F.when(F.col("_within"), F.row_number().over(Window.partitionBy(pool, "_within").orderBy(*order))))
-    return placed.withColumn("state", F.when(~F.col("_within"), "group_cap").when(F.col("_p") > capacity, "capacity").otherwise("selected")).drop("_g", "_within", "_p")
+    # Only what the caps leave, at most ``group_cap`` rows a group, is numbered in one task of a pool.
+    inside = ranked.where(F.col("_g") <= group_cap).withColumn("_p", F.row_number().over(Window.partitionBy(pool).orderBy(*order)))
+    placed = inside.withColumn("state", F.when(F.col("_p") > capacity, "capacity").otherwise("selected")).drop("_g", "_p")
+    return placed.unionByName(ranked.where(F.col("_g") > group_cap).withColumn("state", F.lit("group_cap")).drop("_g"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from pitpanel.functions import exprs
-from pitpanel.operators import audit, features
+from pitpanel.operators import audit, contracts, features
 
 from .base import YEARS, query, supplier_years, table
 
@@ -24,7 +24,7 @@ tall AS (SELECT s, y, metric, value, CASE WHEN metric = 'discounts' AND s % 7 =
 wide AS (SELECT s, y, max(value) FILTER (WHERE metric = 'revenue' AND unit = 'CNY') AS revenue, max(value) FILTER (WHERE metric = 'discounts' AND unit = 'CNY') AS discounts, max(value) FILTER (WHERE metric = 'tax' AND unit = 'CNY') AS tax, max(value) FILTER (WHERE metric = 'quantity' AND unit = 'CNY') AS quantity FROM tall GROUP BY 1, 2)"""
 
 
-@query("A7 A12", f"WITH {TALL}, b AS (SELECT s, y, abs(max(value) FILTER (WHERE metric = 'revenue') - max(value) FILTER (WHERE metric = 'net') - max(value) FILTER (WHERE metric = 'discounts')) AS gap, max(value) FILTER (WHERE metric = 'revenue') AS t FROM tall GROUP BY 1, 2) SELECT s, y, round(gap, 2) AS gap, gap <= greatest(1000.0, 0.001 * abs(t)) AS balanced FROM b")
+@query("A7", f"WITH {TALL}, b AS (SELECT s, y, abs(max(value) FILTER (WHERE metric = 'revenue') - max(value) FILTER (WHERE metric = 'net') - max(value) FILTER (WHERE metric = 'discounts')) AS gap, max(value) FILTER (WHERE metric = 'revenue') AS t FROM tall GROUP BY 1, 2) SELECT s, y, round(gap, 2) AS gap, gap <= greatest(1000.0, 0.001 * abs(t)) AS balanced FROM b")
 def balance_identity(spark, sf_dir):
     return audit.balance(tall(spark, sf_dir), ["s", "y"], "metric", "value", "revenue", ("net", "discounts")).select("s", "y", F.round("gap", 2).alias("gap"), "balanced")
 
@@ -43,12 +43,12 @@ def _features(spark, sf_dir):
     return features.long_features(w.select("s", "y", *(made[n].alias(n) for n in DERIVED)), ["s", "y"], list(DERIVED), {"accruals": F.col("s") % 4 != 0})
 
 
-@query("F3 F4 F6 S15", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, feature, round(value, 6) AS value, status, reason FROM f")
+@query("F3 F4", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, feature, round(value, 6) AS value, status, reason FROM f")
 def derived_features(spark, sf_dir):
     return _features(spark, sf_dir).withColumn("value", F.round("value", 6))
 
 
-@query("A9 A10 A13 A29", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, count(*) FILTER (WHERE status = 'derived') AS complete, count(*) FILTER (WHERE status <> 'not_applicable') AS applicable, round(count(*) FILTER (WHERE status = 'derived') / count(*) FILTER (WHERE status <> 'not_applicable'), 6) AS coverage, CASE WHEN count(*) FILTER (WHERE status = 'derived') = 0 THEN 'blocked' WHEN count(*) FILTER (WHERE status = 'derived') < count(*) FILTER (WHERE status <> 'not_applicable') THEN 'partial' ELSE 'ready' END AS state FROM f GROUP BY 1, 2")
+@query("A9 A10", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, count(*) FILTER (WHERE status = 'derived') AS complete, count(*) FILTER (WHERE status <> 'not_applicable') AS applicable, round(count(*) FILTER (WHERE status = 'derived') / count(*) FILTER (WHERE status <> 'not_applicable'), 6) AS coverage, CASE WHEN count(*) FILTER (WHERE status = 'derived') = 0 THEN 'blocked' WHEN count(*) FILTER (WHERE status = 'derived') < count(*) FILTER (WHERE status <> 'not_applicable') THEN 'partial' ELSE 'ready' END AS state FROM f GROUP BY 1, 2")
 def feature_coverage(spark, sf_dir):
     return features.coverage(_features(spark, sf_dir), ["s", "y"]).withColumn("coverage", F.round("coverage", 6))
 
@@ -56,13 +56,13 @@ def feature_coverage(spark, sf_dir):
 TREE = {"op": "divide", "args": [{"op": "subtract", "args": ["revenue", {"op": "median", "args": ["discounts", "tax", "quantity"]}]}, {"op": "add", "args": [{"op": "minimum", "args": ["discounts", "tax"]}, 1.0]}]}
 
 
-@query("F7 F8 F21", f"WITH {TALL} SELECT s, y, round((revenue - CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL AND quantity IS NOT NULL THEN list_sort([discounts, tax, quantity])[2] END) / nullif(CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL THEN least(discounts, tax) END + 1, 0), 6) AS value FROM wide")
+@query("F21", f"WITH {TALL} SELECT s, y, round((revenue - CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL AND quantity IS NOT NULL THEN list_sort([discounts, tax, quantity])[2] END) / nullif(CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL THEN least(discounts, tax) END + 1, 0), 6) AS value FROM wide")
 def formula_tree(spark, sf_dir):
     w = features.wide(tall(spark, sf_dir), ["s", "y"], "metric", "value", features.leaves(TREE), "unit")
     return w.select("s", "y", F.round(features.compiled(TREE, {k: F.col(k) for k in features.leaves(TREE)}), 6).alias("value"))
 
 
-@query("P15 P16 P13 P19", """WITH m(priority, field, metric, least) AS (VALUES ('1-URGENT', 'a', 'urgent', 0), ('2-HIGH', 'b', 'high', 0), ('3-MEDIUM', 'c', 'medium', 100000), ('9-NONE', 'd', 'none', 0)),
+@query("P15", """WITH m(priority, field, metric, least) AS (VALUES ('1-URGENT', 'a', 'urgent', 0), ('2-HIGH', 'b', 'high', 0), ('3-MEDIUM', 'c', 'medium', 100000), ('9-NONE', 'd', 'none', 0)),
 i AS (SELECT o_custkey, o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v FROM orders GROUP BY 1, 2)
 SELECT o_custkey, o_orderpriority AS item, metric, CASE WHEN metric IS NULL THEN 'unknown_field' WHEN n > 3 THEN 'repeated_field' WHEN v < least THEN 'below_least' END AS issue FROM i LEFT JOIN m ON priority = o_orderpriority""")
 def mapped_items(spark, sf_dir):
@@ -94,24 +94,22 @@ def parsed_times(spark, sf_dir):
     return rows.select("o_orderkey", exprs.business_instant("x", end_of_day=True).alias("instant"), exprs.report_date("x").alias("report_date"), exprs.period_kind(F.substring("x", 1, 10).cast("date")).alias("kind"))
 
 
-@query("P9 P10 F17 S18", """WITH t AS (SELECT c_custkey, CASE WHEN c_nationkey < 12 THEN 'sh' ELSE 'Sz' END || lpad(CAST(CASE WHEN c_custkey % 3 = 0 THEN 600000 ELSE 300000 END + c_custkey AS VARCHAR), 6, '0') AS code, c_mktsegment FROM customer),
-u AS (SELECT *, upper(code) AS id FROM t WHERE c_mktsegment <> 'MACHINERY')
-SELECT c_custkey, id, left(id, 2) AS exchange, CASE WHEN substr(id, 3, 3) = '688' THEN 'star' WHEN substr(id, 3, 2) = '30' THEN 'growth' ELSE 'main' END AS board FROM u WHERE regexp_full_match(id, '(SH|SZ|BJ)[0-9]{6}')""")
+@query("P9 P10 F17", """WITH t AS (SELECT c_custkey AS k, CASE c_custkey % 5 WHEN 0 THEN ' SH.600' WHEN 1 THEN 'sz.300' WHEN 2 THEN 'sh.688' WHEN 3 THEN CASE WHEN c_custkey % 2 = 0 THEN 'sh.689' ELSE 'sz.000' END ELSE 'bj.830' END || lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS code, CASE WHEN c_custkey % 31 = 2 THEN '*st ' || c_custkey ELSE 'plain' END AS name, c_custkey % 17 <> 3 AND c_custkey % 19 <> 4 AS act FROM customer)
+SELECT k AS c_custkey, upper(left(trim(code), 2)) || right(code, 6) AS id, upper(left(trim(code), 2)) AS exchange, CASE right(left(trim(code), 6), 3) WHEN '688' THEN 'star' WHEN '300' THEN 'growth' ELSE 'main' END AS board, CASE WHEN name <> 'plain' THEN 'ST' ELSE '' END AS tags FROM t WHERE act AND left(trim(code), 6) NOT IN ('sh.689', 'bj.830')""")
 def curated_universe(spark, sf_dir):
-    number = F.when(F.col("c_custkey") % 3 == 0, 600000).otherwise(300000) + F.col("c_custkey")
-    code = F.concat(F.when(F.col("c_nationkey") < 12, "sh").otherwise("Sz"), F.lpad(number.cast("string"), 6, "0"))
-    rows = table(spark, sf_dir, "customer").where("c_mktsegment <> 'MACHINERY'").select("c_custkey", exprs.security_id(code).alias("id")).where("id is not null")
-    board = F.when(F.substring("id", 3, 3) == "688", "star").when(F.substring("id", 3, 2) == "30", "growth").otherwise("main")
-    return rows.select("c_custkey", "id", F.substring("id", 1, 2).alias("exchange"), board.alias("board"))
+    k = F.col("c_custkey")
+    code = F.concat(F.when(k % 5 == 0, " SH.600").when(k % 5 == 1, "sz.300").when(k % 5 == 2, "sh.688").when((k % 5 == 3) & (k % 2 == 0), "sh.689").when(k % 5 == 3, "sz.000").otherwise("bj.830"), F.lpad((k % 1000).cast("string"), 3, "0"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", code.alias("code"), F.when(k % 31 == 2, F.concat(F.lit("*st "), k)).otherwise("plain").alias("code_name"), F.when(k % 17 == 3, "2").otherwise("1").alias("type"), F.when(k % 19 == 4, "0").otherwise("1").alias("status"))
+    return contracts.curated(rows).select("c_custkey", exprs.security_id("security_id").alias("id"), "exchange", "board", F.array_join("risk_tags", ",").alias("tags"))
 
 
-@query("P17 F11 F14", "SELECT c_custkey, sha256(coalesce(CAST(c_custkey AS VARCHAR), chr(0)) || chr(31) || coalesce(c_mktsegment, chr(0))) AS row_id, regexp_replace(regexp_replace(CAST(CAST(round(c_acctbal, 0) / 4 AS DECIMAL(18,4)) AS VARCHAR), '0+$', ''), '\\.$', '') AS amount FROM customer".replace("\\\\", "\\"))
+@query("P17 F11", "SELECT c_custkey, sha256(coalesce(CAST(c_custkey AS VARCHAR), chr(0)) || chr(31) || coalesce(c_mktsegment, chr(0))) AS row_id, regexp_replace(regexp_replace(CAST(CAST(round(c_acctbal, 0) / 4 AS DECIMAL(18,4)) AS VARCHAR), '0+$', ''), '\\.$', '') AS amount FROM customer".replace("\\\\", "\\"))
 def row_identities(spark, sf_dir):
     amount = (F.round("c_acctbal", 0) / 4).cast("decimal(18,4)")
     return table(spark, sf_dir, "customer").select("c_custkey", exprs.row_hash("c_custkey", "c_mktsegment").alias("row_id"), exprs.decimal_text(amount).alias("amount"))
 
 
-@query("P28 S13")
+@query("P28")
 def redacted_conversations(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", exprs.redacted("text").alias("text"))
 
@@ -129,7 +127,7 @@ def disclosure_gate(spark, sf_dir):
     return both.select("n", "outside", "disclosed", "universe", F.round(coverage, 6).alias("coverage"), F.round("completeness", 6).alias("completeness"), F.when(F.size(why) == 0, "passed").otherwise("failed").alias("status"))
 
 
-@query("P4 P5 P11 F16", """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS present, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END, CAST(o_custkey AS DOUBLE)) AS finite, CASE o_orderkey % 3 WHEN 0 THEN 'SH' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') WHEN 1 THEN 'SZ' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS id, CASE WHEN left(o_orderpriority, 1) = '1' THEN 'a,b' ELSE 'b' END AS hashes FROM orders""")
+@query("P4 P5 F16", """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS present, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END, CAST(o_custkey AS DOUBLE)) AS finite, CASE o_orderkey % 3 WHEN 0 THEN 'SH' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') WHEN 1 THEN 'SZ' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS id, CASE WHEN left(o_orderpriority, 1) = '1' THEN 'a,b' ELSE 'b' END AS hashes FROM orders""")
 def resolved_aliases(spark, sf_dir):
     """First alias that is a column, first alias with a finite value, an id from several spellings, sorted unique arrays."""
     k, code = F.col("o_orderkey"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")
@@ -139,14 +137,14 @@ def resolved_aliases(spark, sf_dir):
     return rows.select("o_orderkey", exprs.first_present(rows.columns, "total", "amount").alias("present"), exprs.first_finite("x", "y").alias("finite"), F.coalesce(exprs.security_id("id1"), exprs.security_id("id2")).alias("id"), F.array_join(F.array_sort(F.array_distinct(tags)), ",").alias("hashes"))
 
 
-@query("P27 F18 F19", """SELECT doc_id, nullif(concat_ws(',', CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de', 'fr') THEN 'lang' END, CASE WHEN n_chars IS NULL OR n_chars < 300 THEN 'short' END, CASE WHEN source IS NULL OR NOT regexp_full_match(source, 'src[0-9]') THEN 'source' END), '') AS broken FROM documents""")
+@query("P27", """SELECT doc_id, nullif(concat_ws(',', CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de', 'fr') THEN 'lang' END, CASE WHEN n_chars IS NULL OR n_chars < 300 THEN 'short' END, CASE WHEN source IS NULL OR NOT regexp_full_match(source, 'src[0-9]') THEN 'source' END), '') AS broken FROM documents""")
 def context_violations(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     broken = exprs.violations(lang=F.col("lang").isin("en", "de", "fr"), short=F.col("n_chars") >= 300, source=F.col("source").rlike("^src[0-9]$"))
     return d.select("doc_id", F.when(F.size(broken) > 0, F.array_join(broken, ",")).alias("broken"))
 
 
-@query("A23 J17 P36", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, coalesce(list_aggregate(list_sort(list(DISTINCT feature) FILTER (WHERE status = 'missing' AND feature <> 'nopat')), 'string_agg', ','), '') AS blockers, count(*) FILTER (WHERE status = 'missing' AND feature <> 'nopat') = 0 AS ready FROM f GROUP BY 1, 2")
+@query("A23", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, coalesce(list_aggregate(list_sort(list(DISTINCT feature) FILTER (WHERE status = 'missing' AND feature <> 'nopat')), 'string_agg', ','), '') AS blockers, count(*) FILTER (WHERE status = 'missing' AND feature <> 'nopat') = 0 AS ready FROM f GROUP BY 1, 2")
 def readiness_gate(spark, sf_dir):
     """Sorted blockers of each supplier-year; one feature is neutral and never blocks."""
     missing = F.when((F.col("status") == "missing") & (F.col("feature") != "nopat"), F.col("feature"))
@@ -154,7 +152,7 @@ def readiness_gate(spark, sf_dir):
     return out.select("s", "y", F.array_join("b", ",").alias("blockers"), (F.size("b") == 0).alias("ready"))
 
 
-@query("R13 K3", f"WITH {TALL}, m(metric, need) AS (VALUES ('revenue', 'CNY'), ('discounts', 'CNY'), ('tax', 'CNY'), ('margin', 'CNY')), k AS (SELECT DISTINCT s, y FROM tall) SELECT k.s, k.y, m.metric, CASE WHEN t.unit = need THEN round(t.value, 4) END AS value, CASE WHEN t.metric IS NULL THEN 'absent' WHEN t.unit <> need THEN 'unit' END AS reason FROM k CROSS JOIN m LEFT JOIN tall t ON t.s = k.s AND t.y = k.y AND t.metric = m.metric")
+@query("R13", f"WITH {TALL}, m(metric, need) AS (VALUES ('revenue', 'CNY'), ('discounts', 'CNY'), ('tax', 'CNY'), ('margin', 'CNY')), k AS (SELECT DISTINCT s, y FROM tall) SELECT k.s, k.y, m.metric, CASE WHEN t.unit = need THEN round(t.value, 4) END AS value, CASE WHEN t.metric IS NULL THEN 'absent' WHEN t.unit <> need THEN 'unit' END AS reason FROM k CROSS JOIN m LEFT JOIN tall t ON t.s = k.s AND t.y = k.y AND t.metric = m.metric")
 def metric_rows(spark, sf_dir):
     """Every registered metric for every supplier-year, with its value or the first reason why not."""
     need = spark.createDataFrame([("revenue", "CNY"), ("discounts", "CNY"), ("tax", "CNY"), ("margin", "CNY")], "metric string, need string")
@@ -164,7 +162,7 @@ def metric_rows(spark, sf_dir):
     return slots.join(facts, ["s", "y", "metric"], "left").select("s", "y", "metric", F.when(ok, F.round("value", 4)).alias("value"), F.when(F.col("unit").isNull(), "absent").when(~ok, "unit").alias("reason"))
 
 
-@query("S8 S9 S12 F13", "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(max(value), 6) AS high, CAST(CAST(ts AS DATE) - INTERVAL 6 DAY AS DATE) AS from_day, CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 7 HOUR AS close_at FROM events GROUP BY 1, 2, 5, 6")
+@query("F13", "SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n, round(max(value), 6) AS high, CAST(CAST(ts AS DATE) - INTERVAL 6 DAY AS DATE) AS from_day, CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 7 HOUR AS close_at FROM events GROUP BY 1, 2, 5, 6")
 def daily_bars(spark, sf_dir):
     """Daily rows of each kind, with the seven-day interval that ends there and the session's close (15:00 in Shanghai)."""
     day = F.to_date("ts")

@@ -25,15 +25,30 @@ def _pct(m):
     return f"CASE WHEN {m} IS NULL THEN NULL WHEN n_g_{m} >= 20 THEN {scale(f'r_g_{m}', f'n_g_{m}')} ELSE {scale(f'r_t_{m}', f'n_t_{m}')} END"
 
 
-METRICS = (("c_acctbal", 0.45), ("spend", 0.35), ("orders", 0.2))
+#: Two modules, each a mean of its metrics that are there; the score is the mean of the modules that are there.
+MODULES = {"growth": (("spend", 0.5), ("orders", 0.5)), "quality": (("c_acctbal", 1.0),)}
+METRICS = (("c_acctbal", 0.45), ("spend", 0.275), ("orders", 0.275))
+
+
+def _mean(parts):
+    total = " + ".join(f"coalesce({v}, 0.0) * CAST({w} AS DOUBLE)" for v, w in parts)
+    there = " + ".join(f"CASE WHEN {v} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST({w} AS DOUBLE) END" for v, w in parts)
+    return f"({total}) / nullif({there}, 0)", there
+
+
 SCORED = f"""WITH {PANEL}, {_ranked([m for m, _ in METRICS])},
 pct AS (SELECT c_custkey, c_nationkey, {', '.join(f'{_pct(m)} AS p_{m}, CASE WHEN {m} IS NULL THEN NULL WHEN n_g_{m} >= 20 THEN $$group$$ ELSE $$table$$ END AS s_{m}' for m, _ in METRICS)} FROM r2),
-scored AS (SELECT *, {' + '.join(f'CASE WHEN p_{m} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST({w} AS DOUBLE) END' for m, w in METRICS)} AS coverage, ({' + '.join(f'coalesce(p_{m}, 0.0) * CAST({w} AS DOUBLE)' for m, w in METRICS)}) / nullif({' + '.join(f'CASE WHEN p_{m} IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST({w} AS DOUBLE) END' for m, w in METRICS)}, 0) AS score, count(*) OVER (PARTITION BY c_nationkey) AS members FROM pct)""".replace("$$group$$", "'group'").replace("$$table$$", "'table'")
+modules AS (SELECT *, {_mean((('p_spend', 0.5), ('p_orders', 0.5)))[0]} AS growth, p_c_acctbal AS quality FROM pct),
+scored AS (SELECT *, {_mean((('p_c_acctbal', 0.45), ('p_spend', 0.275), ('p_orders', 0.275)))[1]} AS coverage, {_mean((('growth', 0.55), ('quality', 0.45)))[0]} AS score, count(*) OVER (PARTITION BY c_nationkey) AS members FROM modules)""".replace("$$group$$", "'group'").replace("$$table$$", "'table'")
 
 
 def scored(spark, sf_dir):
     rows = ranks.with_fallback(panel(spark, sf_dir), [m for m, _ in METRICS], "c_nationkey")
-    score, there = ranks.weighted_available([(F.col(f"{m}_pct"), w) for m, w in METRICS])
+    growth, _ = ranks.weighted_available([(F.col(f"{m}_pct"), w) for m, w in MODULES["growth"]])
+    quality, _ = ranks.weighted_available([(F.col(f"{m}_pct"), w) for m, w in MODULES["quality"]])
+    rows = rows.withColumn("growth", growth).withColumn("quality", quality)
+    score, _ = ranks.weighted_available([(F.col("growth"), 0.55), (F.col("quality"), 0.45)])
+    _, there = ranks.weighted_available([(F.col(f"{m}_pct"), w) for m, w in METRICS])
     return rows.withColumn("score", score).withColumn("coverage", there)
 
 
@@ -126,12 +141,16 @@ def top_sources(spark, sf_dir):
 
 
 @query("X7", """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS close, max(o_totalprice) AS high, min(o_totalprice) AS low, o_orderpriority AS p FROM orders GROUP BY 1, 5),
-l AS (SELECT *, lag(close) OVER w AS before, lag(close, 20) OVER w AS m1, lag(close, 120) OVER w AS m6 FROM d WINDOW w AS (PARTITION BY p ORDER BY day))
-SELECT p, day, round(avg(close) OVER (PARTITION BY p ORDER BY day ROWS 19 PRECEDING) + 1e-7, 4) AS ma20, round(avg(close) OVER (PARTITION BY p ORDER BY day ROWS 59 PRECEDING) + 1e-7, 4) AS ma60, round(avg(greatest(high - low, abs(high - before), abs(low - before))) OVER (PARTITION BY p ORDER BY day ROWS 19 PRECEDING) + 1e-7, 4) AS atr20, round(m1 / m6 - 1, 6) AS momentum FROM l""")
+l AS (SELECT *, lag(close) OVER w AS before, lag(close, 20) OVER w / nullif(lag(close, 120) OVER w, 0) - 1 AS momentum FROM d WINDOW w AS (PARTITION BY p ORDER BY day)),
+m AS (SELECT day, left(p, 1) IN ('1', '2') AS urgent, avg(momentum) AS mean FROM l GROUP BY 1, 2)
+SELECT p, l.day, round(avg(close) OVER (PARTITION BY p ORDER BY l.day ROWS 19 PRECEDING) + 1e-7, 4) AS ma20, round(avg(close) OVER (PARTITION BY p ORDER BY l.day ROWS 59 PRECEDING) + 1e-7, 4) AS ma60, round(avg(close) OVER (PARTITION BY p ORDER BY l.day ROWS 119 PRECEDING) + 1e-7, 4) AS ma120, round(avg(greatest(high - low, abs(high - before), abs(low - before))) OVER (PARTITION BY p ORDER BY l.day ROWS 19 PRECEDING) + 1e-7, 4) AS atr20, round(momentum - mean + 3e-8, 6) AS neutral_momentum FROM l JOIN m ON m.day = l.day AND m.urgent = (left(p, 1) IN ('1', '2'))""")
 def technical_levels(spark, sf_dir):
+    """Means of 20, 60 and 120 days, the mean true range, and six-minus-one-month momentum less its industry's mean of the day."""
     d = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("day")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("close"), F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low"))
     w = Window.partitionBy("p").orderBy("day")
-    rows = d.withColumn("before", F.lag("close").over(w)).withColumn("m1", F.lag("close", 20).over(w)).withColumn("m6", F.lag("close", 120).over(w))
+    rows = d.withColumn("before", F.lag("close").over(w)).withColumn("momentum", F.try_divide(F.lag("close", 20).over(w), F.lag("close", 120).over(w)) - 1)
     reach = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("before")), F.abs(F.col("low") - F.col("before")))
     mean = lambda e, n: F.round(F.avg(e).over(w.rowsBetween(1 - n, 0)) + 1e-7, 4)  # off the halves, where engines differ
-    return rows.select("p", "day", mean(F.col("close"), 20).alias("ma20"), mean(F.col("close"), 60).alias("ma60"), mean(reach, 20).alias("atr20"), F.round(F.try_divide("m1", "m6") - 1, 6).alias("momentum"))
+    levels = rows.select("p", "day", F.substring("p", 1, 1).isin("1", "2").alias("industry"), mean(F.col("close"), 20).alias("ma20"), mean(F.col("close"), 60).alias("ma60"), mean(F.col("close"), 120).alias("ma120"), mean(reach, 20).alias("atr20"), "momentum")
+    peers = levels.groupBy("day", "industry").agg(F.avg("momentum").alias("mean"))
+    return levels.join(peers, ["day", "industry"]).select("p", "day", "ma20", "ma60", "ma120", "atr20", F.round(F.col("momentum") - F.col("mean") + 3e-8, 6).alias("neutral_momentum"))

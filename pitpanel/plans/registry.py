@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import facts, quality, ranking, rules, streams, time
+from . import contracts, facts, quality, ranking, rules, scores, sinks, streams, time
 from .base import COVERS, QUERIES, SQL
 
-MODULES = (ranking, time, facts, rules, quality, streams)
+MODULES = (ranking, time, facts, rules, scores, contracts, sinks, quality, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -70,7 +70,7 @@ def dimension_caps(spark, sf_dir):
     return policy.caps(policy.effects(d, _effects(spark)), ["s"])
 
 
-@query("F9 F10 J12", f"""WITH {LATEST}, x AS (SELECT s, CASE WHEN s % 8 = 7 THEN NULL ELSE quantity END AS v, revenue AS cur, CASE WHEN s % 5 = 4 THEN NULL ELSE (SELECT quantile_cont(x, 0.5) FROM unnest(past_revenue) t(x)) END AS nor, s % 2 = 0 AS needs, CASE s % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'matched' ELSE 'clear' END AS dec FROM h),
+@query("F9 F10", f"""WITH {LATEST}, x AS (SELECT s, CASE WHEN s % 8 = 7 THEN NULL ELSE quantity END AS v, revenue AS cur, CASE WHEN s % 5 = 4 THEN NULL ELSE (SELECT quantile_cont(x, 0.5) FROM unnest(past_revenue) t(x)) END AS nor, s % 2 = 0 AS needs, CASE s % 3 WHEN 0 THEN 'pending' WHEN 1 THEN 'matched' ELSE 'clear' END AS dec FROM h),
 t AS (SELECT *, CASE WHEN v IS NULL THEN 'value_missing' WHEN NOT needs THEN 'unaffected' WHEN dec = 'pending' THEN 'pending_decision' WHEN dec = 'clear' THEN 'original' WHEN nor IS NULL THEN 'basis_missing' WHEN cur = 0 THEN 'zero_current' ELSE 'adjusted' END AS status FROM x)
 SELECT s, status, round(CASE WHEN status = 'adjusted' THEN v * nor / cur WHEN status IN ('unaffected', 'original') THEN v END, 4) AS value FROM t""")
 def valuation_adjustment(spark, sf_dir):
@@ -81,59 +81,9 @@ def valuation_adjustment(spark, sf_dir):
     return h.select("s", status.alias("status"), F.round(adjusted, 4).alias("value"))
 
 
-@query("R10 R11", "WITH due AS (SELECT DISTINCT p_brand, p_size FROM part WHERE p_size <= 5), have AS (SELECT p_brand, p_size, count(*) AS n FROM part WHERE p_size BETWEEN 2 AND 6 GROUP BY 1, 2) SELECT coalesce(d.p_brand, h.p_brand) AS p_brand, coalesce(d.p_size, h.p_size) AS p_size, CASE WHEN h.n IS NULL THEN 'absent' WHEN d.p_brand IS NULL THEN 'unexpected' ELSE 'repeated' END AS error FROM due d FULL JOIN have h ON d.p_brand = h.p_brand AND d.p_size = h.p_size WHERE h.n IS NULL OR d.p_brand IS NULL OR h.n > 1")
+@query("R10 R11", "WITH due AS (SELECT DISTINCT p_brand, p_size FROM part), have AS (SELECT p_brand, p_size + CASE WHEN p_partkey % 4 = 1 THEN 60 ELSE 0 END AS p_size, count(*) AS n FROM part GROUP BY 1, 2) SELECT coalesce(d.p_brand, h.p_brand) AS p_brand, coalesce(d.p_size, h.p_size) AS p_size, CASE WHEN h.n IS NULL THEN 'absent' WHEN d.p_brand IS NULL THEN 'unexpected' ELSE 'repeated' END AS error FROM due d FULL JOIN have h ON d.p_brand = h.p_brand AND d.p_size = h.p_size WHERE h.n IS NULL OR d.p_brand IS NULL OR h.n > 1")
 def rule_coverage(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").select("p_brand", "p_size")
-    return policy.coverage_errors(parts.where("p_size <= 5").distinct(), parts.where("p_size between 2 and 6"), ["p_brand", "p_size"])
-
-
-DIMS = ("G", "V", "M", "EQ", "FS", "CA", "T")
-
-
-def _slots(spark, sf_dir):
-    """Two slots for each customer and dimension, of percentiles of balance and spend; a seventh of the T slots lacks a value."""
-    rows = ranks.with_fallback(panel(spark, sf_dir), ["c_acctbal", "spend"], "c_nationkey")
-    made = []
-    for k, d in enumerate(DIMS):
-        x, y = F.col("c_acctbal_pct"), F.coalesce(F.col("spend_pct"), F.lit(50.0))
-        for m, (w, v) in enumerate(((0.6, x if k % 2 else 100 - x), (0.4, y))):
-            v = F.when(F.col("c_custkey") % 7 != 3, v) if d == "T" and m else v
-            made.append(F.struct(F.lit(d).alias("dimension"), F.lit(w).alias("w"), v.alias("v")))
-    return rows.select("c_custkey", F.explode(F.array(*made)).alias("p")).select("c_custkey", "p.*")
-
-
-def _slot_sql():
-    from .ranking import SCORED
-
-    base = SCORED + ", b AS (SELECT c_custkey, p_c_acctbal AS x, coalesce(p_spend, 50.0) AS y FROM scored), sl AS ("
-    base += " UNION ALL ".join(f"SELECT c_custkey, '{d}' AS dimension, 0.6 * {'x' if k % 2 else '(100 - x)'} + 0.4 * {'CASE WHEN c_custkey % 7 <> 3 THEN y END' if d == 'T' else 'y'} AS score FROM b" for k, d in enumerate(DIMS))
-    return base + ")"
-
-
-@query("A16 R9", _slot_sql() + " SELECT c_custkey, dimension, round(score, 6) AS score FROM sl")
-def dimension_scores(spark, sf_dir):
-    return score.dimension_scores(_slots(spark, sf_dir), ["c_custkey"], "dimension", "w", "v").select("c_custkey", "dimension", F.round("score", 6).alias("score"))
-
-
-W = score.WEIGHTS
-FINAL = f""", wd AS (SELECT c_custkey, {', '.join(f"max(score) FILTER (WHERE dimension = '{d}') AS {d.lower()}" for d in DIMS)} FROM sl GROUP BY 1),
-f AS (SELECT c_custkey, ({' + '.join(f'{d.lower()} * {W[d]}' for d in DIMS)}) / {float(sum(W.values()))} AS base, least(1.0, greatest(0.6, 0.6 + 0.4 * ((c_custkey % 10) / 10.0 * 0.5 + (c_custkey % 4) / 4.0 * 0.5))) AS conf, (eq * {W['EQ']} + fs * {W['FS']} + ca * {W['CA']}) / {float(W['EQ'] + W['FS'] + W['CA'])} AS safe FROM wd)"""
-
-
-@query("A14 A15 A17 P20 A31 X8", _slot_sql() + FINAL + " SELECT c_custkey, round(base, 6) AS base, round(50 + conf * (base - 50), 6) AS shrunk, round(safe, 6) AS risk_safety, round(100 - safe, 6) AS exposure, CASE WHEN base IS NULL THEN NULL WHEN 50 + conf * (base - 50) >= 90 THEN 'A+' WHEN 50 + conf * (base - 50) >= 80 THEN 'A' WHEN 50 + conf * (base - 50) >= 70 THEN 'B' WHEN 50 + conf * (base - 50) >= 60 THEN 'C' WHEN 50 + conf * (base - 50) >= 50 THEN 'D' ELSE 'E' END AS grade FROM f")
-def confidence_scores(spark, sf_dir):
-    d = score.dimension_scores(_slots(spark, sf_dir), ["c_custkey"], "dimension", "w", "v")
-    wide = score.spread(d, ["c_custkey"], "dimension", "score", list(DIMS))
-    conf = score.confidence([((F.col("c_custkey") % 10) / 10.0, 0.5), ((F.col("c_custkey") % 4) / 4.0, 0.5)])
-    made = score.arithmetic(conf)
-    return wide.select("c_custkey", *(F.round(c, 6).alias(n) for n, c in made.items()), exprs.grade(made["shrunk"]).alias("grade"))
-
-
-@query("X1", _slot_sql() + ", cp AS (SELECT c_custkey, 'G' AS dimension, 40.0 AS cap FROM customer WHERE c_acctbal < 0 UNION ALL SELECT c_custkey, 'V', 55.0 FROM customer WHERE c_nationkey = 3) SELECT sl.c_custkey, sl.dimension, round(least(score, coalesce(cap, 100.0)), 6) AS capped FROM sl LEFT JOIN cp ON cp.c_custkey = sl.c_custkey AND cp.dimension = sl.dimension WHERE score IS NOT NULL")
-def capped_scores(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    caps = c.where("c_acctbal < 0").select("c_custkey", F.lit("G").alias("dimension"), F.lit(40.0).alias("cap")).unionByName(c.where("c_nationkey = 3").select("c_custkey", F.lit("V").alias("dimension"), F.lit(55.0).alias("cap")))
-    d = score.dimension_scores(_slots(spark, sf_dir), ["c_custkey"], "dimension", "w", "v").where("score is not null")
-    return score.capped(d, caps, ["c_custkey"]).select("c_custkey", "dimension", F.round("capped", 6).alias("capped"))
-
-
+    """Every brand and size must have one rule; a quarter of the rules name a size that nobody asks for."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    rules = parts.select("p_brand", (F.col("p_size") + F.when(F.col("p_partkey") % 4 == 1, 60).otherwise(0)).alias("p_size"))
+    return policy.coverage_errors(parts.select("p_brand", "p_size").distinct(), rules, ["p_brand", "p_size"])

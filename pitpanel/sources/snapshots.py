@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pitpanel.operators.audit import fingerprint
+
 ENVELOPE = T.StructType([T.StructField(n, T.StringType()) for n in ("source", "dataset", "request", "fetched_at", "payload", "digest")])
 
 
@@ -64,3 +66,69 @@ def sanitized(df: DataFrame, text: list[str], numbers: list[str]) -> tuple[DataF
 def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "append") -> None:
     """A dataset laid out by its partition columns, one shuffle so that each partition has few files."""
     df.repartition(*by).write.mode(mode).partitionBy(*by).parquet(path)
+
+
+def not_empty(df: DataFrame, name: str) -> DataFrame:
+    """``df``, or an error if the source has no row."""
+    if df.isEmpty():
+        raise ValueError(f"the source {name} is empty")
+    return df
+
+
+def period_rows(rows: DataFrame, key: list[str], report: str, period: str, notice: str) -> DataFrame:
+    """For each key: rows of the target period in either spelling, whether there are any, rows that lack only a date's plain form, and the target rows' notice dates."""
+    target = F.col(report).isin(period, f"{period} 00:00:00")
+    dates = F.array_sort(F.collect_set(F.when(target, F.col(notice))))
+    midnight = F.col(report).rlike(r"^\d{4}-\d{2}-\d{2} 00:00:00$")
+    return rows.groupBy(*key).agg(F.count_if(target).alias("target_rows"), F.bool_or(target).alias("present"), F.count_if(midnight).alias("repairable"), dates.alias("notice_dates"))
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None where nothing was written yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark.read.parquet(path) if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder) else None
+
+
+def append_new(batch: DataFrame, path: str, key: list[str], by: list[str]) -> None:
+    """Appends the batch's rows, each key once, whose key is not at ``path`` yet; a second run of the same batch adds nothing."""
+    before = stored(batch.sparkSession, path)
+    write_partitioned(batch.dropDuplicates(key) if before is None else new_rows(batch, before, key), path, by)
+
+
+def put_view(rows: DataFrame, path: str, columns: list[str]) -> str:
+    """Replaces the view at ``path`` by ``rows`` unless it holds the same rows; written or unchanged.
+
+    Each view stands in a folder named by its fingerprint, and a one-row table beside it names the one that counts,
+    so a reader never sees half a view.
+    """
+    mark = fingerprint(rows, columns).first()[0]
+    current = stored(rows.sparkSession, f"{path}/current")
+    if current is not None and current.first()[0] == mark:
+        return "unchanged"
+    rows.write.mode("overwrite").parquet(f"{path}/{mark}")
+    rows.sparkSession.createDataFrame([(mark,)], "fingerprint string").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+    return "written"
+
+
+def view(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the view at ``path``."""
+    return spark.read.parquet(f"{path}/{spark.read.parquet(f'{path}/current').first()[0]}")
+
+
+def put_features(long: DataFrame, path: str, key: list[str], input_hash: str) -> None:
+    """Writes a header row for each (key, input_hash) and its values as child rows, both only for headers that are not there yet."""
+    head = [*key, input_hash]
+    before = stored(long.sparkSession, f"{path}/headers")
+    fresh = long if before is None else long.join(before.select(*head), head, "left_anti")
+    fresh.write.mode("append").parquet(f"{path}/values")
+    fresh.groupBy(*head).agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.col("status") == "derived").alias("n_derived")).write.mode("append").parquet(f"{path}/headers")
+
+
+def write_ordered(df: DataFrame, path: str, order: list[Column | str]) -> DataFrame:
+    """Files that follow one another in ``order``, read back with each row's ``position`` from 0; positions come from the files' row counts."""
+    spark = df.sparkSession
+    df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order).write.parquet(path)
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", before.alias("_before"))  # a row a file
+    return rows.join(F.broadcast(files), "_file").withColumn("position", F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")

@@ -1,12 +1,13 @@
 """Operators on small tables with values worked out by hand."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from pitpanel.functions import exprs
-from pitpanel.operators import audit, calendars, features, market, periods, policy, ranks, score, versions
+from pitpanel.operators import audit, calendars, contracts, features, market, periods, policy, ranks, score, versions
 from pitpanel.sources import snapshots
 from pitpanel.streaming import increments
 
@@ -148,21 +149,124 @@ def test_quantiles_and_three_valued_rules(spark):
     assert rules == {"clears": "clear", "waits": "pending", "hits": "matched"}
 
 
-def test_scores_by_hand(spark):
-    df = spark.createDataFrame([(80.0, 70.0, 60.0, 50.0, 40.0, 90.0, 30.0)], "G double, V double, M double, EQ double, FS double, CA double, T double")
-    got = df.select(*(c.alias(n) for n, c in score.arithmetic(F.lit(1.0)).items())).first()
-    assert got.base == got.shrunk and got.base == pytest.approx((18 * 80 + 18 * 70 + 14 * 60 + 14 * 50 + 14 * 40 + 14 * 90 + 8 * 30) / 100)
-    assert got.risk_safety == pytest.approx(60.0) and got.exposure == pytest.approx(40.0)
-    bands = one(spark, a=exprs.grade(F.lit(90.0)), b=exprs.grade(F.lit(89.999999)), e=exprs.grade(F.lit(1.0)), n=exprs.grade(F.lit(None).cast("double")))
-    assert bands == {"a": "A+", "b": "A", "e": "E", "n": None}
+HAND = {"G": 80.0, "V": 70.0, "M": 60.0, "EQ": 50.0, "FS": 40.0, "CA": 90.0, "T": 30.0}
+
+
+def test_score_arithmetic_by_hand(spark):
+    risk = dict(zip(score.RISK_SLOTS, map(F.lit, (70.0, 50.0, 60.0, 80.0)), strict=True))
+    got = one(spark, **score.arithmetic({n: F.lit(v) for n, v in HAND.items()}, F.lit(1.0), risk))
+    want = {"S0": 64.40, "Sc": 64.40, "Sbase": 68.222222, "B": 68.222222, "M_persistence": 61.428571, "CA_downside": 68.571429, "R_safety": 51.071429, "risk_exposure": 48.928571}
+    assert got == pytest.approx(want, abs=1e-6)
+    shrunk = one(spark, **score.arithmetic({n: F.lit(v) for n, v in HAND.items()}, F.lit(0.6), risk))
+    assert shrunk["Sc"] == pytest.approx(50 + 0.6 * 14.4) and shrunk["R_safety"] == pytest.approx(want["R_safety"], abs=1e-6)
+    assert sum(score.WEIGHTS.values()) == pytest.approx(1) and all(sum(w for _, w in own) == pytest.approx(1) for own in score.SLOTS.values())
+    assert [len(own) for own in score.SLOTS.values()] == [4, 3, 3, 4, 3, 4, 4]
+
+
+@pytest.mark.parametrize(("quality", "years", "cap", "want"), [(0.8, 4, None, 0.96), (1.0, 4, None, 0.98), (0.8, 5, None, 0.98), (1.0, 5, None, 1.0), (0.995, 4, 0.90, 0.90), (None, 5, 0.90, None)])
+def test_confidence_by_hand(spark, quality, years, cap, want):
+    got = one(spark, **score.confidence(F.lit(quality).cast("double"), F.lit(years), F.lit(cap).cast("double")))
+    assert got["C"] == (None if want is None else pytest.approx(want)) and got["H"] == pytest.approx(years / 5) and got["D"] == got["K"] == 1
+
+
+def test_dimensions_quality_and_branches(spark):
     slots = spark.createDataFrame([("k", "G", 0.5, 10.0), ("k", "G", 0.5, 30.0), ("k", "V", 0.5, 10.0), ("k", "V", 0.5, None)], "k string, d string, w double, v double")
     assert {r.d: r.score for r in score.dimension_scores(slots, ["k"], "d", "w", "v").collect()} == {"G": 20.0, "V": None}
+    evidence = spark.createDataFrame([("a", "timestamp"), ("a", "date_only"), ("b", "timestamp"), ("c", "about"), ("c", "timestamp")], "k string, p string")
+    assert {r.k: r.quality for r in score.temporal_quality(evidence, ["k"], "p").collect()} == {"a": 0.8, "b": 1.0, "c": None}
+    bands = one(spark, a=exprs.grade(F.lit(90.0)), b=exprs.grade(F.lit(89.999999)), e=exprs.grade(F.lit(1.0)), n=exprs.grade(F.lit(None).cast("double")))
+    assert bands == {"a": "A+", "b": "A", "e": "E", "n": None}
+    caps = spark.createDataFrame([("k", "G", 15.0), ("k", "G", 12.0)], "k string, dimension string, cap double")
+    rows = spark.createDataFrame([("k", "G", 20.0), ("k", "V", 7.0), ("k", "M", None)], "k string, dimension string, score double")
+    assert {r.dimension: r.capped for r in score.capped(rows, caps, ["k"]).collect()} == {"G": 12.0, "V": 7.0, "M": None}
+    text = lambda v: F.lit(v).cast("string")
+    branch = lambda linked, status, none, n: one(spark, b=score.consensus_branch(F.lit(linked), text(status), F.lit(none), F.lit(n)))["b"]
+    assert [branch(False, None, None, None), branch(True, None, None, None), branch(True, "no_valid_coverage", True, 0), branch(True, "covered", False, 2), branch(True, "covered", False, 0), branch(True, "no_valid_coverage", False, 0)] == ["unlinked", "absent", "neutral", "covered", "malformed", "malformed"]
+
+
+def test_grouped_ranks_of_a_hot_group_equal_plain_ones(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(k, None if k % 50 == 0 else "hot" if k % 3 else f"g{k % 7}", None if k % 11 == 0 else float(r.randint(0, 40))) for k in range(600)]
+    df = spark.createDataFrame(rows, "k long, g string, v double")
+    got = {(x.g, x.v): (x["rank"], x.n) for x in ranks.bucketed_ranks(df, ["v"], ["g"], 8)["v"].collect()}
+    for g in {x[1] for x in rows}:
+        own = sorted(x[2] for x in rows if x[1] == g and x[2] is not None)
+        for v in set(own):
+            assert got[g, v] == (own.index(v) + 1 + (own.count(v) - 1) / 2, len(own))
+
+
+def test_identities_facts_and_evidence(spark):
+    error = lambda a, b, e: one(spark, x=contracts.identity_error(F.lit(a).cast("string"), F.lit(b).cast("string"), F.lit(e)))["x"]
+    assert [error("600000", "600000.SH", "SH600000"), error("600000", None, "SH600000"), error("", "000001.SZ", "SZ000001"), error(None, "", "SH600000"), error("60000", None, "SH600000"), error("600000", "600000.XX", "SH600000"), error("600000", "600001.SH", "SH600000"), error("600001", None, "SH600000")] == [None, None, None, "missing", "invalid", "invalid", "mismatch", "mismatch"]
+    good = dict(statement="income", nature="duration", period_kind="H1", period_start=dt.date(2024, 1, 1), period_end=dt.date(2024, 6, 30), value=1.0, unit="CNY", announced_at=dt.datetime(2024, 8, 1), updated_at=None, effective_at=dt.datetime(2024, 8, 1))
+    schema = "statement string, nature string, period_kind string, period_start date, period_end date, value double, unit string, announced_at timestamp, updated_at timestamp, effective_at timestamp"
+    broken = lambda **change: spark.createDataFrame([tuple({**good, **change}.values())], schema).select(contracts.fact_violations().alias("b")).first().b
+    assert broken() == [] and broken(nature="instant") == ["statement", "start"] and broken(statement="balance", nature="instant", period_start=None) == []
+    assert broken(period_kind="FY", unit="USD", value=float("inf")) == ["period_kind", "value", "unit"] and broken(updated_at=dt.datetime(2024, 8, 2)) == ["effective"]
+    assert broken(period_start=dt.date(2024, 4, 1)) == ["start"] and broken(nature=None) == ["nature", "statement"]
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    why = lambda url, precision, binding: one(spark, x=contracts.evidence_reasons(F.lit(url), ["a.org"], F.lit(True), at, at, at, F.lit(precision), F.lit(binding).cast("string")))["x"]
+    assert why("https://A.org/x", "timestamp", None) == [] and why("http://b.org", "date_only", None) == ["calendar_binding_missing", "host_not_allowed", "not_https"] and why("https://a.org", "timestamp", "c") == ["calendar_binding_forbidden"]
+    status = lambda *x: one(spark, s=contracts.universe_status(F.lit(x[0]), F.lit(x[1]), F.array(*map(F.lit, x[2]))))["s"]
+    assert [status(False, False, ["v"]), status(True, False, ["v"]), status(True, True, ["v"]), status(True, True, [])] == ["out_of_scope", "pending_evidence", "pool_vetoed", "formal_scored"]
+
+
+def test_market_gate_lists_errors_in_order(spark):
+    rows = spark.createDataFrame([("a", "d", None), ("a", "d", "market_missing_close"), (None, "e", None), ("x", "d", None)], "k string, day string, error string")
+    universe = spark.createDataFrame([("a",), ("b",)], "k string")
+    got = contracts.market_gate(rows, universe, "k", "day", "error", "d").first()
+    assert (got.records, got.universe, got.covered) == (4, 2, 1)
+    assert got.errors == ["market_duplicate_security", "market_outside_universe", "market_incomplete_universe", "market_wrong_date", "market_missing_close"]
+    fine = contracts.market_gate(universe.withColumn("day", F.lit("d")).withColumn("error", F.lit(None).cast("string")), universe, "k", "day", "error", "d").first()
+    assert fine.errors == [] and fine.covered == 2
+
+
+def test_redaction_equals_the_plain_form(spark):
+    import re
+
+    stop = r"[^\s,;\]\[(){}<>\"']+"
+    name = r"(?:[A-Za-z0-9_-]*(?:password|passwd|secret|token|api[_-]?key|access[_-]?key)[A-Za-z0-9_-]*)"
+
+    def plain(text):
+        text = re.sub(r"(?i)https?://[^\s/:@]+:[^\s/@]+@\S+", "[credential url]", text.strip())
+        text = re.sub(r"(?i)\bauthorization\b\s*[:=]\s*(?:(?:bearer|basic)\s+)?[^\s,;]+", "[credential]", text)
+        text = re.sub(r"(?i)\b(?:bearer|basic)\s+[A-Za-z0-9._~+/=-]+", "[credential]", text)
+        text = re.sub(rf"(?i)([\"']{name}[\"']\s*:\s*)(?:\"[^\"]*\"|'[^']*'|[^,}}\]\s]+)", r'\1"[credential]"', text)
+        text = re.sub(rf"(?i)\b{name}\b\s*[:=]\s*[^\s,;]+", "[credential]", text)
+        out = []
+        for k, part in enumerate(re.split(rf"(?i)(https?://{stop})", text)):
+            if k % 2 == 0:
+                for p in (rf"(?i)(?<![A-Za-z0-9])[A-Z]:[\\/]{stop}", rf"(?<![\\/])(?:\\\\|//)[^\\/\s]+[\\/]{stop}", rf"(?<![A-Za-z0-9:])/(?!/){stop}"):
+                    part = re.sub(p, "[path]", part)
+            out.append(part)
+        return "".join(out)[:240]
+
+    texts = ["see https://a.b/c/d and /home/x/y.txt, C:\\Users\\me\\f.txt \\\\srv\\share\\x //srv/s/x", "https://u:p@h/x Authorization: Bearer abc.d basic Zm9v= {\"api_key\": \"s3\", 'token':'x'} password=hunter2; ok a/b 1/2", "", "http://x.y/z,/opt/q (/var/z) key:/no", "  spaced  \n text ", "é" * 300]
+    texts += [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select("text").collect()] if os.path.isdir("/root/testdata/sf0.001") else []
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, t string").select("k", exprs.redacted("t").alias("r")).collect()
+    assert {x.k: x.r for x in rows} == {k: plain(t) for k, t in enumerate(texts)}
+
+
+def test_sinks_run_twice(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (2, "b", 6)], "k long, d string, v long")
+    for _ in range(2):
+        snapshots.append_new(rows, f"file://{tmp_path}/log", ["k"], ["d"])
+    assert spark.read.parquet(f"file://{tmp_path}/log").count() == 2
+    view = f"file://{tmp_path}/view"
+    assert [snapshots.put_view(x, view, ["k", "v"]) for x in (rows, rows.orderBy(F.desc("k")), rows.where("k = 1"))] == ["written", "unchanged", "written"]
+    assert snapshots.view(spark, view).count() == 1
+    ordered = snapshots.write_ordered(spark.range(100).select((F.col("id") * 37 % 100).alias("x")), f"file://{tmp_path}/ordered", [F.desc("x")]).collect()
+    assert sorted((r.position, r.x) for r in ordered) == [(k, 99 - k) for k in range(100)]
+    with pytest.raises(ValueError, match="empty"):
+        snapshots.not_empty(rows.limit(0), "x")
 
 
 def test_cleaning_expressions(spark):
     got = one(spark, a=exprs.number(F.lit(" 1,234.5% ")), b=exprs.number(F.lit("1e400")), c=exprs.number(F.lit("NaN")), d=exprs.code6(F.lit("sh.600000")), e=exprs.code6(F.lit("1.0")), f=exprs.code6(F.lit("1234567")), g=exprs.share(F.lit(85.0)), h=exprs.share(F.lit(101.0)), i=exprs.decimal_text(F.lit("12.500").cast("decimal(10,3)")), j=exprs.decimal_text(F.lit("100").cast("decimal(10,0)")), k=exprs.redacted(F.lit("Bearer abc.def  token=xyz see /home/me/x https://a.org/b")), m=exprs.session_date(F.lit("2024-01-08 09:00:00").cast("timestamp")))
     assert (got["a"], got["b"], got["c"], got["d"], got["e"], got["f"], got["g"], got["h"], got["i"], got["j"]) == (1234.5, None, None, "600000", "000001", None, 0.85, None, "12.5", "100")
-    assert got["k"] == "Bearer [hidden] token=[hidden] see [path] https://a.org/b" and got["m"] == dt.date(2024, 1, 5)
+    assert got["k"] == "[credential]  [credential] see [path] https://a.org/b" and got["m"] == dt.date(2024, 1, 5)
 
 
 def test_flags_absent_is_not_false(spark):
