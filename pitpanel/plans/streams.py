@@ -1,5 +1,6 @@
 """Streaming queries: events and line items read as streams, run to the end, twice where a rerun must add nothing."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.shared import new_path
@@ -35,7 +36,7 @@ def stream_cutoff_views(spark, sf_dir):
 def stream_latest_upsert(spark, sf_dir):
     path, sink = _landed(spark, table(spark, sf_dir, "events").select("user_id", "event_id", "ts")), new_path(spark, "sink")
     increments.latest_upsert(increments.stream(spark, path), sink, new_path(spark, "offsets"), ["user_id"], "ts", "event_id")
-    return spark.read.parquet(increments.last_folder(spark, sink, "generation")).select("user_id", "event_id", "ts")
+    return increments.current(spark, sink, ["user_id"]).select("user_id", "event_id", "ts")
 
 
 @query("T8", "SELECT event_type, count(*) AS n, max(ts) AS latest FROM events GROUP BY 1")
@@ -45,9 +46,12 @@ def stream_counters(spark, sf_dir):
     return spark.read.parquet(increments.last_folder(spark, sink, "state"))
 
 
-@query("T7", "SELECT l_orderkey, count(*) AS pages, CAST(7 AS INTEGER) AS due, count(*) = 7 AS complete FROM lineitem GROUP BY 1")
+@query("T7", """WITH p AS (SELECT l_orderkey, l_linenumber, 1 + l_linenumber % 2 AS generation, count(*) OVER (PARTITION BY l_orderkey, l_linenumber % 2) AS due FROM lineitem), k AS (SELECT * FROM p WHERE NOT (l_orderkey % 10 = 1 AND l_linenumber = 3)),
+g AS (SELECT l_orderkey, generation, count(*) AS pages, max(due) AS due FROM k GROUP BY 1, 2) SELECT l_orderkey, max(generation) AS generation, arg_max(pages, generation) AS pages, arg_max(due, generation) AS due, arg_max(pages = due, generation) AS complete FROM g GROUP BY 1""")
 def stream_page_groups(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", F.lit(7).alias("due"))
+    """Pages of two generations of each order, one of them lost for some; the newest generation counts."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (1 + F.col("l_linenumber") % 2).alias("generation"))
+    rows = rows.withColumn("due", F.count(F.lit(1)).over(Window.partitionBy("l_orderkey", "generation"))).where("NOT (l_orderkey % 10 = 1 AND l_linenumber = 3)")
     path, sink = _landed(spark, rows), new_path(spark, "sink")
-    increments.complete_groups(increments.stream(spark, path), new_path(spark, "offsets"), sink, "l_orderkey", "due")
-    return spark.read.parquet(increments.last_folder(spark, sink, "state"))
+    increments.page_counts(increments.stream(spark, path), new_path(spark, "offsets"), sink, "l_orderkey", "generation", "due")
+    return increments.newest_generations(spark, sink, "l_orderkey", "generation").select("l_orderkey", "generation", "pages", "due", "complete")

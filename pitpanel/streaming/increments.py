@@ -21,21 +21,15 @@ def run(df: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None],
     return query
 
 
-def unique_append(df: DataFrame, sink: str, checkpoint: str, key: list[str]) -> StreamingQuery:
-    """Rows whose key the sink has not seen; repeated content and repeated runs add nothing.
+def unique_append(df: DataFrame, sink: str, checkpoint: str, key: list[str], at: str | None = None, delay: str = "1 day") -> StreamingQuery:
+    """Rows whose key was not seen before; repeated content and repeated runs add nothing.
 
-    A batch goes to a folder of its own that a rerun of the same batch overwrites, so a lost
-    driver leaves no half batch behind.
+    What was seen is kept in the engine's state store, so a batch reads no earlier one. With the event time ``at``, state older
+    than ``delay`` behind the newest row is dropped. A batch goes to a folder of its own that a rerun of the
+    same batch overwrites, so a lost driver leaves no half batch behind.
     """
-
-    def batch(rows: DataFrame, number: int) -> None:
-        spark, fresh = rows.sparkSession, rows.dropDuplicates(key)
-        if number:
-            old = [f"{sink}/batch={k}" for k in range(number)]
-            fresh = fresh.join(spark.read.parquet(*old).select(*key), key, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{sink}/batch={number}")
-
-    return run(df, checkpoint, batch)
+    seen = df.dropDuplicates(key) if at is None else df.withWatermark(at, delay).dropDuplicatesWithinWatermark(key)
+    return run(seen, checkpoint, lambda rows, number: rows.write.mode("overwrite").parquet(f"{sink}/batch={number}"))
 
 
 def cutoff_split(df: DataFrame, sink: str, checkpoint: str, at: str, cutoff: str) -> StreamingQuery:
@@ -49,15 +43,17 @@ def cutoff_split(df: DataFrame, sink: str, checkpoint: str, at: str, cutoff: str
 
 
 def latest_upsert(df: DataFrame, sink: str, checkpoint: str, key: list[str], at: str, tie: str) -> StreamingQuery:
-    """Keeps the newest row of each key: every batch writes a new generation from the last one and its own rows."""
+    """Keeps the newest row of each key in the state store; a batch writes the keys that it changed, and ``current`` reads the last of each."""
+    whole = F.struct(*(F.col(c) for c in df.columns))
+    newest = df.groupBy(*(F.col(k).alias(f"_{k}") for k in key)).agg(F.max_by(whole, F.struct(at, tie)).alias("_r")).select("_r.*")
+    return run(newest, checkpoint, lambda rows, number: rows.write.mode("overwrite").parquet(f"{sink}/batch={number}"), "update")
 
-    def batch(rows: DataFrame, number: int) -> None:
-        every = rows if not number else rows.unionByName(rows.sparkSession.read.parquet(f"{sink}/generation={number - 1}"))
-        whole = F.struct(*(F.col(c) for c in rows.columns))
-        newest = every.groupBy(*key).agg(F.max_by(whole, F.struct(at, tie)).alias("_r")).select("_r.*")
-        newest.write.mode("overwrite").parquet(f"{sink}/generation={number}")
 
-    return run(df, checkpoint, batch)
+def current(spark: SparkSession, sink: str, key: list[str]) -> DataFrame:
+    """Each key's row as its last batch wrote it."""
+    rows = spark.read.parquet(sink)
+    whole = F.struct(*(F.col(c) for c in rows.columns if c != "batch"))
+    return rows.groupBy(*(F.col(k).alias(f"_{k}") for k in key)).agg(F.max_by(whole, "batch").alias("_r")).select("_r.*")
 
 
 def running_counts(df: DataFrame, checkpoint: str, sink: str, by: list[str], total: str) -> StreamingQuery:
@@ -66,10 +62,17 @@ def running_counts(df: DataFrame, checkpoint: str, sink: str, by: list[str], tot
     return run(counts, checkpoint, lambda rows, number: rows.write.mode("overwrite").parquet(f"{sink}/state={number}"), "complete")
 
 
-def complete_groups(df: DataFrame, checkpoint: str, sink: str, request: str, due: str) -> StreamingQuery:
-    """Requests whose pages have all come, as far as the stream has got."""
-    pages = df.groupBy(request).agg(F.count(F.lit(1)).alias("pages"), F.max(due).alias("due"))
-    return run(pages, checkpoint, lambda rows, number: rows.withColumn("complete", F.col("pages") == F.col("due")).write.mode("overwrite").parquet(f"{sink}/state={number}"), "complete")
+def page_counts(df: DataFrame, checkpoint: str, sink: str, request: str, generation: str, due: str) -> StreamingQuery:
+    """Pages that have come of each request and generation; a batch writes what it changed."""
+    pages = df.groupBy(request, generation).agg(F.count(F.lit(1)).alias("pages"), F.max(due).alias("due"))
+    return run(pages, checkpoint, lambda rows, number: rows.write.mode("overwrite").parquet(f"{sink}/batch={number}"), "update")
+
+
+def newest_generations(spark: SparkSession, sink: str, request: str, generation: str) -> DataFrame:
+    """Of each request the newest generation of pages, and whether it is complete."""
+    rows = current(spark, sink, [request, generation])
+    newest = rows.groupBy(F.col(request).alias("_k")).agg(F.max_by(F.struct(*rows.columns), generation).alias("r")).select("r.*")
+    return newest.withColumn("complete", F.col("pages") == F.col("due"))
 
 
 def last_folder(spark: SparkSession, sink: str, name: str) -> str:
