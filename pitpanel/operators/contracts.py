@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.functions.exprs import finite, period_kind, violations
+from pitpanel.functions.exprs import finite, number, period_kind, violations
 
 #: The vocabularies of facts.
 UNITS = ("CNY", "shares", "ratio", "CNY_per_share")
@@ -167,3 +167,78 @@ def invalidated(changed: DataFrame, cohort: DataFrame, scores: DataFrame) -> Dat
     pools = stale.limit(1).select(F.explode(F.array(F.lit("strong"), F.lit("wait"))).alias("id"))
     mark = lambda df, step, column: df.select(F.lit(step).alias("step"), F.col(column).cast("string").alias("id"))
     return mark(members.select("member").distinct(), "member", "member").unionByName(mark(stale, "score", "score")).unionByName(mark(pools, "pool", "id"))
+
+
+def mapped_facts(items: DataFrame, mapping: DataFrame, key: list[str]) -> DataFrame:
+    """Facts and typed issues from item rows (key, field, text) and a mapping (field, metric, required): each item and each required field that a document lacks.
+
+    issue: malformed (no field), unknown_field, duplicate_field, not_numeric or missing_required; null for a fact with its value.
+    """
+    counted = items.groupBy(*key, "field").agg(F.count(F.lit(1)).alias("_n"), F.min("text").alias("text"))
+    known = counted.join(F.broadcast(mapping), "field", "left")
+    value = number(F.col("text"))
+    issue = F.when(F.coalesce(F.trim("field"), F.lit("")) == "", "malformed").when(F.col("metric").isNull(), "unknown_field").when(F.col("_n") > 1, "duplicate_field").when(value.isNull(), "not_numeric")
+    found = known.select(*key, "field", "metric", F.when(issue.isNull(), value).alias("value"), issue.alias("issue"))
+    due = F.array(*(F.struct(F.lit(r.field).alias("field"), F.lit(r.metric).alias("metric")) for r in mapping.where("required").collect()))  # the mapping is configuration
+    every = items.select(*key).distinct().withColumn("d", F.explode(due)).select(*key, "d.*")
+    lacking = every.join(counted.select(*key, "field"), [*key, "field"], "left_anti").select(*key, "field", "metric", F.lit(None).cast("double").alias("value"), F.lit("missing_required").alias("issue"))
+    return found.unionByName(lacking)
+
+
+def context_violations(freeze: Column) -> Column:
+    """What a context fact breaks, by its kind, over kind, exchange, days (sorted dates), volume, close, close_date, effective, stale, listing_status, system, industry, valid_from, ids (of flags or events), coverage, no_coverage and estimates."""
+    c = F.col
+    listed = (F.size("days") > 0) & (c("days") == F.array_sort(F.array_distinct("days")))
+    named = (c("ids") == F.array_sort(F.array_distinct("ids"))) & ~F.exists("ids", lambda i: F.trim(i) == "")
+    kinds = {
+        "trading_calendar": violations(exchange=c("exchange").isin("SH", "SZ", "BJ"), trading_days=listed),
+        "market_close": violations(exchange=c("exchange").isin("SH", "SZ", "BJ"), volume=finite("volume") >= 0, close=finite("close") > 0, freshness=F.when(c("effective"), (c("stale") == 0) & (c("close_date") == freeze)).otherwise((c("stale") > 0) & (c("close_date") < freeze))),
+        "security_state": violations(listing_status=c("listing_status").isin("listed", "delisting_arrangement", "delisted")),
+        "industry_snapshot": violations(system=c("system") == "SW2021", industry=F.trim("industry") != "", effective_date=c("valid_from") <= freeze),
+        "regulatory_state": violations(flags=named), "event_calendar": violations(events=named),
+        "consensus_snapshot": violations(coverage=F.when(c("coverage") == "covered", ~c("no_coverage") & (c("estimates") > 0)).otherwise((c("coverage") == "no_valid_coverage") & c("no_coverage") & (c("estimates") == 0))),
+    }
+    own = F.lit(None).cast("array<string>")
+    for kind, broken in kinds.items():
+        own = F.when(c("kind") == kind, broken).otherwise(own)
+    extra = F.when(c("no_coverage") & (c("kind") != "consensus_snapshot"), F.array(F.lit("no_coverage"))).otherwise(F.array().cast("array<string>"))
+    return F.when(own.isNull(), F.array(F.lit("kind"))).otherwise(F.concat(own, extra))
+
+
+#: The classes of evidence in the order in which they are given.
+COVERAGE = ("not_applicable_signed", "blocked_schema", "blocked_registry", "blocked_identity", "blocked_integrity", "blocked_temporal", "blocked_ambiguous", "blocked_dependency", "terminal_failed", "retryable_failed", "pending", "missing", "verified_no_coverage", "verified_partial", "verified_complete")
+
+
+def coverage_class(tests: dict[str, Column]) -> Column:
+    """The first class of COVERAGE whose test holds; the last one where none does."""
+    out = F.lit(COVERAGE[-1])
+    for name in reversed(COVERAGE[:-1]):
+        out = F.when(F.coalesce(tests[name], F.lit(False)), name).otherwise(out)
+    return out
+
+
+def pool_of(score: Column, floor: Column, confidence: Column, vetoes: Column, strong: tuple[float, float, float], wait: tuple[float, float, float]) -> Column:
+    """strong, wait or none: a bound each on score, weakest dimension and confidence; a veto of a pool or of both keeps out, and nobody is in two pools."""
+    reach = lambda b: (score >= b[0]) & (floor >= b[1]) & (confidence >= b[2])
+    barred = lambda pool: F.arrays_overlap(vetoes, F.array(F.lit(pool), F.lit("both")))
+    return F.when(reach(strong) & ~barred("strong"), "strong").when(reach(wait) & ~barred("wait"), "wait").otherwise("none")
+
+
+def liquidity_state(veto: Column, price: Column) -> tuple[Column, Column]:
+    """(state, effects released) of the market rule: a proven veto with an incomplete price stays pending and releases its pool effect only."""
+    half = (veto == "proven") & (price == "incomplete")
+    state = F.when(veto.isNull() | half | (veto == "pending") | (price == "incomplete"), "pending_evidence").when(veto == "proven", "matched").otherwise("clear")
+    return state, F.when(F.coalesce(half, F.lit(False)), "pool").when(state == "matched", "all").otherwise("none")
+
+
+def annual_series(facts: DataFrame, key: list[str], year: str, value: str, basis: str, last: int, years: int = 5) -> DataFrame:
+    """values of the ``years`` up to ``last`` in order and a state: ready, pending (a year lacks) or domain_conflict (several bases)."""
+    rows = facts.where(F.col(year).between(last - years + 1, last) & F.col(value).isNotNull())
+    out = rows.groupBy(*key).agg(F.array_sort(F.collect_set(F.struct(F.col(year).alias("y"), F.col(value).alias("v")))).alias("_s"), F.countDistinct(basis).alias("_bases"), F.countDistinct(year).alias("_n"))
+    state = F.when(F.col("_bases") > 1, "domain_conflict").when(F.col("_n") < years, "pending").otherwise("ready")
+    return out.select(*key, state.alias("state"), F.when(state == "ready", F.transform("_s", lambda x: x["v"])).alias("values"))
+
+
+def set_differences(stored: DataFrame, derived: DataFrame) -> DataFrame:
+    """Rows that one of two multisets has more often, with ``side`` (stored or derived)."""
+    return stored.exceptAll(derived).withColumn("side", F.lit("stored")).unionByName(derived.exceptAll(stored).withColumn("side", F.lit("derived")))

@@ -80,3 +80,25 @@ def leaves(node: dict | str | float) -> list[str]:
     """The facts that a formula tree reads, in order, each once."""
     found = [node] if isinstance(node, str) else [x for a in node["args"] for x in leaves(a)] if isinstance(node, dict) else []
     return list(dict.fromkeys(found))
+
+
+def unit_of(node: dict | str | float, units: dict[str, str]) -> str:
+    """The unit of a formula, worked out when the plan is made: sums need one unit, a quotient of equal units is a ratio; anything else is an error."""
+    if isinstance(node, str):
+        return units[node]
+    if isinstance(node, int | float):
+        return "number"
+    own = [unit_of(a, units) for a in node["args"]]
+    kinds = list(dict.fromkeys(u for u in own if u != "number"))
+    if node["op"] == "divide":
+        return "ratio" if own[0] == own[1] else own[0] if own[1] == "number" else f"{own[0]}_per_{own[1]}"
+    if len(kinds) > 1:
+        raise ValueError(f"{node['op']} of {' and '.join(kinds)}")
+    return "ratio" if node["op"] == "cagr" else kinds[0] if kinds else "number"
+
+
+def evaluated(node: dict | str | float, facts: dict[str, Column], units: dict[str, str]) -> tuple[Column, str, Column]:
+    """(value, unit, reason) of a formula tree; the reason for a null names the first missing fact in alphabetical order, else the domain."""
+    value, own = compiled(node, facts), sorted(leaves(node))
+    missing = F.coalesce(*(F.when(facts[n].isNull(), F.lit(f"missing:{n}")) for n in own))
+    return value, unit_of(node, units), F.when(value.isNull(), F.coalesce(missing, F.lit("domain")))

@@ -74,3 +74,16 @@ def carried_forward(at_cutoff: DataFrame, observed: DataFrame, previous: DataFra
     """The rows at the cutoff, and for keys seen only later the row that the last view held."""
     late = observed.join(at_cutoff, key, "left_anti").select(*key).distinct()
     return at_cutoff.withColumn("carried", F.lit(False)).unionByName(previous.join(late, key, "left_semi").withColumn("carried", F.lit(True)))
+
+
+def formal_winner(df: DataFrame, key: list[str], published: str, updated: str, captured: str, content: str, kind: list[str]) -> DataFrame:
+    """Each key's newest version by published, updated (null last), captured, then the smallest content hash; mixed_kind where parser or mapping differ.
+
+    Rows that agree in all of that are one version. Sums combine before the shuffle; no version list is gathered.
+    """
+    # For a hash the smallest wins: its digits are turned over so that the largest struct has it.
+    turned = F.translate(F.col(content), "0123456789abcdef", "fedcba9876543210")
+    order = F.struct(F.col(published), F.col(updated).isNotNull(), F.col(updated), F.col(captured), turned)
+    spread = [F.min(F.struct(*kind)).alias("_lo"), F.max(F.struct(*kind)).alias("_hi")]
+    best = df.groupBy(*key).agg(F.max_by(F.struct(*(F.col(x) for x in df.columns if x not in key)), order).alias("_b"), *spread)
+    return best.select(*key, "_b.*", F.when(F.col("_lo") == F.col("_hi"), "chosen").otherwise("mixed_kind").alias("state"))

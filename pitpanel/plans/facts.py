@@ -56,13 +56,13 @@ def feature_coverage(spark, sf_dir):
 TREE = {"op": "divide", "args": [{"op": "subtract", "args": ["revenue", {"op": "median", "args": ["discounts", "tax", "quantity"]}]}, {"op": "add", "args": [{"op": "minimum", "args": ["discounts", "tax"]}, 1.0]}]}
 
 
-@query("F21", f"WITH {TALL} SELECT s, y, round((revenue - CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL AND quantity IS NOT NULL THEN list_sort([discounts, tax, quantity])[2] END) / nullif(CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL THEN least(discounts, tax) END + 1, 0), 6) AS value FROM wide")
+@query("F7", f"WITH {TALL} SELECT s, y, round((revenue - CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL AND quantity IS NOT NULL THEN list_sort([discounts, tax, quantity])[2] END) / nullif(CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL THEN least(discounts, tax) END + 1, 0), 6) AS value FROM wide")
 def formula_tree(spark, sf_dir):
     w = features.wide(tall(spark, sf_dir), ["s", "y"], "metric", "value", features.leaves(TREE), "unit")
     return w.select("s", "y", F.round(features.compiled(TREE, {k: F.col(k) for k in features.leaves(TREE)}), 6).alias("value"))
 
 
-@query("P15", """WITH m(priority, field, metric, least) AS (VALUES ('1-URGENT', 'a', 'urgent', 0), ('2-HIGH', 'b', 'high', 0), ('3-MEDIUM', 'c', 'medium', 100000), ('9-NONE', 'd', 'none', 0)),
+@query("P5", """WITH m(priority, field, metric, least) AS (VALUES ('1-URGENT', 'a', 'urgent', 0), ('2-HIGH', 'b', 'high', 0), ('3-MEDIUM', 'c', 'medium', 100000), ('9-NONE', 'd', 'none', 0)),
 i AS (SELECT o_custkey, o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v FROM orders GROUP BY 1, 2)
 SELECT o_custkey, o_orderpriority AS item, metric, CASE WHEN metric IS NULL THEN 'unknown_field' WHEN n > 3 THEN 'repeated_field' WHEN v < least THEN 'below_least' END AS issue FROM i LEFT JOIN m ON priority = o_orderpriority""")
 def mapped_items(spark, sf_dir):
@@ -137,7 +137,7 @@ def resolved_aliases(spark, sf_dir):
     return rows.select("o_orderkey", exprs.first_present(rows.columns, "total", "amount").alias("present"), exprs.first_finite("x", "y").alias("finite"), F.coalesce(exprs.security_id("id1"), exprs.security_id("id2")).alias("id"), F.array_join(F.array_sort(F.array_distinct(tags)), ",").alias("hashes"))
 
 
-@query("P27", """SELECT doc_id, nullif(concat_ws(',', CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de', 'fr') THEN 'lang' END, CASE WHEN n_chars IS NULL OR n_chars < 300 THEN 'short' END, CASE WHEN source IS NULL OR NOT regexp_full_match(source, 'src[0-9]') THEN 'source' END), '') AS broken FROM documents""")
+@query("P2", """SELECT doc_id, nullif(concat_ws(',', CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de', 'fr') THEN 'lang' END, CASE WHEN n_chars IS NULL OR n_chars < 300 THEN 'short' END, CASE WHEN source IS NULL OR NOT regexp_full_match(source, 'src[0-9]') THEN 'source' END), '') AS broken FROM documents""")
 def context_violations(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     broken = exprs.violations(lang=F.col("lang").isin("en", "de", "fr"), short=F.col("n_chars") >= 300, source=F.col("source").rlike("^src[0-9]$"))

@@ -14,7 +14,7 @@ def decision_cover(spark, sf_dir):
     return audit.cover_errors(table(spark, sf_dir, "customer"), d, ["c_custkey"])
 
 
-@query("J8 J9", "SELECT l_orderkey, l_linenumber, CASE WHEN o_orderkey IS NULL THEN 'absent' ELSE 'differs' END AS error FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 9 <> 2) ON o_orderkey = l_orderkey WHERE o_orderkey IS NULL OR o_orderstatus IS DISTINCT FROM l_linestatus")
+@query("J19", "SELECT l_orderkey, l_linenumber, CASE WHEN o_orderkey IS NULL THEN 'absent' ELSE 'differs' END AS error FROM lineitem LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 9 <> 2) ON o_orderkey = l_orderkey WHERE o_orderkey IS NULL OR o_orderstatus IS DISTINCT FROM l_linestatus")
 def evidence_errors(spark, sf_dir):
     parents = table(spark, sf_dir, "orders").where("o_orderkey % 9 <> 2").withColumnRenamed("o_orderkey", "l_orderkey")
     children = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus")
@@ -93,7 +93,7 @@ def status_counts(spark, sf_dir):
     return audit.state_counts(table(spark, sf_dir, "orders"), "o_orderstatus", ["F", "O", "P", "X"])
 
 
-@query("A25", "WITH a AS (SELECT count(*) AS n, count(*) FILTER (WHERE quality IS NOT NULL) AS q, count(*) FILTER (WHERE toxic = 1) AS t FROM labels), g AS (SELECT unnest(['rows', 'quality', 'toxic']) AS gate, unnest([n > 0, q = n, t = 0]) AS ok, unnest([n, q, t]) AS evidence FROM a) SELECT gate, CASE WHEN ok THEN 'passed' ELSE 'failed' END AS status, evidence FROM g")
+@query("S6", "WITH a AS (SELECT count(*) AS n, count(*) FILTER (WHERE quality IS NOT NULL) AS q, count(*) FILTER (WHERE toxic = 1) AS t FROM labels), g AS (SELECT unnest(['rows', 'quality', 'toxic']) AS gate, unnest([n > 0, q = n, t = 0]) AS ok, unnest([n, q, t]) AS evidence FROM a) SELECT gate, CASE WHEN ok THEN 'passed' ELSE 'failed' END AS status, evidence FROM g")
 def release_gates(spark, sf_dir):
     a = table(spark, sf_dir, "labels").agg(F.count(F.lit(1)).alias("n"), F.count("quality").alias("q"), F.count_if(F.col("toxic") == 1).alias("t"))
     gate = lambda name, ok, seen: F.struct(F.lit(name).alias("gate"), F.when(ok, "passed").otherwise("failed").alias("status"), seen.alias("evidence"))

@@ -24,13 +24,13 @@ def _versions(spark, sf_dir):
 VERSIONS = "ver AS (SELECT event_id, user_id, event_type, make_timestamp(CAST(floor(epoch(ts) / 21600) AS BIGINT) * 21600 * 1000000) AS announced, CASE WHEN event_id % 3 = 0 THEN date_trunc('hour', ts) END AS updated, CASE WHEN event_id % 100 <> 0 THEN date_trunc('hour', ts) END AS fetched, round(value, 0) AS v FROM events)"
 
 
-@query("W6 S5", "SELECT user_id, event_type, event_id, ts, round(value, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id) AS n FROM events) WHERE n = 1")
+@query("W6", "SELECT user_id, event_type, event_id, ts, round(value, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC NULLS LAST, event_id) AS n FROM events) WHERE n = 1")
 def latest_event_version(spark, sf_dir):
     best = versions.newest(table(spark, sf_dir, "events"), ["user_id", "event_type"], [F.col("ts").desc_nulls_last(), F.col("event_id").asc()])
     return best.select("user_id", "event_type", "event_id", "ts", F.round("value", 6).alias("value"))
 
 
-@query("W7 A8 P23 S24", f"""WITH {VERSIONS}, seen AS (SELECT * FROM ver WHERE announced <= {MID} AND (updated IS NULL OR updated <= {MID})),
+@query("W7 A8 P23", f"""WITH {VERSIONS}, seen AS (SELECT * FROM ver WHERE announced <= {MID} AND (updated IS NULL OR updated <= {MID})),
 r AS (SELECT *, rank() OVER (PARTITION BY user_id, event_type ORDER BY announced DESC, updated DESC NULLS LAST, fetched DESC NULLS LAST) AS k, bool_or(fetched IS NULL) OVER (PARTITION BY user_id, event_type) AS blocked FROM seen),
 g AS (SELECT user_id, event_type, bool_or(blocked) AS blocked, max(event_id) FILTER (WHERE k = 1) AS event_id, min(v) FILTER (WHERE k = 1) AS lo, max(v) FILTER (WHERE k = 1) AS hi FROM r GROUP BY 1, 2)
 SELECT user_id, event_type, CASE WHEN blocked THEN 'unknown_fetch' WHEN lo IS DISTINCT FROM hi THEN 'conflict' ELSE 'chosen' END AS state, CASE WHEN NOT blocked AND lo IS NOT DISTINCT FROM hi THEN event_id END AS event_id, CASE WHEN NOT blocked AND lo IS NOT DISTINCT FROM hi THEN lo END AS v FROM g""")
@@ -38,7 +38,7 @@ def visible_event_versions(spark, sf_dir):
     return versions.visible_versions(_versions(spark, sf_dir), ["user_id", "event_type"], "announced", "updated", "fetched", ["v"], _mid(), "event_id").select("user_id", "event_type", "state", "event_id", "v")
 
 
-@query("W8", f"""WITH {VERSIONS}, r AS (SELECT *, rank() OVER (PARTITION BY user_id ORDER BY announced DESC, updated DESC NULLS LAST) AS k, count(DISTINCT event_type) OVER (PARTITION BY user_id) > 4 AS mixed FROM ver WHERE announced <= {MID}),
+@query("A8", f"""WITH {VERSIONS}, r AS (SELECT *, rank() OVER (PARTITION BY user_id ORDER BY announced DESC, updated DESC NULLS LAST) AS k, count(DISTINCT event_type) OVER (PARTITION BY user_id) > 4 AS mixed FROM ver WHERE announced <= {MID}),
 t AS (SELECT *, count(*) OVER (PARTITION BY user_id) AS ties FROM r WHERE k = 1)
 SELECT DISTINCT user_id, announced, CASE WHEN mixed THEN 'mixed_kind' WHEN ties > 1 THEN 'tie' ELSE 'chosen' END AS state FROM t""")
 def unique_winner_versions(spark, sf_dir):
@@ -164,7 +164,7 @@ def required_history(spark, sf_dir):
     return out.select("o_custkey", F.size("missing").cast("long").alias("absent"), F.try_element_at("missing", F.lit(1)).alias("first_absent"))
 
 
-@query("W11 W12 A27 R4", f"""WITH {DAILY}, days AS (SELECT DISTINCT day FROM daily), grid AS (SELECT u.user_id, d.day, CASE WHEN y.user_id IS NULL THEN 'inactive' WHEN bad THEN NULL ELSE 'active' END AS st, y.value FROM (SELECT DISTINCT user_id FROM daily) u CROSS JOIN days d LEFT JOIN daily y ON y.user_id = u.user_id AND y.day = d.day),
+@query("W11 W12", f"""WITH {DAILY}, days AS (SELECT DISTINCT day FROM daily), grid AS (SELECT u.user_id, d.day, CASE WHEN y.user_id IS NULL THEN 'inactive' WHEN bad THEN NULL ELSE 'active' END AS st, y.value FROM (SELECT DISTINCT user_id FROM daily) u CROSS JOIN days d LEFT JOIN daily y ON y.user_id = u.user_id AND y.day = d.day),
 i AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day) AS i FROM grid),
 w AS (SELECT *, max(CASE WHEN st = 'active' THEN 1 ELSE 0 END) OVER near AS seen, count(*) FILTER (WHERE st = 'inactive') OVER near AS idle, max(CASE WHEN st = 'active' THEN i END) OVER far AS li, max(CASE WHEN st IS NULL THEN i END) OVER far AS hole FROM i WINDOW near AS (PARTITION BY user_id ORDER BY day ROWS 4 PRECEDING), far AS (PARTITION BY user_id ORDER BY day ROWS 19 PRECEDING))
 SELECT w.user_id, w.day, CASE WHEN seen = 1 THEN 'clear' WHEN idle = 5 THEN 'proven' ELSE 'pending' END AS veto, CASE WHEN coalesce(li, 0) > coalesce(hole, 0) THEN 'found' WHEN hole IS NOT NULL OR w.i < 20 THEN 'incomplete' ELSE 'no_value' END AS price_state,
