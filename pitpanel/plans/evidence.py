@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from pitpanel.functions import exprs
-from pitpanel.operators import contracts, features, versions
+from pitpanel.operators import contracts, features, periods, versions
 
 from .base import PANEL, YEARS, panel, query, supplier_years, table
-from .facts import COLUMNS, TALL, tall
+from .facts import COLUMNS, DERIVED, DERIVED_SQL, STATEMENT, TALL, tall
 
 FORMULAS = {
     "margin": {"op": "divide", "args": [{"op": "subtract", "args": ["revenue", "discounts"]}, "revenue"]},
@@ -168,3 +168,79 @@ def release_gate_rows(spark, sf_dir):
     rows = F.array(*(F.struct(F.lit(n).alias("gate"), F.when(ok, "passed").otherwise("failed").alias("status"), (F.col(seen) if isinstance(seen, str) else seen).cast("long").alias("evidence")) for n, ok, seen in gates))
     why = F.array_join(F.array_sort(exprs.violations(**{n: ok for n, ok, _ in gates})), ",")
     return one.select(why.alias("reasons"), F.explode(rows).alias("g")).select("g.*", "reasons")
+
+
+@query("S8", """WITH d AS (SELECT o_orderpriority AS p, CAST(o_orderdate AS DATE) AS day, arg_min(o_totalprice, o_orderkey) AS o, max(o_totalprice) AS h, min(o_totalprice) AS l, arg_max(o_totalprice, o_orderkey) AS c, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS a, bool_or(o_orderstatus = 'P') AS st FROM orders GROUP BY 1, 2),
+b AS (SELECT *, lag(c) OVER (PARTITION BY p ORDER BY day) AS pre FROM d)
+SELECT CAST(day AS VARCHAR) AS date, 'sh.' || left(p, 1) AS code, CAST(CAST(o AS DECIMAL(18,2)) AS VARCHAR) AS open, CAST(CAST(h AS DECIMAL(18,2)) AS VARCHAR) AS high, CAST(CAST(l AS DECIMAL(18,2)) AS VARCHAR) AS low, CAST(CAST(c AS DECIMAL(18,2)) AS VARCHAR) AS close, CAST(CAST(pre AS DECIMAL(18,2)) AS VARCHAR) AS preclose, CAST(n AS VARCHAR) AS volume, CAST(CAST(a AS DECIMAL(18,2)) AS VARCHAR) AS amount, '3' AS adjustflag, CAST(n * 2 AS VARCHAR) AS turn, CASE WHEN n > 1 THEN '1' ELSE '0' END AS tradestatus,
+ CASE WHEN pre IS NULL THEN NULL WHEN c > pre THEN 'up' ELSE 'down' END AS "pctChg", CAST(n % 7 AS VARCHAR) AS "peTTM", CAST(n % 5 AS VARCHAR) AS "pbMRQ", CAST(n % 3 AS VARCHAR) AS "psTTM", CAST(NULL AS VARCHAR) AS "pcfNcfTTM", CASE WHEN st THEN '1' ELSE '0' END AS "isST" FROM b""")
+def daily_source(spark, sf_dir):
+    """Daily rows of each kind with the eighteen text columns of the source, checked and in its order."""
+    from pyspark.sql import Window
+
+    text = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
+    d = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("day")).agg(F.min_by("o_totalprice", "o_orderkey").alias("o"), F.max("o_totalprice").alias("h"), F.min("o_totalprice").alias("l"), F.max_by("o_totalprice", "o_orderkey").alias("c"), F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("a"), F.bool_or(F.col("o_orderstatus") == "P").alias("st"))
+    b = d.withColumn("pre", F.lag("c").over(Window.partitionBy("p").orderBy("day")))
+    n = F.col("n")
+    return b.select(
+        F.col("day").cast("string").alias("date"), F.concat(F.lit("sh."), F.substring("p", 1, 1)).alias("code"), text("o").alias("open"), text("h").alias("high"), text("l").alias("low"), text("c").alias("close"), text("pre").alias("preclose"), n.cast("string").alias("volume"), text("a").alias("amount"), F.lit("3").alias("adjustflag"), (n * 2).cast("string").alias("turn"), F.when(n > 1, "1").otherwise("0").alias("tradestatus"),
+        F.when(F.col("pre").isNotNull(), F.when(F.col("c") > F.col("pre"), "up").otherwise("down")).alias("pctChg"), (n % 7).cast("string").alias("peTTM"), (n % 5).cast("string").alias("pbMRQ"), (n % 3).cast("string").alias("psTTM"), F.lit(None).cast("string").alias("pcfNcfTTM"), F.when(F.col("st"), "1").otherwise("0").alias("isST"),
+    )
+
+
+@query("P11", """WITH t AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 = 0 THEN 'SH' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS a, CASE WHEN o_orderkey % 4 = 1 THEN 'sz.' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS b, CASE WHEN o_orderkey % 4 < 3 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS c FROM orders),
+u AS (SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS six, CASE WHEN c_nationkey < 12 THEN 'SH' ELSE 'SZ' END || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS id FROM customer WHERE c_custkey % 3 <> 0)
+SELECT o_orderkey, coalesce(a, upper(left(b, 2)) || right(b, 6), u.id) AS id FROM t LEFT JOIN u ON u.six = lpad(c, 6, '0')""")
+def market_ids(spark, sf_dir):
+    """A market row's id from three spellings, the last by a lookup of its six digits."""
+    k, text = F.col("o_orderkey") % 4, F.lpad(F.col("o_custkey").cast("string"), 6, "0")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.when(k == 0, F.concat(F.lit("SH"), text)).alias("a"), F.when(k == 1, F.concat(F.lit("sz."), text)).alias("b"), F.when(k == 3, F.col("o_custkey").cast("string")).alias("c"))
+    code = F.lpad(F.col("c_custkey").cast("string"), 6, "0")
+    lookup = table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(code.alias("six"), F.concat(F.when(F.col("c_nationkey") < 12, "SH").otherwise("SZ"), code).alias("found"))
+    joined = rows.join(lookup, exprs.code6("c") == F.col("six"), "left")
+    return joined.select("o_orderkey", F.coalesce(exprs.security_id("a"), exprs.security_id(F.regexp_replace("b", r"\.", "")), F.col("found")).alias("id"))
+
+
+@query("P30", """SELECT event_id, coalesce(json_extract_string(d, '$.a.b'), json_extract_string(d, '$.a.c'), json_extract_string(d, '$.e')) AS v FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"a": {"b": "x", "c": "y"}}' WHEN 1 THEN '{"a": {"b": null, "c": "' || event_type || '"}}' WHEN 2 THEN '{"a": {}, "e": "' || user_id || '"}' ELSE '{}' END AS d FROM events)""")
+def nested_paths(spark, sf_dir):
+    """The first of several nested paths that holds a value."""
+    k = F.col("event_id") % 4
+    doc = F.when(k == 0, '{"a": {"b": "x", "c": "y"}}').when(k == 1, F.concat(F.lit('{"a": {"b": null, "c": "'), "event_type", F.lit('"}}'))).when(k == 2, F.concat(F.lit('{"a": {}, "e": "'), F.col("user_id").cast("string"), F.lit('"}'))).otherwise("{}")
+    return table(spark, sf_dir, "events").select("event_id", F.coalesce(*(F.get_json_object(doc, p) for p in ("$.a.b", "$.a.c", "$.e"))).alias("v"))
+
+
+@query("T4", """WITH now AS (SELECT c_custkey, sha256(CAST(c_nationkey AS VARCHAR) || chr(31) || c_mktsegment) AS h, CASE WHEN c_nationkey = 3 THEN 'v2' ELSE 'v1' END AS rule FROM customer), st AS (SELECT c_custkey, CASE WHEN c_custkey % 19 = 2 THEN 'old' ELSE h END AS h, 'v1' AS rule FROM now WHERE c_custkey % 23 <> 4)
+SELECT now.c_custkey, CASE WHEN st.h IS NULL THEN 'new' WHEN st.h <> now.h THEN 'inputs' WHEN st.rule <> now.rule THEN 'rule' END AS why FROM now LEFT JOIN st USING (c_custkey) WHERE st.h IS NULL OR st.h <> now.h OR st.rule <> now.rule""")
+def recomputed_members(spark, sf_dir):
+    """Who must be computed again, and whether for new inputs or a new rule version; all others are left as they are."""
+    now = table(spark, sf_dir, "customer").select("c_custkey", exprs.row_hash("c_nationkey", "c_mktsegment").alias("h"), F.when(F.col("c_nationkey") == 3, "v2").otherwise("v1").alias("rule"))
+    before = now.where("c_custkey % 23 <> 4").select("c_custkey", F.when(F.col("c_custkey") % 19 == 2, "old").otherwise(F.col("h")).alias("h0"), F.lit("v1").alias("rule0"))
+    why = F.when(F.col("h0").isNull(), "new").when(F.col("h0") != F.col("h"), "inputs").when(F.col("rule0") != F.col("rule"), "rule")
+    return now.join(before, "c_custkey", "left").select("c_custkey", why.alias("why")).where("why is not null")
+
+
+YEARS_OF = tuple(range(1995, 2002))
+SLOT_NAMES = (*DERIVED, "interest_cover")
+
+
+@query("F6", f"""WITH {TALL}, {DERIVED_SQL}, cv AS (SELECT s, y, 'interest_cover' AS feature, (revenue + tax) / nullif(tax, 0) AS value FROM wide), every AS (SELECT s, y, feature, value, status = 'not_applicable' AS na FROM f UNION ALL SELECT *, false FROM cv),
+sp AS (SELECT s, y, feature FROM (SELECT DISTINCT s FROM years) CROSS JOIN (SELECT unnest([{', '.join(f"'{n}'" for n in (*DERIVED, 'interest_cover'))}]) AS feature) CROSS JOIN (SELECT unnest(generate_series(1995, 2001)) AS y)),
+a AS (SELECT sp.s, sp.feature || '.' || sp.y AS slot, value, e.s IS NULL AS gone, coalesce(na, false) AS na FROM sp LEFT JOIN every e ON e.s = sp.s AND e.y = sp.y AND e.feature = sp.feature),
+g AS (SELECT b.s, 'growth.' || b.y AS slot, 200 * (n.revenue - o.revenue) / nullif(abs(n.revenue) + abs(o.revenue), 0) AS value, n.s IS NULL OR o.s IS NULL AS gone, false AS na FROM (SELECT s, y FROM (SELECT DISTINCT s FROM years) CROSS JOIN (SELECT unnest(generate_series(1996, 2001)) AS y)) b LEFT JOIN wide n ON n.s = b.s AND n.y = b.y LEFT JOIN wide o ON o.s = b.s AND o.y = b.y - 1)
+SELECT s, slot, CASE WHEN NOT na THEN round(value + 3e-8, 6) END AS value, CASE WHEN na THEN 'not_applicable' WHEN value IS NULL THEN 'missing' ELSE 'derived' END AS status, CASE WHEN na THEN 'template' WHEN gone THEN 'period_absent' WHEN value IS NULL THEN 'operand_missing' END AS reason FROM (SELECT * FROM a UNION ALL SELECT * FROM g)""")
+def feature_catalogue(spark, sf_dir):
+    """Ninety slots of each supplier: twelve metrics in seven years and six growth rates, each derived, missing or not applicable."""
+    w = features.wide(tall(spark, sf_dir), ["s", "y"], "metric", "value", list(COLUMNS), "unit")
+    made = features.derived({k: F.col(v) for k, v in STATEMENT.items()})
+    rows = w.select("s", "y", "revenue", *(made[n].alias(n) for n in DERIVED), F.try_divide(F.col("revenue") + F.col("tax"), F.col("tax")).alias("interest_cover"))
+    long = rows.select("s", "y", F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in SLOT_NAMES))).alias("f")).select("s", F.concat_ws(".", "f.name", "y").alias("slot"), "f.value", ((F.col("s") % 4 == 0) & (F.col("f.name") == "accruals")).alias("na"))
+    grown = periods.with_opening(rows, ["s"], "y", ["revenue"], F.col("y") - 1)
+    before = rows.select("s", (F.col("y") + 1).alias("y"))
+    grown = grown.join(before, ["s", "y"], "left_semi").select("s", F.concat(F.lit("growth."), F.col("y")).alias("slot"), exprs.symmetric_growth("revenue", "opening_revenue").alias("value"), F.lit(False).alias("na"))
+    names = [*(f"{n}.{y}" for n in SLOT_NAMES for y in YEARS_OF), *(f"growth.{y}" for y in YEARS_OF[1:])]
+    spine = rows.select("s").distinct().withColumn("slot", F.explode(F.array(*map(F.lit, names))))
+    found = spine.join(long.unionByName(grown).withColumn("there", F.lit(True)), ["s", "slot"], "left")
+    na, value = F.coalesce("na", F.lit(False)), F.col("value")
+    status = F.when(na, "not_applicable").when(value.isNull(), "missing").otherwise("derived")
+    reason = F.when(na, "template").when(F.col("there").isNull(), "period_absent").when(value.isNull(), "operand_missing")
+    return found.select("s", "slot", F.when(~na, F.round(value + 3e-8, 6)).alias("value"), status.alias("status"), reason.alias("reason"))
