@@ -1,69 +1,64 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
-One pass over the texts keeps, of each document that shares any n-gram with a test item, the words
-around it as numbers of the items' vocabulary. From these follow how many documents hold each
-n-gram, each item's rarest n-grams (its seeds), and the local alignment of an item with the words
-around its seeds. Test items go through in blocks of bounded size, so what a task gets is bounded.
+One pass over the texts, whatever the benchmark's size: words become hashes, and a text is kept, as its
+words' hashes, if any of its n-grams passes a bitmap of the items' n-grams. How many texts hold each
+n-gram, which of an item's n-grams are rare enough to be its seeds, and which texts meet which items by
+a seed are plain groupings and joins. Only texts and items that meet are aligned, around the seeds.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import bytes_of, joined, slices, small_batches, word_hashes, written
+from .tokens import byte_kinds
 
 WORD = re.compile(r"\w+")
 MATCH, MISMATCH, GAP = 2, -1, -1
+#: Bits of the items' bitmap: 256 for each n-gram, within these powers of two (2 to 32 MB). Beyond, more texts pass it in vain.
+LEAST_BITS, MOST_BITS = 24, 28
 
 
 def words(text: str | None) -> list[str]:
+    """A text's words; the plain form of ``hashed_words``."""
     return WORD.findall(text.lower()) if text else []
 
 
-class Items:
-    """A block of test items: their vocabulary, numbered words and n-grams."""
-
-    def __init__(self, rows: list[tuple[int, str]], n: int):
-        self.n = n
-        split = [(k, words(t)) for k, t in rows]
-        split = [(k, w) for k, w in split if len(w) >= n]
-        self.vocabulary = {w: i for i, w in enumerate(sorted({x for _, ws in split for x in ws}))}
-        self.keys = [k for k, _ in split]
-        self.words = [np.array([self.vocabulary[x] for x in w], np.int32) for _, w in split]
-        grams = [self.grams(w) for w in self.words]
-        self.known = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.int64)
-        self.of = [np.searchsorted(self.known, g) for g in grams]
-        self.reach = 2 * max(map(len, self.words), default=0)
-
-    def grams(self, ids: np.ndarray) -> np.ndarray:
-        """A number for each run of n words; -1 where one of them is in no item."""
-        if len(ids) < self.n:
-            return np.zeros(0, np.int64)
-        base, out, ok = len(self.vocabulary) + 1, np.zeros(len(ids) - self.n + 1, np.int64), True
-        for k in range(self.n):
-            part = ids[k : len(ids) - self.n + 1 + k].astype(np.int64)
-            out, ok = out * base + part, ok & (part >= 0)
-        return np.where(ok, out, -1)
-
-    def hits(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places, n-gram numbers) of the items' n-grams in a text."""
-        g = self.grams(ids)
-        at = np.flatnonzero(g >= 0)
-        where = np.searchsorted(self.known, g[at])
-        ok = (where < len(self.known)) & (self.known[np.minimum(where, len(self.known) - 1)] == g[at]) if len(self.known) else np.zeros(len(at), bool)
-        return at[ok], where[ok]
+@cache
+def word_characters() -> np.ndarray:
+    """1 for each character that words are made of."""
+    held = np.zeros(0x110000, np.uint8)
+    held[[n for n in range(0x110000) if WORD.match(chr(n))]] = 1
+    return held
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit hashes of all texts' lower-cased words, one text behind the other, and each text's number of words."""
+    data, ends = bytes_of(pc.utf8_lower(texts))
+    hashes, held = word_hashes(data, ends, byte_kinds(data, word_characters()) == 1)
+    return hashes.astype("<u4"), held
+
+
+def grams(ids: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash for each run of n words."""
+    run = np.zeros(max(0, len(ids) - n + 1), np.uint64)
+    for k in range(n):
+        run = joined(run, ids[k : k + len(run)].astype(np.uint64))
+    return run
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """The best local alignment's score and its first and last place in ``text`` (inclusive).
 
-    A row of the table at a time; gaps along the text by a running maximum. Words in no item match nothing.
+    A row of the table at a time; gaps along the text by a running maximum.
     """
     n = len(text)
     step = np.arange(n + 1, dtype=np.int64) * -GAP
@@ -85,114 +80,118 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return best, first, last
 
 
-def near_hits(docs: DataFrame, items: Items, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, ids, places) of the documents that share an n-gram: the words within reach of one, -2 between stretches."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = items.vocabulary.get
-        for batch in batches:
-            for lo, hi in slices(batch.column("text"), 4 << 20):
-                part, out = batch.slice(lo, hi - lo), [[], [], []]
-                for key, text in zip(part.column("key").to_pylist(), part.column("text").to_pylist(), strict=True):
-                    found = words(text)
-                    ids = np.array([get(w, -1) for w in found], np.int32)
-                    at, _ = items.hits(ids)
-                    if not len(at):
-                        continue
-                    edge = np.zeros(len(ids) + 1, np.int64)
-                    np.add.at(edge, np.maximum(at - items.reach, 0), 1)
-                    np.add.at(edge, np.minimum(at + items.n + items.reach, len(ids)), -1)
-                    near = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-                    breaks = np.flatnonzero(np.diff(near) > 1) + 1
-                    for column, v in zip(out, (key, np.insert(ids[near], breaks, -2).astype("<i4").tobytes(), np.insert(near, breaks, -1).astype("<i4").tobytes()), strict=True):
-                        column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], names=["doc_id", "ids", "places"])
-
-    return docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary, places binary")
+def best_passage(item: np.ndarray, text: np.ndarray, spots: np.ndarray, least: float) -> tuple[int, int, int]:
+    """The best alignment within twice the item's length around the spots; stretches that overlap are aligned as one."""
+    reach = 2 * len(item)
+    cuts = np.flatnonzero(np.diff(spots) > 2 * reach)
+    best = (0, 0, -1)
+    for lo, hi in zip(spots[np.append(0, cuts + 1)].tolist(), spots[np.append(cuts, len(spots) - 1)].tolist(), strict=True):
+        lo, hi = max(0, lo - reach), min(len(text), hi + reach)
+        if MATCH * np.isin(item, text[lo:hi]).sum() < max(least, best[0]):
+            continue  # too few of its words are here
+        got = align(item, text[lo:hi])
+        if got[0] > best[0]:
+            best = (got[0], lo + got[1], lo + got[2])
+    return best
 
 
-def counted(near: DataFrame, items: Items) -> np.ndarray:
-    """How many documents hold each of the block's n-grams; one row for each n-gram returns."""
+def numbered_items(benchmark: DataFrame, n: int, item_col: str, item_text: str) -> DataFrame:
+    """(item, item_id, words, grams array) of the different items of n words or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(items.known), np.int64)
         for batch in batches:
-            for data in batch.column("ids").to_pylist():
-                total[np.unique(items.hits(np.frombuffer(data, "<i4"))[1])] += 1
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["gram", "n"])
+            ids, held = hashed_words(batch.column("text"))
+            parts = np.split(ids, np.cumsum(held)[:-1]) if len(held) else []
+            own = [list(dict.fromkeys(grams(p, n).view("<i8").tolist())) for p in parts]
+            rows = pa.RecordBatch.from_arrays([batch.column("item"), batch.column("item_id"), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array(own, pa.list_(pa.int64()))], names=["item", "item_id", "words", "grams"])
+            yield rows.filter(pa.array(held >= n))
 
-    out = np.zeros(len(items.known), np.int64)
-    for r in near.select("ids").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect():
-        out[r.gram] = r.n
-    return out
+    rows = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).alias("text")).distinct()
+    return rows.select(F.xxhash64("item_id", "text", F.lit(1)).alias("item"), "item_id", "text").mapInArrow(run, "item long, item_id long, words binary, grams array<long>")
 
 
-def seeds_of(items: Items, frequency: np.ndarray, share: float, least: int) -> dict[int, list[int]]:
-    """Which items each n-gram seeds: an item's rarest ``share``, at least ``least`` of them, ties in text order."""
-    out: dict[int, list[int]] = {}
-    for k, own in enumerate(items.of):
-        different = list(dict.fromkeys(own.tolist()))
-        different.sort(key=lambda g: frequency[g])
-        for g in different[: max(least, int(np.ceil(share * len(different))))]:
-            out.setdefault(g, []).append(k)
-    return out
+def bitmap(found: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """(bits, shift): a hash h may be among ``gram`` of ``found``, n rows, if bit h >> shift is set."""
+    width = min(MOST_BITS, max(LEAST_BITS, (256 * max(1, n) - 1).bit_length()))
+    at = F.shiftrightunsigned("gram", 64 - width)
+    words64 = found.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(gram, {64 - width}) & 63 AS INT))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << (width - 6), np.int64)
+    bits[words64.column("at").to_numpy()] = words64.column("bits").to_numpy()
+    return bits.view(np.uint64), 64 - width
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, share: float = 0.75, least: int = 8, threshold: float = 0.5, block_mb: int = 8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+def near_texts(docs: DataFrame, bits: np.ndarray, shift: int, n: int, id_col: str, text_col: str) -> DataFrame:
+    """(row, doc_id, words, hits) of the texts that hold an n-gram of the bitmap; hits are the different ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in slices(batch.column("text"), 1 << 20):
+                part = batch.slice(lo, hi - lo)
+                ids, held = hashed_words(part.column("text"))
+                h = grams(ids, n)
+                at = (h >> np.uint64(shift)).astype(np.int64)
+                own = np.flatnonzero(bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1))
+                ends = np.cumsum(held)
+                of = np.searchsorted(ends, own, side="right")
+                inside = own + n <= ends[of] if len(own) else np.zeros(0, bool)
+                own, of = own[inside], of[inside]
+                texts, first = np.unique(of, return_index=True)
+                hits = [np.unique(x).view("<i8") for x in np.split(h[own], first[1:])] if len(texts) else []
+                begin = ends - held
+                kept = part.take(pa.array(texts))
+                yield pa.RecordBatch.from_arrays([kept.column("row"), kept.column("doc_id"), pa.array([ids[begin[t] : ends[t]].tobytes() for t in texts.tolist()], pa.binary()), pa.array(hits, pa.list_(pa.int64()))], names=["row", "doc_id", "words", "hits"])
+
+    rows = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "row long, doc_id long, words binary, hits array<long>")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: float = 0.001, share: float = 0.5, least: int = 8, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, score, first_word, last_word) for each document and test item it holds a copy of.
 
     score is the best local alignment (match 2, other word -1, gap -1) over that of the whole item, at
     least ``threshold``. The span counts the document's words (runs of letters, digits and _, any case).
-    Items of fewer than ``n`` words and null texts match nothing; repeated rows match as often as they
-    come; rows with a null doc_id are reported with it. An empty benchmark gives an empty result.
+    An item's seeds are those of its n-grams that at most the share ``rare`` of all documents hold, and
+    the rarest ``share`` of all that documents hold (at least ``least``), so that an item that very many documents
+    copy keeps seeds; ties go by the n-gram's hash. A document meets an item by any one seed.
+
+    Items of fewer than ``n`` words and null texts match nothing; repeated items count once, repeated
+    documents match as often as they come; rows with a null doc_id are reported with it. Texts of any length are taken
+    whole, and extra columns aren't read. An empty benchmark or table gives an empty result. Words
+    are compared by 32-bit hashes.
     """
     spark = docs.sparkSession
-    size = benchmark.agg(F.sum(F.octet_length(item_text)).alias("n")).first().n or 0
-    blocks = max(1, -(-int(size) // (block_mb << 20)))
     schema = "doc_id long, item_id long, score double, first_word long, last_word long"
-    result = spark.createDataFrame([], schema)
-    for b in range(blocks):
-        # About block_mb of items at a time, whatever the benchmark's size: a stated query set against all rows.
-        part = benchmark.where((F.pmod(F.xxhash64(item_col, item_text), F.lit(blocks)) == b) & F.col(item_text).isNotNull()).select(F.col(item_col).cast("long"), item_text).collect()
-        items = Items(sorted(((r[0], r[1]) for r in part), key=lambda r: (r[0] is None, r[0] or 0, r[1])), n)
-        if not items.keys:
-            continue
-        near = written(near_hits(docs, items, id_col, text_col), "near")
-        seeds = seeds_of(items, counted(near, items), share, least)
-
-        def run(batches: Iterator[pa.RecordBatch], items: Items = items, seeds: dict = seeds) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                out: list[list] = [[], [], [], [], []]
-                for key, data, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "places")), strict=True):
-                    ids, where = np.frombuffer(data, "<i4"), np.frombuffer(places, "<i4")
-                    at, grams = items.hits(ids)
-                    wanted: dict[int, list[int]] = {}
-                    for place, g in zip(at.tolist(), grams.tolist(), strict=True):
-                        for k in seeds.get(g, ()):
-                            wanted.setdefault(k, []).append(place)
-                    for k, spots in wanted.items():
-                        item, best, done = items.words[k], (0, 0, -1), -1
-                        for s in spots:
-                            if s < done:  # inside the stretch aligned last
-                                continue
-                            lo = max(0, s - 2 * len(item))
-                            ends = [x for x in spots if x >= s]
-                            hi = s
-                            for x in ends:  # seeds that follow one another closely share a stretch
-                                if x - hi > 2 * len(item):
-                                    break
-                                hi = x
-                            hi = min(len(ids), hi + 2 * len(item))
-                            got = align(item, ids[lo:hi])
-                            done = hi - len(item)
-                            if got[0] > best[0]:
-                                best = (got[0], lo + got[1], lo + got[2])
-                        score = best[0] / (MATCH * len(item))
-                        if score >= threshold:
-                            for column, v in zip(out, (key, items.keys[k], score, int(where[best[1]]), int(where[best[2]])), strict=True):
-                                column.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64())], names=["doc_id", "item_id", "score", "first_word", "last_word"])
-
-        result = result.unionByName(near.mapInArrow(run, schema))
-    return result
+    items = written(numbered_items(benchmark, n, item_col, item_text), "items")
+    own = items.select("item", F.explode("grams").alias("gram"))
+    different = own.select("gram").distinct()
+    count = different.count()
+    if not count:
+        return spark.createDataFrame([], schema)
+    passed = near_texts(docs, *bitmap(different, count), n, id_col, text_col)
+    with small_batches(spark, 2000):
+        near = written(passed, "near")
+    most = rare * docs.count()
+    held = near.select(F.explode("hits").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    counted = own.join(held, "gram")
+    place = F.row_number().over(Window.partitionBy("item").orderBy("n", "gram"))  # an item's n-grams
+    total = F.count(F.lit(1)).over(Window.partitionBy("item"))
+    seeds = counted.select("item", "gram", "n", place.alias("place"), total.alias("total")).where((F.col("n") <= most) | (F.col("place") <= F.greatest(F.lit(least), F.ceil(F.lit(share) * F.col("total")))))
+    seeds = written(seeds.select("item", "gram"), "seeds")
+    met = written(near.select("row", F.explode("hits").alias("gram")).join(seeds, "gram").select("row", "item").distinct(), "met")
+    whole = items.select("item", "item_id", F.col("words").alias("item_words")).join(seeds.groupBy("item").agg(F.collect_list("gram").alias("seeds")), "item")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for k in range(batch.num_rows):
+                doc, key, text, item, own = (batch.column(c)[k].as_py() for c in ("doc_id", "item_id", "words", "item_words", "seeds"))
+                text, item = np.frombuffer(text, "<u4"), np.frombuffer(item, "<u4")
+                spots = np.flatnonzero(np.isin(grams(text, n).view(np.int64), np.array(own, np.int64)))
+                score, first, last = best_passage(item, text, spots, threshold * MATCH * len(item)) if len(spots) else (0, 0, -1)
+                if score >= threshold * MATCH * len(item):
+                    for column, v in zip(out, (doc, key, score / (MATCH * len(item)), first, last), strict=True):
+                        column.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64())], names=["doc_id", "item_id", "score", "first_word", "last_word"])
+
+    together = near.select("row", "doc_id", "words").join(met, "row").join(whole, "item")
+    return together.select("doc_id", "item_id", "words", "item_words", "seeds").mapInArrow(run, schema)
