@@ -2,7 +2,8 @@
 
 A fingerprint's row in the pivot table holds its Hamming distances to reference fingerprints. Two
 fingerprints that differ in at most ``bits`` bits differ by at most ``bits`` in every coordinate,
-so a pair is discarded by its largest coordinate difference before it is verified.
+so a pair is discarded by its largest coordinate difference, from coordinates kept beside the
+fingerprint (packed in one number), and only what is left is verified by the fingerprints.
 
 The references are a base code and the base with its first 2, 4, ... 64 bits turned over. The
 difference of two neighbouring coordinates depends on two bits only, so the 32 differences
@@ -24,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_text, written
@@ -77,8 +78,19 @@ def bands_for(n: int, bits: int) -> int:
     return 16
 
 
+def coordinates(table: np.ndarray) -> np.ndarray:
+    """Every fourth distance of the pivot table's rows, 7 bits each, in one number."""
+    kept = table[:, 4::4]
+    return (kept << (7 * np.arange(kept.shape[1]))).sum(1)
+
+
+def largest_difference(x: Column, y: Column) -> Column:
+    """The largest coordinate difference of two packed rows of the pivot table."""
+    return F.greatest(*(F.abs(F.shiftright(x, 7 * k).bitwiseAND(F.lit(127)) - F.shiftright(y, 7 * k).bitwiseAND(F.lit(127))) for k in range(len(REFERENCES[4::4]))))
+
+
 def cells(fps: DataFrame, bands: int, bits: int) -> DataFrame:
-    """A row (cell, fp, rep) for each choice of bands - bits bands of the pivot table's differences."""
+    """A row (cell, fp, rep, coordinates) for each choice of bands - bits bands of the pivot table's differences."""
     edges = [round(32 * k / bands) for k in range(bands + 1)]
     choices = list(combinations(range(bands), bands - bits))
 
@@ -96,10 +108,10 @@ def cells(fps: DataFrame, bands: int, bits: int) -> DataFrame:
                 out.append(cell)
             n = len(choices)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(out)), pa.array(np.tile(fp.view(np.int64), n)), pa.array(np.tile(batch.column("rep").to_numpy(zero_copy_only=False), n))], names=["cell", "fp", "rep"]
+                [pa.array(np.concatenate(out)), pa.array(np.tile(fp.view(np.int64), n)), pa.array(np.tile(batch.column("rep").to_numpy(zero_copy_only=False), n)), pa.array(np.tile(coordinates(table), n))], names=["cell", "fp", "rep", "coordinates"]
             )
 
-    return fps.select("fp", "rep").mapInArrow(run, "cell long, fp long, rep long")
+    return fps.select("fp", "rep").mapInArrow(run, "cell long, fp long, rep long, coordinates long")
 
 
 def links(fps: DataFrame, bits: int = 2, cell: int = 64) -> DataFrame:
@@ -108,10 +120,10 @@ def links(fps: DataFrame, bits: int = 2, cell: int = 64) -> DataFrame:
         raise ValueError("bits must be 1 or 2: the path for full cells covers two bits")
     dealt = written(cells(fps, bands_for(fps.count(), bits), bits), "cells")
     full = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    small = dealt.join(full.where(F.col("n") <= cell), "cell").select("cell", "fp", "rep")
+    small = dealt.join(full.where(F.col("n") <= cell), "cell").select("cell", "fp", "rep", "coordinates")
     x, y = small.alias("x"), small.alias("y")
-    far = F.greatest(*(F.abs(F.bit_count(F.col("x.fp").bitwiseXOR(F.lit(r))) - F.bit_count(F.col("y.fp").bitwiseXOR(F.lit(r)))) for r in map(int, REFERENCES[::4].view(np.int64)[1:])))
-    pairs = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.fp") < F.col("y.fp")) & (far <= bits) & (F.bit_count(F.expr("x.fp ^ y.fp")) <= bits)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+    close = largest_difference(F.col("x.coordinates"), F.col("y.coordinates")) <= bits
+    pairs = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.fp") < F.col("y.fp")) & close & (F.bit_count(F.expr("x.fp ^ y.fp")) <= bits)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
     crowded = dealt.join(full.where(F.col("n") > cell), "cell").select("fp", "rep").distinct()
     near = crowded.select("fp", "rep", F.explode(F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(bit)) for bit in ONE_BIT))).alias("spot"))
@@ -128,7 +140,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, cell: int
     fingerprint is 16 lower-case hex digits; component_id the smallest id reachable by links.
     Texts without words have fingerprint zero and link like any other; equal fingerprints are one
     class from the start and are never paired. Repeated rows come back as often as they came in.
-    A null id is carried through, with a component only if another row of its class has an id.
+    A null id is carried through, with a component only if another row of its class has an id. Texts of any
+    length are taken whole. Only the two columns named are read, so others can't clash. An empty table gives an empty result.
     """
     fps = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     classes = written(fps.groupBy("fp").agg(F.min(id_col).alias("rep")), "classes")
