@@ -12,20 +12,34 @@ def place(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
-def put(uri: str, chunks) -> int:
-    """Writes chunks of bytes under a name of this attempt's own and moves the file to ``uri``; its size.
+class Writing:
+    """A file written chunk by chunk under a name of this attempt's own; ``close`` moves it to ``uri``.
 
     Attempts of one task write equal bytes, so the last move to win changes nothing.
     """
-    system, path = place(uri)
-    system.create_dir(path.rpartition("/")[0], recursive=True)
-    temporary, size = f"{path}.{uuid.uuid4().hex}.tmp", 0
-    with system.open_output_stream(temporary, compression=None) as out:
-        for chunk in chunks:
-            out.write(chunk)
-            size += len(chunk)
-    system.move(temporary, path)
-    return size
+
+    def __init__(self, uri: str):
+        self.system, self.path = place(uri)
+        self.system.create_dir(self.path.rpartition("/")[0], recursive=True)
+        self.temporary, self.size = f"{self.path}.{uuid.uuid4().hex}.tmp", 0
+        self.out = self.system.open_output_stream(self.temporary, compression=None)
+
+    def write(self, chunk: bytes) -> None:
+        self.out.write(chunk)
+        self.size += len(chunk)
+
+    def close(self) -> int:
+        self.out.close()
+        self.system.move(self.temporary, self.path)
+        return self.size
+
+
+def put(uri: str, chunks) -> int:
+    """Writes chunks of bytes as one file; its size."""
+    out = Writing(uri)
+    for chunk in chunks:
+        out.write(chunk)
+    return out.close()
 
 
 def get(uri: str) -> bytes:
