@@ -4,7 +4,8 @@ Each hash turns a unit vector by three rounds of random signs and a fast Hadamar
 code is the nearest of the 2d signed axes. A table's bucket is made of k codes. A vector owns its
 first bucket and probes those of the ``probes`` nearest axes of each code, so a pair meets where
 one owns what the other probes. k grows with the rows of a label so that buckets stay small, and
-the number of tables with it, so that a pair at the threshold is missed with probability below 0.001.
+the number of tables with it: how often a pair at the threshold meets is tried out for the width and k at
+hand, so that it is missed with probability below 0.001 in any width and at any size.
 
 Equal vectors of one label are one class. Pairs that meet are verified by their cosine in double
 precision. A bucket of many vectors is cut into blocks, compared two by two in tasks of their own;
@@ -24,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .graph import connected_components
+from .graph import connected_components, stars
 
 BLOCK = 1024
-#: How often a pair at cosine 0.93 shares a code when the three nearest axes are probed (64 dimensions, measured).
-MEETS = 0.919
+#: How often a pair at the threshold may be missed.
+MISSED = 0.001
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -59,12 +60,32 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def settings(largest_label: int, dims: int, bucket: int = 256) -> tuple[int, int]:
-    """(codes of a bucket, tables) for so many vectors of one label."""
+def meeting(dims: int, k: int, least: float, probes: int, pairs: int = 1500, trials: int = 6) -> float:
+    """How often a pair at cosine ``least`` meets in a table with k codes, tried out on random pairs, less three standard errors."""
+    draw = np.random.default_rng(dims)
+    x, y = draw.normal(size=(2, pairs, max(2, dims)))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (y * x).sum(1, keepdims=True) * x
+    y = least * x + np.sqrt(1 - least**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    met = 0
+    for t in range(trials):
+        own, other = np.ones(pairs, bool), np.ones(pairs, bool)
+        for c in range(k):
+            a, b = codes(x, 1000 * (10_000 + t) + c, probes), codes(y, 1000 * (10_000 + t) + c, probes)
+            own &= (b == a[:, :1]).any(1)
+            other &= (a == b[:, :1]).any(1)
+        met += int((own | other).sum())
+    share = met / (pairs * trials)
+    return max(0.01, share - 3 * np.sqrt(share * (1 - share) / (pairs * trials)))
+
+
+def settings(largest_label: int, dims: tuple[int, ...], least: float, probes: int, bucket: int = 256) -> tuple[int, int]:
+    """(codes of a bucket, tables) for so many vectors of one label, so that a pair at ``least`` is missed with probability MISSED at most, whatever the size."""
     k = 1
-    while largest_label / (2 * max(2, dims)) ** k > bucket and k < 6:
+    while largest_label / (2 * max(2, min(dims))) ** k > bucket and k < 6:
         k += 1
-    return k, int(np.ceil(np.log(0.001) / np.log(1 - MEETS**k)))
+    worst = min(meeting(d, k, least, probes) for d in dims)
+    return k, max(1, int(np.ceil(np.log(MISSED) / np.log(1 - min(worst, 0.999)))))
 
 
 def near_pairs(x: np.ndarray, y: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -75,26 +96,14 @@ def near_pairs(x: np.ndarray, y: np.ndarray, least: float) -> Iterator[tuple[np.
             yield i + lo, j
 
 
-def stars(n: int, edges: list[tuple[np.ndarray, np.ndarray]], names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each node's smallest name within reach over the edges, for nodes that are not it themselves."""
-    low = names.copy()
-    while True:
-        was = low.copy()
-        for i, j in edges:
-            np.minimum.at(low, i, was[j])
-            np.minimum.at(low, j, low[i])
-        if (low == was).all():
-            keep = low != names
-            return names[keep], low[keep]
-
-
 def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows with a null
     label, link with nothing; vectors of different length never link. n_links counts the other rows
     linked directly, component_id is the smallest id reachable, kept marks the row with that id.
-    Repeated rows count as others do. A null id keeps its links' count but names no component.
+    Repeated rows count as others do. A null id keeps its links' count but names no component. Only the three
+    columns named are read, so others can't clash. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     values = F.col(vector_col).cast("array<double>")
@@ -105,17 +114,18 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
     zero = F.forall(values, lambda v: v == 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.when(sound & finite & ~zero, F.col(vector_col) if narrow else values).alias("v"))
     rows = rows.withColumn("h", F.xxhash64("label", "v")).withColumn("g", F.xxhash64("v", "label", F.lit(1)))
-    light = written(rows.select("vec_id", F.when(F.col("v").isNotNull(), F.col("h")).alias("h"), "g"), "rows")
-    classes = light.where("h is not null").groupBy("h", "g").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    rows_light = written(rows.select("vec_id", F.when(F.col("v").isNotNull(), F.col("h")).alias("h"), "g"), "rows")
+    classes = rows_light.where("h is not null").groupBy("h", "g").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes, "classes")
     reps = rows.where("v is not null").join(classes, ["h", "g"]).where("vec_id = rep").dropDuplicates(["h", "g"]).select("rep", "copies", "label", F.col("v"))
     reps = written(reps, "representatives")
-    most = reps.groupBy("label", F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"), F.min("dims").alias("dims")).first()
+    most = reps.groupBy("label", F.size("v").alias("dims")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"), F.min("dims").alias("low"), F.max("dims").alias("high")).first()
     if most.n is None:
-        return light.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    k, tables = settings(most.n, most.dims)
+        return rows_light.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    k, tables = settings(most.n, (most.low, most.high), least, probes)
+    small = np.int32 if k == 1 else np.int64
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("v")
             sizes = np.diff(lists.offsets.to_numpy())
@@ -131,17 +141,34 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
                 base = wide ** np.arange(k)
                 buckets = np.stack([(every[:, :, range(k), p] * base).sum(2) for p in picks], 2)  # rows, tables, probes
                 taken = batch.take(pa.array(own))
-                for t in range(tables):
-                    for p in range(len(picks)):
-                        yield pa.RecordBatch.from_arrays(
-                            [taken.column("rep"), taken.column("copies"), taken.column("label"), pa.array(np.full(len(own), t, np.int32)), pa.array(buckets[:, t, p].astype(np.int64)), pa.array(np.full(len(own), p == 0)), pa.array(np.full(len(own), dims, np.int32)),
-                             pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in buckets.astype(np.int32 if k == 1 else np.int64)], pa.binary())],
-                            names=["rep", "copies", "label", "t", "bucket", "own", "dims", "x", "buckets"])
-
-    dealt = reps.repartition(2 * max(8, spark.sparkContext.defaultParallelism), "rep").mapInArrow(deal, "rep long, copies long, label string, t int, bucket long, own boolean, dims int, x binary, buckets binary")
+                yield pa.RecordBatch.from_arrays([taken.column("rep"), taken.column("copies"), taken.column("label"), pa.array(np.full(len(own), dims, np.int32)), pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in buckets.astype(small)], pa.binary())], names=["rep", "copies", "label", "dims", "x", "buckets"])
+
+    # Codes are computed once and kept beside the vectors.
+    coded = written(reps.repartition(2 * max(8, spark.sparkContext.defaultParallelism), "rep").mapInArrow(encode, "rep long, copies long, label string, dims int, x binary, buckets binary"), "coded")
+
+    def listed(keep: list[str]):
+        """A row for each table and probe, with the columns in ``keep``."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                held = [np.frombuffer(b, small).reshape(tables, -1) for b in batch.column("buckets").to_pylist()]
+                for dims in {len(h[0]) for h in held}:
+                    own = [i for i, h in enumerate(held) if len(h[0]) == dims]
+                    every = np.stack([held[i] for i in own])
+                    taken = batch.take(pa.array(own))
+                    for t in range(tables):
+                        for p in range(dims):
+                            yield pa.RecordBatch.from_arrays([*(taken.column(c) for c in keep), pa.array(np.full(len(own), t, np.int32)), pa.array(every[:, t, p].astype(np.int64)), pa.array(np.full(len(own), p == 0))], names=[*keep, "t", "bucket", "own"])
+
+        return run
+
     spot = ["label", "dims", "t", "bucket"]
     # Sizes are counted without the vectors; a bucket that nobody owns or that holds one row has no pair.
-    sizes = dealt.groupBy(*spot).agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("owned")).where("n > 1 and owned")
+    light = ["label", "dims"]
+    counted = coded.select(*light, "buckets").mapInArrow(listed(light), "label string, dims int, t int, bucket long, own boolean")
+    sizes = counted.groupBy(*spot).agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("owned")).where("n > 1 and owned")
+    every = ["rep", "copies", "label", "dims", "x", "buckets"]
+    dealt = coded.mapInArrow(listed(every), "rep long, copies long, label string, dims int, x binary, buckets binary, t int, bucket long, own boolean")
     parts = dealt.join(sizes, spot).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     facing = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("a"), F.greatest(o, F.col("block")).alias("b")))
     parts = parts.withColumn("pair", F.explode(facing)).select(*spot, F.col("pair.a").alias("a"), F.col("pair.b").alias("b"), "block", "rep", "copies", "own", "x", "buckets")
@@ -153,7 +180,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
         rep, copies, own = (table.column(c).to_numpy() for c in ("rep", "copies", "own"))
         block = table.column("block").to_numpy()
         unit = unit_rows(np.frombuffer(b"".join(table.column("x").to_pylist()), kind).reshape(len(rep), -1))
-        seen = np.frombuffer(b"".join(table.column("buckets").to_pylist()), np.int32 if k == 1 else np.int64).reshape(len(rep), tables, -1)
+        seen = np.frombuffer(b"".join(table.column("buckets").to_pylist()), small).reshape(len(rep), tables, -1)
         left, right = np.flatnonzero(block == a), np.flatnonzero(block == b)
         counts, edges, lone = np.zeros(len(rep), np.int64), [], []
         for i, j in near_pairs(unit[left], unit[right], least):
@@ -184,6 +211,6 @@ def near_duplicates(vectors: DataFrame, least: float = 0.93, probes: int = 3, id
     linked = found.where("other is null").select("rep", "n").unionByName(lonely.select("rep", "n")).groupBy("rep").agg(F.sum("n").alias("n"))
     joined = connected_components(found.select(F.col("rep").alias("a"), F.col("low").alias("b")))
     named = classes.join(linked, "rep", "left").join(joined, F.col("rep") == F.col("node"), "left").select("h", "g", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"), F.coalesce("component", "rep").alias("component"))
-    out = light.join(named, ["h", "g"], "left")
+    out = rows_light.join(named, ["h", "g"], "left")
     component = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +33,16 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def stars(n: int, edges: list[tuple[np.ndarray, np.ndarray]], names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node's smallest name within reach over the edges, for nodes that are not it themselves."""
+    low = names.copy()
+    while True:
+        was = low.copy()
+        for i, j in edges:
+            np.minimum.at(low, i, was[j])
+            np.minimum.at(low, j, low[i])
+        if (low == was).all():
+            keep = low != names
+            return names[keep], low[keep]
