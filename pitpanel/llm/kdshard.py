@@ -93,7 +93,8 @@ def shards(docs: DataFrame, depth: int = 4, slack: float = 0.01, id_col: str = "
     size is the text's UTF-8 bytes plus 1 (a null text has none). law is always ``bytes``, so
     grown_shard is null. slot counts a shard's rows from 0 in order of doc_id, then text. Copies of
     a text share a shard unless they are too many for it. Rows come back as often as they came in;
-    null ids, sources and languages are values like others. An empty table gives an empty result.
+    null ids, sources and languages are values like others. Texts of any length are taken whole; one longer than a shard
+    fills its own. Only the four columns named are read, so others can't clash. An empty table gives an empty result.
     """
     rows, classes = classes_of(docs, id_col, text_col, source_col, lang_col)
     parts = cut(keyed(written(classes, "classes")))
@@ -104,14 +105,19 @@ def shards(docs: DataFrame, depth: int = 4, slack: float = 0.01, id_col: str = "
     same = ["text_hash", "text_crc32", "size"]
     whole = Window.partitionBy(*same)  # the parts of a class: at most one for each shard
     marked = cut(parts.select(*same, "from_copy", "to_copy", "node", F.count(F.lit(1)).over(whole).alias("n")))
-    one = rows.join(marked.where("n = 1"), same).select("doc_id", *same, F.col("node").alias("shard"))
-    several = marked.where("n > 1")
-    cutting = rows.join(several.select(*same).distinct(), same)
+    # Classes that were divided (each heavier than slack of a leaf: at most leaves / slack of them) and those that hold
+    # over a thousandth of all rows (fewer than 1000) are broadcast; their rows, however many, stay where they are.
+    hot = F.broadcast(marked.where((F.col("n") > 1) | (F.col("to_copy") * 1000 > rows.count())))
+    several, single = hot.where("n > 1"), hot.where("n = 1").select(*same, F.col("node").alias("shard"))
+    cold = rows.join(F.broadcast(hot.select(*same).distinct()), same, "left_anti").join(marked.where("n = 1").select(*same, F.col("node").alias("shard")), same)
+    one = cold.unionByName(rows.join(F.broadcast(single), same)).select("doc_id", *same, "shard")
+    cutting = rows.join(F.broadcast(several.select(*same).distinct()), same)
     placed = numbered(cutting.select(*same, "doc_id"), [*same, "doc_id"], "_at")
     first = placed.groupBy(*same).agg(F.min("_at").alias("_first"))
-    ranked = placed.join(first, same).withColumn("copy", F.col("_at") - F.col("_first"))
-    divided = ranked.alias("r").join(several.alias("s"), (F.col("r.text_hash") == F.col("s.text_hash")) & (F.col("r.text_crc32") == F.col("s.text_crc32")) & (F.col("r.size") == F.col("s.size")) & (F.col("r.copy") >= F.col("s.from_copy")) & (F.col("r.copy") < F.col("s.to_copy")))
-    every = one.unionByName(divided.select("r.doc_id", *(f"r.{c}" for c in same), F.col("s.node").alias("shard")))
+    ranked = placed.join(F.broadcast(first), same).withColumn("copy", F.col("_at") - F.col("_first"))
+    parted = F.broadcast(several.select(*(F.col(c).alias(f"_{c}") for c in same), "from_copy", "to_copy", F.col("node").alias("shard")))
+    divided = ranked.join(parted, (F.col("text_hash") == F.col("_text_hash")) & (F.col("text_crc32") == F.col("_text_crc32")) & (F.col("size") == F.col("_size")) & (F.col("copy") >= F.col("from_copy")) & (F.col("copy") < F.col("to_copy")))
+    every = one.unionByName(divided.select("doc_id", *same, "shard"))
     ordered = numbered(every, ["shard", "doc_id", "text_hash"], "_at")
     counts = {r.shard: r.n for r in ordered.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     base, before = {}, 0
