@@ -2,7 +2,7 @@
 
 A rule is a pattern over host and path. Its index entry is the one of its literal tokens that the
 fewest URLs hold; a URL's tokens fetch candidate rules, and only those run their regular
-expressions. Rules without a literal token are candidates of every URL.
+expressions. A rule without a literal token, of which the built-in ones have none, would be a candidate of every URL.
 """
 
 from __future__ import annotations
@@ -38,13 +38,16 @@ def site(action: str, name: str) -> Rule:
 
 
 SITES = (site("block", "net/"), site("allow", "example.net/en/"), site("block", "example.com/de/"), site("allow", "org/fr/"))
+
+
+def word(name: str, place: str) -> Rule:
+    """A rule that blocks where a word is a whole label of the host or a whole step of the path."""
+    pattern = rf"^(?:[^/]*\.)?{name}\.[^/]+/" if place == "host" else rf"/{name}(?:/|$)"
+    return Rule(f"{place} {name}", "block", pattern, tuple(t for t in re.split(TOKEN, name) if t), False)
+
+
 #: Unlisted patterns: they decide where no listed rule fits.
-PATTERNS = (
-    Rule("tracker", "block", r"^(?:[^/]*\.)?(?:track|tracker|pixel|adserver)\.[^/]+/"),
-    Rule("login", "block", r"/login(?:/|$)", ("login",)),
-    Rule("cart", "block", r"/cart(?:/|$)", ("cart",)),
-)
-PATTERNS = tuple(Rule(r.name, r.action, r.pattern, r.literals, False) for r in PATTERNS)
+PATTERNS = tuple(word(n, "host") for n in ("track", "tracker", "pixel", "adserver")) + tuple(word(n, "path") for n in ("login", "signin", "cart", "checkout", "wp-admin", "wp-login"))
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -66,7 +69,8 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = SITES + PATTERNS, otherwis
 
     Among listed rules that fit, the longest name wins (block before allow, then the name, on
     ties) and is shown in ``rule``. Where none fits, a fitting pattern rule decides (block wins),
-    else ``otherwise``; ``rule`` is then null. Repeated rows are judged alike; null ids stay null.
+    else ``otherwise``; ``rule`` is then null. Repeated rows are judged alike; null ids stay null. Urls of any
+    length are taken whole. Only the two columns named are read, so others can't clash. An empty table gives an empty result.
     """
     spark = pages.sparkSession
     host, path = parts(F.col(url_col))
@@ -74,7 +78,8 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = SITES + PATTERNS, otherwis
     small = sum(len(r.pattern) + len(r.name) + sum(map(len, r.literals)) + 64 for r in rules) <= BROADCAST_BYTES
     near = F.broadcast if small else (lambda df: df)
     table = rule_table(spark, rules)
-    seen = rows.select("host", "path").distinct()
+    named = rows.where((F.col("host") != "") | (F.col("path") != ""))
+    seen = named.select("host", "path").distinct()
     target = F.concat("host", "path")
     tokens = seen.select("host", "path", F.explode(F.array_distinct(F.split(target, TOKEN))).alias("token"))
     literals = table.select("rule_id", F.explode("literals").alias("token"))
@@ -83,16 +88,18 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = SITES + PATTERNS, otherwis
     counted = literals.join(held, "token", "left").select("rule_id", "token", F.coalesce("n", F.lit(0)).alias("n"))
     index = counted.groupBy("rule_id").agg(F.min(F.struct("n", "token")).alias("key")).select("rule_id", F.col("key.token").alias("token"))
     indexed = table.join(index, "rule_id")
-    loose = table.where(F.size("literals") == 0).collect() if any(not r.literals for r in rules) else []
 
     info = F.struct(F.col("listed"), F.length("name").alias("length"), (F.col("action") == "block").alias("blocks"), F.col("name"), F.col("action"))
     hits = tokens.join(near(indexed), "token").where(F.regexp_like(F.concat("host", "path"), F.col("pattern"))).groupBy("host", "path").agg(F.max(info).alias("best"))
     # Patterns without a literal are constants in the plan: each runs once on each URL.
-    free = [F.when(target.rlike(r.pattern), F.struct(F.lit(r.listed).alias("listed"), F.length(F.lit(r.name)).alias("length"), F.lit(r.action == "block").alias("blocks"), F.lit(r.name).alias("name"), F.lit(r.action).alias("action"))) for r in loose]
-    verdicts = seen.join(hits, ["host", "path"], "left")
-    best = F.array_max(F.array_compact(F.array(F.col("best"), *free)))
-    verdicts = verdicts.select("host", "path", best.alias("best")).select("host", "path", F.when(F.col("best.listed"), F.col("best.name")).alias("rule"), F.coalesce(F.col("best.action"), F.lit(otherwise)).alias("verdict"))
-    return rows.join(verdicts, ["host", "path"]).select("page_id", "host", "path", "rule", "verdict")
+    free = [F.when(target.rlike(r.pattern), F.struct(F.lit(r.listed).alias("listed"), F.length(F.lit(r.name)).alias("length"), F.lit(r.action == "block").alias("blocks"), F.lit(r.name).alias("name"), F.lit(r.action).alias("action"))) for r in rules if not r.literals]
+    outcome = lambda best: (F.when(best["listed"], best["name"]).alias("rule"), F.coalesce(best["action"], F.lit(otherwise)).alias("verdict"))
+    verdicts = seen.join(hits, ["host", "path"], "left").select("host", "path", F.array_max(F.array_compact(F.array(F.col("best"), *free))).alias("best"))
+    judged = named.join(verdicts.select("host", "path", *outcome(F.col("best"))), ["host", "path"]).select("page_id", "host", "path", "rule", "verdict")
+    # Urls without host and path, however many, have no token and stay out of the joins.
+    nothing = F.array_max(F.array_compact(F.array(*free))) if free else F.lit(None).cast("struct<listed: boolean, length: int, blocks: boolean, name: string, action: string>")
+    bare = rows.where((F.col("host") == "") & (F.col("path") == "")).withColumn("best", nothing).select("page_id", "host", "path", *outcome(F.col("best")))
+    return judged.unionByName(bare)
 
 
 ORACLE = """
@@ -102,6 +109,6 @@ r(name, h, start, action) AS (VALUES ('net/', 'net', '/', 'block'), ('example.ne
 hit AS (SELECT host, path, arg_max(name, length(name)) AS name, arg_max(action, length(name)) AS action FROM (SELECT DISTINCT host, path FROM p) JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, start) GROUP BY host, path)
 SELECT p.page_id, p.host, p.path, hit.name AS rule,
   CASE WHEN hit.action IS NOT NULL THEN hit.action
-       WHEN regexp_matches(p.host || p.path, '^(?:[^/]*\\.)?(?:track|tracker|pixel|adserver)\\.[^/]+/') OR regexp_matches(p.path, '/login(?:/|$)') OR regexp_matches(p.path, '/cart(?:/|$)') THEN 'block' ELSE 'allow' END AS verdict
+       WHEN regexp_matches(p.host || p.path, '^(?:[^/]*\\.)?(?:track|tracker|pixel|adserver)\\.[^/]+/') OR regexp_matches(p.host || p.path, '/(?:login|signin|cart|checkout|wp-admin|wp-login)(?:/|$)') THEN 'block' ELSE 'allow' END AS verdict
 FROM p LEFT JOIN hit USING (host, path)
 """.replace("\\\\", "\\")
