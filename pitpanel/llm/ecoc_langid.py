@@ -92,19 +92,23 @@ def held_out(id_col: str = "doc_id", fold: int = 3, rest: int = 1):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % fold == rest, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = 1000, max_languages: int = 200, bits: int = 15, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Fits on about ``per_language`` rows of each of at most ``max_languages`` languages, chosen by hash, outside the held-out fold.
+def train(docs: DataFrame, per_language: int = 1000, max_rows: int = 40_000, least: int = 8, bits: int = 15, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
+    """Fits on about ``per_language`` rows of each language outside the held-out fold, chosen by a hash of id and text.
 
-    Rows with a null id, text or language, and texts without letters teach nothing. None without any row.
+    Every language is learned. Where there are more than ``max_rows`` / ``per_language`` of them each gets its part of about
+    ``max_rows`` rows, but ``least`` in any case; a row takes 8 KB on the driver. Of equal rows one counts. Rows with a null id, text or
+    language, and texts without letters teach nothing; texts of any length are taken whole. None without any row.
     """
     known = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & ~held_out(id_col))
-    counts = known.groupBy(lang_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), lang_col).limit(max_languages).collect()
+    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
     if not counts:
         return None
-    share = F.create_map(*(F.lit(v) for r in counts for v in (r[lang_col], min(1.0, per_language / r.n))))
-    point = F.shiftrightunsigned(F.xxhash64(id_col), 11).cast("double") / F.lit(float(1 << 53))
-    sample = known.where(point < F.coalesce(F.try_element_at(share, F.col(lang_col)), F.lit(0.0))).select(id_col, lang_col, text_col)
-    found = map_text(sample, text_col, [id_col, lang_col], "x binary", lambda texts: {"x": pa.array([features(t).tobytes() for t in texts], pa.binary())}).limit(2 * per_language * max_languages).collect()
+    want = max(least, min(per_language, max_rows // len(counts)))
+    share = F.create_map(*(F.lit(v) for r in counts for v in (r.lang, min(1.0, want / r.n))))
+    point = F.shiftrightunsigned("h", 11).cast("double") / F.lit(float(1 << 53))
+    sample = known.where(point < F.try_element_at(share, F.col("lang"))).dropDuplicates(["lang", "h"])
+    found = map_text(sample, "text", ["id", "lang"], "x binary", lambda texts: {"x": pa.array([features(t).tobytes() for t in texts], pa.binary())}).collect()
     found.sort(key=lambda r: (r[0], r[1], r.x))
     if not found:
         return None
@@ -118,7 +122,8 @@ def predict(docs: DataFrame, model: Model | None, gap: float = 0.1, keep: list[s
     """(doc_id, held_out, lang_pred, score, ambiguous) and the columns in ``keep`` for each row.
 
     ``und`` with score 0 for null texts and those without a letter, and for all without a model;
-    ambiguous where the best two scores differ by less than ``gap``.
+    ambiguous where the best two scores differ by less than ``gap``. Repeated rows come back as often; a null id is never
+    held out; columns of any name may be kept, but clash with those added. An empty table gives an empty result.
     """
 
     def each(texts: list) -> dict:
