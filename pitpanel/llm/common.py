@@ -128,8 +128,8 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Callable[[list], dict], lists: bool = True) -> DataFrame:
-    """``keep`` and the columns of ``each(texts)``, whole texts in slices of about 4 MB.
+def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Callable[[list], dict], lists: bool = True, most: int = 1 << 20) -> DataFrame:
+    """``keep`` and the columns of ``each(texts)``, whole texts in slices of about ``most`` bytes.
 
     ``each`` gets a list of str or None (without ``lists`` an Arrow array) and returns equally long columns by
     name; ``fields`` is their DDL. Spark bounds a batch by its bytes as well as by its rows.
@@ -139,7 +139,7 @@ def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Calla
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column(text), 4 << 20):
+            for lo, hi in slices(batch.column(text), most):
                 part = batch.slice(lo, hi - lo)
                 made = each(part.column(text).to_pylist() if lists else part.column(text))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(v if isinstance(v, pa.Array) else pa.array(v) for v in made.values())], names=[*keep, *made])

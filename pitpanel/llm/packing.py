@@ -34,7 +34,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column("text"), 2 << 20):
+            for lo, hi in slices(batch.column("text"), 1 << 20):
                 part = batch.slice(lo, hi - lo)
                 ids, n = with_end(*encoder(vocabulary, remembered).encode(part.column("text")), end_id)
                 number = -(-n // capacity)
@@ -91,7 +91,9 @@ def plan(counts: dict[int, int], capacity: tuple[int, int, int], weights: tuple[
             best = np.argmin((w * rest**2).sum(1)) if score == "norm" else np.argmax((w * (np.array(need) / cap) * ((cap - u) / cap)).sum(1))
             load, most = room[int(best)]
             start, n = loads[load][-1]
-            layers = min(most, left)
+            # With norm the bin just filled stays the best one for the next piece; with dot an emptier one of its class is,
+            # but for new bins, which are opened one by one when nothing else fits.
+            layers = min(most, left) if score == "norm" or load == (0, 0, 0) else 1
             take = min(n, left // layers)
             rank = fill(load, start, take, layers, length, rank, need)
             left -= take * layers
@@ -104,11 +106,12 @@ def plan(counts: dict[int, int], capacity: tuple[int, int, int], weights: tuple[
     return np.array(runs, np.int64).reshape(-1, 5)
 
 
-def pack(made: DataFrame, capacity: int = 1024, documents: int | None = None, attention: int | None = None, weights: tuple[float, float, float] = (1.0, 1e-3, 1e-3), score: str = "norm") -> DataFrame:
+def pack(made: DataFrame, capacity: int = 1024, documents: int | None = 32, attention: int | None = None, weights: tuple[float, float, float] = (1.0, 1e-3, 1e-3), score: str = "norm") -> DataFrame:
     """``made`` (from ``pieces``) with sequence_id and offset.
 
-    ``documents`` and ``attention`` bound what else a sequence may hold; by default only tokens bind.
-    The order of equal lengths is doc_id, piece, start: repeated rows keep places of their own.
+    ``documents`` and ``attention`` (sum of squared lengths) bound what else a sequence may hold; None leaves them to the
+    tokens. A full piece alone takes capacity squared of attention, so that bound can't be lower where pieces are full.
+    The order of equal lengths is doc_id, piece, start: repeated rows keep places of their own. An empty table gives an empty result.
     """
     with small_batches(made.sparkSession):
         made = written(made, "pieces")
