@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -110,6 +112,15 @@ def joined(run: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def give_back() -> None:
+    """Returns what a worker's C library holds free to the system, for workers that wait beside others; nothing where it can't."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+    pa.default_memory_pool().release_unused()
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """Arrow batches of at most ``rows`` rows for what is run inside; the session's own setting comes back after.
@@ -143,6 +154,7 @@ def map_text(df: DataFrame, text: str, keep: list[str], fields: str, each: Calla
                 part = batch.slice(lo, hi - lo)
                 made = each(part.column(text).to_pylist() if lists else part.column(text))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(v if isinstance(v, pa.Array) else pa.array(v) for v in made.values())], names=[*keep, *made])
+        give_back()
 
     return df.select(*dict.fromkeys([*keep, text])).mapInArrow(run, ddl)
 

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bytes_of, joined, slices, small_batches, word_hashes, written
+from .common import bytes_of, give_back, joined, slices, small_batches, word_hashes, written
 from .tokens import byte_kinds
 
 WORD = re.compile(r"\w+")
@@ -140,6 +140,7 @@ def near_texts(docs: DataFrame, bits: np.ndarray, shift: int, n: int, id_col: st
                 begin = ends - held
                 kept = part.take(pa.array(texts))
                 yield pa.RecordBatch.from_arrays([kept.column("row"), kept.column("doc_id"), pa.array([ids[begin[t] : ends[t]].tobytes() for t in texts.tolist()], pa.binary()), pa.array(hits, pa.list_(pa.int64()))], names=["row", "doc_id", "words", "hits"])
+        give_back()
 
     rows = docs.select(F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "row long, doc_id long, words binary, hits array<long>")

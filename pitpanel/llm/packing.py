@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, slices, small_batches, written
+from .common import give_back, numbered, slices, small_batches, written
 from .tokens import encoder, forget, with_end
 
 
@@ -48,6 +48,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int =
                 yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(of)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], names=names)
         if not keep:
             forget()
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
