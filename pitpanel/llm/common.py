@@ -9,7 +9,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitpanel.functions.shared import cut, new_path, shared_dir  # noqa: F401  used by the operators
@@ -76,6 +76,13 @@ def numbered(df: DataFrame, order: list[Column | str], name: str, weight: str |
     return ranged.mapInArrow(add, f"{fields}, `{name}` long")
 
 
+def best(rows: DataFrame, by: str, order: list[Column], k: int, name: str = "rank", salts: int = 64) -> DataFrame:
+    """The first ``k`` rows in ``order`` for each ``by``, ranked from 1; a group's rows meet in ``salts`` parts first, each of which keeps k."""
+    dealt = rows.withColumn("_salt", F.spark_partition_id() % salts)
+    part = dealt.withColumn("_place", F.row_number().over(Window.partitionBy(by, "_salt").orderBy(*order))).where(F.col("_place") <= k).drop("_place", "_salt")
+    return part.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col(name) <= k)
+
+
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts' UTF-8 bytes, one text behind the other, and where each ends; a null text is empty."""
     import pyarrow.compute as pc
@@ -89,10 +96,8 @@ def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, ends[1:] - ends[0]
 
 
-def word_hashes(data: np.ndarray, ends: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """XXH64 of each word (run of ``inner`` bytes within a text), and each text's number of words; only different words are hashed."""
-    import xxhash
-
+def coded_words(data: np.ndarray, ends: np.ndarray, inner: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All texts' words (runs of ``inner`` bytes within a text) as codes of their different ones, and each text's number of words."""
     begins = inner & np.append(True, ~inner[:-1])[: len(inner)]
     first = np.append(0, ends[:-1])[: len(ends)]
     first = first[first < ends]
@@ -101,8 +106,16 @@ def word_hashes(data: np.ndarray, ends: np.ndarray, inner: np.ndarray) -> tuple[
     letters = data[inner]
     bounds = np.append(np.cumsum(inner)[starts] - 1, len(letters)).astype(np.int64)
     coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(letters)]).dictionary_encode()
+    return coded, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+
+def word_hashes(data: np.ndarray, ends: np.ndarray, inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of each word (run of ``inner`` bytes within a text), and each text's number of words; only different words are hashed."""
+    import xxhash
+
+    coded, held = coded_words(data, ends, inner)
     names = np.array([xxhash.xxh64_intdigest(w, 42) for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()], np.uint64)
-    return names[coded.indices.to_numpy()] if len(names) else names, np.diff(np.searchsorted(starts, ends), prepend=0)
+    return names[coded.indices.to_numpy()] if len(names) else names, held
 
 
 def joined(run: np.ndarray, word: np.ndarray) -> np.ndarray:

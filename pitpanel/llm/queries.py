@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crosspolytope, decontam, ecoc_langid, gbt_quality, kdshard, packing, simhash, tokens, tokenstore, urlrules, warc
+from . import blockmax, crosspolytope, decontam, ecoc_langid, gbt_quality, k2treap, kdshard, merkle, packing, simhash, tokens, tokenstore, urlrules, warc
 from .common import table
 
 
@@ -54,6 +54,18 @@ def op10_seed_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(merkle.build(table(spark, sf_dir, "documents"), claim=merkle.tampered()))
+
+
+def op12_k2_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return k2treap.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_block_pruning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockmax.top(table(spark, sf_dir, "embeddings"))
+
+
 OP2_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
@@ -66,11 +78,11 @@ FROM w
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_simhash_pivots, op2_warc_writer, op3_cross_polytope, op4_kd_shards, op5_url_rules, op6_vector_packing, op7_quality_trees, op8_token_store, op9_language_codes, op10_seed_align)
+    own = (op1_simhash_pivots, op2_warc_writer, op3_cross_polytope, op4_kd_shards, op5_url_rules, op6_vector_packing, op7_quality_trees, op8_token_store, op9_language_codes, op10_seed_align, op11_merkle_forward, op12_k2_treap, op13_block_pruning)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_writer": OP2_SQL, "op5_url_rules": urlrules.ORACLE}
+    return {"op2_warc_writer": OP2_SQL, "op5_url_rules": urlrules.ORACLE, "op11_merkle_forward": merkle.ORACLE, "op12_k2_treap": k2treap.ORACLE, "op13_block_pruning": blockmax.ORACLE}
 
 
