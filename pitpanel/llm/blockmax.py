@@ -82,7 +82,7 @@ class Found:
             self.least[q] = float(self.score[q][-1])
 
 
-def search(rows: np.ndarray, keys: np.ndarray, own: np.ndarray, queries: np.ndarray, asked: np.ndarray, found: Found) -> int:
+def search(rows: np.ndarray, keys: np.ndarray, own: np.ndarray, queries: np.ndarray, asked: np.ndarray, found: Found, block_rows: int = ROWS) -> int:
     """Brings a range of documents into ``found``; the number of (query, block) pairs that were scored.
 
     ``own`` numbers the rows and ``asked`` the queries' own rows, which don't count. Where products could leave what double precision
@@ -92,7 +92,7 @@ def search(rows: np.ndarray, keys: np.ndarray, own: np.ndarray, queries: np.ndar
     rows, queries = (np.pad(a, ((0, 0), (0, width - a.shape[1]))) for a in (rows, queries))
     kind = np.float64 if size(rows) * size(queries) * max(width, 1) < EXACT else object
     rows, queries = rows.astype(kind), queries.astype(kind)
-    heads = np.arange(0, len(rows), ROWS)
+    heads = np.arange(0, len(rows), block_rows)
     if width:
         bounds = np.maximum(queries, 0) @ np.maximum.reduceat(rows, heads).T + np.minimum(queries, 0) @ np.minimum.reduceat(rows, heads).T
     else:
@@ -110,7 +110,7 @@ def search(rows: np.ndarray, keys: np.ndarray, own: np.ndarray, queries: np.ndar
         scored += len(active)
         for b in np.unique(block):
             who = active[block == b]
-            part = slice(int(heads[b]), int(heads[b]) + ROWS)
+            part = slice(int(heads[b]), int(heads[b]) + block_rows)
             scores = queries[who] @ rows[part].T if width else np.zeros((len(who), len(rows[part])), kind)
             mine = own[part][None, :] == asked[who][:, None]
             good = (scores.astype(np.float64) >= (found.least[who] - np.abs(np.nan_to_num(found.least[who], neginf=0)) * 2.0**-50)[:, None]) & ~mine
@@ -164,7 +164,7 @@ def searched(rows: DataFrame, asked: np.ndarray, queries: np.ndarray, k: int) ->
             t = pa.Table.from_batches(parts)
             parts.clear()
             keys = np.array([float("inf") if v is None else v for v in t["vec_id"].to_pylist()], object)
-            search(matrix(t["ints"].combine_chunks()), keys, t["row"].to_numpy(), queries, asked, found)
+            search(matrix(t["ints"].combine_chunks()), keys, t["row"].to_numpy(), queries, asked, found, ROWS)
 
         held = 0
         for batch in batches:

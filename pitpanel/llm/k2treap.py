@@ -87,7 +87,7 @@ class Best:
             heapreplace(self.heap, x)
 
 
-def search(treap: Treap, ids: list, item_of: np.ndarray, rows: np.ndarray, weights: np.ndarray, found: list[Best]) -> int:
+def search(treap: Treap, ids: list, item_of: np.ndarray, rows: np.ndarray, weights: np.ndarray, found: list[Best], width: int = WIDTH) -> int:
     """Brings the documents of a treap into ``found``; the number of states that were gone down from.
 
     Term k of ``rows`` and ``weights`` belongs to item ``item_of[k]`` (ascending). Sums are 64-bit integers.
@@ -102,7 +102,7 @@ def search(treap: Treap, ids: list, item_of: np.ndarray, rows: np.ndarray, weigh
         for k in busy:
             queue, least = waiting[k], found[k].least
             n = 0
-            while queue and n < WIDTH and -queue[0][0] >= least:
+            while queue and n < width and -queue[0][0] >= least:
                 taken.append(heappop(queue))
                 owner.append(k)
                 n += 1
@@ -201,7 +201,7 @@ def searched(held: DataFrame, keys: list[int], item_of: np.ndarray, term: np.nda
             col = pc.list_parent_indices(lists).to_numpy().astype(np.int64)
             tf, n = tf.flatten().to_numpy(), t["n"].to_numpy()
             treap = Treap(place[lists.flatten().to_numpy()], col, impact(tf, n[col], documents, total))
-            search(treap, t["doc_id"].to_pylist(), item_of, rows, weights, found)
+            search(treap, t["doc_id"].to_pylist(), item_of, rows, weights, found, WIDTH)
 
         docs = postings_held = 0
         for batch in batches:

@@ -6,7 +6,7 @@ group's nodes up to its last one, level), so children come before parents. One s
 each digest to its parent through a priority queue; the reversed sweep starts with the root and sends every node what its
 proof still lacks: the siblings of all nodes above it.
 
-The queue is external: a task sweeps blocks of FAN**LEVELS consecutive nodes with a queue of some FAN messages
+The queue is external: a task sweeps blocks of FAN**levels consecutive nodes with a queue of some FAN messages
 a level; what goes to a label beyond the block is written, and the next round of tasks, sorted by label, takes it up. Four levels
 go by in a round, so 10**11 rows take four rounds, and no task, group or driver holds more than a block.
 """
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import numbered, written
 
+#: Children of a node, and levels that go by in a round.
 FAN, LEVELS = 8, 4
-BLOCK = FAN**LEVELS
 Label = tuple[int, int]
 
 
@@ -47,13 +47,13 @@ def height(n: int) -> int:
     return levels
 
 
-def upward(n: int, first: int, digests: list[str]) -> tuple[dict[Label, list[str]], str]:
+def upward(n: int, first: int, digests: list[str], levels: int = LEVELS) -> tuple[dict[Label, list[str]], str]:
     """A block's sweep: the children of each inner node by its label, and the digest of the block's top.
 
     ``first`` is the number of the block's first node among the group's ``n``. A message waits in the queue until
     the sweep has come to its receiver's label.
     """
-    top, runs, queue, last = min(LEVELS, height(n)), {}, [], ""
+    top, runs, queue, last = min(levels, height(n)), {}, [], ""
 
     def send(level: int, number: int, value: str) -> None:
         above = number // FAN
@@ -131,23 +131,25 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def climb(nodes: DataFrame) -> list[DataFrame]:
-    """Tables (g, n, j, digest) of every ``LEVELS``-th level from ``nodes`` on; the last has one row a group, its top."""
+def climb(nodes: DataFrame, levels: int = LEVELS) -> list[DataFrame]:
+    """Tables (g, n, j, digest) of every ``levels``-th level from ``nodes`` on; the last has one row a group, its top."""
+
+    size = FAN**levels
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in blocks(batches):
             n, first = rows["n"][0].as_py(), rows["j"][0].as_py()
-            top = upward(n, first, rows["digest"].to_pylist())[1]
-            yield pa.RecordBatch.from_pydict({"g": [rows["g"][0].as_py()], "n": [-(-n // BLOCK)], "j": [rows["block"][0].as_py()], "digest": [top]})
+            top = upward(n, first, rows["digest"].to_pylist(), levels)[1]
+            yield pa.RecordBatch.from_pydict({"g": [rows["g"][0].as_py()], "n": [-(-n // size)], "j": [rows["block"][0].as_py()], "digest": [top]})
 
     tables = [nodes]
     while len(tables) == 1 or (tables[-1].agg(F.max("n")).first()[0] or 0) > 1:
-        rows = tables[-1].select("g", "n", "j", "digest", F.expr(f"j div {BLOCK}").alias("block"))
+        rows = tables[-1].select("g", "n", "j", "digest", F.expr(f"j div {size}").alias("block"))
         tables.append(written(rows.repartition("g", "block").sortWithinPartitions("g", "j").mapInArrow(run, "g long, n long, j long, digest string"), "merkle"))
     return tables
 
 
-def descend(tables: list[DataFrame], tops: DataFrame, fields: str, each: Callable[[pa.Table, dict, list[str]], dict], extra: tuple[str, ...] = ()) -> DataFrame:
+def descend(tables: list[DataFrame], tops: DataFrame, fields: str, each: Callable[[pa.Table, dict, list[str]], dict], extra: tuple[str, ...] = (), levels: int = LEVELS) -> DataFrame:
     """The reversed sweeps over ``climb``'s tables, from (g, rest, subroot, root) of each group's top to the nodes of the first table.
 
     ``each(rows, message, proofs)`` makes the columns of ``fields`` of a block of first nodes; ``extra`` are columns
@@ -155,7 +157,7 @@ def descend(tables: list[DataFrame], tops: DataFrame, fields: str, each: Callabl
     """
 
     def sweep(nodes: DataFrame, got: DataFrame, ddl: str, made: Callable, names: tuple[str, ...]) -> DataFrame:
-        rows = nodes.select("g", "n", "j", "digest", F.expr(f"j div {BLOCK}").alias("block"), *names)
+        rows = nodes.select("g", "n", "j", "digest", F.expr(f"j div {FAN**levels}").alias("block"), *names)
         both = rows.unionByName(got.select("g", F.lit(-1).cast("long").alias("j"), F.col("j").alias("block"), "rest", "subroot", "root"), allowMissingColumns=True)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +166,7 @@ def descend(tables: list[DataFrame], tops: DataFrame, fields: str, each: Callabl
                 if message["j"] != -1 or not own.num_rows:
                     raise ValueError("a block of the manifest and its message from above don't meet")
                 n, first = own["n"][0].as_py(), own["j"][0].as_py()
-                proofs = downward(n, first, own.num_rows, upward(n, first, own["digest"].to_pylist())[0], message["rest"])
+                proofs = downward(n, first, own.num_rows, upward(n, first, own["digest"].to_pylist(), levels)[0], message["rest"])
                 yield pa.RecordBatch.from_pydict(made(own, message, proofs))
 
         return both.repartition("g", "block").sortWithinPartitions("g", "block", "j").mapInArrow(run, ddl)
@@ -186,9 +188,10 @@ class Manifest:
     leaves: list[DataFrame]
     tops: DataFrame
     groups: int
+    levels: int
 
 
-def build(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", columns: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars", "text"), claim: Column | None = None) -> Manifest:
+def build(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", columns: tuple[str, ...] = ("doc_id", "source", "lang", "n_chars", "text"), claim: Column | None = None, levels: int = LEVELS) -> Manifest:
     """The manifest of ``docs``: leaves over ``columns``, by group (null first, then bytewise) and id (null first).
 
     ``claim`` is an expression for a digest to be checked in the leaf's place where it isn't null. Rows that share an id are ordered by
@@ -202,17 +205,17 @@ def build(docs: DataFrame, id_col: str = "doc_id", group_col: str = "lang", colu
     groups = rows.groupBy("grp").agg(F.min("at").alias("base"), F.count(F.lit(1)).alias("n"))
     groups = written(numbered(groups, [F.col("grp").asc_nulls_first()], "g"), "merkle")
     joined = rows.alias("r").join(groups.alias("q"), F.col("r.grp").eqNullSafe(F.col("q.grp")))
-    leaves = climb(written(joined.select("g", "n", (F.col("at") - F.col("base")).alias("j"), "digest", "doc_id", "claim"), "merkle"))
+    leaves = climb(written(joined.select("g", "n", (F.col("at") - F.col("base")).alias("j"), "digest", "doc_id", "claim"), "merkle"), levels)
 
     count = groups.count()
     subroots = leaves[-1].select(F.lit(0).cast("long").alias("g"), F.lit(count).cast("long").alias("n"), F.col("g").alias("j"), "digest")
-    upper = climb(subroots)
+    upper = climb(subroots, levels)
     whole = upper[-1].select("g", F.lit("").alias("rest"), F.col("digest").alias("subroot"), F.col("digest").alias("root"))
 
     def passed(own: pa.Table, message: dict, proofs: list[str]) -> dict:
         return {"g": own["j"].combine_chunks(), "rest": proofs, "subroot": own["digest"].combine_chunks(), "root": [message["root"]] * own.num_rows}
 
-    return Manifest(leaves, written(descend(upper, whole, "g long, rest string, subroot string, root string", passed), "merkle"), count)
+    return Manifest(leaves, written(descend(upper, whole, "g long, rest string, subroot string, root string", passed, levels=levels), "merkle"), count, levels)
 
 
 def paths(own: pa.Table, groups: int) -> Iterator[list[tuple[int, int]]]:
@@ -231,7 +234,7 @@ def proofs(manifest: Manifest) -> DataFrame:
         n = own.num_rows
         return {"doc_id": own["doc_id"].combine_chunks(), "leaf": own["digest"].combine_chunks(), "subroot": [message["subroot"]] * n, "root": [message["root"]] * n, "path": pa.array(path, pa.list_(pa.int32())), "proof": found}
 
-    return descend(manifest.leaves, manifest.tops, "doc_id long, leaf string, subroot string, root string, path array<int>, proof string", each, ("doc_id",))
+    return descend(manifest.leaves, manifest.tops, "doc_id long, leaf string, subroot string, root string, path array<int>, proof string", each, ("doc_id",), manifest.levels)
 
 
 def audited(manifest: Manifest) -> DataFrame:
@@ -245,7 +248,7 @@ def audited(manifest: Manifest) -> DataFrame:
         n = own.num_rows
         return {"doc_id": own["doc_id"].combine_chunks(), "leaf": leaves, "subroot": [message["subroot"]] * n, "root": [message["root"]] * n, "proof_sha256": [digest(p) for p in found], "folded_root": folded, "verified": [f == message["root"] for f in folded]}
 
-    return descend(manifest.leaves, manifest.tops, "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean", each, ("doc_id", "claim"))
+    return descend(manifest.leaves, manifest.tops, "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean", each, ("doc_id", "claim"), manifest.levels)
 
 
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
