@@ -7,7 +7,6 @@ smallest; a text whose two best languages are close is flagged as ambiguous.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,12 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_text
+from .common import map_text, written
 
-LETTER = re.compile(r"[^\W\d_]")
 DIM = 2048
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a character of a letter category (L*) is there; numerals such as ½ or ⅷ are none."""
+    return bool(text) and any(map(str.isalpha, text))
+
+
 def features(text: str, dim: int = DIM) -> np.ndarray:
     """Square roots of the shares of hashed byte 1-, 2- and 3-grams of the lower-cased whole text, at unit length."""
     data = np.frombuffer(b" " + text.lower().encode("utf-8", "replace") + b" ", np.uint8).astype(np.uint32)
@@ -92,22 +95,23 @@ def held_out(id_col: str = "doc_id", fold: int = 3, rest: int = 1):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % fold == rest, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = 1000, max_rows: int = 40_000, least: int = 8, bits: int = 15, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
+def train(docs: DataFrame, per_language: int = 1000, max_rows: int = 40_000, least: int = 8, max_languages: int = 4096, bits: int = 15, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Fits on about ``per_language`` rows of each language outside the held-out fold, chosen by a hash of id and text.
 
-    Every language is learned. Where there are more than ``max_rows`` / ``per_language`` of them each gets its part of about
-    ``max_rows`` rows, but ``least`` in any case; a row takes 8 KB on the driver. Of equal rows one counts. Rows with a null id, text or
-    language, and texts without letters teach nothing; texts of any length are taken whole. None without any row.
+    Up to ``max_languages`` languages are learned, where there are more those with the most rows. Where there are more than
+    ``max_rows`` / ``per_language`` of them each gets its part of about ``max_rows`` rows, but ``least`` in any case; a row takes 8 KB on
+    the driver. Of equal rows one counts. Rows with a null id, text or language, and texts without letters teach nothing;
+    texts of any length are taken whole. None without any row.
     """
     known = docs.where(F.col(id_col).isNotNull() & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}") & ~held_out(id_col))
     known = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
-    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()
-    if not counts:
+    counts = written(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages), "languages")
+    many = counts.count()
+    if not many:
         return None
-    want = max(least, min(per_language, max_rows // len(counts)))
-    share = F.create_map(*(F.lit(v) for r in counts for v in (r.lang, min(1.0, want / r.n))))
+    want = max(least, min(per_language, max_rows // many))
     point = F.shiftrightunsigned("h", 11).cast("double") / F.lit(float(1 << 53))
-    sample = known.where(point < F.try_element_at(share, F.col("lang"))).dropDuplicates(["lang", "h"])
+    sample = known.join(F.broadcast(counts), "lang").where(point * F.col("n") < want).dropDuplicates(["lang", "h"])  # at most max_languages rows
     found = map_text(sample, "text", ["id", "lang"], "x binary", lambda texts: {"x": pa.array([features(t).tobytes() for t in texts], pa.binary())}).collect()
     found.sort(key=lambda r: (r[0], r[1], r.x))
     if not found:
@@ -122,13 +126,13 @@ def predict(docs: DataFrame, model: Model | None, gap: float = 0.1, keep: list[s
     """(doc_id, held_out, lang_pred, score, ambiguous) and the columns in ``keep`` for each row.
 
     ``und`` with score 0 for null texts and those without a letter, and for all without a model;
-    ambiguous where the best two scores differ by less than ``gap``. Repeated rows come back as often; a null id is never
+    ambiguous where the best two scores differ by less than ``gap``; of equal scores the first language in alphabetical order wins. Repeated rows come back as often; a null id is never
     held out; columns of any name may be kept, but clash with those added. An empty table gives an empty result.
     """
 
     def each(texts: list) -> dict:
         lang, score, unsure = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
-        some = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if model else []
+        some = [i for i, t in enumerate(texts) if has_letter(t)] if model else []
         for k in range(0, len(some), 512):
             part = some[k : k + 512]
             best, share, apart = model.decode(np.stack([features(texts[i]) for i in part]))
