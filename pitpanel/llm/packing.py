@@ -27,7 +27,8 @@ from .tokens import encoder, forget, with_end
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id: int = 2, remembered: int = 500_000, keep: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): each document's ids with ``end_id`` behind, cut if longer than ``capacity``.
 
-    Only the first piece of a cut document may be shorter than the capacity. A null text is empty.
+    Only the first piece of a cut document may be shorter than the capacity. A null text is empty, a text of any length is encoded
+    whole, repeated rows and ids have pieces of their own. Extra columns aren't read; an empty table gives an empty result.
     ``keep`` leaves what the encoder remembers to the worker's next task.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
@@ -107,8 +108,18 @@ def plan(counts: dict[int, int], capacity: tuple[int, int, int], weights: tuple[
     return np.array(runs, np.int64).reshape(-1, 5)
 
 
-def pack(made: DataFrame, capacity: int = 1024, documents: int | None = 32, attention: int | None = None, weights: tuple[float, float, float] = (1.0, 1e-3, 1e-3), score: str = "norm") -> DataFrame:
-    """``made`` (from ``pieces``) with sequence_id and offset.
+#: Scorings that ``pack`` tries: the plan with the fewest bins counts.
+SCORINGS = tuple((kind, (1.0, d, a)) for kind in ("norm", "dot") for d, a in ((1e-3, 1e-3), (0.3, 1e-3), (1e-3, 0.3), (1.0, 1.0)))
+
+
+def fewest(counts: dict[int, int], capacity: tuple[int, int, int], scorings: tuple = SCORINGS) -> np.ndarray:
+    """The plan with the fewest bins over the scorings (kind, weights); of equal ones the first."""
+    plans = [plan(counts, capacity, weights, kind) for kind, weights in scorings]
+    return min(plans, key=lambda runs: int((runs[:, 2] + runs[:, 3]).max(initial=0)))
+
+
+def pack(made: DataFrame, capacity: int = 1024, documents: int | None = None, attention: int | None = None, scorings: tuple = SCORINGS) -> DataFrame:
+    """``made`` (from ``pieces``) with sequence_id and offset, by the scoring that takes the fewest sequences.
 
     ``documents`` and ``attention`` (sum of squared lengths) bound what else a sequence may hold; None leaves them to the
     tokens. A full piece alone takes capacity squared of attention, so that bound can't be lower where pieces are full.
@@ -117,7 +128,7 @@ def pack(made: DataFrame, capacity: int = 1024, documents: int | None = 32, atte
     with small_batches(made.sparkSession):
         made = written(made, "pieces")
     counts = {r.length: r.n for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    runs = plan(counts, (capacity, documents or capacity, attention or capacity**2), weights, score)
+    runs = fewest(counts, (capacity, documents or capacity, attention or capacity**2), scorings)
     lengths = sorted(counts)
     base = dict(zip(lengths, np.concatenate([[0], np.cumsum([counts[x] for x in lengths])[:-1]]).tolist() if lengths else [], strict=False))
     first = np.array([base[x] for x in runs[:, 0]], np.int64) + runs[:, 1] if len(runs) else np.zeros(0, np.int64)
