@@ -98,15 +98,17 @@ class Shard:
 def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = 2, roll_mb: int = 64, remembered: int = 500_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes whole texts and writes the shards; returns the manifest, a table in the shared folder.
 
-    Rows are range partitioned and sorted by key (then text, for repeated keys), so shards follow one
+    Rows are range partitioned and sorted by key (then by the text's hash, for repeated keys), so shards follow one
     another in ascending key order; a task rolls to the next shard after ``roll_mb`` of payload.
     A null text is empty and still gets the end id. Rows with a null key stand first and are in no
-    index. The manifest row (part, seq, path, first, n, tokens) is what a reader trusts.
+    index. Rows of one key may stand in several shards. Texts of any length go whole into one shard. Extra columns aren't read, and an
+    empty table gives an empty manifest. The manifest row (part, seq, path, first, n, tokens) is what a reader trusts.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).alias("text"))
-    # Range bounds come from keys alone: the sampling pass reads no text and sends none to the driver.
-    rows = rows.repartitionByRange(partitions(spark), "key").sortWithinPartitions("key", "text").withColumn("part", F.spark_partition_id())
+    # The sampling pass sends keys and hashes, no text, to the driver; rows of one key, or of none, are dealt to many tasks.
+    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(partitions(spark), "key", "h", "row").sortWithinPartitions("key", "h", "row").select("key", "text", F.spark_partition_id().alias("part"))
 
     def save(path: str, keys: list, ends: list, data: list, width: int) -> None:
         named = np.array([k is not None for k in keys])
@@ -159,7 +161,7 @@ def read(manifest: DataFrame) -> DataFrame:
 
     Each key goes through the hash index to its record; repeated keys and null keys, which the
     index can't tell apart, are taken at their own places. start counts the ids of all documents
-    before; the sums before each shard are taken over the manifest, a row for each file.
+    before; the sums before each shard are taken over the manifest, a row for each file. An empty manifest gives an empty result.
     """
     spark = manifest.sparkSession
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
