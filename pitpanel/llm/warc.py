@@ -103,14 +103,15 @@ def sized(marked: DataFrame) -> DataFrame:
     return marked.mapInArrow(run, f"{fields}, total long")
 
 
-def write(pages: DataFrame, folder: str, roll_mb: float = 16, least: int = 1000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def write(pages: DataFrame, folder: str, roll_mb: float = 16, least: int = 1000, runs: int = 20_000, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Writes the archives and returns the manifest (file, path, records, bytes, first, last), a table in the shared folder.
 
     Of equal payloads of at least ``least`` bytes the largest key (of its repeated rows the one with the largest url) is
     the response and the others revisit it; smaller payloads are all responses. A null html is an
     empty payload. Null keys stand first and revisit like others, unless no equal payload has a key. A file ends
     where ``roll_mb`` of records as written are reached; rows that are equal in key, url and html count together and stand in one
-    file. A page of any length is one record. Only the three columns named are read. An empty table gives no file.
+    file. A page of any length is one record. Only the three columns named are read. An empty table gives no file. Tasks write ``runs``
+    runs of files at most.
     """
     spark = pages.sparkSession
     rows = pages.select(F.col(id_col).cast("long").alias("key"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
@@ -123,14 +124,18 @@ def write(pages: DataFrame, folder: str, roll_mb: float = 16, least: int = 1000,
 
     placed = numbered(marked.select("key", "url", "digest", "total"), ["key", "url", "digest"], "before", "total")
     roll = int(roll_mb * (1 << 20))
-    # Where files begin: a row for each file, so at most compressed size / roll_mb of them.
+    # Where files begin is a table, a row for each file. Tasks get runs of whole files; the driver sees where each run begins, never more
+    # than ``runs`` rows, and inside a task the table's own rows, sorted among the records, say where the next file begins.
     first = F.min(F.struct(F.col("key").isNotNull().alias("a"), F.coalesce("key", F.lit(0)).alias("b"), F.col("url").isNotNull().alias("c"), F.coalesce("url", F.lit("")).alias("d"), F.col("digest").alias("e")))
-    bounds = sorted(tuple(r["first"]) for r in placed.groupBy(F.floor(F.col("before") / roll).alias("file")).agg(first.alias("first")).collect())
+    begins = placed.groupBy(F.floor(F.col("before") / roll).alias("at")).agg(first.alias("first"))
+    begins = written(numbered(begins, ["at"], "file"), "files")
+    each = -(-begins.count() // runs)
+    bounds = [tuple(r["first"]) for r in begins.where(F.col("file") % max(1, each) == 0).orderBy("file").collect()]
 
-    def file_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each row's file; equal rows of a batch become one with their number."""
+    def run_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each row's run of files; equal rows of a batch become one with their number."""
         for batch in batches:
-            keep, times, file, seen = [], [], [], {}
+            keep, times, run, seen = [], [], [], {}
             for i, (key, url, digest, kind) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("key", "url", "digest", "kind")), strict=True)):
                 at = seen.setdefault((key, url, digest, kind), len(keep))
                 if at < len(keep):
@@ -138,14 +143,16 @@ def write(pages: DataFrame, folder: str, roll_mb: float = 16, least: int = 1000,
                     continue
                 keep.append(i)
                 times.append(1)
-                file.append(max(0, bisect.bisect_right(bounds, (key is not None, key or 0, url is not None, url or "", digest)) - 1))
+                run.append(max(0, bisect.bisect_right(bounds, (key is not None, key or 0, url is not None, url or "", digest)) - 1))
             kept = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(file, pa.int32()), pa.array(times, pa.int64()), *kept.columns], names=["file", "times", *batch.schema.names])
+            yield pa.RecordBatch.from_arrays([pa.array(run, pa.int32()), pa.array(times, pa.int64()), *kept.columns], names=["run", "times", *batch.schema.names])
 
-    bodies = rows.select("key", "url", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("digest"), F.lit(1).alias("kind"), "html", *(F.lit(None).cast(t).alias(n) for n, t in (("chief", "long"), ("chief_url", "string"), ("lead", "boolean"))))
-    marks = notes.select("key", "url", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("html"), "chief", "chief_url", "lead")
-    dealt = bodies.unionByName(marks).mapInArrow(file_of, "file int, times long, key long, url string, digest string, kind int, html string, chief long, chief_url string, lead boolean")
-    dealt = dealt.repartitionById(max(partitions(spark), min(len(bounds), 20_000)), "file").sortWithinPartitions("file", "key", "url", "digest", "kind")
+    plain = [F.lit(None).cast(t).alias(n) for n, t in (("chief", "long"), ("chief_url", "string"), ("lead", "boolean"))]
+    bodies = rows.select("key", "url", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("digest"), F.lit(1).alias("kind"), "html", *plain, F.lit(None).cast("long").alias("file"))
+    marks = notes.select("key", "url", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("html"), "chief", "chief_url", "lead", F.lit(None).cast("long").alias("file"))
+    starts = begins.select(F.when(F.col("first.a"), F.col("first.b")).alias("key"), F.when(F.col("first.c"), F.col("first.d")).alias("url"), F.col("first.e").alias("digest"), F.lit(-1).alias("kind"), F.lit(None).cast("string").alias("html"), *plain, "file")
+    dealt = bodies.unionByName(marks).unionByName(starts).mapInArrow(run_of, "run int, times long, key long, url string, digest string, kind int, html string, chief long, chief_url string, lead boolean, file long")
+    dealt = dealt.repartitionById(max(partitions(spark), len(bounds)), "run").sortWithinPartitions("run", "key", "url", "digest", "kind")
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, out, last, number, note = None, None, None, 0, None
@@ -156,14 +163,15 @@ def write(pages: DataFrame, folder: str, roll_mb: float = 16, least: int = 1000,
                 made.append({"file": file, "path": held["path"], "records": held["records"], "bytes": out.close(), "first": held["first"], "last": held["last"]})
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("file", "times", "key", "url", "digest", "kind", "html", "chief", "chief_url", "lead")), strict=True):
-                at, times, key, url, digest, kind, html, chief, chief_url, lead = row
-                if at != file or out is None:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("times", "key", "url", "digest", "kind", "html", "chief", "chief_url", "lead", "file")), strict=True):
+                times, key, url, digest, kind, html, chief, chief_url, lead, at = row
+                if kind == -1:
                     close()
                     file, last = at, None
                     held = {"path": f"{folder}/pages-{at:08d}.warc.gz", "records": 0, "first": key, "last": key}
                     out = files.Writing(held["path"])
                     out.write(member(opening(held["path"].rpartition("/")[2])))
+                    continue
                 if (key, url, digest) != last:
                     last, number, note = (key, url, digest), 0, None
                 if kind == 0:
@@ -204,7 +212,7 @@ def records(stream, block: int = 1 << 16) -> Iterator[tuple[dict, bytes]]:
 def read(manifest: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record of the manifest's files.
 
-    A response's length and digest are taken from its payload and held against its headers.
+    A response's length and digest are taken from its payload and held against its headers. An empty manifest gives an empty result.
     """
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
 
