@@ -822,3 +822,117 @@ def test_warc_rolls_by_written_bytes_and_splits_null_keys(spark):
     sizes = [m.bytes for m in sorted(manifest, key=lambda m: m.file)]
     assert [m.file for m in sorted(manifest, key=lambda m: m.file)] == list(range(len(sizes)))
     assert max(sizes) < 1.15 * 0.05 * (1 << 20) and min(sizes[:-1]) > 0.8 * 0.05 * (1 << 20) and sum(m.records for m in manifest) == 1000
+
+
+def test_warc_files_in_runs(spark):
+    """With fewer runs than files a task writes several files, and all are as they are with a run for each."""
+    pages = spark.createDataFrame([(None if k % 5 == 0 else k, f"http://a/{k % 7}", prose(k % 60, 40 + k % 30)) for k in range(400)], "page_id long, url string, html string")
+    seen = []
+    for runs in (10_000, 3, 1):
+        manifest = warc.write(pages, warc.new_folder(pages), roll_mb=0.003, runs=runs)
+        files = [(r.file, r.records, r.bytes, r["first"], r["last"]) for r in manifest.orderBy("file").collect()]
+        seen.append((files, sorted((tuple(r) for r in warc.read(manifest).collect()), key=repr)))
+    assert seen[0] == seen[1] == seen[2] and len(seen[0][0]) > 20
+
+
+def test_frames_shared_by_items_bring_no_pairs(spark):
+    """200 items of one frame and 2,000 documents with the frame: only documents that go on like an item meet it."""
+    items = [(k, f"what is the name of item {k}") for k in range(200)]
+    docs = [(k, f"{prose(k, 8)} what is the name of my dog {prose(k + 5000, 8)}") for k in range(2000)] + [(9000 + k, f"so what is the name of item {k} then") for k in range(0, 200, 20)]
+    left, right = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    named = decontam.numbered_items(right, 3, "item_id", "text").withColumn("item", F.xxhash64("words"))
+    seeds = decontam.seeds_of(named, 4).cache()
+    different = seeds.select("gram").distinct()
+    near = decontam.near_texts(left, *decontam.bitmap(different, different.count()), 3, "doc_id", "text").cache()
+    assert decontam.met(near, seeds, len(docs), 20.0, 0.25, 0.8, 1 << 20).count() < 200
+    got = {(x.doc_id, x.item_id) for x in decontam.contaminated(left, right).collect()}
+    assert got >= {(9000 + k, k) for k in range(0, 200, 20)} and len(got) < 50
+
+
+@pytest.mark.parametrize("words", [12, 40])
+def test_decontamination_recall_where_a_third_hold_one_item(spark, words):
+    """Copies with every tenth to every third word changed, of one item in a third of all documents and of others in few."""
+    r = random.Random(21)
+    items = [(k, prose(7000 + k, words)) for k in range(10)]
+    docs = []
+    for k in range(900):
+        text = prose(20_000 + k, 60).split()
+        if k % 3 == 0 or k % 10 == 1:
+            leak = items[0 if k % 3 == 0 else 1 + k % 9][1].split()
+            for i in r.sample(range(words), r.randint(0, words // 4)):
+                leak[i] = r.choice(["changed", "other", "words"])
+            text[20:20] = leak
+        docs.append((k, " ".join(text)))
+    got = {(x.doc_id, x.item_id) for x in decontam.contaminated(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    parted = {i: decontam.words(t) for i, t in items}
+    code = {w: k for k, w in enumerate({w for _, t in docs + items for w in decontam.words(t)})}
+    hashed = lambda ws: np.array([code[w] for w in ws], np.int64)
+    want = {(d, i) for d, t in docs for i, item in parted.items() if decontam.align(hashed(item), hashed(decontam.words(t)))[0] >= 0.5 * 2 * len(item)}
+    assert got <= want and len(want) > 300
+    assert len(got & want) >= 0.98 * len(want)
+
+
+def test_items_in_common_and_repeated_items(spark):
+    """Items whose n-grams are all held by many items, the same item under several ids and a null one."""
+    frame = prose(3, 14).split()
+    items = [(k, " ".join(frame[: 5 + k])) for k in range(9)] + [(100 + k, prose(8, 20)) for k in range(7)] + [(None, prose(8, 20))]
+    docs = [(1, " ".join(frame)), (2, prose(8, 20)), (3, prose(9, 50))]
+    got = {(x.doc_id, x.item_id) for x in decontam.contaminated(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(1, k) for k in range(9)} <= got and {(2, 100 + k) for k in range(7)} | {(2, None)} <= got
+    assert not [d for d, _ in got if d == 3]
+
+
+def test_quality_sample_is_bounded_by_rows(spark, monkeypatch):
+    """One labelled id on 30,000 rows: at most max_train rows of statistics reach the driver."""
+    seen = []
+    monkeypatch.setattr(gbt_quality, "fit", lambda x, y, **more: seen.append(len(y)))
+    rows = [(2, f"text {k % 20000} of many") for k in range(30_000)] + [(k, prose(k, 9)) for k in range(3, 300)] + [(3, None), (4, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(300)], "doc_id long, quality int, toxic int")
+    for most in (3, 1000):
+        gbt_quality.train(docs, labels, max_train=most)
+    gbt_quality.train(docs.where("doc_id = 2").withColumn("text", F.lit("same")), labels, max_train=3)
+    gbt_quality.train(docs.limit(0), labels)
+    gbt_quality.train(docs, labels.limit(0))
+    assert 0 < seen[0] <= 3 and 500 < seen[1] <= 1000 and seen[2:] == [1, 0, 0]
+
+
+def test_numerals_are_no_letters(spark):
+    docs = spark.createDataFrame([(k, prose(k), "en") for k in range(30)] + [(k, "ñü " * k, "es") for k in range(30, 60)], "doc_id long, text string, lang string")
+    model = ecoc_langid.train(docs)
+    asked = spark.createDataFrame([(1, "½ ² 12"), (2, "ⅷ"), (3, "_ 7 \U0001f600"), (4, "ªa"), (5, "漢")], SCHEMA)
+    assert [(x.doc_id, x.lang_pred == "und", x.score == 0) for x in ecoc_langid.predict(asked, model).orderBy("doc_id").collect()] == [(1, True, True), (2, True, True), (3, True, True), (4, False, False), (5, False, False)]
+
+
+def test_more_languages_than_are_learned(spark):
+    docs = spark.createDataFrame([(k * 7 + j, prose(k), f"l{k % 6}") for k in range(60) for j in range(1 + k % 6)], "doc_id long, text string, lang string")
+    assert ecoc_langid.train(docs, max_languages=4).languages == ["l2", "l3", "l4", "l5"]
+
+
+def test_token_store_with_many_null_and_repeated_keys(spark):
+    """A third of the rows has no key, a third one key: they are dealt to many shards, and every row comes back from its place."""
+    r = random.Random(4)
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, prose(r.randint(0, 40), r.randint(0, 30))) for k in range(1500)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("start", F.lit(1)).withColumn("h", F.lit("x"))
+    manifest = tokenstore.write(docs, tokenstore.new_folder(docs), tokens.default_path())
+    assert manifest.where("n > 0").count() >= 3 and manifest.agg(F.max("n")).first()[0] < 800
+    got = tokenstore.read(manifest).collect()
+    ids = expected_ids([t for _, t in rows])
+    assert sorted(((x.doc_id, x.n_tokens, x.ids_crc32) for x in got), key=repr) == sorted(((k, len(i), zlib.crc32(i.tobytes())) for (k, _), i in zip(rows, ids, strict=True)), key=repr)
+    at = 0
+    for x in sorted(got, key=lambda x: x.start):
+        assert x.start == at
+        at += x.n_tokens
+
+
+def test_packing_takes_the_fewest_sequences_of_all_scorings():
+    r = random.Random(9)
+    counts = {}
+    for _ in range(3000):
+        n = min(1024, int(r.lognormvariate(5, 1.2)) + 1)
+        counts[n] = counts.get(n, 0) + 1
+    used = lambda runs: len({b + k for _, _, n, b, _ in runs.tolist() for k in range(n)})
+    capacity = (1024, 1024, 1024**2)
+    every = [used(packing.plan(counts, capacity, w, kind)) for kind, w in packing.SCORINGS]
+    best = used(packing.fewest(counts, capacity))
+    assert best == min(every) and best <= 1 + -(-sum(k * n for k, n in counts.items()) // 1024)
