@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from pitpanel.functions import exprs
+from pitpanel.functions.redaction import redacted
 from pitpanel.operators import audit, contracts, features
 
 from .base import YEARS, query, supplier_years, table
@@ -111,7 +112,7 @@ def row_identities(spark, sf_dir):
 
 @query("P28")
 def redacted_conversations(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", exprs.redacted("text").alias("text"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", redacted("text").alias("text"))
 
 
 @query("A1 A2 A28 J1", """WITH x AS (SELECT o.*, c.c_custkey, c.c_mktsegment FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 50 <> 1) c ON o_custkey = c_custkey),
