@@ -39,8 +39,9 @@ def feature_sink(spark, sf_dir):
     path = new_path(spark, "features")
     snapshots.put_features(long.where("s % 2 = 0"), path, ["s", "y"], "input_hash")
     snapshots.put_features(long, path, ["s", "y"], "input_hash")
-    values = spark.read.parquet(f"{path}/values").groupBy("s", "y").agg(F.count(F.lit(1)).alias("stored"))
-    return spark.read.parquet(f"{path}/headers").join(values, ["s", "y"]).select("s", "y", "n_values", "n_derived", "stored")
+    headers, values = snapshots.feature_tables(spark, path)
+    values = values.groupBy("s", "y").agg(F.count(F.lit(1)).alias("stored"))
+    return headers.join(values, ["s", "y"]).select("s", "y", "n_values", "n_derived", "stored")
 
 
 @query("S17", """WITH q AS (SELECT l_suppkey AS s, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(quarter(l_shipdate) AS INTEGER) AS q, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS v FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-07-01' AND l_suppkey % 7 IN (0, 1, 2, 4) GROUP BY 1, 2, 3)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitpanel.operators.audit import fingerprint
 
+from .commits import Log
+
 ENVELOPE = T.StructType([T.StructField(n, T.StringType()) for n in ("source", "dataset", "request", "fetched_at", "payload", "digest")])
 
 
@@ -98,30 +102,46 @@ def append_new(batch: DataFrame, path: str, key: list[str], by: list[str]) -> No
 def put_view(rows: DataFrame, path: str, columns: list[str]) -> str:
     """Replaces the view at ``path`` by ``rows`` unless it holds the same rows; written or unchanged.
 
-    Each view stands in a folder named by its fingerprint, and a one-row table beside it names the one that counts,
-    so a reader never sees half a view.
+    A view stands in a folder of its own, and a numbered commit names the one that counts, so a reader sees a whole view, the old or
+    the new one, also where a writer dies half-way.
     """
-    mark = fingerprint(rows, columns).first()[0]
-    current = stored(rows.sparkSession, f"{path}/current")
-    if current is not None and current.first()[0] == mark:
+    mark, log = fingerprint(rows, columns).first()[0], Log(rows.sparkSession, path)
+    number = log.last()
+    if log.read(number).get("fingerprint") == mark:
         return "unchanged"
-    rows.write.mode("overwrite").parquet(f"{path}/{mark}")
-    rows.sparkSession.createDataFrame([(mark,)], "fingerprint string").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+    folder = f"{path}/{mark}-{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    log.commit(number + 1, {"fingerprint": mark, "folder": folder})
     return "written"
 
 
 def view(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the view at ``path``."""
-    return spark.read.parquet(f"{path}/{spark.read.parquet(f'{path}/current').first()[0]}")
+    return spark.read.parquet(Log(spark, path).read()["folder"])
 
 
 def put_features(long: DataFrame, path: str, key: list[str], input_hash: str) -> None:
-    """Writes a header row for each (key, input_hash) and its values as child rows, both only for headers that are not there yet."""
-    head = [*key, input_hash]
-    before = stored(long.sparkSession, f"{path}/headers")
-    fresh = long if before is None else long.join(before.select(*head), head, "left_anti")
-    fresh.write.mode("append").parquet(f"{path}/values")
-    fresh.groupBy(*head).agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.col("status") == "derived").alias("n_derived")).write.mode("append").parquet(f"{path}/headers")
+    """Writes a header row for each (key, input_hash) and its values as child rows, both only for headers that are not there yet.
+
+    Both are made from one staged table and counted by one commit, which comes last: a run that dies before it added nothing, and
+    its rerun adds everything once.
+    """
+    spark, head = long.sparkSession, [*key, input_hash]
+    log = Log(spark, path)
+    number = log.last()
+    parts = log.read(number).get("parts", [])
+    fresh = long.join(spark.read.parquet(*(f"{p}/headers" for p in parts)).select(*head), head, "left_anti") if parts else long
+    part = f"{path}/{uuid.uuid4().hex}"
+    fresh.write.parquet(f"{part}/values")
+    values = spark.read.schema(long.schema).parquet(f"{part}/values")
+    values.groupBy(*head).agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.col("status") == "derived").alias("n_derived")).write.parquet(f"{part}/headers")
+    log.commit(number + 1, {"parts": [*parts, part]})
+
+
+def feature_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(headers, values) as of the newest commit."""
+    parts = Log(spark, path).read()["parts"]
+    return tuple(spark.read.parquet(*(f"{p}/{name}" for p in parts)) for name in ("headers", "values"))
 
 
 def write_ordered(df: DataFrame, path: str, order: list[Column | str]) -> DataFrame:
