@@ -21,27 +21,43 @@ def midpoint_percentile(rank: Column, n: Column, higher_is_better: Column) -> Co
     return F.when(higher_is_better, up).otherwise(100 - up)
 
 
-def bucketed_ranks(df: DataFrame, values: list[str], group: list[str], buckets: int = 64) -> dict[str, DataFrame]:
-    """For each column (group columns, value, rank, n): average ranks from 1 among the group's values, and their number.
+#: Different values of a group that one task may number.
+ONE_TASK = 500_000
 
-    Different values of each group are counted first. Approximate quantiles of the whole table deal them into ordered
-    buckets, so that the largest group, or the table itself (no ``group``), is numbered in many tasks; each bucket is then
-    shifted by those before it in its group. Any bounds give the same exact ranks. All columns share the passes.
+
+def value_counts(df: DataFrame, values: list[str], group: list[str]) -> DataFrame:
+    """(group columns, _m, _v, _n): how often each group has each value of each column."""
+    pairs = F.array(*(F.struct(F.lit(m).alias("_m"), F.col(m).cast("double").alias("_v")) for m in values))
+    return df.select(*group, F.explode(pairs).alias("p")).select(*group, "p.*").where("_v is not null").groupBy(*group, "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def merged_counts(counts: DataFrame, group: list[str]) -> DataFrame:
+    """The counts of coarser groups."""
+    return counts.groupBy(*group, "_m", "_v").agg(F.sum("_n").alias("_n"))
+
+
+def count_ranks(counts: DataFrame, group: list[str], buckets: int = 64, one_task: int = ONE_TASK) -> DataFrame:
+    """``counts`` with rank and n: the average rank from 1 of each value in its group, and how many values the group has.
+
+    Where no group has more than ``one_task`` different values a window numbers them. Else approximate quantiles deal
+    the values into ordered buckets, so that the largest group, or the table itself (no ``group``), is numbered in many tasks, and each
+    bucket is shifted by those before it in its group. Any bounds give the same exact ranks.
     """
+    place = lambda base, n: base + 1 + (n - 1) / 2
+    before = lambda w: F.coalesce(F.sum("_n").over(w.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = Window.partitionBy(*group, "_m")
+    most = counts.groupBy(*group, "_m").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0] or 0
+    if most <= one_task:
+        return counts.select(*group, "_m", "_v", place(before(own), F.col("_n")).alias("rank"), F.sum("_n").over(own).alias("n"))
+    names = [r[0] for r in counts.select("_m").distinct().collect()]  # as many as columns are ranked
     probabilities = [k / buckets for k in range(1, buckets)]
-    bounds = {m: sorted(set(q)) for m, q in zip(values, df.approxQuantile(values, probabilities, 0.01), strict=True)}
-    pairs = F.array(*(F.struct(F.lit(m).alias("_m"), F.col(m).cast("double").alias("_v")) for m in values))
-    counts = df.select(*group, F.explode(pairs).alias("p")).select(*group, "p.*").where("_v is not null").groupBy(*group, "_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    above = lambda m: F.aggregate(F.array(*map(F.lit, bounds[m])), F.lit(0), lambda n, b: n + (F.col("_v") > b).cast("int")) if bounds[m] else F.lit(0)
-    dealt = cut(counts.withColumn("_b", reduce(lambda e, m: F.when(F.col("_m") == m, above(m)).otherwise(e), values, F.lit(0))))
-    own = Window.partitionBy(*group, "_m")  # a row a bucket
-    sums = dealt.groupBy(*group, "_m", "_b").agg(F.sum("_n").alias("_s"))
+    bounds = {m: sorted(set(counts.where(F.col("_m") == m).approxQuantile("_v", probabilities, 0.01))) for m in names}
+    above = lambda m: F.aggregate(F.array(*map(F.lit, bounds[m])), F.lit(0), lambda n, b: n + (F.col("_v") > b).cast("int"))
+    dealt = cut(counts.withColumn("_b", reduce(lambda e, m: F.when(F.col("_m") == m, above(m)).otherwise(e), names, F.lit(0))))
+    sums = dealt.groupBy(*group, "_m", "_b").agg(F.sum("_n").alias("_s"))  # a row a bucket
     sums = sums.select(*group, "_m", "_b", F.coalesce(F.sum("_s").over(own.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"), F.sum("_s").over(own).alias("n"))
-    running = F.coalesce(F.sum("_n").over(Window.partitionBy(*group, "_m", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = null_safe_join(dealt.withColumn("_before", running), sums, [*group, "_m", "_b"], "inner").select(*group, "_m", "_v", (F.col("_base") + F.col("_before") + 1 + (F.col("_n") - 1) / 2).alias("rank"), "n")
-    ranked = cut(ranked)
-    kinds = dict(df.dtypes)
-    return {m: ranked.where(F.col("_m") == m).select(*group, F.col("_v").cast(kinds[m]).alias(m), "rank", "n") for m in values}
+    running = dealt.withColumn("_before", before(Window.partitionBy(*group, "_m", "_b")))
+    return null_safe_join(running, sums, [*group, "_m", "_b"], "inner").select(*group, "_m", "_v", place(F.col("_base") + F.col("_before"), F.col("_n")).alias("rank"), "n")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
@@ -50,32 +66,35 @@ def null_safe_join(left: DataFrame, right: DataFrame, key: list[str], how: str)
     return left.join(other, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in key)), how).drop(*(f"_r_{k}" for k in key))
 
 
-def table_ranks(df: DataFrame, values: list[str], buckets: int = 64) -> dict[str, DataFrame]:
-    """For each column (value, table_rank, table_n) over the whole table."""
-    return {m: r.withColumnsRenamed({"rank": "table_rank", "n": "table_n"}) for m, r in bucketed_ranks(df, values, [], buckets).items()}
-
-
 def with_fallback(df: DataFrame, values: list[str], group: str, least: int = 20) -> DataFrame:
-    """Adds <value>_pct and <value>_scope for each column: the rank in the group if it has ``least`` values of this very metric, else in the table."""
-    out = cut(df)
-    whole, inner = table_ranks(out, values), bucketed_ranks(out, values, [group])
+    """Adds <value>_pct and <value>_scope for each column: the rank in the group if it has ``least`` values of this very metric, else in the table.
+
+    Values are counted once, by group; the table's counts are sums of the groups'.
+    """
+    counts = cut(value_counts(df, values, [group]))
+    inner = count_ranks(counts, [group])
+    whole = count_ranks(merged_counts(counts, []), []).withColumnsRenamed({"rank": "table_rank", "n": "table_n"})
+    grouped = F.col("n") >= least
+    pct = F.when(grouped, percent_rank(F.col("rank"), F.col("n"))).otherwise(percent_rank(F.col("table_rank"), F.col("table_n")))
+    placed = inner.join(whole, ["_m", "_v"]).select(group, "_m", "_v", pct.alias("_pct"), F.when(grouped, "group").otherwise("table").alias("_scope"))
+    placed, kinds, out = cut(placed), dict(df.dtypes), df
     for value in values:
-        both = null_safe_join(out.join(whole[value], value, "left"), inner[value], [group, value], "left")
-        grouped, known = F.coalesce(F.col("n") >= least, F.lit(False)), F.col(value).isNotNull()
-        pct = F.when(grouped, percent_rank(F.col("rank"), F.col("n"))).otherwise(percent_rank(F.col("table_rank"), F.col("table_n")))
-        out = both.withColumn(f"{value}_pct", F.when(known, pct)).withColumn(f"{value}_scope", F.when(known, F.when(grouped, "group").otherwise("table"))).drop("rank", "n", "table_rank", "table_n")
+        own = placed.where(F.col("_m") == value).select(group, F.col("_v").cast(kinds[value]).alias(value), F.col("_pct").alias(f"{value}_pct"), F.col("_scope").alias(f"{value}_scope"))
+        out = null_safe_join(out, own, [group, value], "left")
     return out
 
 
 def peer_percentiles(df: DataFrame, value: str, eligible: str, fine: list[str], coarse: list[str], higher: str, least: int = 20) -> DataFrame:
     """Adds percentile, scope, peers and reason: the fine cohort if it has ``least`` eligible rows, then the coarse one, else none.
 
-    Rows that aren't eligible are nobody's peers and get no percentile.
+    Rows that aren't eligible are nobody's peers and get no percentile. Values are counted once, by fine cohort.
     """
-    rows = cut(df.withColumn("_v", F.when(F.col(eligible) & F.col(value).isNotNull(), F.col(value))))
-    narrow = bucketed_ranks(rows, ["_v"], [*coarse, *fine])["_v"].withColumnsRenamed({"rank": "_r1", "n": "_n1"})
-    wide = bucketed_ranks(rows, ["_v"], coarse)["_v"].withColumnsRenamed({"rank": "_r2", "n": "_n2"})
-    rows = null_safe_join(null_safe_join(rows, narrow, [*coarse, *fine, "_v"], "left"), wide, [*coarse, "_v"], "left")
+    rows = df.withColumn("_v", F.when(F.col(eligible) & F.col(value).isNotNull(), F.col(value).cast("double")))
+    counts = cut(value_counts(rows, ["_v"], [*coarse, *fine]))
+    narrow = count_ranks(counts, [*coarse, *fine]).drop("_m").withColumnsRenamed({"rank": "_r1", "n": "_n1"})
+    wide = count_ranks(merged_counts(counts, coarse), coarse).drop("_m").withColumnsRenamed({"rank": "_r2", "n": "_n2"})
+    placed = null_safe_join(narrow, wide, [*coarse, "_v"], "inner")
+    rows = null_safe_join(rows, placed, [*coarse, *fine, "_v"], "left")
     known = F.col("_v").isNotNull()
     scope = F.when(known & (F.col("_n1") >= least), "fine").when(known & (F.col("_n2") >= least), "coarse")
     out = rows.withColumn("scope", scope)
@@ -110,15 +129,3 @@ def representatives(df: DataFrame, group: str, score: str, coverage: str, key: s
     place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("pick"), *order))  # at most 2 * most rows
     picked = df.join(F.broadcast(first.unionByName(fill)), key)
     return picked.withColumn("_at", place).where(F.col("_at") <= most).drop("_at")
-
-
-def pools(df: DataFrame, pool: str, group: str, order: list[Column], group_cap: int, capacity: int) -> DataFrame:
-    """Adds state: selected, group_cap or capacity, as a scan in ``order`` that skips full groups would give.
-
-    A group's rows beyond its cap never count against the capacity, so numbering the survivors is the same.
-    """
-    ranked = df.withColumn("_g", F.row_number().over(Window.partitionBy(pool, group).orderBy(*order)))
-    # Only what the caps leave, at most ``group_cap`` rows a group, is numbered in one task of a pool.
-    inside = ranked.where(F.col("_g") <= group_cap).withColumn("_p", F.row_number().over(Window.partitionBy(pool).orderBy(*order)))
-    placed = inside.withColumn("state", F.when(F.col("_p") > capacity, "capacity").otherwise("selected")).drop("_g", "_p")
-    return placed.unionByName(ranked.where(F.col("_g") > group_cap).withColumn("state", F.lit("group_cap")).drop("_g"))

@@ -105,34 +105,6 @@ def adjusted_peer_ranks(spark, sf_dir):
     return ranked.groupBy(F.coalesce("scope", "reason").alias("state")).agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("eligible"), F.round(F.avg("percentile"), 4).alias("mean_percentile"))
 
 
-POOL = "CASE WHEN c_acctbal >= 7000 THEN 'strong' WHEN c_acctbal >= 3000 THEN 'wait' END"
-
-
-def _pooled(spark, sf_dir, strong=7000, wait=3000):
-    rows = panel(spark, sf_dir).withColumn("pool", F.when(F.col("c_acctbal") >= strong, "strong").when(F.col("c_acctbal") >= wait, "wait")).where("pool is not null")
-    return ranks.pools(rows, "pool", "c_nationkey", [F.col("c_acctbal").desc(), F.col("c_custkey").asc()], 4, 20)
-
-
-def _pool_sql(strong=7000, wait=3000):
-    return f"""c AS (SELECT c_custkey, c_nationkey, c_acctbal, CASE WHEN c_acctbal >= {strong} THEN 'strong' WHEN c_acctbal >= {wait} THEN 'wait' END AS pool FROM customer),
-g AS (SELECT *, row_number() OVER (PARTITION BY pool, c_nationkey ORDER BY c_acctbal DESC, c_custkey) AS gn FROM c WHERE pool IS NOT NULL),
-w AS (SELECT *, row_number() OVER (PARTITION BY pool, gn <= 4 ORDER BY c_acctbal DESC, c_custkey) AS pn FROM g),
-st AS (SELECT *, CASE WHEN gn > 4 THEN 'group_cap' WHEN pn > 20 THEN 'capacity' ELSE 'selected' END AS state FROM w)"""
-
-
-@query("X2 X3", "WITH " + _pool_sql() + " SELECT c_custkey, pool, state FROM st")
-def pool_selection(spark, sf_dir):
-    return _pooled(spark, sf_dir).select("c_custkey", "pool", "state")
-
-
-@query("X4", "WITH a AS (WITH " + _pool_sql() + " SELECT c_custkey, pool FROM st WHERE state = 'selected'), b AS (WITH " + _pool_sql(7700, 3300) + " SELECT c_custkey, pool FROM st WHERE state = 'selected') SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, a.pool AS pool_before, b.pool AS pool_after, CASE WHEN a.pool IS NULL THEN 'enters' WHEN b.pool IS NULL THEN 'leaves' WHEN a.pool <> b.pool THEN 'moves' ELSE 'stays' END AS change FROM a FULL JOIN b ON a.c_custkey = b.c_custkey")
-def pool_sensitivity(spark, sf_dir):
-    pick = lambda df, name: df.where("state = 'selected'").select("c_custkey", F.col("pool").alias(name))
-    both = pick(_pooled(spark, sf_dir), "pool_before").join(pick(_pooled(spark, sf_dir, 7700, 3300), "pool_after"), "c_custkey", "full_outer")
-    change = F.when(F.col("pool_before").isNull(), "enters").when(F.col("pool_after").isNull(), "leaves").when(F.col("pool_before") != F.col("pool_after"), "moves").otherwise("stays")
-    return both.withColumn("change", change)
-
-
 @query("W16 S20", """WITH g AS (SELECT source, lang, count(*) AS n, sum(n_chars) AS chars FROM documents GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, source, lang) AS pos, count(*) OVER () AS reviewed FROM g)
 SELECT source, lang, n, CAST(chars AS BIGINT) AS chars, reviewed, CAST(25 AS BIGINT) AS shown FROM r WHERE pos <= 25""")
 def top_sources(spark, sf_dir):

@@ -6,7 +6,7 @@ The SQL states all weights by itself, so that it doesn't share them with the ope
 from pyspark.sql import functions as F
 
 from pitpanel.functions import exprs
-from pitpanel.operators import ranks, score
+from pitpanel.operators import ranks, score, selection
 
 from .base import panel, query, table
 from .ranking import SCORED
@@ -121,23 +121,61 @@ def capped_scores(spark, sf_dir):
     return both.select("c_custkey", six("G").alias("growth"), six("V").alias("value"), *(six(made[n]).alias(n) for n in ("S0", "Sc", "B")))
 
 
-SCENARIOS_SQL = """, sc(d, step) AS (SELECT d, step FROM (VALUES ('G'), ('V'), ('M'), ('EQ'), ('FS'), ('CA'), ('T')) a(d) CROSS JOIN (VALUES (0.05), (-0.05)) b(step)),
-base(d, w) AS (VALUES ('G', 0.18), ('V', 0.18), ('M', 0.18), ('EQ', 0.12), ('FS', 0.08), ('CA', 0.16), ('T', 0.10)),
-sw AS (SELECT sc.d AS moved, step, b.d AS dim, CAST(CASE WHEN b.d = sc.d THEN b.w + step ELSE CAST(b.w AS DOUBLE) * (1 - (o.w + step)) / (1 - o.w) END AS DOUBLE) AS w FROM sc CROSS JOIN base b JOIN base o ON o.d = sc.d),
-s1 AS (SELECT c_custkey, moved, step, CASE WHEN count(score) = 7 THEN sum(w * score) END AS s FROM ds JOIN sw USING (dim) GROUP BY 1, 2, 3),
-s0 AS (SELECT c_custkey, CASE WHEN count(score) = 7 THEN sum(CAST(w AS DOUBLE) * score) END AS s FROM ds JOIN base ON d = dim GROUP BY 1)"""
-
-
-@query("X4", SLOT_SQL + SCENARIOS_SQL + " SELECT moved AS dimension, CAST(step AS DOUBLE) AS step, count(*) FILTER (WHERE s1.s >= 55) AS members, count(*) FILTER (WHERE s1.s >= 55 AND s0.s < 55) AS entered, count(*) FILTER (WHERE s1.s < 55 AND s0.s >= 55) AS gone FROM s1 JOIN s0 USING (c_custkey) GROUP BY 1, 2")
-def weight_sensitivity(spark, sf_dir):
-    """Who would be above a bound if one dimension weighed 5 points more or less, the others in proportion."""
-    wide = assembled(spark, sf_dir)
-    values = {d: F.col(d) for d in DIMS}
-    cases = []
-    for d in DIMS:
-        for step in (0.05, -0.05):
-            w = {n: v + step if n == d else v * (1 - (score.WEIGHTS[d] + step)) / (1 - score.WEIGHTS[d]) for n, v in score.WEIGHTS.items()}
-            cases.append(F.struct(F.lit(d).alias("dimension"), F.lit(step).alias("step"), score.weighted(values, w).alias("s")))
-    rows = wide.select(score.weighted(values, score.WEIGHTS).alias("before"), F.explode(F.array(*cases)).alias("c")).select("before", "c.*")
-    now, then = F.col("s") >= 55, F.col("before") >= 55
-    return rows.groupBy("dimension", "step").agg(F.count_if(now).alias("members"), F.count_if(now & ~then).alias("entered"), F.count_if(~now & then).alias("gone"))
+def candidates(spark, sf_dir, scenarios):
+    """(scenario, c_custkey, c_nationkey, pool, reasons and the numbers of the order) of every customer in every scenario: caps, scores and bounds in one pass."""
+    wide = assembled(spark, sf_dir).join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal"), "c_custkey")
+    low = F.when(F.col("c_acctbal") < 0, 40.0).otherwise(100.0)
+    wide = wide.withColumn("G", F.when(F.col("G").isNotNull(), F.least("G", low)))
+    rows = selection.with_scenarios(wide, scenarios)
+    conf, made = numbers(rows, weights={d: F.col(f"w_{d}") for d in DIMS})
+    rows = rows.withColumns({"C": conf["C"], "Sc": made["Sc"], "B": made["B"], "R_safety": made["R_safety"]})
+    barred = F.when(F.col("c_nationkey") == 3, F.array(F.lit("strong"))).when(F.col("c_nationkey") == 7, F.array(F.lit("strong"), F.lit("wait"))).otherwise(F.array().cast("array<string>"))
+    rows = rows.withColumn("vetoed", F.col("c_custkey") % 17 == 4).withColumn("prohibited", barred)
+    return selection.qualified(rows, "vetoed", "prohibited", POOLS, F.col("shift"))
+
+
+#: The reference bounds suit real scores; these tables' mixed percentiles lie nearer to 50, so the queries' bounds do too.
+POOLS = (selection.Pool("strong", "Sc", 54.0, True, ("Sc", "C", "R_safety"), 4, 20), selection.Pool("wait", "B", 46.0, False, ("B", "C", "V"), 10, 50))
+
+
+def _scenario_values():
+    return ", ".join(f"('{r[0]}', CAST({r[1]} AS DOUBLE), {', '.join(f'CAST({w!r} AS DOUBLE)' for w in r[2:])})" for r in SCENARIOS)
+
+
+SCENARIOS = selection.scenario_rows(bound=4.0)
+POOL_SQL = """, sc(scenario, shift, wg, wv, wm, weq, wfs, wca, wt) AS (VALUES {values}),
+bs AS (SELECT c_custkey, c_nationkey, CASE WHEN g IS NOT NULL THEN least(g, CASE WHEN c_acctbal < 0 THEN 40.0 ELSE 100.0 END) END AS g, va, m, eq, fs, ca, t FROM wd JOIN customer USING (c_custkey)),
+nn AS (SELECT bs.c_custkey, c_nationkey, scenario, shift, g, va, m, eq, fs, t, c, wg * g + wv * va + wm * m + weq * eq + wfs * fs + wca * ca + wt * t AS s0, (wg * g + wv * va + wm * m + weq * eq + wfs * fs + wca * ca) / (wg + wv + wm + weq + wfs + wca) AS sb,
+ 0.40 * fs + 0.25 * eq + 0.20 * (0.40 * r1 + 0.30 * r2) / 0.70 + 0.15 * (0.20 * r3 + 0.15 * r4) / 0.35 AS safety FROM bs JOIN cc USING (c_custkey) CROSS JOIN sc),
+qq AS (SELECT *, 50 + c * (s0 - 50) AS scs, 50 + c * (sb - 50) AS b2 FROM nn),
+rr AS (SELECT *, concat_ws(',', CASE WHEN coalesce(m >= 45, false) THEN NULL ELSE 'M_floor' END, CASE WHEN coalesce(eq >= 45, false) THEN NULL ELSE 'EQ_floor' END, CASE WHEN coalesce(fs >= 45, false) THEN NULL ELSE 'FS_floor' END, CASE WHEN c_custkey % 17 = 4 THEN 'veto' END, CASE WHEN c_nationkey = 7 OR (c_nationkey = 3 AND t >= 55) THEN 'prohibited' END) AS rest FROM qq),
+rs AS (SELECT *, CASE WHEN t IS NULL THEN 'timing_unknown' ELSE concat_ws(',', CASE WHEN coalesce(CASE WHEN t >= 55 THEN scs >= 54 + shift ELSE b2 >= 46 + shift END, false) THEN NULL ELSE 'score' END, CASE WHEN coalesce(c >= 0.75, false) THEN NULL ELSE 'confidence' END, nullif(rest, '')) END AS reasons FROM rr),
+pl AS (SELECT *, CASE WHEN reasons = '' THEN CASE WHEN t >= 55 THEN 'strong' ELSE 'wait' END END AS pool FROM rs),
+od AS (SELECT *, CASE pool WHEN 'strong' THEN scs ELSE b2 END AS o1, CASE pool WHEN 'strong' THEN safety ELSE va END AS o3, CASE pool WHEN 'strong' THEN 4 ELSE 10 END AS cap, CASE pool WHEN 'strong' THEN 20 ELSE 50 END AS room FROM pl WHERE pool IS NOT NULL),
+og AS (SELECT *, row_number() OVER (PARTITION BY scenario, pool, c_nationkey ORDER BY o1 DESC, c DESC, o3 DESC, c_custkey) AS gn FROM od),
+op AS (SELECT *, row_number() OVER (PARTITION BY scenario, pool, gn <= cap ORDER BY o1 DESC, c DESC, o3 DESC, c_custkey) AS pn FROM og),
+oh AS (SELECT *, count(*) FILTER (WHERE gn <= cap AND pn <= room) OVER (PARTITION BY scenario, pool, c_nationkey) AS held FROM op),
+dc AS (SELECT *, CASE WHEN gn <= cap AND pn <= room THEN 'selected' WHEN held >= cap THEN 'group_cap' ELSE 'capacity' END AS state, CASE WHEN gn <= cap AND pn <= room THEN gn ELSE held END AS group_count FROM oh)""".format(values=_scenario_values())
+
+
+@query("X2", SLOT_SQL + POOL_SQL + " SELECT c_custkey, pool, reasons FROM pl WHERE scenario = 'base'")
+def pool_qualification(spark, sf_dir):
+    """The pool of each customer, or the tests that keep it out: score, confidence, floors, veto, prohibitions, timing."""
+    rows = candidates(spark, sf_dir, SCENARIOS[:1])
+    return rows.select("c_custkey", "pool", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("X3", SLOT_SQL + POOL_SQL + " SELECT c_custkey, pool, c_nationkey, round(o1 + 3e-8, 6) AS first, round(c + 3e-8, 6) AS second, round(o3 + 3e-8, 6) AS third, group_count, state FROM dc WHERE scenario = 'base'")
+def pool_selection(spark, sf_dir):
+    """Every candidate's place in the order, its industry's count and the decision: 4 and 20 in the strong pool, 10 and 50 in the other."""
+    rows = selection.selected(candidates(spark, sf_dir, SCENARIOS[:1]), "c_custkey", "c_nationkey", POOLS)
+    return rows.select("c_custkey", "pool", "c_nationkey", *(six(f"comparison.by_{k}").alias(n) for k, n in ((1, "first"), (2, "second"), (3, "third"))), "group_count", "state")
+
+
+@query("X4", SLOT_SQL + POOL_SQL + """, mb AS (SELECT c_custkey, pool FROM dc WHERE state = 'selected' AND scenario = 'base'), ma AS (SELECT scenario, c_custkey, pool FROM dc WHERE state = 'selected' AND scenario <> 'base'),
+md AS (SELECT scenario, mb.c_custkey, mb.pool FROM mb CROSS JOIN (SELECT DISTINCT scenario FROM dc WHERE scenario <> 'base'))
+SELECT coalesce(md.scenario, ma.scenario) AS scenario, coalesce(md.c_custkey, ma.c_custkey) AS c_custkey, md.pool AS before, ma.pool AS after, CASE WHEN md.pool IS NULL THEN 'enters' WHEN ma.pool IS NULL THEN 'leaves' WHEN md.pool <> ma.pool THEN 'moves' ELSE 'stays' END AS change FROM md FULL JOIN ma ON md.scenario = ma.scenario AND md.c_custkey = ma.c_custkey""")
+def pool_sensitivity(spark, sf_dir):
+    """Who enters, leaves or moves when a dimension weighs 5 points more or less, or the bounds on scores move: all scenarios go through caps, scores, bounds and pools in one pass."""
+    decided = selection.selected(candidates(spark, sf_dir, SCENARIOS), "c_custkey", "c_nationkey", POOLS, ("scenario",))
+    return selection.membership_changes(decided, "c_custkey")

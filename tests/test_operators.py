@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.functions import exprs
 from pitpanel.functions.redaction import redacted
-from pitpanel.operators import audit, calendars, contracts, features, market, periods, policy, ranks, score, versions
+from pitpanel.operators import audit, calendars, contracts, features, market, periods, policy, ranks, score, selection, versions
 from pitpanel.sources import snapshots
 from pitpanel.streaming import increments
 
@@ -19,7 +19,7 @@ def one(spark, **columns):
 
 def test_percent_ranks_average_ties_and_a_single_value_is_50(spark):
     df = spark.createDataFrame([("a", -10.0), ("b", -10.0), ("c", 20.0), ("d", None)], "k string, v double")
-    whole = {r.v: (r.table_rank, r.table_n) for r in ranks.table_ranks(df, ["v"])["v"].collect()}
+    whole = {r["_v"]: (r["rank"], r.n) for r in ranks.count_ranks(ranks.value_counts(df, ["v"], []), []).collect()}
     assert whole == {-10.0: (1.5, 3), 20.0: (3.0, 3)}
     got = {r.k: (r.v_pct, r.v_scope) for r in ranks.with_fallback(df.withColumn("g", F.lit(1)), ["v"], "g", 20).collect()}
     assert got == {"a": (25.0, "table"), "b": (25.0, "table"), "c": (100.0, "table"), "d": (None, None)}
@@ -44,19 +44,30 @@ def test_weighted_mean_renormalises_over_what_is_there(spark):
 
 
 def test_pools_equal_the_greedy_scan(spark):
+    """Two pools with their own orders and caps, ties, nulls, and three scans at once, against a loop over sorted rows."""
     import random
 
-    for seed in range(3):
-        r = random.Random(seed)
-        rows = [(k, f"i{r.randint(0, 9)}", r.random()) for k in range(200)]
-        df = spark.createDataFrame(rows, "k long, g string, s double").withColumn("pool", F.lit("p"))
-        got = {x.k for x in ranks.pools(df, "pool", "g", [F.desc("s"), F.asc("k")], 4, 20).where("state = 'selected'").collect()}
-        want, count = [], {}
-        for k, g, _ in sorted(rows, key=lambda x: (-x[2], x[0])):
-            if len(want) < 20 and count.get(g, 0) < 4:
-                want.append(k)
-                count[g] = count.get(g, 0) + 1
-        assert got == set(want)
+    r = random.Random(5)
+    rows = []
+    for per in ("a", "b", "c"):
+        for k in range(400):
+            pick = lambda *v: r.choice(v)
+            rows.append((per, k, f"i{min(r.randint(0, 14), r.randint(0, 14))}", pick("strong", "wait", None), pick(70.0, 75.5, 80.25, r.random()), pick(0.75, 0.8), pick(50.0, None, 60.0), pick(66.0, 70.0, r.random()), pick(1.0, 2.0)))
+    df = spark.createDataFrame(rows, "per string, k long, g string, pool string, Sc double, C double, R_safety double, B double, V double").repartition(7)
+    got = {(x.per, x.k): (x.state, x.group_count, tuple(x.comparison)) for x in selection.selected(df, "k", "g", per=("per",)).collect()}
+    want = {}
+    for per in ("a", "b", "c"):
+        for pool in (selection.STRONG, selection.WAIT):
+            own = [dict(zip(df.columns, x, strict=True)) for x in rows if x[0] == per and x[3] == pool.name]
+            place = lambda x: (*((x[n] is None, -(x[n] or 0)) for n in pool.order), x["k"])  # noqa: E731, B023
+            counts, total = {}, 0
+            for x in sorted(own, key=place):
+                g = counts.get(x["g"], 0)
+                state = "group_cap" if g >= pool.group_cap else "capacity" if total >= pool.capacity else "selected"
+                if state == "selected":
+                    counts[x["g"]], total, g = g + 1, total + 1, g + 1
+                want[per, x["k"]] = (state, g, (*(x[n] for n in pool.order), x["k"]))
+    assert got == want
 
 
 def test_version_order_ties_and_blocked_keys(spark):
@@ -191,11 +202,13 @@ def test_grouped_ranks_of_a_hot_group_equal_plain_ones(spark):
     r = random.Random(4)
     rows = [(k, None if k % 50 == 0 else "hot" if k % 3 else f"g{k % 7}", None if k % 11 == 0 else float(r.randint(0, 40))) for k in range(600)]
     df = spark.createDataFrame(rows, "k long, g string, v double")
-    got = {(x.g, x.v): (x["rank"], x.n) for x in ranks.bucketed_ranks(df, ["v"], ["g"], 8)["v"].collect()}
+    counts = ranks.value_counts(df, ["v"], ["g"])
+    window, dealt = ({(x.g, x["_v"]): (x["rank"], x.n) for x in ranks.count_ranks(counts, ["g"], 8, most).collect()} for most in (1000, 0))
+    assert window == dealt
     for g in {x[1] for x in rows}:
         own = sorted(x[2] for x in rows if x[1] == g and x[2] is not None)
         for v in set(own):
-            assert got[g, v] == (own.index(v) + 1 + (own.count(v) - 1) / 2, len(own))
+            assert window[g, v] == (own.index(v) + 1 + (own.count(v) - 1) / 2, len(own))
 
 
 def test_identities_facts_and_evidence(spark):
