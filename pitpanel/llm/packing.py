@@ -108,14 +108,21 @@ def plan(counts: dict[int, int], capacity: tuple[int, int, int], weights: tuple[
     return np.array(runs, np.int64).reshape(-1, 5)
 
 
-#: Scorings that ``pack`` tries: the plan with the fewest bins counts.
-SCORINGS = tuple((kind, (1.0, d, a)) for kind in ("norm", "dot") for d, a in ((1e-3, 1e-3), (0.3, 1e-3), (1e-3, 0.3), (1.0, 1.0)))
+#: Scorings that ``pack`` tries.
+SCORINGS = (("norm", (1.0, 1e-3, 1e-3)), ("dot", (1.0, 1e-3, 1e-3)), ("norm", (1.0, 1.0, 1.0)))
 
 
 def fewest(counts: dict[int, int], capacity: tuple[int, int, int], scorings: tuple = SCORINGS) -> np.ndarray:
-    """The plan with the fewest bins over the scorings (kind, weights); of equal ones the first."""
-    plans = [plan(counts, capacity, weights, kind) for kind, weights in scorings]
-    return min(plans, key=lambda runs: int((runs[:, 2] + runs[:, 3]).max(initial=0)))
+    """The plan with the fewest bins over the scorings (kind, weights), of equal ones the first; none after one that fills all bins but the last."""
+    best, used, least = None, 0, -(-sum(k * n for k, n in counts.items()) // capacity[0])
+    for kind, weights in scorings:
+        runs = plan(counts, capacity, weights, kind)
+        n = int((runs[:, 2] + runs[:, 3]).max(initial=0))
+        if best is None or n < used:
+            best, used = runs, n
+        if used <= least:
+            break
+    return best
 
 
 def pack(made: DataFrame, capacity: int = 1024, documents: int | None = None, attention: int | None = None, scorings: tuple = SCORINGS) -> DataFrame:
