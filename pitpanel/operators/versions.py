@@ -50,6 +50,49 @@ def requested(wanted: DataFrame, found: DataFrame, key: list[str]) -> DataFrame:
     return wanted.select(*key).distinct().join(found.withColumn("present", F.lit(True)), key, "left").withColumn("present", F.coalesce("present", F.lit(False)))
 
 
+def leading_context(df: DataFrame, key: list[str], order: list[Column], wanted: DataFrame | None = None) -> DataFrame:
+    """Each key's leading row with context_state: chosen, tie (several rows lead alike, none is shown) or, for wanted keys without a row, absent.
+
+    ``order`` goes from the most to the least important, the largest leads, null lowest. Equal rows are counted before they meet.
+    """
+    rest = [c for c in df.columns if c not in key]
+    rank = F.struct(*(F.struct(o.isNotNull().alias("k"), o.alias("v")).alias(f"o{i}") for i, o in enumerate(order)))
+    alike = df.withColumn("_o", rank).groupBy(*key, "_o").agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_r"))
+    best = alike.groupBy(*key).agg(F.max_by(F.struct("_n", "_r"), "_o").alias("b"))
+    chosen = F.col("b._n") == 1
+    out = best.select(*key, *(F.when(chosen, F.col(f"b._r.{c}")).alias(c) for c in rest), F.when(chosen, "chosen").otherwise("tie").alias("context_state"))
+    if wanted is None:
+        return out
+    return wanted.select(*key).distinct().join(out, key, "left").withColumn("context_state", F.coalesce("context_state", F.lit("absent")))
+
+
+def leading_versions(df: DataFrame, key: list[str], published: str, updated: str, precision: str, generation: str, content: str) -> DataFrame:
+    """(key, state, published, updated, generation, content): each key's leading version under an order that is only partial.
+
+    A version's instant is ``updated``, or ``published`` where no version states an update. The later one leads, and several may lead
+    together if they are the same in generation and content. state names the first thing that forbids a choice: incomparable (two contents
+    with different precision, or of which one states an update and one doesn't), contradictory (one was published earlier and
+    updated later than another), different_content (two contents lead at one instant), else chosen.
+
+    No pairs are made: what all pairs would show follows from the key's different contents, from one sort by instant with the
+    published times before it, and from the leading instant.
+    """
+    same = F.struct(generation, content)
+    rows = df.select(*key, published, updated, precision, generation, content, same.alias("_same"), F.coalesce(updated, published).alias("_at")).distinct()
+    # Of two different contents one side decides whether they compare; a content may state both, so each kind's contents are counted.
+    kind = F.struct(F.col(precision), F.col(updated).isNotNull())
+    kinds = rows.groupBy(*key).agg(F.countDistinct(kind).alias("kinds"), F.countDistinct("_same").alias("contents"))
+    # Rows in order of their instants: a later instant with an earlier publication than one that went before contradicts it.
+    instants = rows.groupBy(*key, kind.alias("_kind"), "_at").agg(F.min(published).alias("_first"), F.max(published).alias("_last"))
+    before = F.max("_last").over(Window.partitionBy(*key, "_kind").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1))
+    crossed = instants.withColumn("_crossed", F.col("_first") < before).groupBy(*key).agg(F.bool_or(F.coalesce("_crossed", F.lit(False))).alias("crossed"))
+    top = rows.groupBy(*key, "_at").agg(F.countDistinct("_same").alias("leading"), F.min(F.struct(generation, content, published, updated)).alias("b")).groupBy(*key).agg(F.max_by(F.struct("leading", "b"), "_at").alias("t"))
+    both = kinds.join(crossed, key).join(top, key)
+    state = F.when((F.col("kinds") > 1) & (F.col("contents") > 1), "incomparable").when(F.col("crossed"), "contradictory").when(F.col("t.leading") > 1, "different_content").otherwise("chosen")
+    shown = lambda c: F.when(F.col("state") == "chosen", F.col(f"t.b.{c}")).alias(c)
+    return both.withColumn("state", state).select(*key, "state", shown(published), shown(updated), shown(generation), shown(content))
+
+
 def undominated(df: DataFrame, key: list[str], name: str, at_least: list[str]) -> DataFrame:
     """The rows of each key that no other row reaches or passes in all dimensions (and passes in one); groups are small versions lists."""
     x, y = df.alias("x"), df.alias("y")

@@ -61,12 +61,25 @@ def requested_versions(spark, sf_dir):
     return versions.requested(wanted, found, ["user_id"])
 
 
-@query("W10", "SELECT l_orderkey, l_linenumber FROM lineitem x WHERE NOT EXISTS (SELECT 1 FROM lineitem y WHERE y.l_orderkey = x.l_orderkey AND y.l_linenumber <> x.l_linenumber AND y.l_quantity >= x.l_quantity AND y.l_discount >= x.l_discount AND (y.l_quantity > x.l_quantity OR y.l_discount > x.l_discount))")
+@query("K1", "SELECT l_orderkey, l_linenumber FROM lineitem x WHERE NOT EXISTS (SELECT 1 FROM lineitem y WHERE y.l_orderkey = x.l_orderkey AND y.l_linenumber <> x.l_linenumber AND y.l_quantity >= x.l_quantity AND y.l_discount >= x.l_discount AND (y.l_quantity > x.l_quantity OR y.l_discount > x.l_discount))")
 def undominated_lines(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
     return versions.undominated(rows, ["l_orderkey"], "l_linenumber", ["l_quantity", "l_discount"]).select("l_orderkey", "l_linenumber")
 
 
+@query("W10", """WITH v AS (SELECT o_custkey AS k, o_orderkey % 3 AS gen, o_orderkey % 2 AS content, CAST(o_orderdate AS DATE) AS pub, CASE WHEN o_custkey % 4 <> 1 OR o_orderkey % 50 = 7 THEN CAST(o_orderdate AS DATE) + CASE WHEN o_custkey % 3 = 0 THEN CAST(o_orderkey % 400 AS INTEGER) ELSE 5 END END AS upd, CASE WHEN o_custkey % 7 = 2 AND o_orderkey % 5 = 0 THEN 'date' ELSE 'time' END AS pr FROM orders),
+t AS (SELECT *, coalesce(upd, pub) AS at_ FROM v), d AS (SELECT DISTINCT * FROM t), p AS (SELECT a.k, bool_or((a.pr <> b.pr OR (a.upd IS NULL) <> (b.upd IS NULL)) AND (a.gen, a.content) <> (b.gen, b.content)) AS incomparable, bool_or(a.pr = b.pr AND (a.upd IS NULL) = (b.upd IS NULL) AND a.at_ > b.at_ AND a.pub < b.pub) AS crossed FROM d a JOIN d b USING (k) GROUP BY 1),
+m AS (SELECT k, max(at_) AS top FROM d GROUP BY 1), l AS (SELECT d.k, count(DISTINCT (gen, content)) AS n, min(struct_pack(gen := gen, content := content, pub := pub, upd := upd)) AS b FROM d JOIN m ON m.k = d.k AND at_ = top GROUP BY 1),
+s AS (SELECT p.k, CASE WHEN incomparable THEN 'incomparable' WHEN crossed THEN 'contradictory' WHEN n > 1 THEN 'different_content' ELSE 'chosen' END AS state, b FROM p JOIN l USING (k))
+SELECT k AS o_custkey, state, CASE WHEN state = 'chosen' THEN b.pub END AS published, CASE WHEN state = 'chosen' THEN b.upd END AS updated, CASE WHEN state = 'chosen' THEN b.gen END AS generation, CASE WHEN state = 'chosen' THEN b.content END AS content FROM s""")
+def leading_order_versions(spark, sf_dir):
+    """Orders as versions of their customer: which one leads where the order is only partial, or what forbids a choice; the SQL looks at all pairs."""
+    k, c, day = F.col("o_orderkey"), F.col("o_custkey"), F.to_date("o_orderdate")
+    updated = F.when((c % 4 != 1) | (k % 50 == 7), F.date_add(day, F.when(c % 3 == 0, (k % 400).cast("int")).otherwise(5)))
+    rows = table(spark, sf_dir, "orders").select("o_custkey", day.alias("published"), updated.alias("updated"), F.when((c % 7 == 2) & (k % 5 == 0), "date").otherwise("time").alias("precision"), (k % 3).alias("generation"), (k % 2).alias("content"))
+    return versions.leading_versions(rows, ["o_custkey"], "published", "updated", "precision", "generation", "content")
+
+
 @query("T6 U3", """WITH o AS (SELECT c_custkey, round(c_acctbal, 0) AS h FROM customer WHERE c_custkey % 7 <> 0), n AS (SELECT c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE round(c_acctbal, 0) END AS h FROM customer WHERE c_custkey % 13 <> 0)
 SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN o.c_custkey IS NULL THEN 'added' WHEN n.c_custkey IS NULL THEN 'removed' ELSE 'changed' END AS change FROM o FULL JOIN n ON o.c_custkey = n.c_custkey WHERE o.c_custkey IS NULL OR n.c_custkey IS NULL OR o.h IS DISTINCT FROM n.h""")
 def snapshot_differences(spark, sf_dir):
