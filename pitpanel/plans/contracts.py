@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from pitpanel.functions import exprs
+from pitpanel.functions.shared import new_path
 from pitpanel.operators import contracts, score
+from pitpanel.operators.maintained import MaintainedRanks
 from pitpanel.sources import snapshots
 
 from .base import query, table
@@ -84,7 +86,7 @@ def precision_counts(spark, sf_dir):
     return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count_if(~dated).alias("timestamps"), F.count_if(dated).alias("dates"), F.countDistinct(F.year("o_orderdate")).alias("years"), (F.countDistinct(mapping) == 1).alias("one_mapping"), F.count_if(low).alias("reason_low"), F.count_if(~low).alias("reason_other"))
 
 
-@query("A27", """WITH t AS (SELECT event_id, CASE WHEN event_id % 401 = 9 THEN NULL ELSE user_id + CASE WHEN event_id % 503 = 11 THEN 1000000 ELSE 0 END END AS user_id, CASE WHEN event_id % 307 = 2 THEN '2024-01-01' ELSE '2024-01-31' END AS day, CASE WHEN event_id % 13 = 5 THEN '0' WHEN event_id % 701 = 6 THEN '?' ELSE ' TRUE ' END AS st, CASE WHEN event_id % 17 = 8 THEN NULL ELSE value END AS cl, CASE WHEN event_id % 19 = 3 THEN NULL ELSE value + 1 END AS pre FROM events WHERE event_type = 'purchase'),
+@query("A27", """WITH t AS (SELECT event_id, CASE WHEN event_id % 401 = 9 THEN NULL ELSE user_id + CASE WHEN event_id % 503 = 11 THEN 1000000 ELSE 0 END END AS user_id, CASE WHEN event_id % 307 = 2 THEN '2024-01-01' ELSE '2024-01-31' END AS day, CASE WHEN event_id % 13 = 5 THEN '0' WHEN event_id % 701 = 6 THEN '?' ELSE ' TRUE ' END AS st, CASE WHEN event_id % 17 = 8 THEN NULL ELSE value END AS cl, CASE WHEN event_id % 19 = 3 THEN NULL ELSE value + 1 END AS pre FROM events),
 r AS (SELECT *, CASE WHEN st = '?' THEN 'market_invalid_tradestatus' WHEN st = '0' AND pre IS NULL OR st = ' TRUE ' AND cl IS NULL THEN 'market_missing_close' END AS err FROM t),
 u AS (SELECT DISTINCT user_id FROM events), s AS (SELECT user_id, count(*) AS n FROM r WHERE user_id IS NOT NULL GROUP BY 1),
 e AS (SELECT [CASE WHEN (SELECT count(*) FROM s WHERE n > 1) > 0 THEN 'market_duplicate_security' END, CASE WHEN (SELECT count(*) FROM s WHERE user_id NOT IN (SELECT user_id FROM u)) + (SELECT count(*) FROM r WHERE user_id IS NULL) > 0 THEN 'market_outside_universe' END, CASE WHEN (SELECT count(*) FROM u WHERE user_id NOT IN (SELECT user_id FROM s)) > 0 THEN 'market_incomplete_universe' END, CASE WHEN (SELECT count(*) FROM r WHERE day <> '2024-01-31') > 0 THEN 'market_wrong_date' END] || list_sort((SELECT list(DISTINCT err) FILTER (WHERE err IS NOT NULL) FROM r)) AS l)
@@ -96,14 +98,14 @@ def market_gate(spark, sf_dir):
 
 def _market_rows(spark, sf_dir):
     k = F.col("event_id")
-    rows = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    rows = table(spark, sf_dir, "events")
     status = F.when(k % 13 == 5, "0").when(k % 701 == 6, "?").otherwise(" TRUE ")
     price, basis, error = contracts.effective_price(status, F.when(k % 17 != 8, F.col("value")), F.when(k % 19 != 3, F.col("value") + 1))
     return rows.select("event_id", F.when(k % 401 != 9, F.col("user_id") + F.when(k % 503 == 11, 1000000).otherwise(0)).alias("user_id"), F.when(k % 307 == 2, "2024-01-01").otherwise("2024-01-31").alias("day"), price.alias("price"), basis.alias("basis"), error.alias("error"))
 
 
 @query("A27", """SELECT event_id, round(CASE WHEN event_id % 13 = 5 THEN CASE WHEN event_id % 19 <> 3 THEN value + 1 END WHEN event_id % 701 = 6 THEN NULL WHEN event_id % 17 <> 8 THEN value END, 6) AS price,
- CASE WHEN event_id % 13 = 5 THEN CASE WHEN event_id % 19 <> 3 THEN 'suspended_preclose' END WHEN event_id % 701 = 6 THEN NULL WHEN event_id % 17 <> 8 THEN 'close' END AS basis FROM events WHERE event_type = 'purchase'""")
+ CASE WHEN event_id % 13 = 5 THEN CASE WHEN event_id % 19 <> 3 THEN 'suspended_preclose' END WHEN event_id % 701 = 6 THEN NULL WHEN event_id % 17 <> 8 THEN 'close' END AS basis FROM events""")
 def market_prices(spark, sf_dir):
     return _market_rows(spark, sf_dir).select("event_id", F.round("price", 6).alias("price"), "basis")
 
@@ -129,14 +131,14 @@ def adjusted_metrics(spark, sf_dir):
 
 
 @query("J17 P35", """WITH l(seg, scope) AS (VALUES ('BUILDING', 0), ('FURNITURE', 1), ('MACHINERY', 2), ('HOUSEHOLD', 3)),
-f AS (SELECT o_custkey, arg_max(CASE o_orderkey % 5 WHEN 0 THEN 'no_valid_coverage' WHEN 1 THEN 'no_valid_coverage' ELSE 'covered' END, o_orderkey) AS status, arg_max(o_orderkey % 5 = 0, o_orderkey) AS none, arg_max(CASE WHEN o_orderkey % 5 IN (0, 1) THEN 0 ELSE o_orderkey % 4 END, o_orderkey) AS est FROM orders WHERE o_orderkey % 5 < 4 GROUP BY 1)
+f AS (SELECT o_custkey, arg_max(CASE o_orderkey % 5 WHEN 0 THEN 'no_valid_coverage' WHEN 1 THEN 'no_valid_coverage' ELSE 'covered' END, o_orderkey) AS status, arg_max(o_orderkey % 5 = 0, o_orderkey) AS none, arg_max(CASE WHEN o_orderkey % 5 IN (0, 1) THEN 0 ELSE o_orderkey % 4 END, o_orderkey) AS est FROM orders GROUP BY 1)
 SELECT c_custkey, scope, CASE WHEN scope IS NULL THEN 'unlinked' WHEN status IS NULL THEN 'absent' WHEN none AND status = 'no_valid_coverage' AND est = 0 THEN 'neutral' WHEN NOT none AND status = 'covered' AND est > 0 THEN 'covered' ELSE 'malformed' END AS branch FROM customer LEFT JOIN l ON seg = c_mktsegment LEFT JOIN f ON o_custkey = c_custkey AND scope IS NOT NULL""")
 def consensus_links(spark, sf_dir):
     """Customer to its segment's link to the newest consensus fact, and which branch that takes."""
     links = spark.createDataFrame([("BUILDING", 0), ("FURNITURE", 1), ("MACHINERY", 2), ("HOUSEHOLD", 3)], "c_mktsegment string, scope int")
     k = F.col("o_orderkey")
     fact = F.struct(F.when(k % 5 < 2, "no_valid_coverage").otherwise("covered").alias("status"), (k % 5 == 0).alias("none"), F.when(k % 5 < 2, 0).otherwise(k % 4).alias("estimates"))
-    newest = table(spark, sf_dir, "orders").where("o_orderkey % 5 < 4").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max_by(fact, "o_orderkey").alias("f"))
+    newest = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max_by(fact, "o_orderkey").alias("f"))
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment").join(F.broadcast(links), "c_mktsegment", "left").join(newest, "c_custkey", "left")
     return rows.select("c_custkey", "scope", score.consensus_branch(F.col("scope").isNotNull(), F.col("f.status"), F.col("f.none"), F.col("f.estimates")).alias("branch"))
 
@@ -151,16 +153,17 @@ def current_receipts(spark, sf_dir):
     return contracts.current_receipts(members, stored, "c_custkey", "input_hash", "content")
 
 
-@query("J20", """WITH i AS (SELECT o_orderkey AS issue, o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'), b AS (SELECT CASE WHEN l_linenumber = 1 AND l_orderkey % 4 <> 0 OR l_orderkey % 16 = 3 AND l_linenumber = 2 THEN l_orderkey END AS issue, o_custkey AS k, l_orderkey * 10 + l_linenumber AS binding FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber <= 2 AND l_partkey % 3 <> 0),
+@query("J20", """WITH i AS (SELECT o_orderkey AS issue, o_custkey AS k FROM orders), b AS (SELECT CASE WHEN l_linenumber > 2 OR l_partkey % 3 = 0 THEN -l_orderkey WHEN l_linenumber = 1 AND l_orderkey % 4 <> 0 OR l_orderkey % 16 = 3 AND l_linenumber = 2 THEN l_orderkey END AS issue, o_custkey AS k, l_orderkey * 10 + l_linenumber AS binding FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
 e AS (SELECT issue, count(*) AS n, min(binding) AS m FROM b WHERE issue IS NOT NULL GROUP BY 1), l AS (SELECT k, count(*) AS n, min(binding) AS m FROM b WHERE issue IS NULL GROUP BY 1)
 SELECT i.issue, CASE WHEN e.n = 1 THEN e.m WHEN e.n IS NULL AND l.n = 1 THEN l.m END AS binding, CASE WHEN e.n = 1 THEN 'exact' WHEN e.n > 1 THEN 'ambiguous' WHEN l.n = 1 THEN 'legacy' WHEN l.n > 1 THEN 'ambiguous' ELSE 'absent' END AS state FROM i LEFT JOIN e ON e.issue = i.issue LEFT JOIN l ON l.k = i.k""")
 def provenance(spark, sf_dir):
     """Issues with the line that is bound to them, else the customer's only unbound one."""
     o = table(spark, sf_dir, "orders")
-    issues = o.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("issue"), F.col("o_custkey").alias("k"))
-    lines = table(spark, sf_dir, "lineitem").where("l_linenumber <= 2 AND l_partkey % 3 <> 0").join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    issues = o.select(F.col("o_orderkey").alias("issue"), F.col("o_custkey").alias("k"))
+    lines = table(spark, sf_dir, "lineitem").join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
     bound = (F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 4 != 0) | (F.col("l_orderkey") % 16 == 3) & (F.col("l_linenumber") == 2)
-    return contracts.provenance(issues, lines.select(F.when(bound, F.col("l_orderkey")).alias("issue"), F.col("o_custkey").alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("binding")), "issue", "k")
+    strange = (F.col("l_linenumber") > 2) | (F.col("l_partkey") % 3 == 0)  # bound to issues that are not in the log
+    return contracts.provenance(issues, lines.select(F.when(strange, -F.col("l_orderkey")).when(bound, F.col("l_orderkey")).alias("issue"), F.col("o_custkey").alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("binding")), "issue", "k")
 
 
 NAMES = ("daily_bars", "Performance_report", "cash_flow_sheet", "notes")
@@ -203,7 +206,7 @@ def rule_shapes(spark, sf_dir):
     return rules.select("p_partkey", F.array_join(contracts.rule_violations(), ",").alias("broken"))
 
 
-@query("X6", """WITH ch AS (SELECT DISTINCT 'spend' AS metric, c_nationkey AS cohort FROM customer WHERE c_acctbal < -900 UNION ALL SELECT DISTINCT 'balance', c_nationkey FROM customer WHERE c_acctbal > 9900),
+@query("X6 T4", """WITH ch AS (SELECT DISTINCT 'spend' AS metric, c_nationkey AS cohort FROM customer WHERE c_acctbal < -900 UNION ALL SELECT DISTINCT 'balance', c_nationkey FROM customer WHERE c_acctbal > 9900),
 co AS (SELECT 'spend' AS metric, c_nationkey AS cohort, c_custkey AS member FROM customer UNION ALL SELECT 'balance', c_nationkey, c_custkey FROM customer),
 mem AS (SELECT DISTINCT metric, member FROM co JOIN ch USING (metric, cohort)), st AS (SELECT DISTINCT member * 10 + CASE metric WHEN 'spend' THEN 1 ELSE 2 END AS score FROM mem WHERE NOT (metric = 'spend' AND member % 2 = 1))
 SELECT 'member' AS step, CAST(member AS VARCHAR) AS id FROM (SELECT DISTINCT member FROM mem) UNION ALL SELECT 'score', CAST(score AS VARCHAR) FROM st UNION ALL SELECT 'pool', p FROM (VALUES ('strong'), ('wait')) x(p) WHERE EXISTS (SELECT 1 FROM st)""")
@@ -252,3 +255,18 @@ def projection_values(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(k % 4 == 1, "raw-v1").when(k % 4 == 2, "note").otherwise("derived-v1").alias("version"), F.when(k % 3 == 0, "FY2023").otherwise("TTM").alias("period"), F.explode(names).alias("n")).select("s_suppkey", "version", "period", "n.*")
     alias = (F.col("metric") == "revenue") & (F.col("period") == "FY2023") | (F.col("metric") == "gross_margin") & (F.col("period") == "TTM")
     return rows.where((F.col("dim") == "G") | F.col("version").isin("raw-v1") | alias).select("s_suppkey", F.concat_ws(".", "dim", "metric").alias("key"))
+
+
+@query("X6", """WITH p AS (SELECT p_partkey AS key, CASE WHEN p_partkey % 40 = 3 THEN 'Brand#99' WHEN p_partkey % 40 = 4 THEN 'none' ELSE p_brand END AS cohort, p_retailprice + CASE WHEN p_partkey % 40 = 5 AND p_brand < 'Brand#3' THEN 500 ELSE 0 END AS value FROM part),
+r AS (SELECT *, rank() OVER (PARTITION BY cohort ORDER BY value) + (count(*) OVER (PARTITION BY cohort, value) - 1) / 2.0 AS k, count(*) OVER (PARTITION BY cohort) AS n FROM p WHERE cohort <> 'none')
+SELECT key, cohort, value, round(CASE WHEN n = 1 THEN 50 ELSE (k - 1) / (n - 1) * 100 END, 6) AS percentile FROM r""")
+def maintained_ranks(spark, sf_dir):
+    """Percentiles within brands after three changes, of which each ranks only the brands anew that it touches: moves, members that leave, new values."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), F.col("p_brand").alias("before"), F.col("p_retailprice").alias("value"))
+    held = MaintainedRanks(spark, new_path(spark, "ranks"), 16)
+    held.full(parts.withColumnRenamed("before", "cohort"))
+    own = lambda r: parts.where(F.col("key") % 40 == r)
+    held.apply(own(3).withColumn("cohort", F.lit("Brand#99")))
+    held.apply(own(4).withColumn("cohort", F.lit(None).cast("string")))
+    held.apply(own(5).where("before < 'Brand#3'").withColumns({"cohort": F.col("before"), "value": F.col("value") + 500}))
+    return held.rows().withColumn("percentile", F.round("percentile", 6))

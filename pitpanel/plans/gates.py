@@ -36,7 +36,7 @@ def quality_gate(spark, sf_dir):
     return out.withColumns({"failed": F.array_join("failed", ","), "completeness": F.round("completeness", 6), "coverage": F.round("coverage", 6)})
 
 
-MARKET_SQL = """, mt AS (SELECT event_id, CASE WHEN event_id % 401 = 9 THEN NULL ELSE user_id + CASE WHEN event_id % 503 = 11 THEN 1000000 ELSE 0 END END AS user_id, CASE WHEN event_id % 307 = 2 THEN '2024-01-01' ELSE '2024-01-31' END AS day, CASE WHEN event_id % 13 = 5 THEN '0' WHEN event_id % 701 = 6 THEN '?' ELSE ' TRUE ' END AS st, CASE WHEN event_id % 17 = 8 THEN NULL ELSE value END AS cl, CASE WHEN event_id % 19 = 3 THEN NULL ELSE value + 1 END AS pre FROM events WHERE event_type = 'purchase'),
+MARKET_SQL = """, mt AS (SELECT event_id, CASE WHEN event_id % 401 = 9 THEN NULL ELSE user_id + CASE WHEN event_id % 503 = 11 THEN 1000000 ELSE 0 END END AS user_id, CASE WHEN event_id % 307 = 2 THEN '2024-01-01' ELSE '2024-01-31' END AS day, CASE WHEN event_id % 13 = 5 THEN '0' WHEN event_id % 701 = 6 THEN '?' ELSE ' TRUE ' END AS st, CASE WHEN event_id % 17 = 8 THEN NULL ELSE value END AS cl, CASE WHEN event_id % 19 = 3 THEN NULL ELSE value + 1 END AS pre FROM events),
 mr AS (SELECT *, CASE WHEN st = '?' THEN 'market_invalid_tradestatus' WHEN st = '0' AND pre IS NULL OR st = ' TRUE ' AND cl IS NULL THEN 'market_missing_close' END AS err FROM mt), mu AS (SELECT DISTINCT user_id FROM events), ms AS (SELECT user_id, count(*) AS n FROM mr WHERE user_id IS NOT NULL GROUP BY 1),
 me AS (SELECT array_to_string(list_filter([CASE WHEN (SELECT count(*) FROM ms WHERE n > 1) > 0 THEN 'market_duplicate_security' END, CASE WHEN (SELECT count(*) FROM ms WHERE user_id NOT IN (SELECT user_id FROM mu)) + (SELECT count(*) FROM mr WHERE user_id IS NULL) > 0 THEN 'market_outside_universe' END, CASE WHEN (SELECT count(*) FROM mu WHERE user_id NOT IN (SELECT user_id FROM ms)) > 0 THEN 'market_incomplete_universe' END, CASE WHEN (SELECT count(*) FROM mr WHERE day <> '2024-01-31') > 0 THEN 'market_wrong_date' END] || list_sort((SELECT list(DISTINCT err) FILTER (WHERE err IS NOT NULL) FROM mr)), lambda x: x IS NOT NULL), ',') AS errors)"""
 

@@ -104,7 +104,7 @@ def confidence_scores(spark, sf_dir):
     return wide.select("c_custkey", *(six(v).alias(n) for n, v in {**conf, **made}.items()), *(exprs.grade(v).alias(n) for n, v in grades.items()))
 
 
-CAPPED_SQL = """, cp AS (SELECT c_custkey, least(g, CASE WHEN c_acctbal < 0 THEN 40.0 ELSE 100.0 END) AS g, CASE WHEN va IS NOT NULL THEN least(va, CASE WHEN c_nationkey = 3 THEN 55.0 ELSE 100.0 END, CASE WHEN c_nationkey = 3 AND c_acctbal < 0 THEN 50.0 ELSE 100.0 END) END AS va, m, eq, fs, ca, t FROM wd JOIN customer USING (c_custkey) WHERE g IS NOT NULL)"""
+CAPPED_SQL = """, cp AS (SELECT c_custkey, CASE WHEN g IS NOT NULL THEN least(g, CASE WHEN c_acctbal < 0 THEN 40.0 ELSE 100.0 END) END AS g, CASE WHEN va IS NOT NULL THEN least(va, CASE WHEN c_nationkey = 3 THEN 55.0 ELSE 100.0 END, CASE WHEN c_nationkey = 3 AND c_acctbal < 0 THEN 50.0 ELSE 100.0 END) END AS va, m, eq, fs, ca, t FROM wd JOIN customer USING (c_custkey))"""
 
 
 @query("A20 X1", SLOT_SQL + CAPPED_SQL + NUMBERS_SQL.format(wide="cp") + ' SELECT c_custkey, round(g + 3e-8, 6) AS growth, round(va + 3e-8, 6) AS value, round(s0 + 3e-8, 6) AS "S0", round(50 + c * (s0 - 50) + 3e-8, 6) AS "Sc", round(50 + c * (sbase - 50) + 3e-8, 6) AS "B" FROM n')
@@ -113,7 +113,7 @@ def capped_scores(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     cap = lambda where, d, n: c.where(where).select("c_custkey", F.lit(d).alias("dimension"), F.lit(n).alias("cap"))
     caps = cap("c_acctbal < 0", "G", 40.0).unionByName(cap("c_nationkey = 3", "V", 55.0)).unionByName(cap("c_nationkey = 3 AND c_acctbal < 0", "V", 50.0))
-    wide = assembled(spark, sf_dir).where(F.col("G").isNotNull())
+    wide = assembled(spark, sf_dir)
     long = wide.select("c_custkey", F.explode(F.array(*(F.struct(F.lit(d).alias("dimension"), F.col(d).alias("score")) for d in DIMS))).alias("p")).select("c_custkey", "p.*")
     kept = score.spread(score.capped(long, caps, ["c_custkey"]), ["c_custkey"], "dimension", "capped", DIMS)
     both = kept.join(wide.drop(*DIMS), "c_custkey")

@@ -44,13 +44,13 @@ def feature_sink(spark, sf_dir):
     return headers.join(values, ["s", "y"]).select("s", "y", "n_values", "n_derived", "stored")
 
 
-@query("S17", """WITH q AS (SELECT l_suppkey AS s, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(quarter(l_shipdate) AS INTEGER) AS q, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS v FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-07-01' AND l_suppkey % 7 IN (0, 1, 2, 4) GROUP BY 1, 2, 3)
+@query("S17", """WITH q AS (SELECT l_suppkey AS s, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(quarter(l_shipdate) AS INTEGER) AS q, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS v FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-07-01' GROUP BY 1, 2, 3)
 SELECT s, y, q, v + CASE WHEN s % 13 = 5 AND q = 3 THEN 1 ELSE 0 END AS stored, CASE WHEN s % 13 = 5 AND q = 3 THEN 'differs' ELSE 'equal' END AS state FROM q""")
 def stored_quarters(spark, sf_dir):
-    """Stored quarters against their derivation from cumulated facts that are visible and of the wanted snapshots."""
+    """Stored quarters against their derivation from cumulated facts that are visible."""
     x = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s"), F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q"), F.col("l_shipdate").alias("effective_at"), F.col("l_quantity").cast("long").alias("v"))
     cutoff = F.to_timestamp(F.lit("2000-07-01 00:00:00")) - F.expr("INTERVAL 1 MICROSECOND")
-    seen = x.where(exprs.visible(cutoff, "effective_at") & (F.col("s") % 7).isin(0, 1, 2, 4)).groupBy("s", "y", "q").agg(F.sum("v").alias("v"))
+    seen = x.where(exprs.visible(cutoff, "effective_at")).groupBy("s", "y", "q").agg(F.sum("v").alias("v"))
     year = Window.partitionBy("s", "y").orderBy("q")
     facts = seen.select("s", "y", "q", F.sum("v").over(year).alias("cumulated"))
     kept = seen.select("s", "y", "q", (F.col("v") + ((F.col("s") % 13 == 5) & (F.col("q") == 3)).cast("long")).alias("stored"))
@@ -58,10 +58,10 @@ def stored_quarters(spark, sf_dir):
     return kept.join(derived, ["s", "y", "q"], "left").select("s", "y", "q", "stored", F.when(F.col("stored").eqNullSafe(F.col("derived")), "equal").otherwise("differs").alias("state"))
 
 
-@query("S22", "SELECT c_custkey, count(o_orderkey) AS late, count(o_orderkey) > 0 AS has_issue FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW') ON o_custkey = c_custkey GROUP BY 1")
+@query("S22", "SELECT c_custkey, count(o_orderkey) AS late, count(o_orderkey) > 0 AS has_issue FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '5-LOW') ON o_custkey = c_custkey GROUP BY 1")
 def quality_issues(spark, sf_dir):
     """An issue log appended to in two runs: exact finds for each customer, and whether there is any."""
-    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderpriority") == "5-LOW", "late").otherwise("open").alias("kind"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderpriority") == "5-LOW", "late").otherwise("open").alias("kind"))
     path = new_path(spark, "issues")
     for rows in (o.where("o_orderkey % 2 = 0"), o):
         snapshots.append_new(rows, path, ["o_orderkey", "kind"], ["kind"])

@@ -54,10 +54,10 @@ def asof_newest_or_invalid(spark, sf_dir):
     return versions.as_of_newest(table(spark, sf_dir, "events"), ["user_id"], "ts", _mid(), F.col("value") > 50, "event_id").select("user_id", "event_id", "valid")
 
 
-@query("W9 S21", "SELECT c_custkey AS user_id, event_id, event_id IS NOT NULL AS present FROM (SELECT DISTINCT c_custkey FROM customer) LEFT JOIN (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY 1) ON user_id = c_custkey")
+@query("W9 S21", "SELECT c_custkey AS user_id, event_id, event_id IS NOT NULL AS present FROM (SELECT DISTINCT c_custkey FROM customer) LEFT JOIN (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1) ON user_id = c_custkey")
 def requested_versions(spark, sf_dir):
     wanted = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
-    found = versions.newest(table(spark, sf_dir, "events").where("event_type = 'purchase'"), ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_id")
+    found = versions.newest(table(spark, sf_dir, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_id")
     return versions.requested(wanted, found, ["user_id"])
 
 
@@ -89,11 +89,11 @@ def snapshot_differences(spark, sf_dir):
     return versions.differences(old, new, ["c_custkey"], "h")
 
 
-@query("J2 U1 T2 T3", f"""WITH l AS (SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = 'purchase' GROUP BY 1),
-cur AS (SELECT user_id, event_id FROM l WHERE ts <= {MID}), prev AS (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events WHERE event_type = 'purchase' AND ts <= {MID} GROUP BY 1)
+@query("J2 U1 T2", f"""WITH l AS (SELECT user_id, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1),
+cur AS (SELECT user_id, event_id FROM l WHERE ts <= {MID}), prev AS (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events WHERE ts <= {MID} GROUP BY 1)
 SELECT user_id, event_id, false AS carried FROM cur UNION ALL SELECT user_id, event_id, true FROM prev WHERE user_id IN (SELECT user_id FROM l) AND user_id NOT IN (SELECT user_id FROM cur)""")
 def carried_forward(spark, sf_dir):
-    e = table(spark, sf_dir, "events").where("event_type = 'purchase'")
+    e = table(spark, sf_dir, "events")
     order = [F.desc("ts"), F.desc("event_id")]
     latest = versions.newest(e, ["user_id"], order)
     previous = versions.newest(e.where(F.col("ts") <= _mid()), ["user_id"], order).select("user_id", "event_id")
