@@ -105,11 +105,14 @@ def adjusted_peer_ranks(spark, sf_dir):
     return ranked.groupBy(F.coalesce("scope", "reason").alias("state")).agg(F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("eligible"), F.round(F.avg("percentile"), 4).alias("mean_percentile"))
 
 
-@query("W16 S20", """WITH g AS (SELECT source, lang, count(*) AS n, sum(n_chars) AS chars FROM documents GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, source, lang) AS pos, count(*) OVER () AS reviewed FROM g)
-SELECT source, lang, n, CAST(chars AS BIGINT) AS chars, reviewed, CAST(25 AS BIGINT) AS shown FROM r WHERE pos <= 25""")
+@query("W16", """WITH g AS (SELECT source, lang, count(*) AS n, sum(n_chars) AS chars FROM documents GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, source, lang) AS pos, count(*) OVER () AS reviewed FROM g)
+SELECT source, lang, n, CAST(chars AS BIGINT) AS chars, reviewed, count(*) OVER () AS shown, reviewed > 25 AS truncated FROM r WHERE pos <= 25""")
 def top_sources(spark, sf_dir):
     g = table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
-    return g.orderBy(F.desc("n"), "source", "lang").limit(25).crossJoin(F.broadcast(g.agg(F.count(F.lit(1)).alias("reviewed")))).withColumn("shown", F.lit(25).cast("long"))
+    shown = g.orderBy(F.desc("n"), "source", "lang").limit(25)
+    sizes = g.agg(F.count(F.lit(1)).alias("reviewed"))  # one row
+    rows = shown.crossJoin(sizes)
+    return rows.withColumn("shown", F.least(F.col("reviewed"), F.lit(25).cast("long"))).withColumn("truncated", F.col("reviewed") > F.col("shown"))
 
 
 @query("X7", """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS close, max(o_totalprice) AS high, min(o_totalprice) AS low, o_orderpriority AS p FROM orders GROUP BY 1, 5),

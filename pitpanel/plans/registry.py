@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import contracts, evidence, facts, gates, quality, ranking, rules, scores, sinks, streams, time
+from . import contracts, evidence, facts, gates, lineage, quality, ranking, rules, scores, sinks, streams, time
 from .base import COVERS, QUERIES, SQL
 
-MODULES = (ranking, time, facts, rules, scores, contracts, evidence, sinks, quality, gates, streams)
+MODULES = (ranking, time, facts, rules, scores, contracts, evidence, sinks, quality, gates, lineage, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -55,9 +55,11 @@ def required(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
 
-def sanitized(df: DataFrame, text: list[str], numbers: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(clean, quarantined): numbers that aren't finite become null; rows with a challenge page in a text cell are set apart."""
-    out = df
+def sanitized(df: DataFrame, text: list[str], numbers: list[str], dates: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """(clean, quarantined): numbers that aren't finite become null, dates and instants ISO text; rows with a challenge page in a text cell are set apart."""
+    kinds, out = dict(df.dtypes), df
+    for d in dates:
+        out = out.withColumn(d, F.date_format(d, "yyyy-MM-dd" if kinds[d] == "date" else "yyyy-MM-dd'T'HH:mm:ss"))
     for n in numbers:
         d = F.col(n).cast("double")
         out = out.withColumn(n, F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d))
