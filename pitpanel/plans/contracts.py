@@ -79,7 +79,7 @@ def source_audit(spark, sf_dir):
     return contracts.source_audit(rows, ["c_nationkey"], "kind", ["BUILDING", "FURNITURE", "HOUSEHOLD"], declared)
 
 
-@query("A13 A29", "SELECT o_custkey, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS timestamps, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS dates, count(DISTINCT year(o_orderdate)) AS years, count(DISTINCT CASE WHEN o_orderkey % 50 = 7 THEN 'v1' ELSE 'v2' END) = 1 AS one_mapping, count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS reason_low, count(*) FILTER (WHERE o_orderpriority <> '5-LOW') AS reason_other FROM orders GROUP BY 1")
+@query("A13", "SELECT o_custkey, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS timestamps, count(*) FILTER (WHERE o_orderkey % 3 = 0) AS dates, count(DISTINCT year(o_orderdate)) AS years, count(DISTINCT CASE WHEN o_orderkey % 50 = 7 THEN 'v1' ELSE 'v2' END) = 1 AS one_mapping, count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS reason_low, count(*) FILTER (WHERE o_orderpriority <> '5-LOW') AS reason_other FROM orders GROUP BY 1")
 def precision_counts(spark, sf_dir):
     dated, mapping = F.col("o_orderkey") % 3 == 0, F.when(F.col("o_orderkey") % 50 == 7, "v1").otherwise("v2")
     low = F.col("o_orderpriority") == "5-LOW"
@@ -180,7 +180,7 @@ def inferred_sources(spark, sf_dir):
     return made.groupBy("dataset", "status", "source", "priority").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("P34", """WITH g AS (SELECT o_orderpriority AS batch, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS final, bool_and(o_orderkey % 400 <> 9) AS proven FROM orders GROUP BY 1)
+@query("A6", """WITH g AS (SELECT o_orderpriority AS batch, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS final, bool_and(o_orderkey % 400 <> 9) AS proven FROM orders GROUP BY 1)
 SELECT batch, CASE WHEN n > 0 AND final = n AND proven THEN 'final' WHEN proven THEN 'provisional' ELSE 'draft' END AS state, CASE WHEN proven THEN n END AS shown FROM g""")
 def lifecycle_states(spark, sf_dir):
     """Batches with their state; counts are shown only where the proof holds."""
@@ -220,7 +220,7 @@ def invalidated_scores(spark, sf_dir):
     return contracts.invalidated(changed, every, scores)
 
 
-@query("S10 S13", """WITH t AS (SELECT doc_id, CASE WHEN doc_id % 23 = 4 THEN 'Access Denied' WHEN doc_id % 29 = 6 THEN '<HTML>' ELSE source END AS source, CASE WHEN doc_id % 19 = 2 THEN CAST(NULL AS DOUBLE) ELSE CAST(n_chars AS DOUBLE) END AS size FROM documents)
+@query("S10", """WITH t AS (SELECT doc_id, CASE WHEN doc_id % 23 = 4 THEN 'Access Denied' WHEN doc_id % 29 = 6 THEN '<HTML>' ELSE source END AS source, CASE WHEN doc_id % 19 = 2 THEN CAST(NULL AS DOUBLE) ELSE CAST(n_chars AS DOUBLE) END AS size FROM documents)
 SELECT doc_id AS report_id, size AS report_size, source AS issuer, regexp_matches(lower(source), '<html|captcha|access denied') AS quarantined FROM t""")
 def performance_report(spark, sf_dir):
     """Source columns checked and renamed, numbers made finite, rows with a challenge page set apart."""
@@ -230,7 +230,7 @@ def performance_report(spark, sf_dir):
     return clean.withColumn("quarantined", F.lit(False)).unionByName(bad.withColumn("quarantined", F.lit(True)))
 
 
-@query("S11 F18 F19", """WITH t AS (SELECT o_custkey AS k, CASE o_orderkey % 4 WHEN 0 THEN '1997-06-30' WHEN 1 THEN '1997-06-30 00:00:00' WHEN 2 THEN '1997-03-31 00:00:00' ELSE '1997-06-30 08:00' END AS rd, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS nd FROM orders)
+@query("F18 F19", """WITH t AS (SELECT o_custkey AS k, CASE o_orderkey % 4 WHEN 0 THEN '1997-06-30' WHEN 1 THEN '1997-06-30 00:00:00' WHEN 2 THEN '1997-03-31 00:00:00' ELSE '1997-06-30 08:00' END AS rd, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS nd FROM orders)
 SELECT k AS o_custkey, count(*) FILTER (WHERE rd IN ('1997-06-30', '1997-06-30 00:00:00')) AS target_rows, count(*) FILTER (WHERE rd IN ('1997-06-30', '1997-06-30 00:00:00')) > 0 AS present, count(*) FILTER (WHERE regexp_full_match(rd, '[0-9]{4}-[0-9]{2}-[0-9]{2} 00:00:00')) AS repairable, coalesce(array_to_string(list_sort(list(DISTINCT nd) FILTER (WHERE rd IN ('1997-06-30', '1997-06-30 00:00:00'))), ','), '') AS notice_dates FROM t GROUP BY 1""")
 def statement_rows(spark, sf_dir):
     """Rows of the target period in either spelling, their notice dates, and rows whose only defect is a midnight suffix."""
@@ -240,7 +240,7 @@ def statement_rows(spark, sf_dir):
     return snapshots.period_rows(rows, ["o_custkey"], "report_date", "1997-06-30", "notice").withColumn("notice_dates", F.array_join("notice_dates", ","))
 
 
-@query("S9 S12", "SELECT page_id, CAST('2024-04-01' AS DATE) + CAST(page_id % 30 AS INTEGER) AS due FROM pages")
+@query("S9", "SELECT page_id, CAST('2024-04-01' AS DATE) + CAST(page_id % 30 AS INTEGER) AS due FROM pages")
 def disclosure_schedule(spark, sf_dir):
     """A schedule of announcements; a source without rows is an error before anything is read on."""
     return snapshots.not_empty(table(spark, sf_dir, "pages"), "pages").select("page_id", F.date_add(F.lit("2024-04-01").cast("date"), (F.col("page_id") % 30).cast("int")).alias("due"))

@@ -16,7 +16,7 @@ FORMULAS = {
 }
 
 
-@query("F7 F8 F21", f"""WITH {TALL}, r AS (SELECT s, y, unnest(['margin', 'spread', 'per_piece', 'growth']) AS formula, unnest(['ratio', 'CNY', 'CNY_per_pieces', 'ratio']) AS unit,
+@query("F7", f"""WITH {TALL}, r AS (SELECT s, y, unnest(['margin', 'spread', 'per_piece', 'growth']) AS formula, unnest(['ratio', 'CNY', 'CNY_per_pieces', 'ratio']) AS unit,
  unnest([(revenue - discounts) / nullif(revenue, 0), CASE WHEN discounts IS NOT NULL AND tax IS NOT NULL THEN list_sort([discounts, revenue, tax])[2] - least(discounts, tax) END, revenue / nullif(quantity, 0), CASE WHEN tax > 0 AND revenue > 0 THEN 100 * (pow(revenue / tax, 0.5) - 1) END]) AS v,
  unnest([CASE WHEN discounts IS NULL THEN 'missing:discounts' END, CASE WHEN discounts IS NULL THEN 'missing:discounts' WHEN tax IS NULL THEN 'missing:tax' END, NULL, CASE WHEN tax IS NULL THEN 'missing:tax' END]) AS reason FROM wide)
 SELECT s, y, formula, round(v + 3e-8, 6) AS value, unit, CASE WHEN v IS NULL THEN coalesce(reason, 'domain') END AS reason FROM r""")
@@ -84,7 +84,7 @@ def coverage_manifest(spark, sf_dir):
     return slots.join(jobs, ["c_custkey", "p"], "left").select("c_custkey", "p", contracts.coverage_class(tests).alias("class"))
 
 
-@query("X2", f"""WITH {PANEL}, v AS (SELECT *, c_acctbal / 100 + 10 AS score, coalesce(orders, 0) * 4 AS weakest, CASE WHEN spend IS NULL THEN 0.7 ELSE 0.95 END AS conf, c_custkey % 11 = 0 AS no_strong, c_custkey % 13 = 0 AS no_wait, c_custkey % 17 = 0 AS neither FROM panel)
+@query("P22", f"""WITH {PANEL}, v AS (SELECT *, c_acctbal / 100 + 10 AS score, coalesce(orders, 0) * 4 AS weakest, CASE WHEN spend IS NULL THEN 0.7 ELSE 0.95 END AS conf, c_custkey % 11 = 0 AS no_strong, c_custkey % 13 = 0 AS no_wait, c_custkey % 17 = 0 AS neither FROM panel)
 SELECT c_custkey, CASE WHEN score >= 75 AND weakest >= 40 AND conf >= 0.8 AND NOT (no_strong OR neither) THEN 'strong' WHEN score >= 60 AND weakest >= 30 AND conf >= 0.7 AND NOT (no_wait OR neither) THEN 'wait' ELSE 'none' END AS pool FROM v""")
 def pool_eligibility(spark, sf_dir):
     """Bounds on score, weakest dimension and confidence; vetoes by pool; nobody in two pools."""
@@ -117,7 +117,7 @@ def annual_series(spark, sf_dir):
     return out.select("s", "state", F.array_join(F.transform("values", lambda v: v.cast("long").cast("string")), ",").alias("series"))
 
 
-@query("W8 S5 S24", """WITH v AS (SELECT user_id, event_type, event_id, date_trunc('day', ts) AS published, CASE WHEN event_id % 3 = 0 THEN date_trunc('hour', ts) END AS updated, date_trunc('day', ts) + INTERVAL 1 DAY AS captured, sha256(CAST(event_id % 97 AS VARCHAR)) AS h, CASE WHEN event_id % 211 = 8 THEN 'p2' ELSE 'p1' END AS parser FROM events WHERE ts < TIMESTAMP '2024-01-20'),
+@query("W8", """WITH v AS (SELECT user_id, event_type, event_id, date_trunc('day', ts) AS published, CASE WHEN event_id % 3 = 0 THEN date_trunc('hour', ts) END AS updated, date_trunc('day', ts) + INTERVAL 1 DAY AS captured, sha256(CAST(event_id % 97 AS VARCHAR)) AS h, CASE WHEN event_id % 211 = 8 THEN 'p2' ELSE 'p1' END AS parser FROM events WHERE ts < TIMESTAMP '2024-01-20'),
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY published DESC, updated DESC NULLS LAST, captured DESC, h) AS n, min(parser) OVER (PARTITION BY user_id, event_type) <> max(parser) OVER (PARTITION BY user_id, event_type) AS mixed FROM v)
 SELECT user_id, event_type, published, updated, h AS content, CASE WHEN mixed THEN 'mixed_kind' ELSE 'chosen' END AS state FROM r WHERE n = 1""")
 def formal_winners(spark, sf_dir):
@@ -128,7 +128,7 @@ def formal_winners(spark, sf_dir):
     return versions.formal_winner(rows, ["user_id", "event_type"], "published", "updated", "captured", "content", ["parser"]).select("user_id", "event_type", "published", "updated", "content", "state")
 
 
-@query("A30", """WITH st AS (SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_quantity AS BIGINT) + CASE WHEN l_orderkey % 97 = 5 THEN 1 ELSE 0 END AS v FROM lineitem WHERE l_orderkey % 89 <> 7), d AS (SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_quantity AS BIGINT) AS v FROM lineitem)
+@query("U3", """WITH st AS (SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_quantity AS BIGINT) + CASE WHEN l_orderkey % 97 = 5 THEN 1 ELSE 0 END AS v FROM lineitem WHERE l_orderkey % 89 <> 7), d AS (SELECT l_orderkey AS k, l_linenumber AS n, CAST(l_quantity AS BIGINT) AS v FROM lineitem)
 SELECT *, 'stored' AS side FROM (SELECT * FROM st EXCEPT ALL SELECT * FROM d) UNION ALL SELECT *, 'derived' FROM (SELECT * FROM d EXCEPT ALL SELECT * FROM st)""")
 def fact_set_equality(spark, sf_dir):
     """Stored facts against facts extracted anew, as multisets, in both directions."""
@@ -154,7 +154,7 @@ def integrity_errors(spark, sf_dir):
     return rows.select("id", F.array_join(broken, ",").alias("broken")).where("broken <> ''")
 
 
-@query("A6 A25 A28", """WITH o AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'P') AS open, max(o_orderdate) AS late FROM orders), l AS (SELECT count(*) AS n, max(l_shipdate) AS late, count(DISTINCT l_orderkey) AS k FROM lineitem), e AS (SELECT count(*) AS n, max(ts) AS late FROM events), c AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING count(*) > 1)) AS twice FROM customer),
+@query("A6 A25", """WITH o AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'P') AS open, max(o_orderdate) AS late FROM orders), l AS (SELECT count(*) AS n, max(l_shipdate) AS late, count(DISTINCT l_orderkey) AS k FROM lineitem), e AS (SELECT count(*) AS n, max(ts) AS late FROM events), c AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT c_custkey FROM customer GROUP BY 1 HAVING count(*) > 1)) AS twice FROM customer),
 g AS (SELECT unnest(['universe', 'duplicates', 'open_rows', 'backed', 'events', 'cutoff']) AS gate, unnest([c.n > 0, c.twice = 0, o.open = 0, l.k <= o.n, e.n > 0, greatest(o.late, l.late, e.late) <= TIMESTAMP '2024-06-30']) AS ok, unnest([c.n, c.twice, o.open, l.k, e.n, CAST(year(greatest(o.late, l.late, e.late)) AS BIGINT)]) AS seen FROM o, l, e, c)
 SELECT gate, CASE WHEN ok THEN 'passed' ELSE 'failed' END AS status, seen AS evidence, (SELECT coalesce(array_to_string(list(gate ORDER BY gate), ','), '') FROM g WHERE NOT ok) AS reasons FROM g""")
 def release_gate_rows(spark, sf_dir):

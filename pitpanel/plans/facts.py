@@ -49,7 +49,7 @@ def derived_features(spark, sf_dir):
     return _features(spark, sf_dir).withColumn("value", F.round("value", 6))
 
 
-@query("A9 A10", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, count(*) FILTER (WHERE status = 'derived') AS complete, count(*) FILTER (WHERE status <> 'not_applicable') AS applicable, round(count(*) FILTER (WHERE status = 'derived') / count(*) FILTER (WHERE status <> 'not_applicable'), 6) AS coverage, CASE WHEN count(*) FILTER (WHERE status = 'derived') = 0 THEN 'blocked' WHEN count(*) FILTER (WHERE status = 'derived') < count(*) FILTER (WHERE status <> 'not_applicable') THEN 'partial' ELSE 'ready' END AS state FROM f GROUP BY 1, 2")
+@query("A9", f"WITH {TALL}, {DERIVED_SQL} SELECT s, y, count(*) FILTER (WHERE status = 'derived') AS complete, count(*) FILTER (WHERE status <> 'not_applicable') AS applicable, round(count(*) FILTER (WHERE status = 'derived') / count(*) FILTER (WHERE status <> 'not_applicable'), 6) AS coverage, CASE WHEN count(*) FILTER (WHERE status = 'derived') = 0 THEN 'blocked' WHEN count(*) FILTER (WHERE status = 'derived') < count(*) FILTER (WHERE status <> 'not_applicable') THEN 'partial' ELSE 'ready' END AS state FROM f GROUP BY 1, 2")
 def feature_coverage(spark, sf_dir):
     return features.coverage(_features(spark, sf_dir), ["s", "y"]).withColumn("coverage", F.round("coverage", 6))
 
@@ -63,7 +63,7 @@ def formula_tree(spark, sf_dir):
     return w.select("s", "y", F.round(features.compiled(TREE, {k: F.col(k) for k in features.leaves(TREE)}), 6).alias("value"))
 
 
-@query("P5", """WITH m(priority, field, metric, least) AS (VALUES ('1-URGENT', 'a', 'urgent', 0), ('2-HIGH', 'b', 'high', 0), ('3-MEDIUM', 'c', 'medium', 100000), ('9-NONE', 'd', 'none', 0)),
+@query("P15", """WITH m(priority, field, metric, least) AS (VALUES ('1-URGENT', 'a', 'urgent', 0), ('2-HIGH', 'b', 'high', 0), ('3-MEDIUM', 'c', 'medium', 100000), ('9-NONE', 'd', 'none', 0)),
 i AS (SELECT o_custkey, o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v FROM orders GROUP BY 1, 2)
 SELECT o_custkey, o_orderpriority AS item, metric, CASE WHEN metric IS NULL THEN 'unknown_field' WHEN n > 3 THEN 'repeated_field' WHEN v < least THEN 'below_least' END AS issue FROM i LEFT JOIN m ON priority = o_orderpriority""")
 def mapped_items(spark, sf_dir):
@@ -115,7 +115,7 @@ def redacted_conversations(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", redacted("text").alias("text"))
 
 
-@query("A1 A2 A28 J1", """WITH x AS (SELECT o.*, c.c_custkey, c.c_mktsegment FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 50 <> 1) c ON o_custkey = c_custkey),
+@query("A1 J1", """WITH x AS (SELECT o.*, c.c_custkey, c.c_mktsegment FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 50 <> 1) c ON o_custkey = c_custkey),
 g AS (SELECT count(*) AS n, count(*) FILTER (WHERE c_custkey IS NULL) AS outside, count(DISTINCT c_custkey) AS disclosed, (SELECT count(*) FROM customer WHERE c_custkey % 50 <> 1) AS universe, (count(c_custkey) + count(c_mktsegment) + count(o_totalprice)) / (3.0 * count(*)) AS completeness FROM x)
 SELECT n, outside, disclosed, universe, round(disclosed / universe, 6) AS coverage, round(completeness, 6) AS completeness, CASE WHEN completeness >= 0.95 AND outside = 0 AND disclosed / universe >= 0.95 THEN 'passed' ELSE 'failed' END AS status FROM g""")
 def disclosure_gate(spark, sf_dir):
@@ -128,7 +128,7 @@ def disclosure_gate(spark, sf_dir):
     return both.select("n", "outside", "disclosed", "universe", F.round(coverage, 6).alias("coverage"), F.round("completeness", 6).alias("completeness"), F.when(F.size(why) == 0, "passed").otherwise("failed").alias("status"))
 
 
-@query("P4 P5 F16", """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS present, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END, CAST(o_custkey AS DOUBLE)) AS finite, CASE o_orderkey % 3 WHEN 0 THEN 'SH' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') WHEN 1 THEN 'SZ' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS id, CASE WHEN left(o_orderpriority, 1) = '1' THEN 'a,b' ELSE 'b' END AS hashes FROM orders""")
+@query("P4 F16", """SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS present, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END, CAST(o_custkey AS DOUBLE)) AS finite, CASE o_orderkey % 3 WHEN 0 THEN 'SH' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') WHEN 1 THEN 'SZ' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS id, CASE WHEN left(o_orderpriority, 1) = '1' THEN 'a,b' ELSE 'b' END AS hashes FROM orders""")
 def resolved_aliases(spark, sf_dir):
     """First alias that is a column, first alias with a finite value, an id from several spellings, sorted unique arrays."""
     k, code = F.col("o_orderkey"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")
@@ -138,7 +138,7 @@ def resolved_aliases(spark, sf_dir):
     return rows.select("o_orderkey", exprs.first_present(rows.columns, "total", "amount").alias("present"), exprs.first_finite("x", "y").alias("finite"), F.coalesce(exprs.security_id("id1"), exprs.security_id("id2")).alias("id"), F.array_join(F.array_sort(F.array_distinct(tags)), ",").alias("hashes"))
 
 
-@query("P2", """SELECT doc_id, nullif(concat_ws(',', CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de', 'fr') THEN 'lang' END, CASE WHEN n_chars IS NULL OR n_chars < 300 THEN 'short' END, CASE WHEN source IS NULL OR NOT regexp_full_match(source, 'src[0-9]') THEN 'source' END), '') AS broken FROM documents""")
+@query("P27", """SELECT doc_id, nullif(concat_ws(',', CASE WHEN lang IS NULL OR lang NOT IN ('en', 'de', 'fr') THEN 'lang' END, CASE WHEN n_chars IS NULL OR n_chars < 300 THEN 'short' END, CASE WHEN source IS NULL OR NOT regexp_full_match(source, 'src[0-9]') THEN 'source' END), '') AS broken FROM documents""")
 def context_violations(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     broken = exprs.violations(lang=F.col("lang").isin("en", "de", "fr"), short=F.col("n_chars") >= 300, source=F.col("source").rlike("^src[0-9]$"))

@@ -8,7 +8,7 @@ from pitpanel.sources import snapshots
 from .base import query, table
 
 
-@query("U7 A32", "WITH u AS (SELECT c_custkey FROM customer), d AS (SELECT o_custkey + CASE WHEN o_orderkey % 500 = 0 THEN 1000000 ELSE 0 END AS c_custkey FROM orders), n AS (SELECT c_custkey, count(*) AS n FROM d GROUP BY 1) SELECT coalesce(u.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN n IS NULL THEN 'absent' WHEN u.c_custkey IS NULL THEN 'foreign' ELSE 'repeated' END AS error FROM u FULL JOIN n ON u.c_custkey = n.c_custkey WHERE n.n IS NULL OR u.c_custkey IS NULL OR n.n > 1")
+@query("U7", "WITH u AS (SELECT c_custkey FROM customer), d AS (SELECT o_custkey + CASE WHEN o_orderkey % 500 = 0 THEN 1000000 ELSE 0 END AS c_custkey FROM orders), n AS (SELECT c_custkey, count(*) AS n FROM d GROUP BY 1) SELECT coalesce(u.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN n IS NULL THEN 'absent' WHEN u.c_custkey IS NULL THEN 'foreign' ELSE 'repeated' END AS error FROM u FULL JOIN n ON u.c_custkey = n.c_custkey WHERE n.n IS NULL OR u.c_custkey IS NULL OR n.n > 1")
 def decision_cover(spark, sf_dir):
     d = table(spark, sf_dir, "orders").select((F.col("o_custkey") + F.when(F.col("o_orderkey") % 500 == 0, 1000000).otherwise(0)).alias("c_custkey"))
     return audit.cover_errors(table(spark, sf_dir, "customer"), d, ["c_custkey"])
@@ -37,7 +37,7 @@ def ready_nodes(spark, sf_dir):
     return audit.ready(_edges(spark, sf_dir), c.where("c_acctbal >= 2000"), c)
 
 
-@query("J22 J16", "WITH m AS (SELECT o_custkey, count(*) AS n, min(o_orderkey) AS k FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN n = 1 THEN k END AS match, CASE WHEN n IS NULL THEN 'absent' WHEN n > 1 THEN 'ambiguous' ELSE 'unique' END AS match_state FROM customer LEFT JOIN m ON o_custkey = c_custkey")
+@query("J22", "WITH m AS (SELECT o_custkey, count(*) AS n, min(o_orderkey) AS k FROM orders GROUP BY 1) SELECT c_custkey, CASE WHEN n = 1 THEN k END AS match, CASE WHEN n IS NULL THEN 'absent' WHEN n > 1 THEN 'ambiguous' ELSE 'unique' END AS match_state FROM customer LEFT JOIN m ON o_custkey = c_custkey")
 def unique_matches(spark, sf_dir):
     every = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
     return audit.unique_match(table(spark, sf_dir, "customer").select("c_custkey"), every, ["c_custkey"], "o_orderkey")
@@ -99,7 +99,7 @@ def release_gates(spark, sf_dir):
     return a.select(F.explode(F.array(gate("rows", F.col("n") > 0, F.col("n")), gate("quality", F.col("q") == F.col("n"), F.col("q")), gate("toxic", F.col("t") == 0, F.col("t")))).alias("g")).select("g.*")
 
 
-@query("U2 U4", "WITH a AS (SELECT doc_id, lang FROM documents WHERE doc_id % 3 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 41 = 0 THEN 'xx' ELSE lang END AS lang FROM documents WHERE doc_id % 3 <> 1), u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT doc_id, count(*) AS n, count(DISTINCT lang) > 1 AS conflict FROM u GROUP BY 1")
+@query("U4", "WITH a AS (SELECT doc_id, lang FROM documents WHERE doc_id % 3 <> 0), b AS (SELECT doc_id, CASE WHEN doc_id % 41 = 0 THEN 'xx' ELSE lang END AS lang FROM documents WHERE doc_id % 3 <> 1), u AS (SELECT * FROM a UNION ALL SELECT * FROM b) SELECT doc_id, count(*) AS n, count(DISTINCT lang) > 1 AS conflict FROM u GROUP BY 1")
 def merged_sources(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "lang")
     b = d.where("doc_id % 3 <> 1").withColumn("lang", F.when(F.col("doc_id") % 41 == 0, "xx").otherwise(F.col("lang")))
@@ -133,7 +133,7 @@ def verified_snapshots(spark, sf_dir):
     return snapshots.read_envelopes(spark, path).select(F.col("request").cast("long").alias("o_orderkey"), "verified")
 
 
-@query("P31", "SELECT event_type, count(*) AS n, CASE WHEN event_type IN ('error') THEN 'failure' WHEN event_type LIKE 'p%' THEN 'revenue' ELSE 'other' END AS class, max(ts) AS latest FROM events GROUP BY 1")
+@query("A6", "SELECT event_type, count(*) AS n, CASE WHEN event_type IN ('error') THEN 'failure' WHEN event_type LIKE 'p%' THEN 'revenue' ELSE 'other' END AS class, max(ts) AS latest FROM events GROUP BY 1")
 def issue_classes(spark, sf_dir):
     kind = F.when(F.col("event_type").isin("error"), "failure").when(F.col("event_type").startswith("p"), "revenue").otherwise("other")
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("latest")).withColumn("class", kind)
@@ -146,7 +146,7 @@ def session_dates(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", session_date("ts").alias("session"), F.when(F.get_json_object("props", "$.ref").isNull(), "absent").otherwise("linked").alias("branch"))
 
 
-@query("J11 J7 P18", "WITH r(seg, template) AS (VALUES ('BUILDING', 'estate'), ('FURNITURE', 'goods'), ('MACHINERY', 'goods')) SELECT c_custkey, coalesce(template, 'unclassified') AS template, n_name, CASE WHEN n_name IS NULL THEN 'absent' WHEN n_regionkey <> c_nationkey % 5 THEN 'mismatch' END AS reason FROM customer LEFT JOIN r ON seg = c_mktsegment LEFT JOIN nation ON n_nationkey = c_nationkey")
+@query("P18", "WITH r(seg, template) AS (VALUES ('BUILDING', 'estate'), ('FURNITURE', 'goods'), ('MACHINERY', 'goods')) SELECT c_custkey, coalesce(template, 'unclassified') AS template, n_name, CASE WHEN n_name IS NULL THEN 'absent' WHEN n_regionkey <> c_nationkey % 5 THEN 'mismatch' END AS reason FROM customer LEFT JOIN r ON seg = c_mktsegment LEFT JOIN nation ON n_nationkey = c_nationkey")
 def templates_with_context(spark, sf_dir):
     rules = spark.createDataFrame([("BUILDING", "estate"), ("FURNITURE", "goods"), ("MACHINERY", "goods")], "c_mktsegment string, template string")
     nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey")

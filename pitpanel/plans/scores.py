@@ -179,3 +179,25 @@ def pool_sensitivity(spark, sf_dir):
     """Who enters, leaves or moves when a dimension weighs 5 points more or less, or the bounds on scores move: all scenarios go through caps, scores, bounds and pools in one pass."""
     decided = selection.selected(candidates(spark, sf_dir, SCENARIOS), "c_custkey", "c_nationkey", POOLS, ("scenario",))
     return selection.membership_changes(decided, "c_custkey")
+
+
+WEIGHTS_SQL = """, sc(d, step) AS (SELECT d, step FROM (VALUES ('G'), ('V'), ('M'), ('EQ'), ('FS'), ('CA'), ('T')) a(d) CROSS JOIN (VALUES (0.05), (-0.05)) b(step)),
+base(d, w) AS (VALUES ('G', 0.18), ('V', 0.18), ('M', 0.18), ('EQ', 0.12), ('FS', 0.08), ('CA', 0.16), ('T', 0.10)),
+sw AS (SELECT sc.d AS moved, step, b.d AS dim, CAST(CASE WHEN b.d = sc.d THEN b.w + step ELSE CAST(b.w AS DOUBLE) * (1 - (o.w + step)) / (1 - o.w) END AS DOUBLE) AS w FROM sc CROSS JOIN base b JOIN base o ON o.d = sc.d),
+s1 AS (SELECT c_custkey, moved, step, CASE WHEN count(score) = 7 THEN sum(w * score) END AS s FROM ds JOIN sw USING (dim) GROUP BY 1, 2, 3),
+s0 AS (SELECT c_custkey, CASE WHEN count(score) = 7 THEN sum(CAST(w AS DOUBLE) * score) END AS s FROM ds JOIN base ON d = dim GROUP BY 1)"""
+
+
+@query("A16", SLOT_SQL + WEIGHTS_SQL + " SELECT moved AS dimension, CAST(step AS DOUBLE) AS step, count(*) FILTER (WHERE s1.s >= 55) AS members, count(*) FILTER (WHERE s1.s >= 55 AND s0.s < 55) AS entered, count(*) FILTER (WHERE s1.s < 55 AND s0.s >= 55) AS gone FROM s1 JOIN s0 USING (c_custkey) GROUP BY 1, 2")
+def weight_sensitivity(spark, sf_dir):
+    """Who would be above a bound if one dimension weighed 5 points more or less, the others in proportion."""
+    wide = assembled(spark, sf_dir)
+    values = {d: F.col(d) for d in DIMS}
+    cases = []
+    for d in DIMS:
+        for step in (0.05, -0.05):
+            w = {n: v + step if n == d else v * (1 - (score.WEIGHTS[d] + step)) / (1 - score.WEIGHTS[d]) for n, v in score.WEIGHTS.items()}
+            cases.append(F.struct(F.lit(d).alias("dimension"), F.lit(step).alias("step"), score.weighted(values, w).alias("s")))
+    rows = wide.select(score.weighted(values, score.WEIGHTS).alias("before"), F.explode(F.array(*cases)).alias("c")).select("before", "c.*")
+    now, then = F.col("s") >= 55, F.col("before") >= 55
+    return rows.groupBy("dimension", "step").agg(F.count_if(now).alias("members"), F.count_if(now & ~then).alias("entered"), F.count_if(~now & then).alias("gone"))

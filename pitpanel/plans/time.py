@@ -54,7 +54,7 @@ def asof_newest_or_invalid(spark, sf_dir):
     return versions.as_of_newest(table(spark, sf_dir, "events"), ["user_id"], "ts", _mid(), F.col("value") > 50, "event_id").select("user_id", "event_id", "valid")
 
 
-@query("W9 S21", "SELECT c_custkey AS user_id, event_id, event_id IS NOT NULL AS present FROM (SELECT DISTINCT c_custkey FROM customer) LEFT JOIN (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1) ON user_id = c_custkey")
+@query("J4", "SELECT c_custkey AS user_id, event_id, event_id IS NOT NULL AS present FROM (SELECT DISTINCT c_custkey FROM customer) LEFT JOIN (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1) ON user_id = c_custkey")
 def requested_versions(spark, sf_dir):
     wanted = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
     found = versions.newest(table(spark, sf_dir, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]).select("user_id", "event_id")
@@ -125,7 +125,7 @@ def effective_order_times(spark, sf_dir):
     return rows.select("o_orderkey", exprs.effective_at(precision, "o_orderdate", "next_close").alias("effective_at"))
 
 
-@query("W13 K4", f"WITH {CALENDAR} SELECT day FROM cal WHERE open ORDER BY day DESC LIMIT 250")
+@query("W13", f"WITH {CALENDAR} SELECT day FROM cal WHERE open ORDER BY day DESC LIMIT 250")
 def last_sessions(spark, sf_dir):
     return calendars.last_sessions(_calendar(spark, sf_dir), "day", F.col("open"), 250).select("day")
 
@@ -170,7 +170,7 @@ def latest_year_run(spark, sf_dir):
     return periods.latest_run(table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("y")), ["o_custkey"], "y")
 
 
-@query("W15", "WITH h AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) * 4 + quarter(o_orderdate) AS INTEGER) AS q FROM orders), due AS (SELECT CAST(unnest(generate_series(2000 * 4 + 1, 2000 * 4 + 8)) AS INTEGER) AS q), k AS (SELECT DISTINCT o_custkey FROM h) SELECT k.o_custkey, count(*) FILTER (WHERE h.q IS NULL) AS absent, min(due.q) FILTER (WHERE h.q IS NULL) AS first_absent FROM k CROSS JOIN due LEFT JOIN h ON h.o_custkey = k.o_custkey AND h.q = due.q GROUP BY 1")
+@query("J15", "WITH h AS (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) * 4 + quarter(o_orderdate) AS INTEGER) AS q FROM orders), due AS (SELECT CAST(unnest(generate_series(2000 * 4 + 1, 2000 * 4 + 8)) AS INTEGER) AS q), k AS (SELECT DISTINCT o_custkey FROM h) SELECT k.o_custkey, count(*) FILTER (WHERE h.q IS NULL) AS absent, min(due.q) FILTER (WHERE h.q IS NULL) AS first_absent FROM k CROSS JOIN due LEFT JOIN h ON h.o_custkey = k.o_custkey AND h.q = due.q GROUP BY 1")
 def required_history(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_custkey", (F.year("o_orderdate") * 4 + F.quarter("o_orderdate")).alias("q"))
     out = periods.missing_periods(rows, ["o_custkey"], "q", F.array(*(F.lit(2000 * 4 + k) for k in range(1, 9))))
