@@ -50,8 +50,11 @@ def gaps(expected: DataFrame, present: DataFrame, day: str) -> DataFrame:
 def ranges(days: DataFrame, key: str, day: str, span: int) -> DataFrame:
     """Cuts each key's sorted days, newest first, into ranges of at most ``span`` calendar days.
 
-    The cut is greedy and so sequential; a fold over each key's own list of days (a few hundred) does it.
+    The cut is greedy and so sequential: a fold over each key's own days, a list no longer than the calendar, finds the newest day of each
+    range; the days then fall between them.
     """
-    lists = days.groupBy(key).agg(F.sort_array(F.collect_set(day), asc=False).alias("d"))
-    fold = F.expr(f"aggregate(d, CAST(array() AS array<struct<hi:date,lo:date>>), (acc, x) -> CASE WHEN size(acc) > 0 AND datediff(acc[size(acc) - 1].hi, x) < {span} THEN concat(slice(acc, 1, size(acc) - 1), array(named_struct('hi', acc[size(acc) - 1].hi, 'lo', x))) ELSE concat(acc, array(named_struct('hi', x, 'lo', x))) END)")
-    return lists.select(key, F.posexplode(fold).alias("part", "r")).select(key, F.col("part").cast("long").alias("part"), F.col("r.lo").alias("start"), F.col("r.hi").alias("end"))
+    step = F.expr(f"aggregate(d, CAST(array() AS array<date>), (heads, x) -> CASE WHEN size(heads) = 0 OR datediff(heads[size(heads) - 1], x) >= {span} THEN array_append(heads, x) ELSE heads END)")
+    heads = days.groupBy(key).agg(F.sort_array(F.collect_set(day), asc=False).alias("d")).withColumn("heads", step)
+    rows = heads.select(key, "heads", F.explode("d").alias("_day"))
+    part = F.size(F.filter("heads", lambda h: h >= F.col("_day"))) - 1
+    return rows.select(key, part.cast("long").alias("part"), "_day").groupBy(key, "part").agg(F.min("_day").alias("start"), F.max("_day").alias("end"))

@@ -135,7 +135,8 @@ def calendar_gaps(spark, sf_dir):
     return calendars.gaps(table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")), table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day")), "day")
 
 
-@query("F20")
+@query("F20", """WITH RECURSIVE d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events), h AS (SELECT user_id, max(day) AS hi, 0 AS part FROM d GROUP BY 1 UNION ALL SELECT h.user_id, max(d.day), any_value(part) + 1 FROM h JOIN d ON d.user_id = h.user_id AND d.day <= h.hi - 7 GROUP BY h.user_id)
+SELECT h.user_id, CAST(part AS BIGINT) AS part, min(day) AS "start", hi AS "end" FROM h JOIN d ON d.user_id = h.user_id AND day <= hi AND day > hi - 7 GROUP BY h.user_id, part, hi""")
 def session_ranges(spark, sf_dir):
     return calendars.ranges(table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day")), "user_id", "day", 7)
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from pitpanel.sources.commits import Log
+
 
 def stream(spark: SparkSession, path: str, like: str | None = None, files: int = 1) -> DataFrame:
     """A stream over Parquet files that land in ``path``, with the schema of ``like`` (or of path itself)."""
@@ -49,9 +51,38 @@ def latest_upsert(df: DataFrame, sink: str, checkpoint: str, key: list[str], at:
     return run(newest, checkpoint, lambda rows, number: rows.write.mode("overwrite").parquet(f"{sink}/batch={number}"), "update")
 
 
-def current(spark: SparkSession, sink: str, key: list[str]) -> DataFrame:
-    """Each key's row as its last batch wrote it."""
-    rows = spark.read.parquet(sink)
+def compact(spark: SparkSession, sink: str, key: list[str]) -> int:
+    """Folds all batches of a sink so far into one base with each key's last row; how many batches the next read still has to look at.
+
+    A base is counted by a commit, so a reader sees the old batches or the base. Batches that come later are read beside it.
+    """
+    log = Log(spark, sink)
+    number, body = log.last(), log.read()
+    upto = newest_batch(spark, sink)
+    if upto > body.get("upto", -1):
+        folder = f"{sink}-base/upto={upto}"
+        current(spark, sink, key, upto).write.mode("overwrite").parquet(folder)
+        log.commit(number + 1, {"upto": upto, "folder": folder})
+    return max(0, newest_batch(spark, sink) - upto)
+
+
+def newest_batch(spark: SparkSession, sink: str) -> int:
+    return int(last_folder(spark, sink, "batch").rsplit("=", 1)[1])
+
+
+def current(spark: SparkSession, sink: str, key: list[str], upto: int | None = None) -> DataFrame:
+    """Each key's row as its last batch (of those up to ``upto``) wrote it: the base, and the batches after it."""
+    body = Log(spark, sink).read()
+    last = newest_batch(spark, sink) if upto is None else upto
+    first = body.get("upto", -1) + 1
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    there = lambda p: (x := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(x)
+    later = [p for k in range(first, last + 1) if there(p := f"{sink}/batch={k}")]
+    rows = spark.read.option("basePath", sink).parquet(*later) if later else None
+    if body:
+        base = spark.read.parquet(body["folder"])
+        base = base.withColumn("batch", F.lit(-1))
+        rows = base if rows is None else rows.unionByName(base)
     whole = F.struct(*(F.col(c) for c in rows.columns if c != "batch"))
     return rows.groupBy(*(F.col(k).alias(f"_{k}") for k in key)).agg(F.max_by(whole, "batch").alias("_r")).select("_r.*")
 
