@@ -243,6 +243,8 @@ def test_bitmaps_rule_out_no_similar_pair():
     kept = np.zeros(true.shape, bool)
     kept[i, j] = True
     assert not (true & ~kept).any() and true.sum() > 2 * len(sets)
+    half = np.stack([np.frombuffer(jaccard.folded(jaccard.bitmap(h)), np.uint64) for h in sets])
+    assert half.shape[1] == maps.shape[1] // 2 and not (true & (np.bitwise_count(half[:, None] ^ half).sum(2, dtype=np.int64) > (size[:, None] + size) / 9 + 1e-6)).any()
     small = (size[:, None] < 1000) & (size < 1000)
     assert (kept & small & ~true).sum() < 0.05 * (small & ~true).sum()
 
