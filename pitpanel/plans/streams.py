@@ -26,6 +26,17 @@ def stream_unique_events(spark, sf_dir):
     return spark.read.parquet(sink).select("user_id", "event_type", "day")
 
 
+@query("T1", "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events")
+def stream_unique_within(spark, sf_dir):
+    """The same with bounded state: files land in order of time, and a key is remembered for two days behind the newest event, longer than any repeats lie apart."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_type", F.to_date("ts").alias("day"), F.col("ts").cast("timestamp").alias("ts"))
+    path, sink, mark = new_path(spark, "landed"), new_path(spark, "sink"), new_path(spark, "offsets")
+    for low, high in (("2000-01-01", "2024-01-12"), ("2024-01-12", "2024-01-22"), ("2024-01-22", "2100-01-01")):
+        rows.where((F.col("day") >= low) & (F.col("day") < high)).coalesce(2).write.mode("append").parquet(path)
+        increments.unique_append(increments.stream(spark, path, files=4), sink, mark, ["user_id", "event_type", "day"], "ts", "2 days")
+    return spark.read.parquet(sink).select("user_id", "event_type", "day")
+
+
 @query("T2", "SELECT CASE WHEN ts <= TIMESTAMP '2024-01-16 00:00:00' THEN 'frozen' ELSE 'observed' END AS view, count(*) AS n, max(ts) AS latest FROM events GROUP BY 1")
 def stream_cutoff_views(spark, sf_dir):
     path, sink = _landed(spark, table(spark, sf_dir, "events").select("event_id", "ts")), new_path(spark, "sink")

@@ -1,7 +1,6 @@
 """Operators on small tables with values worked out by hand."""
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
