@@ -73,9 +73,11 @@ def reasons(**tests: Column) -> Column:
 
 def page_groups(pages: DataFrame, request: str, index: str, count: str, rows: str, total: str, same: list[str]) -> DataFrame:
     """For each request: whether pages 1 to count are all there once, add up to the total and agree on ``same``."""
-    out = pages.groupBy(request).agg(F.count(F.lit(1)).alias("pages"), F.countDistinct(index).alias("different"), F.max(count).alias("due"), F.min(index).alias("first"), F.max(index).alias("last"), F.sum(rows).alias("have"), F.max(total).alias("want"), *(F.countDistinct(c).alias(f"_{c}") for c in same))
+    # One column is counted distinct; a second one would make every row several.
+    alike = lambda c: F.coalesce(F.min(c) == F.max(c), F.lit(False))
+    out = pages.groupBy(request).agg(F.count(F.lit(1)).alias("pages"), F.countDistinct(index).alias("different"), F.max(count).alias("due"), F.min(index).alias("first"), F.max(index).alias("last"), F.sum(rows).alias("have"), F.max(total).alias("want"), *(alike(c).alias(f"_{c}") for c in same))
     whole = (F.col("pages") == F.col("due")) & (F.col("different") == F.col("due")) & (F.col("first") == 1) & (F.col("last") == F.col("due"))
-    agree = reduce(lambda a, b: a & b, (F.col(f"_{c}") == 1 for c in same), F.lit(True))
+    agree = reduce(lambda a, b: a & b, (F.col(f"_{c}") for c in same), F.lit(True))
     return out.select(request, "pages", "have", whole.alias("complete"), (F.col("have") == F.col("want")).alias("adds_up"), agree.alias("agrees"))
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pitpanel.functions.shared import dealt
 from pitpanel.operators import audit
 from pitpanel.sources import snapshots
 
@@ -78,7 +79,8 @@ def page_groups(spark, sf_dir):
     from pyspark.sql import Window
 
     w = Window.partitionBy("l_orderkey")
-    p = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").cast("long").alias("n")).withColumn("due", F.count(F.lit(1)).over(w)).withColumn("total", F.sum("n").over(w))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.col("l_quantity").cast("long").alias("n"))
+    p = dealt(lines, "l_orderkey").withColumn("due", F.count(F.lit(1)).over(w)).withColumn("total", F.sum("n").over(w))
     return audit.page_groups(p.where("NOT (l_orderkey % 10 = 1 AND l_linenumber = 2)"), "l_orderkey", "l_linenumber", "due", "n", "total", ["l_returnflag"])
 
 
