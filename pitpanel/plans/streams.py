@@ -3,26 +3,27 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pitpanel.functions.shared import new_path
+from pitpanel.functions.shared import ROWS, dealt, new_path
 from pitpanel.sources.commits import Items
 from pitpanel.streaming import increments, timely
 
 from .base import query, table
 
 
-def _landed(spark, df, parts=3):
-    """The table as a few landed files, the last of which repeats the first rows."""
+def _landed(spark, df, rows=None, parts=3):
+    """The table as landed files of at most about ROWS rows, and how many of them a batch takes so that there are ``parts`` batches."""
     path = new_path(spark, "landed")
-    df.repartition(parts).write.parquet(path)
-    return path
+    files = max(1, -(-(df.count() if rows is None else rows) // (parts * ROWS)))
+    df.repartition(parts * files).write.parquet(path)
+    return path, files
 
 
 @query("T1", "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events")
 def stream_unique_events(spark, sf_dir):
     rows = table(spark, sf_dir, "events").select("user_id", "event_type", F.to_date("ts").alias("day"))
-    path, sink, mark = _landed(spark, rows), new_path(spark, "sink"), new_path(spark, "offsets")
+    (path, files), sink, mark = _landed(spark, rows), new_path(spark, "sink"), new_path(spark, "offsets")
     for _ in range(2):  # the second run finds nothing new
-        increments.unique_append(increments.stream(spark, path), sink, mark, ["user_id", "event_type", "day"])
+        increments.unique_append(increments.stream(spark, path, files=files), sink, mark, ["user_id", "event_type", "day"])
     return spark.read.parquet(sink).select("user_id", "event_type", "day")
 
 
@@ -39,22 +40,22 @@ def stream_unique_within(spark, sf_dir):
 
 @query("T2", "SELECT CASE WHEN ts <= TIMESTAMP '2024-01-16 00:00:00' THEN 'frozen' ELSE 'observed' END AS view, count(*) AS n, max(ts) AS latest FROM events GROUP BY 1")
 def stream_cutoff_views(spark, sf_dir):
-    path, sink = _landed(spark, table(spark, sf_dir, "events").select("event_id", "ts")), new_path(spark, "sink")
-    increments.cutoff_split(increments.stream(spark, path), sink, new_path(spark, "offsets"), "ts", "2024-01-16 00:00:00")
+    (path, files), sink = _landed(spark, table(spark, sf_dir, "events").select("event_id", "ts")), new_path(spark, "sink")
+    increments.cutoff_split(increments.stream(spark, path, files=files), sink, new_path(spark, "offsets"), "ts", "2024-01-16 00:00:00")
     return spark.read.parquet(sink).groupBy("view").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("latest"))
 
 
 @query("T1 W6", "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts FROM events GROUP BY 1")
 def stream_latest_upsert(spark, sf_dir):
-    path, sink = _landed(spark, table(spark, sf_dir, "events").select("user_id", "event_id", "ts")), new_path(spark, "sink")
-    increments.latest_upsert(increments.stream(spark, path), sink, new_path(spark, "offsets"), ["user_id"], "ts", "event_id")
+    (path, files), sink = _landed(spark, table(spark, sf_dir, "events").select("user_id", "event_id", "ts")), new_path(spark, "sink")
+    increments.latest_upsert(increments.stream(spark, path, files=files), sink, new_path(spark, "offsets"), ["user_id"], "ts", "event_id")
     return increments.current(spark, sink, ["user_id"]).select("user_id", "event_id", "ts")
 
 
 @query("T8", "SELECT event_type, count(*) AS n, max(ts) AS latest FROM events GROUP BY 1")
 def stream_counters(spark, sf_dir):
-    path, sink = _landed(spark, table(spark, sf_dir, "events").select("event_type", "ts")), new_path(spark, "sink")
-    increments.running_counts(increments.stream(spark, path), new_path(spark, "offsets"), sink, ["event_type"], "ts")
+    (path, files), sink = _landed(spark, table(spark, sf_dir, "events").select("event_type", "ts")), new_path(spark, "sink")
+    increments.running_counts(increments.stream(spark, path, files=files), new_path(spark, "offsets"), sink, ["event_type"], "ts")
     return spark.read.parquet(increments.last_folder(spark, sink, "state"))
 
 
@@ -62,10 +63,10 @@ def stream_counters(spark, sf_dir):
 g AS (SELECT l_orderkey, generation, count(*) AS pages, max(due) AS due FROM k GROUP BY 1, 2) SELECT l_orderkey, max(generation) AS generation, arg_max(pages, generation) AS pages, arg_max(due, generation) AS due, arg_max(pages = due, generation) AS complete FROM g GROUP BY 1""")
 def stream_page_groups(spark, sf_dir):
     """Pages of two generations of each order, one of them lost for some; the newest generation counts."""
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (1 + F.col("l_linenumber") % 2).alias("generation"))
-    rows = rows.withColumn("due", F.count(F.lit(1)).over(Window.partitionBy("l_orderkey", "generation"))).where("NOT (l_orderkey % 10 = 1 AND l_linenumber = 3)")
-    path, sink = _landed(spark, rows), new_path(spark, "sink")
-    increments.page_counts(increments.stream(spark, path), new_path(spark, "offsets"), sink, "l_orderkey", "generation", "due")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (1 + F.col("l_linenumber") % 2).alias("generation"))
+    rows = dealt(lines, "l_orderkey", rows=(n := lines.count())).withColumn("due", F.count(F.lit(1)).over(Window.partitionBy("l_orderkey", "generation"))).where("NOT (l_orderkey % 10 = 1 AND l_linenumber = 3)")
+    (path, files), sink = _landed(spark, rows, n), new_path(spark, "sink")
+    increments.page_counts(increments.stream(spark, path, files=files), new_path(spark, "offsets"), sink, "l_orderkey", "generation", "due")
     return increments.newest_generations(spark, sink, "l_orderkey", "generation").select("l_orderkey", "generation", "pages", "due", "complete")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from pitpanel.functions.shared import dealt, settings
 from pitpanel.sources.commits import Log
 
 
@@ -17,8 +18,10 @@ def stream(spark: SparkSession, path: str, like: str | None = None, files: int =
 
 
 def run(df: DataFrame, checkpoint: str, batch: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
-    """Hands each micro-batch to ``batch`` until nothing new is left."""
-    query = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(batch).trigger(availableNow=True).start()
+    """Hands each micro-batch to ``batch`` until nothing new is left; a task reads one landed file (or a part of it), however many a batch takes."""
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(batch).trigger(availableNow=True)
+    with settings(df.sparkSession, spark__sql__files__openCostInBytes=df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")):
+        query = writer.start()
     query.awaitTermination()
     return query
 
@@ -70,8 +73,8 @@ def newest_batch(spark: SparkSession, sink: str) -> int:
     return int(last_folder(spark, sink, "batch").rsplit("=", 1)[1])
 
 
-def current(spark: SparkSession, sink: str, key: list[str], upto: int | None = None) -> DataFrame:
-    """Each key's row as its last batch (of those up to ``upto``) wrote it: the base, and the batches after it."""
+def batches(spark: SparkSession, sink: str, upto: int | None = None) -> DataFrame:
+    """What a sink holds, with each row's ``batch`` (up to ``upto``): the base, as batch -1, and the batches after it."""
     body = Log(spark, sink).read()
     last = newest_batch(spark, sink) if upto is None else upto
     first = body.get("upto", -1) + 1
@@ -83,6 +86,12 @@ def current(spark: SparkSession, sink: str, key: list[str], upto: int | None = N
         base = spark.read.parquet(body["folder"])
         base = base.withColumn("batch", F.lit(-1))
         rows = base if rows is None else rows.unionByName(base)
+    return rows
+
+
+def current(spark: SparkSession, sink: str, key: list[str], upto: int | None = None) -> DataFrame:
+    """Each key's row as its last batch (of those up to ``upto``) wrote it."""
+    rows = dealt(batches(spark, sink, upto), *key)
     whole = F.struct(*(F.col(c) for c in rows.columns if c != "batch"))
     return rows.groupBy(*(F.col(k).alias(f"_{k}") for k in key)).agg(F.max_by(whole, "batch").alias("_r")).select("_r.*")
 
@@ -94,15 +103,21 @@ def running_counts(df: DataFrame, checkpoint: str, sink: str, by: list[str], tot
 
 
 def page_counts(df: DataFrame, checkpoint: str, sink: str, request: str, generation: str, due: str) -> StreamingQuery:
-    """Pages that have come of each request and generation; a batch writes what it changed."""
+    """Pages that have come of each request and generation; a batch writes what it changed.
+
+    Requests are never forgotten, so their state lies on disk, with a bound on what an executor holds of it.
+    """
     pages = df.groupBy(request, generation).agg(F.count(F.lit(1)).alias("pages"), F.max(due).alias("due"))
-    return run(pages, checkpoint, lambda rows, number: rows.write.mode("overwrite").parquet(f"{sink}/batch={number}"), "update")
+    store = {"spark__sql__streaming__stateStore__providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage": "true"}
+    with settings(df.sparkSession, **store):
+        return run(pages, checkpoint, lambda rows, number: rows.write.mode("overwrite").parquet(f"{sink}/batch={number}"), "update")
 
 
 def newest_generations(spark: SparkSession, sink: str, request: str, generation: str) -> DataFrame:
-    """Of each request the newest generation of pages, and whether it is complete."""
-    rows = current(spark, sink, [request, generation])
-    newest = rows.groupBy(F.col(request).alias("_k")).agg(F.max_by(F.struct(*rows.columns), generation).alias("r")).select("r.*")
+    """Of each request the newest generation of pages, as its last batch wrote it, and whether it is complete."""
+    rows = dealt(batches(spark, sink), request)
+    whole = F.struct(*(F.col(c) for c in rows.columns if c != "batch"))
+    newest = rows.groupBy(F.col(request).alias("_k")).agg(F.max_by(whole, F.struct(generation, "batch")).alias("r")).select("r.*")
     return newest.withColumn("complete", F.col("pages") == F.col("due"))
 
 

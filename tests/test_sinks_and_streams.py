@@ -211,3 +211,27 @@ def test_contexts_and_sources_refuse_what_is_absent(spark):
         lineage.built_context(spark.createDataFrame([(1,), (2,)], "k long"), one, ["k"], strict=True)
     with pytest.raises(ValueError, match="no rows: b"):
         lineage.required_union({"a": one, "b": one.limit(0)}, "k")
+
+
+def test_a_task_sorts_a_bounded_number_of_rows(spark, monkeypatch):
+    """Requests are dealt by how many lines there are, and landed files grow in number, not in size, with as many batches as before."""
+    from pitpanel.functions import shared
+    from pitpanel.plans import quality, streams
+
+    monkeypatch.setattr(shared, "ROWS", 2000)
+    monkeypatch.setattr(streams, "ROWS", 2000)
+    spread = quality.page_groups(spark, "/root/testdata/sf0.01").groupBy(F.spark_partition_id()).agg(F.sum("pages").alias("n")).collect()
+    assert max(r.n for r in spread) < 2 * 2000
+    path, files = streams._landed(spark, spark.range(60_000))
+    each = [r.n for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert files == 10 and len(each) == 30 and max(each) < 2 * 2000 and sum(each) == 60_000
+
+
+def test_newest_generation_by_its_last_batch(spark, tmp_path):
+    """Rows for a generation come in several batches; a request whose generation is unknown is kept, with its key."""
+    landed, sink, mark = (at(spark, tmp_path, n) for n in ("landed", "sink", "mark"))
+    for rows in ([(1, 1, 2), (1, 1, 2), (2, None, 1)], [(1, 2, 3)], [(1, 2, 3), (1, 1, 2)]):
+        spark.createDataFrame(rows, "k long, g int, due long").coalesce(1).write.mode("append").parquet(landed)
+        increments.page_counts(increments.stream(spark, landed), mark, sink, "k", "g", "due")
+    got = sorted(tuple(r) for r in increments.newest_generations(spark, sink, "k", "g").select("k", "g", "pages", "due", "complete").collect())
+    assert got == [(1, 2, 2, 3, False), (2, None, 1, 1, True)]
