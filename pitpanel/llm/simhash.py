@@ -114,11 +114,11 @@ def cells(fps: DataFrame, bands: int, bits: int) -> DataFrame:
     return fps.select("fp", "rep").mapInArrow(run, "cell long, fp long, rep long, coordinates long")
 
 
-def links(fps: DataFrame, bits: int = 2, cell: int = 64) -> DataFrame:
-    """Edges (a, b) between representatives, whose components are those of all links of at most ``bits`` bits."""
+def links(fps: DataFrame, bits: int = 2, cell: int = 64, folder: str | None = None) -> DataFrame:
+    """Edges (a, b) between representatives, whose components are those of all links of at most ``bits`` bits; ``folder`` takes the cells."""
     if bits not in (1, 2):
         raise ValueError("bits must be 1 or 2: the path for full cells covers two bits")
-    dealt = written(cells(fps, bands_for(fps.count(), bits), bits), "cells")
+    dealt = written(cells(fps, bands_for(fps.count(), bits), bits), "cells", folder)
     full = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     small = dealt.join(full.where(F.col("n") <= cell), "cell").select("cell", "fp", "rep", "coordinates")
     x, y = small.alias("x"), small.alias("y")

@@ -962,3 +962,24 @@ def test_packing_takes_the_fewest_sequences_of_all_scorings():
     every = [used(packing.plan(counts, capacity, w, kind)) for kind, w in packing.SCORINGS]
     best = used(packing.fewest(counts, capacity))
     assert best == min(every) and best <= 1 + -(-sum(k * n for k, n in counts.items()) // 1024)
+
+
+def test_pivot_table_deals_the_nearest_pairs_of_the_pipeline(spark):
+    """Pairs dealt by pivots join what all pairs within two bits join, equal fingerprints too, also in a crowd."""
+    r = random.Random(5)
+    seeds = [r.getrandbits(64) for _ in range(150)]
+    codes = [s ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 3))) for s in seeds for _ in range(3)]
+    codes += [seeds[0] ^ (1 << a) ^ (1 << b) for a in range(20) for b in range(a)]
+    wide = [c - (1 << 64) if c >> 63 else c for c in codes]
+    made = jaccard.pivot_pairs(spark.createDataFrame(list(enumerate(wide)), "cid long, f1 long")).collect()
+    assert all(x.a < x.b for x in made)
+
+    def joined(pairs):
+        low = list(range(len(codes)))
+        for a, b in pairs:
+            x, y = sorted((low[a], low[b]))
+            if x != y:
+                low = [x if v == y else v for v in low]
+        return low
+
+    assert joined((x.a, x.b) for x in made) == joined((a, b) for b in range(len(codes)) for a in range(b) if (codes[a] ^ codes[b]).bit_count() <= 2)
