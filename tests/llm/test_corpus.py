@@ -983,3 +983,15 @@ def test_pivot_table_deals_the_nearest_pairs_of_the_pipeline(spark):
         return low
 
     assert joined((x.a, x.b) for x in made) == joined((a, b) for b in range(len(codes)) for a in range(b) if (codes[a] ^ codes[b]).bit_count() <= 2)
+
+
+def test_shingle_counts_leave_no_text_out(spark):
+    """Counters are those of all shingles of all texts, also where there are many texts and each shingle is rare among them."""
+    texts = [f"one{k % 7000} two{k % 7000} three four five six{k}" for k in range(28_000)] + [None, "", "too short", prose(3, 5000)]
+    got = jaccard.gram_counts(spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(5), 5, "text")
+    hashes, _ = jaccard.shingle_hashes(pa.array(texts), 5)
+    assert got.sum() == len(hashes) == 2 * 28_000 + 1 + 4996
+    assert (got == np.bincount((hashes % len(got)).astype(np.int64), minlength=len(got))).all()
+    four = jaccard.shingle_hashes(pa.array(["one1 two1 three four five"]), 5)[0]
+    alone = jaccard.shingle_hashes(pa.array(["two1 three four five six1"]), 5)[0]
+    assert (jaccard.prefix(np.sort(np.append(four, alone)), got, 0.8)[0] == alone).all()
