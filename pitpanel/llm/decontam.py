@@ -227,5 +227,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, each: int =
                                 column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64())], names=["doc_id", "item_id", "score", "first_word", "last_word"])
 
-    together = near.select("row", "doc_id", "words").join(asked, "row")
+    # What is asked grows with the texts and shrinks well on its way, so Spark would broadcast far more than its bound: it is merged, with the texts that meet an item.
+    wanted = near.select("row", "doc_id", "words").join(pairs.select("row").distinct(), "row", "left_semi")
+    together = wanted.join(asked.hint("merge"), "row")
     return together.select("doc_id", "words", "asked").mapInArrow(run, schema)

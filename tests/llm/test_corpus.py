@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -995,3 +996,13 @@ def test_shingle_counts_leave_no_text_out(spark):
     four = jaccard.shingle_hashes(pa.array(["one1 two1 three four five"]), 5)[0]
     alone = jaccard.shingle_hashes(pa.array(["two1 three four five six1"]), 5)[0]
     assert (jaccard.prefix(np.sort(np.append(four, alone)), got, 0.8)[0] == alone).all()
+
+
+def test_what_texts_are_asked_is_no_broadcast(spark):
+    """The items that texts meet grow with the texts, so they reach them by a shuffle, at any size; only numbers of texts are broadcast."""
+    items = spark.createDataFrame([(k, prose(500 + k, 30)) for k in range(4)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, prose(k, 40) + " " + prose(500 + k % 4, 30) * (k % 2)) for k in range(80)], SCHEMA)
+    found = decontam.contaminated(docs, items)
+    assert sorted((x.doc_id, x.item_id) for x in found.collect()) == [(k, k % 4) for k in range(80) if k % 2]
+    joins = re.findall(r"(\w+Join) \[row#\d+L\], \[row#\d+L\], (\w+)", found._jdf.queryExecution().executedPlan().toString())
+    assert ("SortMergeJoin", "Inner") in joins and ("BroadcastHashJoin", "Inner") not in joins
